@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tillworks.functions.money import presented
-from tillworks.plans import campaign, customers, models, revenue
-from tillworks.sources.parquet_mapping import parquet_tables
+from tillworks.plans import campaign, customers, models, operations, revenue
+from tillworks.sources.parquet_mapping import lines_in_time, parquet_tables
 from tillworks.sources.tables import SalesTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 WINDOWS = campaign.TABLES_1997
+LOAD_DAY, LOAD_MONTH, STORED_QUARTER = date(1997, 11, 28), (1997, 11), (1997, 4)
+SEGMENTS = ["automobile", "building", "furniture", "household", "machinery"]
+PAYMENT_METHODS = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low"]
 
 
 def _on_tables(plan: Callable[[SalesTables], DataFrame]) -> Query:
@@ -27,6 +30,13 @@ def _in_windows(plan: Callable) -> Query:
     return _on_tables(lambda t: plan(t, WINDOWS))
 
 
+def _on_load(plan: Callable) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return presented(plan(parquet_tables(spark, sf_dir), lines_in_time(spark, sf_dir)))
+
+    return run
+
+
 MODELS = {
     "fct_sales": lambda t: models.fct_sales(t.sales_items, t.transactions),
     "stg_transactions": lambda t: models.stg_transactions(t.transactions),
@@ -75,8 +85,18 @@ CAMPAIGN = {
     "campaign_signals": campaign.campaign_signals,
 }
 
+OPERATIONS = {
+    "partitioned_fact": lambda t: operations.quarter_revenue(t, *STORED_QUARTER),
+    "quality_report": lambda t: operations.quality(t, SEGMENTS, PAYMENT_METHODS),
+}
+LOADS = {
+    "etl_load_day": lambda t, in_time: operations.load_day(t, in_time, LOAD_DAY),
+    "etl_load_month": lambda t, in_time: operations.load_month(t, in_time, *LOAD_MONTH),
+}
+
 
 def all_queries() -> dict[str, Query]:
-    found = {name: _on_tables(plan) for name, plan in {**MODELS, **REVENUE, **CUSTOMERS}.items()}
+    found = {name: _on_tables(plan) for name, plan in {**MODELS, **REVENUE, **CUSTOMERS, **OPERATIONS}.items()}
     found.update({name: _in_windows(plan) for name, plan in CAMPAIGN.items()})
+    found.update({name: _on_load(plan) for name, plan in LOADS.items()})
     return found

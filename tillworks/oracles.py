@@ -323,5 +323,109 @@ CAMPAIGN = {
 }
 
 
+def _load(days: str) -> str:
+    return f""", fresh AS (
+        SELECT f.* FROM fct_sales f WHERE {days} AND NOT EXISTS (
+          SELECT 1 FROM fct_sales old WHERE old.ship_date <= old.transaction_date
+            AND old.transaction_id = f.transaction_id AND old.product_id = f.product_id))
+        SELECT sales_item_id AS sales_key, CAST(strftime(transaction_date, '%Y%m%d') AS INT) AS date_id, customer_id,
+        store_id, product_id, transaction_id, quantity, {dbl('unit_price')} AS unit_price,
+        {dbl('discount_pct')} AS discount_pct, {dbl('quantity * unit_price')} AS gross_amount,
+        CAST({half_up(f"{cents('quantity * unit_price')} * (100 - discount_pct)", '100')} AS DOUBLE) / 100 AS net_amount,
+        payment_method FROM fresh"""
+
+
+def _rules(table: str, source: str, not_null: str = "", checks: tuple = (), non_empty: bool = False) -> list[str]:
+    found = [(c, "not_null", f"{c} IS NULL") for c in not_null.split()]
+    found += [(column, rule, f"NOT ({good})") for rule, column, good in checks]
+    parts = [
+        f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{column}' AS column_name,"
+        f" count(CASE WHEN {bad} THEN 1 END) AS failures FROM {source}"
+        for column, rule, bad in found
+    ]
+    if non_empty:
+        parts.append(f"SELECT '{table}', 'non_empty', '*', CAST(count(*) = 0 AS BIGINT) FROM {source}")
+    return parts
+
+
+def _unique(table: str, source: str, key: str) -> str:
+    return (
+        f"SELECT '{table}', 'unique', '{key}', count(*) FROM"
+        f" (SELECT {key} FROM {source} WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+    )
+
+
+def _parent(table: str, source: str, key: str, parent: str) -> str:
+    return (
+        f"SELECT '{table}', 'relationship', '{key}', count(*) FROM {source} child WHERE {key} IS NOT NULL"
+        f" AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = child.{key})"
+    )
+
+
+ITEM_COLUMNS = (
+    "sales_item_id transaction_id product_id quantity unit_price discount_pct gross_amount discount_amount net_amount"
+)
+QUALITY = [
+    *_rules(
+        "customers",
+        "customers",
+        "customer_id customer_name segment city",
+        (
+            (
+                "accepted_values",
+                "segment",
+                "segment IN ('automobile', 'building', 'furniture', 'household', 'machinery')",
+            ),
+        ),
+    ),
+    _unique("customers", "customers", "customer_id"),
+    *_rules("products", "products", "product_id product_name category unit_price"),
+    _unique("products", "products", "product_id"),
+    *_rules("stores", "stores", "store_id store_name region"),
+    _unique("stores", "stores", "store_id"),
+    *_rules(
+        "stg_transactions",
+        "transactions",
+        "transaction_id transaction_date customer_id store_id payment_method",
+        (
+            (
+                "accepted_values",
+                "payment_method",
+                "lower(payment_method) IN ('1-urgent', '2-high', '3-medium', '4-not specified', '5-low')",
+            ),
+        ),
+    ),
+    _unique("stg_transactions", "transactions", "transaction_id"),
+    _parent("stg_transactions", "transactions", "customer_id", "customers"),
+    _parent("stg_transactions", "transactions", "store_id", "stores"),
+    *_rules(
+        "stg_sales_items",
+        "sales_items",
+        ITEM_COLUMNS,
+        (
+            ("positive_quantity", "quantity", "quantity > 0"),
+            ("positive_price", "unit_price", "unit_price > 0"),
+            ("discount_range", "discount_pct", "discount_pct BETWEEN 0 AND 100"),
+            ("amounts_add_up", "net_amount", "gross_amount - discount_amount = net_amount"),
+        ),
+    ),
+    _unique("stg_sales_items", "sales_items", "sales_item_id"),
+    _parent("stg_sales_items", "sales_items", "transaction_id", "transactions"),
+    _parent("stg_sales_items", "sales_items", "product_id", "products"),
+    *_rules("fct_sales", "fct_sales", "sales_item_id transaction_id product_id net_amount", non_empty=True),
+    _unique("fct_sales", "fct_sales", "sales_item_id"),
+    _parent("fct_sales", "fct_sales", "transaction_id", "transactions"),
+]
+
+OPERATIONS = {
+    "partitioned_fact": f"""SELECT CAST(1997 AS INT) AS year, CAST(4 AS INT) AS quarter, store_id,
+        {dbl('sum(net_amount)')} AS revenue, count(*) AS line_count FROM fct_sales
+        WHERE transaction_date BETWEEN DATE '1997-10-01' AND DATE '1997-12-31' GROUP BY 3""",
+    "quality_report": " UNION ALL ".join(QUALITY),
+    "etl_load_day": _load("transaction_date = DATE '1997-11-28'"),
+    "etl_load_month": _load("transaction_date BETWEEN DATE '1997-11-01' AND DATE '1997-11-30'"),
+}
+
+
 def all_oracles() -> dict[str, str]:
-    return {name: PREFIX + body for name, body in {**MODELS, **REVENUE, **CUSTOMERS, **CAMPAIGN}.items()}
+    return {name: PREFIX + body for name, body in {**MODELS, **REVENUE, **CUSTOMERS, **CAMPAIGN, **OPERATIONS}.items()}

@@ -125,3 +125,13 @@ def parquet_tables(spark: SparkSession, folder: str) -> SalesTables:
         lines=_line_columns(lineitem),
         number_lines=lambda: _numbered_lines(lineitem),
     )
+
+
+def lines_in_time(spark: SparkSession, folder: str) -> DataFrame:
+    """The (transaction, product) pairs whose line was shipped no later than the order day."""
+    base = folder.rstrip("/")
+    lineitem, orders = spark.read.parquet(f"{base}/lineitem.parquet"), spark.read.parquet(f"{base}/orders.parquet")
+    joined = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+    return joined.where(F.col("l_shipdate") <= F.col("o_orderdate")).select(
+        F.col("l_orderkey").alias("transaction_id"), F.col("l_partkey").alias("product_id")
+    )
