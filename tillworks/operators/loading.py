@@ -58,11 +58,14 @@ def load_day(fact: DataFrame, transactions: DataFrame, sales_items: DataFrame, d
     return load_range(fact, transactions, sales_items, day, day)
 
 
+def month_range(year: int, month: int) -> tuple[date, date]:
+    after = date(year + month // 12, month % 12 + 1, 1)
+    return date(year, month, 1), date.fromordinal(after.toordinal() - 1)
+
+
 def load_month(fact: DataFrame, transactions: DataFrame, sales_items: DataFrame, year: int, month: int) -> DataFrame:
     """The month as one range load. A transaction has one date, so no day can see the rows of another."""
-    first = date(year, month, 1)
-    last = date(year + month // 12, month % 12 + 1, 1).toordinal() - 1
-    return load_range(fact, transactions, sales_items, first, date.fromordinal(last))
+    return load_range(fact, transactions, sales_items, *month_range(year, month))
 
 
 def new_calendar_days(dim_date: DataFrame, days: DataFrame, column: str = "transaction_date") -> DataFrame:

@@ -68,6 +68,7 @@ def transaction_totals(lines: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("discount_pct") > 0, F.col("net_amount"))).alias("discounted_net"),
         F.sum(F.col("quantity").cast("decimal(10,0)") * F.col("unit_price")).alias("list_value"),
         F.sum("quantity").alias("units"),
+        F.sum("discount_pct").alias("pct_points"),
         F.count("*").alias("line_count"),
     )
 

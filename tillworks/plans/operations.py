@@ -29,12 +29,18 @@ def loaded_before(t: SalesTables, in_time: DataFrame) -> DataFrame:
     )
 
 
+def _load(t: SalesTables, in_time: DataFrame, first: date, last: date) -> DataFrame:
+    transactions = _staged(t)
+    of_range = t.headers.where(F.col("transaction_date").between(F.lit(first), F.lit(last)))
+    return loading.load_range(loaded_before(t, in_time), transactions, t.sales_items_of(of_range), first, last)
+
+
 def load_day(t: SalesTables, in_time: DataFrame, day: date) -> DataFrame:
-    return loading.load_day(loaded_before(t, in_time), _staged(t), t.sales_items, day)
+    return _load(t, in_time, day, day)
 
 
 def load_month(t: SalesTables, in_time: DataFrame, year: int, month: int) -> DataFrame:
-    return loading.load_month(loaded_before(t, in_time), _staged(t), t.sales_items, year, month)
+    return _load(t, in_time, *loading.month_range(year, month))
 
 
 def quarter_revenue(t: SalesTables, year: int, quarter: int) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillworks.functions import money
-from tillworks.operators.ordering import number_within
+from tillworks.operators.ordering import hot_keys, number_within
 from tillworks.sources.tables import SalesTables
 
 IDS_PER_ORDER = 10_000_000
@@ -101,9 +101,12 @@ def _line_columns(lineitem: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def _numbered_lines(lineitem: DataFrame) -> DataFrame:
+def _numbered_lines(lineitem: DataFrame, wanted: DataFrame | None) -> DataFrame:
     """Line ids: positive and grouped by order; orders too long for their share of ids get negative ones."""
-    placed = number_within(lineitem, "l_orderkey", _LINE_ORDER, "place", ordinal="long_order")
+    hot = hot_keys(lineitem, "l_orderkey")
+    if wanted is not None:
+        lineitem = lineitem.join(wanted, lineitem.l_orderkey == wanted.transaction_id, "left_semi")
+    placed = number_within(lineitem, "l_orderkey", _LINE_ORDER, "place", ordinal="long_order", hot=hot)
     line_id = F.when(F.col("long_order") == 0, F.col("l_orderkey") * IDS_PER_ORDER + F.col("place")).otherwise(
         -(F.col("long_order") * F.lit(10**14) + F.col("place"))
     )
@@ -123,7 +126,7 @@ def parquet_tables(spark: SparkSession, folder: str) -> SalesTables:
         transactions=_transactions(headers, customer),
         headers=headers,
         lines=_line_columns(lineitem),
-        number_lines=lambda: _numbered_lines(lineitem),
+        number_lines=lambda wanted: _numbered_lines(lineitem, wanted),
     )
 
 

@@ -24,11 +24,19 @@ class SalesTables:
     transactions: DataFrame
     headers: DataFrame
     lines: DataFrame
-    number_lines: Callable[[], DataFrame]
+    number_lines: Callable[[DataFrame | None], DataFrame]
 
     @cached_property
     def sales_items(self) -> DataFrame:
-        return self.number_lines()
+        return self.number_lines(None)
+
+    def sales_items_of(self, transactions: DataFrame) -> DataFrame:
+        """Lines with their id, at least those of the given transactions.
+
+        An id depends on the lines of its own transaction only, so a source that has to number lines
+        numbers no others.
+        """
+        return self.number_lines(transactions.select("transaction_id"))
 
     @staticmethod
     def of(frames: dict[str, DataFrame]) -> SalesTables:
@@ -39,5 +47,5 @@ class SalesTables:
             transactions=frames["transactions"],
             headers=frames["transactions"],
             lines=frames["sales_items"],
-            number_lines=lambda: frames["sales_items"],
+            number_lines=lambda _wanted: frames["sales_items"],
         )
