@@ -8,7 +8,10 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from tillworks.functions.money import presented
-from tillworks.plans import campaign, customers, models, operations, revenue
+from pyspark.sql import functions as F
+
+from tillworks.operators.preparation import random_split, with_stratified_split
+from tillworks.plans import campaign, customers, features, learning, models, operations, revenue
 from tillworks.sources.parquet_mapping import lines_in_time, parquet_tables
 from tillworks.sources.tables import SalesTables
 
@@ -89,6 +92,45 @@ OPERATIONS = {
     "partitioned_fact": lambda t: operations.quarter_revenue(t, *STORED_QUARTER),
     "quality_report": lambda t: operations.quality(t, SEGMENTS, PAYMENT_METHODS),
 }
+
+
+def _split_sizes(t: SalesTables) -> DataFrame:
+    lines = t.sales_items.withColumn("split", random_split("sales_item_id"))
+    return lines.groupBy("split").agg(F.count("*").alias("line_count"), F.sum("net_amount").alias("revenue"))
+
+
+def _stratified(t: SalesTables) -> DataFrame:
+    return with_stratified_split(
+        t.customers.select("customer_id", "segment"), label="segment", key="customer_id"
+    )
+
+
+def _points(t: SalesTables) -> DataFrame:
+    return learning.scaled_values(t)
+
+
+LEARNING = {
+    "line_features": features.line_features,
+    "customer_values": features.customer_values,
+    "customer_features": features.customer_features,
+    "random_split": _split_sizes,
+    "stratified_split": _stratified,
+    "scaled_customer_values": _points,
+    "regression_metrics": learning.regression,
+    "feature_importance": learning.feature_importance,
+    "classification_metrics": learning.classification,
+    "mlp_accuracy": learning.perceptron,
+    "kmeans_clusters": lambda t: learning.kmeans_labels(_points(t)),
+    "kmeans_elbow": learning.elbow,
+    "dbscan_clusters": lambda t: learning.dbscan_labels(_points(t)),
+    "dbscan_counts": lambda t: learning.dbscan_counts(learning.dbscan_labels(_points(t))),
+    "clustering_metrics": learning.clustering_metrics,
+    "cluster_assignments": learning.cluster_assignments,
+    "pca_projections": lambda t: learning.pca_projections(_points(t)),
+    "pca_variance": lambda t: learning.pca_variance(_points(t)),
+    "cross_validation": learning.cross_validation,
+    "metric_summary": learning.metric_summary,
+}
 LOADS = {
     "etl_load_day": lambda t, in_time: operations.load_day(t, in_time, LOAD_DAY),
     "etl_load_month": lambda t, in_time: operations.load_month(t, in_time, *LOAD_MONTH),
@@ -96,7 +138,7 @@ LOADS = {
 
 
 def all_queries() -> dict[str, Query]:
-    found = {name: _on_tables(plan) for name, plan in {**MODELS, **REVENUE, **CUSTOMERS, **OPERATIONS}.items()}
+    found = {name: _on_tables(plan) for name, plan in {**MODELS, **REVENUE, **CUSTOMERS, **OPERATIONS, **LEARNING}.items()}
     found.update({name: _in_windows(plan) for name, plan in CAMPAIGN.items()})
     found.update({name: _on_load(plan) for name, plan in LOADS.items()})
     return found

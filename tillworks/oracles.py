@@ -11,7 +11,7 @@ from tillworks.plans.campaign import TABLES_1997 as W
 from tillworks.sources.parquet_mapping import IDS_PER_ORDER
 
 PREFIX = f"""
-WITH
+WITH RECURSIVE
 customers AS (
   SELECT c_custkey AS customer_id, c_name AS customer_name, lower(c_mktsegment) AS segment, n_name AS city
   FROM customer JOIN nation ON n_nationkey = c_nationkey),
@@ -426,6 +426,88 @@ OPERATIONS = {
     "etl_load_month": _load("transaction_date BETWEEN DATE '1997-11-01' AND DATE '1997-11-30'"),
 }
 
+CODES = """, flat AS (
+  SELECT f.*, p.category, c.segment, c.city, s.region
+  FROM fct_sales f JOIN products p ON p.product_id = f.product_id
+  JOIN customers c ON c.customer_id = f.customer_id JOIN stores s ON s.store_id = f.store_id),
+coded AS (
+  SELECT *, CAST(dense_rank() OVER (ORDER BY category) - 1 AS INT) AS category_code,
+         CAST(dense_rank() OVER (ORDER BY city) - 1 AS INT) AS city_code,
+         CAST(dense_rank() OVER (ORDER BY region) - 1 AS INT) AS region_code,
+         CAST(dense_rank() OVER (ORDER BY payment_method) - 1 AS INT) AS payment_code,
+         CAST(dense_rank() OVER (ORDER BY segment) - 1 AS INT) AS segment_code
+  FROM flat)
+"""
+VALUES = """, customer_values AS (
+  SELECT customer_id, CAST(sum(net_amount) AS DOUBLE) AS total_spent,
+         CAST(sum(net_amount) AS DOUBLE) / count(*) AS avg_basket,
+         count(DISTINCT transaction_id) AS num_transactions,
+         CAST(sum(quantity) AS DOUBLE) / count(*) AS avg_quantity,
+         CAST(sum(discount_pct) AS DOUBLE) / count(*) AS avg_discount
+  FROM fct_sales GROUP BY 1)
+"""
+VALUE_COLUMNS = "total_spent avg_basket num_transactions avg_quantity avg_discount".split()
+SCALED = (
+    VALUES
+    + ", scaled AS (SELECT customer_id, "
+    + ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}" for c in VALUE_COLUMNS)
+    + " FROM customer_values)"
+)
+DISTANCE = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in VALUE_COLUMNS)
+DENSITY = f"""{SCALED}, near AS MATERIALIZED (
+  SELECT a.customer_id AS u, b.customer_id AS v FROM scaled a JOIN scaled b ON {DISTANCE} <= 0.8 * 0.8),
+core AS MATERIALIZED (SELECT u FROM near GROUP BY 1 HAVING count(*) >= 5),
+links AS MATERIALIZED (SELECT near.u, near.v FROM near JOIN core a ON a.u = near.u JOIN core b ON b.u = near.v),
+reach AS (
+  SELECT u AS root, u AS node FROM core
+  UNION
+  SELECT reach.root, links.v FROM reach JOIN links ON links.u = reach.node WHERE reach.root <= links.v),
+component AS (SELECT node, min(root) AS root FROM reach GROUP BY 1),
+clusters AS (SELECT node, CAST(dense_rank() OVER (ORDER BY root) - 1 AS INT) AS cluster FROM component),
+labels AS (
+  SELECT s.customer_id, coalesce(own.cluster, min(other.cluster), -1) AS dbscan_cluster
+  FROM scaled s LEFT JOIN clusters own ON own.node = s.customer_id
+  LEFT JOIN near ON near.u = s.customer_id LEFT JOIN clusters other ON other.node = near.v
+  GROUP BY s.customer_id, own.cluster)
+"""
+
+
+def hash_number(key: str) -> str:
+    return f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT)"
+
+
+LEARNING = {
+    "line_features": f"""{CODES} SELECT sales_item_id, quantity, {dbl('unit_price')} AS unit_price, discount_pct,
+        CAST(discount_pct > 0 AS INT) AS has_discount, CAST(isodow(transaction_date) - 1 AS INT) AS day_of_week,
+        CAST(month(transaction_date) AS INT) AS month, CAST(isodow(transaction_date) >= 6 AS INT) AS is_weekend,
+        category_code AS category_encoded, city_code AS customer_city_encoded, region_code AS store_region_encoded,
+        payment_code AS payment_method_encoded, segment_code AS segment_encoded, {dbl('net_amount')} AS net_amount
+        FROM coded""",
+    "customer_values": f"{VALUES} SELECT * FROM customer_values",
+    "customer_features": f"""{VALUES} {CODES}, medians AS (
+        SELECT customer_id, {dbl('median(category_code)')} AS favourite_category,
+               {dbl('median(region_code)')} AS store_region, min(segment_code) AS segment_encoded FROM coded GROUP BY 1),
+        payments AS (
+        SELECT customer_id, payment_code, row_number() OVER (
+                 PARTITION BY customer_id ORDER BY count(*) DESC, payment_code) AS place
+        FROM coded GROUP BY 1, 2)
+        SELECT v.*, m.favourite_category, p.payment_code AS preferred_payment, m.store_region, m.segment_encoded
+        FROM customer_values v JOIN medians m ON m.customer_id = v.customer_id
+        JOIN payments p ON p.customer_id = v.customer_id AND p.place = 1""",
+    "random_split": f"""SELECT CASE WHEN {hash_number('sales_item_id')} % 100 < 20 THEN 'test' ELSE 'train' END AS split,
+        count(*) AS line_count, {dbl('sum(net_amount)')} AS revenue FROM sales_items GROUP BY 1""",
+    "stratified_split": f""", drawn AS (
+        SELECT customer_id, segment, row_number() OVER (
+                 PARTITION BY segment ORDER BY {hash_number('customer_id')}, customer_id) AS place,
+               count(*) OVER (PARTITION BY segment) AS size FROM customers)
+        SELECT customer_id, segment, CASE WHEN place * 200 <= size * 40 + 100 THEN 'test' ELSE 'train' END AS split
+        FROM drawn""",
+    "scaled_customer_values": f"{SCALED} SELECT * FROM scaled",
+    "dbscan_clusters": f"{DENSITY} SELECT customer_id, dbscan_cluster FROM labels",
+    "dbscan_counts": f"""{DENSITY} SELECT count(DISTINCT CASE WHEN dbscan_cluster >= 0 THEN dbscan_cluster END)
+        AS clusters, count(CASE WHEN dbscan_cluster = -1 THEN 1 END) AS noise FROM labels""",
+}
+
 
 def all_oracles() -> dict[str, str]:
-    return {name: PREFIX + body for name, body in {**MODELS, **REVENUE, **CUSTOMERS, **CAMPAIGN, **OPERATIONS}.items()}
+    return {name: PREFIX + body for name, body in {**MODELS, **REVENUE, **CUSTOMERS, **CAMPAIGN, **OPERATIONS, **LEARNING}.items()}

@@ -6,6 +6,10 @@ times, and a lost executor must not cause the joins behind them to run again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
@@ -20,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillworks.operators import evaluation
+from tillworks.operators.density import dbscan
 from tillworks.operators.ordering import with_ntiles
 from tillworks.operators.preparation import random_split, scaled, with_stratified_split
 from tillworks.plans.features import (
@@ -30,14 +35,23 @@ from tillworks.plans.features import (
     customer_values,
     line_features,
 )
-from tillworks.session import checkpointed
+from tillworks.session import checkpointed, scratch_table
 from tillworks.sources import schemas
+from tillworks.sources.files import read_json, write_json
 from tillworks.sources.tables import SalesTables
 
 SEED = 42
 # Forests of the single-machine library grow without a depth limit; Spark needs one, and cost doubles
 # with every level.
 FOREST_DEPTH = 10
+# Independent fits submitted at a time; each alone leaves executors idle between its short stages.
+PARALLEL_FITS = 5
+
+
+def _together(fits: list[Callable]) -> list:
+    """Results of independent fits, in order. The threads only submit jobs; the work is on the executors."""
+    with ThreadPool(min(PARALLEL_FITS, len(fits))) as pool:
+        return pool.map(lambda fit: fit(), [inheritable_thread_target(f) for f in fits])
 
 
 def _vector(df: DataFrame, columns: list[str], name: str = "features") -> DataFrame:
@@ -66,28 +80,34 @@ def _regressors() -> dict[str, object]:
     }
 
 
-def _fit_all(estimators: dict, frame: DataFrame, test: DataFrame) -> tuple[dict, DataFrame, dict[str, str]]:
+def _fit_all(estimators: dict, train: DataFrame, test: DataFrame) -> tuple[dict, DataFrame, dict[str, str]]:
     """Models by name, the test frame with one prediction column per model, and the names of those."""
-    fitted, columns = {}, {}
-    for i, (name, estimator) in enumerate(estimators.items()):
-        columns[name] = f"p{i}"
-        for setter in ("setRawPredictionCol", "setProbabilityCol"):
-            if hasattr(estimator, setter):
-                getattr(estimator, setter)(f"{setter}{i}")
-        fitted[name] = estimator.setPredictionCol(f"p{i}").fit(frame)
-        test = fitted[name].transform(test)
+    columns = {name: f"p{i}" for i, name in enumerate(estimators)}
+    for name, estimator in estimators.items():
+        estimator.setPredictionCol(columns[name])
+        if hasattr(estimator, "setRawPredictionCol"):
+            estimator.setRawPredictionCol(f"raw_{columns[name]}").setProbabilityCol(f"prob_{columns[name]}")
+    fitted = dict(zip(estimators, _together([lambda e=e: e.fit(train) for e in estimators.values()])))
+    for model in fitted.values():
+        test = model.transform(test)
     return fitted, test, columns
 
 
-def regression(t: SalesTables) -> tuple[DataFrame, DataFrame]:
-    """Metrics of four models that predict the net amount, and the feature weights of the forest."""
+def regression(t: SalesTables) -> DataFrame:
+    """MAE, RMSE and R2 of four models that predict the net amount of a line."""
     frame = regression_frame(t)
-    fitted, judged, columns = _fit_all(_regressors(), frame.where("split = 'train'"), frame.where("split = 'test'"))
-    weights = fitted["Random Forest"].featureImportances.toArray()
-    importance = frame.sparkSession.createDataFrame(
+    _, judged, columns = _fit_all(_regressors(), frame.where("split = 'train'"), frame.where("split = 'test'"))
+    return evaluation.regression_metrics(judged, "net_amount", columns)
+
+
+def feature_importance(t: SalesTables) -> DataFrame:
+    """Weights of the forest's features, largest first."""
+    lines = line_features(t).where(random_split("sales_item_id") == "train")
+    frame = checkpointed(_vector(lines, LINE_FEATURES).select("net_amount", "features"))
+    weights = _regressors()["Random Forest"].fit(frame).featureImportances.toArray()
+    return frame.sparkSession.createDataFrame(
         [(name, float(w)) for name, w in zip(LINE_FEATURES, weights)], "feature string, importance double"
     ).orderBy(F.desc("importance"), "feature")
-    return evaluation.regression_metrics(judged, "net_amount", columns), importance
 
 
 def classification_frame(t: SalesTables) -> DataFrame:
@@ -98,11 +118,12 @@ def classification_frame(t: SalesTables) -> DataFrame:
     return checkpointed(raw.join(with_scaled, "customer_id"))
 
 
-def _classifiers() -> dict[str, object]:
+def _classifiers(train_rows: int) -> dict[str, object]:
+    """The penalty 1 / rows makes the mean-loss objective equal to a unit weight on the summed loss."""
     common = {"labelCol": "segment_encoded"}
     return {
         "Logistic Regression": LogisticRegression(
-            featuresCol="scaled", family="multinomial", maxIter=1000, regParam=0.001, elasticNetParam=0.0, **common
+            featuresCol="scaled", family="multinomial", maxIter=1000, regParam=1.0 / train_rows, **common
         ),
         "Decision Tree": DecisionTreeClassifier(maxDepth=5, seed=SEED, **common),
         "Random Forest": RandomForestClassifier(numTrees=100, maxDepth=FOREST_DEPTH, seed=SEED, **common),
@@ -112,7 +133,8 @@ def _classifiers() -> dict[str, object]:
 def classification(t: SalesTables) -> DataFrame:
     """Accuracy and per-class figures of three models that predict the customer segment."""
     frame = classification_frame(t)
-    _, judged, columns = _fit_all(_classifiers(), frame.where("split = 'train'"), frame.where("split = 'test'"))
+    train, test = frame.where("split = 'train'"), frame.where("split = 'test'")
+    _, judged, columns = _fit_all(_classifiers(train.count()), train, test)
     return evaluation.classification_metrics(evaluation.confusion_counts(judged, "segment_encoded", columns))
 
 
@@ -139,14 +161,18 @@ def scaled_values(t: SalesTables) -> DataFrame:
 
 def _best_kmeans(points: DataFrame, k: int, starts: int = 10) -> KMeansModel:
     """The fit with the lowest cost out of ``starts`` seeds."""
-    fits = [KMeans(k=k, seed=SEED + i, maxIter=300, tol=1e-4).fit(points) for i in range(starts)]
-    return min(fits, key=lambda m: m.summary.trainingCost)
+    seeds = [KMeans(k=k, seed=SEED + i, maxIter=300, tol=1e-4) for i in range(starts)]
+    return min(_together([lambda e=e: e.fit(points) for e in seeds]), key=lambda m: m.summary.trainingCost)
 
 
-def kmeans_clusters(t: SalesTables, k: int = 4) -> DataFrame:
-    points = checkpointed(_vector(scaled_values(t), VALUE_FEATURES))
-    model = _best_kmeans(points, k).setPredictionCol("kmeans_cluster")
-    return model.transform(points).select("customer_id", "kmeans_cluster")
+def kmeans_labels(points: DataFrame, k: int = 4) -> DataFrame:
+    vectors = checkpointed(_vector(points, VALUE_FEATURES))
+    model = _best_kmeans(vectors, k).setPredictionCol("kmeans_cluster")
+    return model.transform(vectors).select("customer_id", "kmeans_cluster")
+
+
+def dbscan_labels(points: DataFrame) -> DataFrame:
+    return dbscan(points, "customer_id", VALUE_FEATURES, eps=0.8, min_points=5)
 
 
 def elbow(t: SalesTables, ks: range = range(2, 9)) -> DataFrame:
@@ -156,9 +182,46 @@ def elbow(t: SalesTables, ks: range = range(2, 9)) -> DataFrame:
     return points.sparkSession.createDataFrame(costs, "k int, inertia double")
 
 
-def silhouette(points: DataFrame, cluster: str) -> float:
+def _silhouette(points: DataFrame, cluster: str) -> float | None:
     """Mean silhouette with squared Euclidean distance, which needs only cluster sums, never pairs."""
-    return ClusteringEvaluator(predictionCol=cluster, metricName="silhouette").evaluate(points)
+    if points.select(cluster).distinct().limit(2).count() < 2:
+        return None
+    vectors = _vector(points, VALUE_FEATURES)
+    return ClusteringEvaluator(predictionCol=cluster, metricName="silhouette").evaluate(vectors)
+
+
+def cluster_assignments(t: SalesTables) -> DataFrame:
+    """The five features of every customer with both cluster numbers."""
+    values = checkpointed(customer_values(t))
+    points = checkpointed(scaled(values, VALUE_FEATURES))
+    return values.join(kmeans_labels(points), "customer_id").join(dbscan_labels(points), "customer_id")
+
+
+def clustering_metrics(t: SalesTables) -> DataFrame:
+    """Silhouette of both clusterings (noise left out), and what the density clustering found."""
+    points = checkpointed(scaled_values(t))
+    labelled = checkpointed(points.join(kmeans_labels(points), "customer_id").join(dbscan_labels(points), "customer_id"))
+    clustered = labelled.where("dbscan_cluster <> -1")
+    clusters, noise = labelled.agg(
+        F.countDistinct(F.when(F.col("dbscan_cluster") >= 0, F.col("dbscan_cluster"))),
+        F.count(F.when(F.col("dbscan_cluster") == -1, 1)),
+    ).first()
+    rows = [
+        ("clustering", "K-Means", "silhouette", _silhouette(labelled, "kmeans_cluster")),
+        ("clustering", "DBSCAN", "silhouette", _silhouette(clustered, "dbscan_cluster")),
+        ("clustering", "DBSCAN", "clusters", float(clusters)),
+        ("clustering", "DBSCAN", "noise", float(noise)),
+    ]
+    return points.sparkSession.createDataFrame(rows, schemas.METRICS)
+
+
+def dbscan_counts(labels: DataFrame) -> DataFrame:
+    """Number of clusters and of noise points."""
+    cluster = F.col("dbscan_cluster")
+    return labels.agg(
+        F.countDistinct(F.when(cluster >= 0, cluster)).alias("clusters"),
+        F.count(F.when(cluster == -1, 1)).alias("noise"),
+    )
 
 
 def _components(scaled_points: DataFrame, k: int) -> tuple[list[list[float]], list[float]]:
@@ -212,7 +275,15 @@ def cross_validation(t: SalesTables, folds: int = 5) -> DataFrame:
 
 
 def metric_summary(t: SalesTables) -> DataFrame:
-    """Regression and classification metrics in one long frame."""
-    metrics, _ = regression(t)
-    summary = evaluation.union_metrics(metrics, classification(t))
-    return summary.select(*schemas.METRICS.names)
+    """One row per model from the stored metrics document; a metric a model does not have is NULL."""
+    spark = t.lines.sparkSession
+    document = scratch_table(spark, "metrics")
+    write_json(evaluation.union_metrics(regression(t), classification(t)), document)
+    stored = read_json(spark, document, schemas.METRICS)
+    wide = [
+        evaluation.metrics_wide(stored, "regression", ["MAE", "RMSE", "R2"]).withColumn("task", F.lit("regression")),
+        evaluation.metrics_wide(stored, "classification", ["Accuracy"]).withColumn("task", F.lit("classification")),
+    ]
+    return wide[0].unionByName(wide[1], allowMissingColumns=True).select(
+        "task", "model", "MAE", "RMSE", "R2", "Accuracy"
+    )
