@@ -44,19 +44,22 @@ def with_stratified_split(df: DataFrame, label: str, key: str) -> DataFrame:
     )
 
 
-def scaled(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """(x - mean) / population deviation, both taken from ``fit_on``; a constant column is only shifted."""
+def scaled(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None, suffix: str = "") -> DataFrame:
+    """(x - mean) / population deviation, both taken from ``fit_on``; a constant column is only shifted.
+
+    Without a suffix the columns are replaced, with one they are added.
+    """
     source = df if fit_on is None else fit_on
     moments = source.agg(
         F.struct(
             *[F.avg(c).alias(f"{c}_mean") for c in columns], *[F.stddev_pop(c).alias(f"{c}_dev") for c in columns]
         ).alias("moments")
     )
-    kept = [c for c in df.columns if c not in columns]
+    kept = df.columns if suffix else [c for c in df.columns if c not in columns]
     with_moments = df.withColumn("_m", moments.scalar())
 
     def score(c: str) -> Column:
         deviation = F.col(f"_m.{c}_dev")
         return (F.col(c) - F.col(f"_m.{c}_mean")) / F.when(deviation == 0, 1.0).otherwise(deviation)
 
-    return with_moments.select(*kept, *[score(c).alias(c) for c in columns])
+    return with_moments.select(*kept, *[score(c).alias(f"{c}{suffix}") for c in columns])

@@ -1,6 +1,6 @@
 """Learning jobs on Spark ML: regression, classification, clustering, components, cross-validation.
 
-Training frames are written once to the shared folder (``checkpointed``): iterative fits read them many
+Training frames are written once to the shared folder (``_training_frame``): iterative fits read them many
 times, and a lost executor must not cause the joins behind them to run again.
 """
 
@@ -20,7 +20,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillworks.operators import evaluation
@@ -44,29 +44,52 @@ SEED = 42
 # Forests of the single-machine library grow without a depth limit; Spark needs one, and cost doubles
 # with every level.
 FOREST_DEPTH = 10
+# Every running task of a forest holds one block of node statistics of this size; a small block costs more
+# passes on the deepest levels, a large one times the cores of an executor can exceed its memory.
+FOREST_MEMORY_MB = 64
 # Independent fits submitted at a time; each alone leaves executors idle between its short stages.
 PARALLEL_FITS = 5
 
 
 def _together(fits: list[Callable]) -> list:
     """Results of independent fits, in order. The threads only submit jobs; the work is on the executors."""
+    inherit = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPool(min(PARALLEL_FITS, len(fits))) as pool:
-        return pool.map(lambda fit: fit(), [inheritable_thread_target(f) for f in fits])
+        return pool.map(lambda fit: fit(), [inherit(f) for f in fits])
 
 
 def _vector(df: DataFrame, columns: list[str], name: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol=name).transform(df)
 
 
+def _training_frame(df: DataFrame, key: str) -> DataFrame:
+    """Written once, spread over all cores: small joins end in few partitions, and fits are CPU-bound."""
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return checkpointed(df.repartition(parts, key))
+
+
+def _with_vectors(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Raw and scaled feature vectors; scaling is fitted on the training part."""
+    standard = scaled(rows, columns, fit_on=rows.where("split = 'train'"), suffix="_scaled")
+    both = _vector(_vector(standard, columns), [f"{c}_scaled" for c in columns], "scaled")
+    return both.drop(*columns, *[f"{c}_scaled" for c in columns])
+
+
 def regression_frame(t: SalesTables) -> DataFrame:
-    """Line features with raw and scaled vectors and the split; scaling is fitted on the training part."""
-    lines = checkpointed(line_features(t).withColumn("split", random_split("sales_item_id")))
-    standard = scaled(lines, LINE_FEATURES, fit_on=lines.where("split = 'train'"))
-    with_scaled = _vector(standard, LINE_FEATURES, "scaled").select("sales_item_id", "scaled")
-    return checkpointed(
-        _vector(lines, LINE_FEATURES).select("sales_item_id", "split", "net_amount", "features").join(
-            with_scaled, "sales_item_id"
-        )
+    lines = line_features(t).withColumn("split", random_split("sales_item_id"))
+    return _with_vectors(_training_frame(lines, "sales_item_id"), LINE_FEATURES)
+
+
+def _forest_regressor(trees: int) -> RandomForestRegressor:
+    """All features compete in every split, as in the single-machine library."""
+    return RandomForestRegressor(
+        labelCol="net_amount",
+        numTrees=trees,
+        maxDepth=FOREST_DEPTH,
+        featureSubsetStrategy="all",
+        maxMemoryInMB=FOREST_MEMORY_MB,
+        seed=SEED,
     )
 
 
@@ -75,7 +98,7 @@ def _regressors() -> dict[str, object]:
     return {
         "Linear Regression": LinearRegression(featuresCol="scaled", solver="normal", regParam=0.0, **common),
         "Decision Tree": DecisionTreeRegressor(maxDepth=6, seed=SEED, **common),
-        "Random Forest": RandomForestRegressor(numTrees=100, maxDepth=FOREST_DEPTH, seed=SEED, **common),
+        "Random Forest": _forest_regressor(100),
         "Gradient Boosting": GBTRegressor(maxIter=100, maxDepth=3, stepSize=0.1, seed=SEED, **common),
     }
 
@@ -103,7 +126,7 @@ def regression(t: SalesTables) -> DataFrame:
 def feature_importance(t: SalesTables) -> DataFrame:
     """Weights of the forest's features, largest first."""
     lines = line_features(t).where(random_split("sales_item_id") == "train")
-    frame = checkpointed(_vector(lines, LINE_FEATURES).select("net_amount", "features"))
+    frame = _vector(_training_frame(lines, "sales_item_id"), LINE_FEATURES)
     weights = _regressors()["Random Forest"].fit(frame).featureImportances.toArray()
     return frame.sparkSession.createDataFrame(
         [(name, float(w)) for name, w in zip(LINE_FEATURES, weights)], "feature string, importance double"
@@ -111,11 +134,8 @@ def feature_importance(t: SalesTables) -> DataFrame:
 
 
 def classification_frame(t: SalesTables) -> DataFrame:
-    customers = checkpointed(with_stratified_split(checkpointed(customer_features(t)), "segment_encoded", "customer_id"))
-    standard = scaled(customers, CUSTOMER_FEATURES, fit_on=customers.where("split = 'train'"))
-    with_scaled = _vector(standard, CUSTOMER_FEATURES, "scaled").select("customer_id", "scaled")
-    raw = _vector(customers, CUSTOMER_FEATURES).select("customer_id", "split", "segment_encoded", "features")
-    return checkpointed(raw.join(with_scaled, "customer_id"))
+    customers = with_stratified_split(checkpointed(customer_features(t)), "segment_encoded", "customer_id")
+    return _with_vectors(_training_frame(customers, "customer_id"), CUSTOMER_FEATURES)
 
 
 def _classifiers(train_rows: int) -> dict[str, object]:
@@ -126,7 +146,9 @@ def _classifiers(train_rows: int) -> dict[str, object]:
             featuresCol="scaled", family="multinomial", maxIter=1000, regParam=1.0 / train_rows, **common
         ),
         "Decision Tree": DecisionTreeClassifier(maxDepth=5, seed=SEED, **common),
-        "Random Forest": RandomForestClassifier(numTrees=100, maxDepth=FOREST_DEPTH, seed=SEED, **common),
+        "Random Forest": RandomForestClassifier(
+            numTrees=100, maxDepth=FOREST_DEPTH, maxMemoryInMB=FOREST_MEMORY_MB, seed=SEED, **common
+        ),
     }
 
 
@@ -252,11 +274,13 @@ def pca_variance(points: DataFrame) -> DataFrame:
 def cross_validation(t: SalesTables, folds: int = 5) -> DataFrame:
     """R2 of a forest on contiguous blocks of lines, with mean and population deviation."""
     lines = with_ntiles(line_features(t), folds, {"fold": ["sales_item_id"]})
-    frame = checkpointed(_vector(lines, LINE_FEATURES).select("fold", "net_amount", "features"))
+    frame = _vector(_training_frame(lines, "sales_item_id"), LINE_FEATURES)
+    forest = _forest_regressor(50)
+    numbers = list(range(1, folds + 1))
+    models = _together([lambda n=n: forest.fit(frame.where(F.col("fold") != n)) for n in numbers])
     scores = []
-    for fold in range(1, folds + 1):
-        forest = RandomForestRegressor(labelCol="net_amount", numTrees=50, maxDepth=FOREST_DEPTH, seed=SEED)
-        judged = forest.fit(frame.where(F.col("fold") != fold)).transform(frame.where(F.col("fold") == fold))
+    for fold, model in zip(numbers, models):
+        judged = model.transform(frame.where(F.col("fold") == fold))
         r2 = evaluation.regression_metrics(judged, "net_amount", {"Random Forest": "prediction"}).where("metric = 'R2'")
         scores.append(r2.select(F.lit(f"R2_fold_{fold}").alias("metric"), "value"))
     per_fold = checkpointed(evaluation.union_metrics(*scores))

@@ -19,6 +19,8 @@ def build_session(app: str = "tillworks", master: str | None = None, partitions:
     )
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     return builder.getOrCreate()
