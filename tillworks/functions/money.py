@@ -1,7 +1,9 @@
-"""Amounts are DECIMAL from the scan to the last aggregate, so sums do not depend on row order.
+"""Amounts are exact: whole cents (BIGINT) inside aggregates, DECIMAL in tables, never binary fractions.
 
-Ratios divide decimals (twelve fractional digits) and round half up at the end; only the last
-projection turns amounts into doubles.
+Sums of cents stay primitive longs in generated code, where sums of DECIMAL(12,2) would allocate an object
+per row, and they do not depend on row order. A total beyond 9.2e16 currency units raises an error (ANSI
+mode) rather than wrapping. Ratios divide decimals (twelve fractional digits) and round half up at the
+end; only the last projection turns amounts into doubles.
 """
 
 from __future__ import annotations
@@ -32,8 +34,28 @@ def net_in_one_step(quantity: Column, unit_price: Column, discount_pct: Column)
     return F.round(exact * F.lit(0.01).cast("decimal(3,2)"), 2).cast(AMOUNT)
 
 
-def count_as_decimal(count: Column) -> Column:
-    return count.cast("decimal(20,0)")
+def cents(amount: Column) -> Column:
+    """Whole cents of an amount with two decimals."""
+    return (amount * F.lit(100).cast("decimal(3,0)")).cast("long")
+
+
+def cents_of_double(value: Column) -> Column:
+    """Whole cents of a double that stands for two decimals (it is within rounding error of them)."""
+    return F.floor(value * 100 + 0.5)
+
+
+def discount_in_cents(gross_cents: Column, discount_pct: Column) -> Column:
+    """Discount on a gross amount that is not negative, rounded half up."""
+    return F.floor((gross_cents * discount_pct + 50) / 100)
+
+
+def amount(in_cents: Column) -> Column:
+    """The amount with two decimals for a number of cents."""
+    return in_cents.cast("decimal(20,0)") * F.lit(0.01).cast("decimal(3,2)")
+
+
+def mean_amount(in_cents: Column, count: Column) -> Column:
+    return amount(F.round(divided(in_cents, count), 0))
 
 
 def divided(numerator: Column, denominator: Column) -> Column:
@@ -46,10 +68,6 @@ def divided(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("decimal(26,2)") / whole
 
 
-def rounded(amount: Column, digits: int = 2) -> Column:
-    return F.round(amount, digits)
-
-
 def percent(numerator: Column, denominator: Column, digits: int = 2) -> Column:
     return F.round(divided(numerator * F.lit(100).cast("decimal(3,0)"), denominator), digits)
 

@@ -90,18 +90,19 @@ def with_ntiles(df: DataFrame, tiles: int, scores: dict[str, list[Column | str]]
 
 
 def with_running_total(df: DataFrame, value: str, order: list[Column | str], name: str) -> DataFrame:
-    """Running total of a DECIMAL column, from the first row of the ordering to the current one."""
+    """Running total of an exact (DECIMAL or whole-number) column, up to and with the current row."""
     base = checkpointed(df)
     upto_here = Window.orderBy(*_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
     if base.count() <= SINGLE_TASK_ROWS:
         return base.withColumn(name, F.sum(value).over(upto_here))
+    total_type = base.select(F.sum(value)).schema[0].dataType
     sliced = _sliced(base, _columns(order))
     offsets = F.broadcast(_before(sliced.groupBy("_slice").agg(F.sum(value).alias("_sum")), "_sum"))
     in_slice = Window.partitionBy("_slice").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     return (
         sliced.withColumn("_inside", F.sum(value).over(in_slice))
         .join(offsets, "_slice")
-        .select(*df.columns, (F.col("_inside") + F.col("_before_sum")).alias(name))
+        .select(*df.columns, (F.col("_inside") + F.col("_before_sum")).cast(total_type).alias(name))
     )
 
 

@@ -70,9 +70,9 @@ def _daily(t: SalesTables, days: Column) -> DataFrame:
         _lines_where(t, days)
         .groupBy("transaction_date")
         .agg(
-            F.sum("net_amount").alias("net"),
-            F.sum("discount_amount").alias("discount"),
-            F.sum("gross_amount").alias("gross"),
+            F.sum("net_cents").alias("net_cents"),
+            F.sum("discount_cents").alias("discount_cents"),
+            F.sum("gross_cents").alias("gross_cents"),
         )
     )
 
@@ -81,20 +81,20 @@ def campaign_uplift(t: SalesTables, w: CampaignWindows) -> DataFrame:
     """Event day against the baseline total divided by a fixed number of days; one scan for both."""
     in_base, on_event = _within(w.baseline), F.col("transaction_date") == F.lit(w.event_day)
     sums = _daily(t, in_base | on_event).agg(
-        money.rounded(F.sum(F.when(in_base, F.col("net")))).alias("baseline_revenue"),
-        money.rounded(F.sum(F.when(on_event, F.col("net")))).alias("bf_revenue"),
+        F.sum(F.when(in_base, F.col("net_cents"))).alias("base"),
+        F.sum(F.when(on_event, F.col("net_cents"))).alias("event"),
     )
-    per_day = money.rounded(money.divided(F.col("baseline_revenue"), F.lit(w.baseline_days).cast("decimal(10,0)")))
-    return sums.withColumn("baseline_daily", per_day.cast("decimal(38,2)")).select(
-        "baseline_revenue",
-        "baseline_daily",
-        "bf_revenue",
-        money.percent_change(F.col("bf_revenue"), F.col("baseline_daily")).alias("uplift_pct"),
+    per_day = F.round(money.divided(F.col("base"), F.lit(w.baseline_days)), 0)
+    return sums.withColumn("daily", per_day).select(
+        money.amount(F.col("base")).alias("baseline_revenue"),
+        money.amount(F.col("daily")).alias("baseline_daily"),
+        money.amount(F.col("event")).alias("bf_revenue"),
+        money.percent_change(F.col("event"), F.col("daily")).alias("uplift_pct"),
     )
 
 
 def _ratio_mean(window: Column) -> Column:
-    ratio = F.try_divide(F.col("discount").cast("double"), F.col("gross").cast("double"))
+    ratio = F.try_divide(F.col("discount_cents").cast("double"), F.col("gross_cents").cast("double"))
     return F.avg(F.when(window, ratio))
 
 
@@ -118,7 +118,7 @@ def _payment_mix(t: SalesTables, windows: dict[str, tuple[date, date | None]]) -
         headers.join(sold, "transaction_id").groupBy("period", "payment_method").agg(F.count("*").alias("tx_count"))
     )
     total = F.sum("tx_count").over(Window.partitionBy("period"))
-    share = money.percent(money.count_as_decimal(F.col("tx_count")), money.count_as_decimal(total))
+    share = money.percent(F.col("tx_count"), total)
     return mix.select("period", "payment_method", "tx_count", share.alias("share_pct")).orderBy(
         "period", F.desc("share_pct"), "payment_method"
     )
@@ -134,9 +134,8 @@ def payment_mix_closed(t: SalesTables, w: CampaignWindows) -> DataFrame:
 
 def category_mix_wide(t: SalesTables, w: CampaignWindows) -> DataFrame:
     """Every category that was ever sold, with its event-day and baseline revenue side by side."""
-    nothing = F.lit(0).cast(money.AMOUNT)
-    on_event = F.when(F.col("transaction_date") == F.lit(w.event_day), F.col("net_amount")).otherwise(nothing)
-    in_base = F.when(_within(w.baseline), F.col("net_amount")).otherwise(nothing)
+    on_event = F.when(F.col("transaction_date") == F.lit(w.event_day), F.col("net_cents")).otherwise(0)
+    in_base = F.when(_within(w.baseline), F.col("net_cents")).otherwise(0)
     by_product = (
         t.lines.join(t.headers.select("transaction_id", "transaction_date"), "transaction_id")
         .groupBy("product_id")
@@ -145,7 +144,7 @@ def category_mix_wide(t: SalesTables, w: CampaignWindows) -> DataFrame:
     return (
         by_product.join(t.products.select("product_id", "category"), "product_id")
         .groupBy("category")
-        .agg(money.rounded(F.sum("bf")).alias("bf_revenue"), money.rounded(F.sum("base")).alias("baseline_revenue"))
+        .agg(money.amount(F.sum("bf")).alias("bf_revenue"), money.amount(F.sum("base")).alias("baseline_revenue"))
         .orderBy(F.desc("bf_revenue"), "category")
     )
 
@@ -156,12 +155,12 @@ def category_mix_long(t: SalesTables, w: CampaignWindows) -> DataFrame:
         "transaction_id", labels.period(F.col("transaction_date"), windows).alias("period")
     ).where(F.col("period").isin(*windows))
     by_product = (
-        t.lines.join(headers, "transaction_id").groupBy("product_id", "period").agg(F.sum("net_amount").alias("net"))
+        t.lines.join(headers, "transaction_id").groupBy("product_id", "period").agg(F.sum("net_cents").alias("net_cents"))
     )
     return (
         by_product.join(t.products.select("product_id", "category"), "product_id")
         .groupBy("category", "period")
-        .agg(money.rounded(F.sum("net")).alias("revenue"))
+        .agg(money.amount(F.sum("net_cents")).alias("revenue"))
         .orderBy("category", "period")
     )
 
@@ -172,7 +171,7 @@ def _mobile_counts(t: SalesTables, w: CampaignWindows) -> DataFrame:
     mobile = F.lower("payment_method") == w.mobile_method
 
     def count(condition: Column) -> Column:
-        return money.count_as_decimal(F.sum(F.when(condition, 1).otherwise(0)))
+        return F.count(F.when(condition, 1))
 
     return t.headers.where(base | campaign).agg(
         count(base & mobile).alias("base_mobile"),
@@ -187,8 +186,7 @@ def campaign_kpis(t: SalesTables, w: CampaignWindows) -> DataFrame:
     base, campaign = _within(w.baseline), _within(w.campaign)
 
     def daily_mean(window: Column) -> Column:
-        net = F.sum(F.when(window, F.col("net")))
-        return money.divided(net, money.count_as_decimal(F.count(F.when(window, F.col("net")))))
+        return money.divided(F.sum(F.when(window, F.col("net_cents"))), F.count(F.when(window, F.lit(1))))
 
     stats = _daily(t, base | campaign).agg(
         daily_mean(base).alias("base_mean"),
@@ -202,8 +200,8 @@ def campaign_kpis(t: SalesTables, w: CampaignWindows) -> DataFrame:
     both = stats.withColumn("counts", counts.scalar())
     uplift = F.try_divide(F.col("campaign_mean").cast("double"), F.col("base_mean").cast("double"))
     return both.select(
-        money.rounded(F.col("base_mean")).alias("baseline_daily_avg"),
-        money.rounded(F.col("campaign_mean")).alias("campaign_daily_avg"),
+        money.amount(F.round("base_mean", 0)).alias("baseline_daily_avg"),
+        money.amount(F.round("campaign_mean", 0)).alias("campaign_daily_avg"),
         F.round((uplift - 1) * 100, 2).alias("campaign_uplift_pct"),
         F.round(F.col("base_ratio") * 100, 2).alias("baseline_discount_ratio_pct"),
         F.round(F.col("campaign_ratio") * 100, 2).alias("campaign_discount_ratio_pct"),

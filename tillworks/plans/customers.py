@@ -27,7 +27,7 @@ def _rfm_scores(t: SalesTables, as_of: date | None, recency_high_is_recent: bool
         .agg(
             F.max("transaction_date").alias("last_purchase"),
             F.count("*").alias("frequency"),
-            F.sum("net").alias("monetary"),
+            F.sum("net_cents").alias("monetary"),
         )
         .select(
             "customer_id",
@@ -55,7 +55,7 @@ def rfm_scores(t: SalesTables, as_of: date | None = None, recency_high_is_recent
         "customer_id",
         "recency_days",
         "frequency",
-        money.rounded(F.col("monetary")).alias("monetary"),
+        money.amount(F.col("monetary")).alias("monetary"),
         "r_score",
         "f_score",
         "m_score",
@@ -87,11 +87,11 @@ def customer_label(t: SalesTables, scores: DataFrame) -> DataFrame:
 
 
 def customer_ltv(t: SalesTables) -> DataFrame:
-    sums = models.totals_with_headers(t).groupBy("customer_id").agg(F.sum("net").alias("net"))
+    sums = models.totals_with_headers(t).groupBy("customer_id").agg(F.sum("net_cents").alias("net_cents"))
     return (
         t.customers.select("customer_id")
         .join(sums, "customer_id", "left")
-        .select("customer_id", F.coalesce("net", F.lit(0).cast("decimal(1,0)")).alias("lifetime_value"))
+        .select("customer_id", money.amount(F.coalesce("net_cents", F.lit(0))).alias("lifetime_value"))
     )
 
 
@@ -103,17 +103,17 @@ def customer_clv(t: SalesTables, months: int = 12) -> DataFrame:
     monthly = (
         models.totals_with_headers(t)
         .groupBy("customer_id", calendar.month_index(F.col("transaction_date")).alias("month"))
-        .agg(F.sum("net").alias("net"))
+        .agg(F.sum("net_cents").alias("net_cents"))
     )
-    sums = monthly.groupBy("customer_id").agg(F.sum("net").alias("net"), F.count("*").alias("active_months"))
-    projected = money.divided(F.col("net") * months, money.count_as_decimal(F.col("active_months")))
+    sums = monthly.groupBy("customer_id").agg(F.sum("net_cents").alias("net_cents"), F.count("*").alias("active_months"))
+    projected = money.mean_amount(F.col("net_cents") * months, F.col("active_months"))
     return (
         t.customers.select("customer_id")
         .join(sums, "customer_id", "left")
         .select(
             "customer_id",
             F.coalesce("active_months", F.lit(0)).alias("active_months"),
-            money.rounded(F.coalesce(projected, F.lit(0).cast("decimal(1,0)"))).alias("clv"),
+            F.coalesce(projected, F.lit(0).cast("decimal(1,0)")).alias("clv"),
         )
     )
 
@@ -145,15 +145,15 @@ def abc_classes(t: SalesTables, a: float = 0.80, b: float = 0.95) -> DataFrame:
     revenue = (
         t.lines.join(t.headers.select("transaction_id"), "transaction_id")
         .groupBy("product_id")
-        .agg(money.rounded(F.sum("net_amount")).alias("revenue"))
+        .agg(F.sum("net_cents").alias("net_cents"))
     )
-    running = with_running_total(revenue, "revenue", [F.desc("revenue"), "product_id"], "upto")
-    total = running.agg(F.sum("revenue")).scalar()
+    running = with_running_total(revenue, "net_cents", [F.desc("net_cents"), "product_id"], "upto")
+    total = running.agg(F.sum("net_cents")).scalar()
     share = money.divided(F.col("upto"), total)
     return running.select(
         "product_id",
-        "revenue",
-        money.percent(F.col("revenue"), total).alias("pct_of_total"),
+        money.amount(F.col("net_cents")).alias("revenue"),
+        money.percent(F.col("net_cents"), total).alias("pct_of_total"),
         money.percent(F.col("upto"), total).alias("cumulative_pct"),
         labels.abc_class(share, a, b).alias("abc_class"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.functions import calendar
+from tillworks.functions import calendar, money
 from tillworks.operators.preparation import with_label_codes
 from tillworks.plans import models
 from tillworks.session import checkpointed
@@ -55,14 +55,14 @@ def line_features(t: SalesTables) -> DataFrame:
     )
 
 
-_SUMS = ["net", "line_count", "units", "pct_points", "tickets"]
+_SUMS = ["net_cents", "line_count", "units", "pct_points", "tickets"]
 
 
 def _value_columns() -> list:
-    lines = F.col("line_count")
+    lines, spent = F.col("line_count"), money.amount(F.col("net_cents")).cast("double")
     return [
-        F.col("net").cast("double").alias("total_spent"),
-        (F.col("net").cast("double") / lines).alias("avg_basket"),
+        spent.alias("total_spent"),
+        (spent / lines).alias("avg_basket"),
         F.col("tickets").alias("num_transactions"),
         (F.col("units") / lines).alias("avg_quantity"),
         (F.col("pct_points") / lines).alias("avg_discount"),

@@ -48,25 +48,19 @@ def fct_sales(sales_items: DataFrame, transactions: DataFrame) -> DataFrame:
     return joined.select(*FACT_COLUMNS)
 
 
-def fact_lines(t: SalesTables, *, with_store: bool = False) -> DataFrame:
-    """The fact without line ids, and without the store unless asked for."""
-    transactions = t.transactions if with_store else t.headers
-    return t.lines.join(transactions.withColumn("payment_method", F.lower("payment_method")), "transaction_id")
-
-
 def transaction_totals(lines: DataFrame) -> DataFrame:
-    """Measures per transaction.
+    """Measures per transaction, amounts in cents.
 
     Partial sums run before the shuffle, so a transaction with very many lines reaches its task as one row
     per map task; the join to the headers then reuses this partitioning, and COUNT(DISTINCT
     transaction_id) becomes a plain count because a transaction id is a key on both sides.
     """
     return lines.groupBy("transaction_id").agg(
-        F.sum("net_amount").alias("net"),
-        F.sum("gross_amount").alias("gross"),
-        F.sum("discount_amount").alias("discount"),
-        F.sum(F.when(F.col("discount_pct") > 0, F.col("net_amount"))).alias("discounted_net"),
-        F.sum(F.col("quantity").cast("decimal(10,0)") * F.col("unit_price")).alias("list_value"),
+        F.sum("net_cents").alias("net_cents"),
+        F.sum("gross_cents").alias("gross_cents"),
+        F.sum("discount_cents").alias("discount_cents"),
+        F.sum(F.when(F.col("discount_pct") > 0, F.col("net_cents"))).alias("discounted_net_cents"),
+        F.sum(F.col("quantity") * F.col("unit_cents")).alias("list_cents"),
         F.sum("quantity").alias("units"),
         F.sum("discount_pct").alias("pct_points"),
         F.count("*").alias("line_count"),

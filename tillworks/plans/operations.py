@@ -45,7 +45,7 @@ def load_month(t: SalesTables, in_time: DataFrame, year: int, month: int) -> Dat
 
 def quarter_revenue(t: SalesTables, year: int, quarter: int) -> DataFrame:
     """Writes the fact by quarter and reads one quarter back; the filter selects folders, not rows."""
-    stored = write_by_quarter(models.fact_lines(t, with_store=True), scratch_table(t.lines.sparkSession, "fact"))
+    stored = write_by_quarter(models.fct_sales(t.sales_items, t.transactions), scratch_table(t.lines.sparkSession, "fact"))
     return (
         stored.where((F.col("year") == year) & (F.col("quarter") == quarter))
         .groupBy("year", "quarter", "store_id")

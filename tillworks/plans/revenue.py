@@ -13,41 +13,52 @@ from tillworks.sources.tables import SalesTables
 
 def monthly_store_revenue(t: SalesTables) -> DataFrame:
     month = calendar.year_month(F.col("transaction_date")).alias("year_month")
-    per_store = models.totals_with_stores(t).groupBy(month, "store_id").agg(F.sum("net").alias("net"))
+    per_store = models.totals_with_stores(t).groupBy(month, "store_id").agg(F.sum("net_cents").alias("net_cents"))
     named = per_store.join(t.stores.select("store_id", "store_name"), "store_id")
     return (
         named.groupBy("year_month", "store_name")
-        .agg(money.rounded(F.sum("net")).alias("revenue"))
+        .agg(money.amount(F.sum("net_cents")).alias("revenue"))
         .orderBy("year_month", F.desc("revenue"), "store_name")
     )
 
 
 def _by_product(t: SalesTables) -> DataFrame:
     """Sums per product name and category, added up by product id before the names are joined."""
-    sums = t.lines.groupBy("product_id").agg(F.sum("net_amount").alias("net"), F.sum("quantity").alias("units"))
+    sums = t.lines.groupBy("product_id").agg(
+        F.sum("net_cents").alias("net_cents"), F.sum("quantity").alias("units")
+    )
     named = sums.join(t.products.select("product_id", "product_name", "category"), "product_id")
-    return named.groupBy("product_name", "category").agg(F.sum("net").alias("net"), F.sum("units").alias("units"))
+    return named.groupBy("product_name", "category").agg(
+        F.sum("net_cents").alias("net_cents"), F.sum("units").alias("units")
+    )
 
 
 def top_products(t: SalesTables, limit: int = 10) -> DataFrame:
     return (
         _by_product(t)
-        .select("product_name", "category", money.rounded(F.col("net")).alias("revenue"), F.col("units").alias("units_sold"))
-        .orderBy(F.desc("revenue"), "product_name")
+        .orderBy(F.desc("net_cents"), "product_name")
         .limit(limit)
+        .select(
+            "product_name",
+            "category",
+            money.amount(F.col("net_cents")).alias("revenue"),
+            F.col("units").alias("units_sold"),
+        )
     )
 
 
 def avg_ticket_by_segment(t: SalesTables) -> DataFrame:
     per_customer = (
-        models.totals_with_headers(t).groupBy("customer_id").agg(F.sum("net").alias("net"), F.count("*").alias("tickets"))
+        models.totals_with_headers(t)
+        .groupBy("customer_id")
+        .agg(F.sum("net_cents").alias("net_cents"), F.count("*").alias("tickets"))
     )
     by_segment = (
         per_customer.join(t.customers.select("customer_id", "segment"), "customer_id")
         .groupBy("segment")
-        .agg(F.sum("net").alias("net"), F.sum("tickets").alias("tickets"))
+        .agg(F.sum("net_cents").alias("net_cents"), F.sum("tickets").alias("tickets"))
     )
-    ticket = money.rounded(money.divided(F.col("net"), money.count_as_decimal(F.col("tickets"))))
+    ticket = money.mean_amount(F.col("net_cents"), F.col("tickets"))
     return by_segment.select("segment", ticket.alias("avg_ticket")).orderBy(F.desc("avg_ticket"), "segment")
 
 
@@ -56,7 +67,7 @@ def monthly_revenue(t: SalesTables) -> DataFrame:
     return (
         models.totals_with_headers(t)
         .groupBy(month)
-        .agg(money.rounded(F.sum("net")).alias("revenue"))
+        .agg(money.amount(F.sum("net_cents")).alias("revenue"))
         .orderBy("month_date")
     )
 
@@ -70,7 +81,7 @@ def monthly_revenue_mom(t: SalesTables) -> DataFrame:
         .select(
             "month_date",
             "revenue",
-            money.rounded(F.col("revenue") - F.col("before")).alias("delta_prev_month"),
+            (F.col("revenue") - F.col("before")).alias("delta_prev_month"),
             money.percent_change(F.col("revenue"), F.col("before")).alias("pct_change"),
         )
         .orderBy("month_date")
@@ -80,27 +91,27 @@ def monthly_revenue_mom(t: SalesTables) -> DataFrame:
 def product_rank_in_category(t: SalesTables, keep: int = 5) -> DataFrame:
     """Ranks inside each category; the filter on the rank trims every map task before the shuffle."""
     ranked = _by_product(t).withColumn(
-        "category_rank", F.rank().over(Window.partitionBy("category").orderBy(F.desc("net")))
+        "category_rank", F.rank().over(Window.partitionBy("category").orderBy(F.desc("net_cents")))
     )
     return (
         ranked.where(F.col("category_rank") <= keep)
-        .select("category", "product_name", money.rounded(F.col("net")).alias("revenue"), "category_rank")
+        .select("category", "product_name", money.amount(F.col("net_cents")).alias("revenue"), "category_rank")
         .orderBy("category", "category_rank", "product_name")
     )
 
 
 def headline_kpis(t: SalesTables) -> DataFrame:
-    net, lines = F.sum("net"), F.sum("line_count")
+    net, lines = F.sum("net_cents"), F.sum("line_count")
     return models.totals_with_headers(t).agg(
         F.count("*").alias("total_transactions"),
-        money.rounded(net).alias("total_revenue"),
-        money.rounded(money.divided(net, money.count_as_decimal(lines))).alias("avg_line_amount"),
+        money.amount(net).alias("total_revenue"),
+        money.mean_amount(net, lines).alias("avg_line_amount"),
     )
 
 
 def category_revenue(t: SalesTables) -> DataFrame:
     sums = _by_product(t).groupBy("category").agg(
-        money.rounded(F.sum("net")).alias("revenue"), F.sum("units").alias("units_sold")
+        money.amount(F.sum("net_cents")).alias("revenue"), F.sum("units").alias("units_sold")
     )
     return sums.orderBy(F.desc("revenue"), "category")
 
@@ -110,9 +121,9 @@ def daily_revenue(t: SalesTables) -> DataFrame:
         models.totals_with_headers(t)
         .groupBy("transaction_date")
         .agg(
-            money.rounded(F.sum("net")).alias("revenue"),
-            money.rounded(F.sum("discount")).alias("discount_amount"),
-            money.percent(F.sum("discount"), F.sum("gross")).alias("discount_ratio_pct"),
+            money.amount(F.sum("net_cents")).alias("revenue"),
+            money.amount(F.sum("discount_cents")).alias("discount_amount"),
+            money.percent(F.sum("discount_cents"), F.sum("gross_cents")).alias("discount_ratio_pct"),
         )
         .orderBy("transaction_date")
     )
@@ -126,21 +137,21 @@ def ytd_and_mom(t: SalesTables) -> DataFrame:
         .groupBy(
             F.year(day).alias("year_num"), F.month(day).alias("month_num"), F.date_format(day, "MMMM").alias("month_name")
         )
-        .agg(F.sum("net").alias("net"))
+        .agg(F.sum("net_cents").alias("net_cents"))
     )
     in_year = Window.partitionBy("year_num").orderBy("month_num")
     upto = in_year.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        monthly.withColumn("ytd", F.sum("net").over(upto))
-        .withColumn("before", F.lag("net", 1).over(in_year))
+        monthly.withColumn("ytd", F.sum("net_cents").over(upto))
+        .withColumn("before", F.lag("net_cents", 1).over(in_year))
         .select(
             "year_num",
             "month_num",
             "month_name",
-            money.rounded(F.col("net")).alias("monthly_revenue"),
-            money.rounded(F.col("ytd")).alias("ytd_revenue"),
-            money.rounded(F.col("before")).alias("prev_month_revenue"),
-            money.percent_change(F.col("net"), F.col("before")).alias("mom_growth_pct"),
+            money.amount(F.col("net_cents")).alias("monthly_revenue"),
+            money.amount(F.col("ytd")).alias("ytd_revenue"),
+            money.amount(F.col("before")).alias("prev_month_revenue"),
+            money.percent_change(F.col("net_cents"), F.col("before")).alias("mom_growth_pct"),
         )
         .orderBy("year_num", "month_num")
     )
@@ -152,22 +163,21 @@ def store_matrix(t: SalesTables) -> DataFrame:
         models.totals_with_stores(t)
         .groupBy("store_id")
         .agg(
-            F.sum("net").alias("net"),
+            F.sum("net_cents").alias("net_cents"),
             F.count("*").alias("total_transactions"),
             F.sum("line_count").alias("line_count"),
-            F.sum("discounted_net").alias("discounted_net"),
+            F.sum("discounted_net_cents").alias("discounted_net_cents"),
         )
     )
     ranked = with_ranks(
-        stores, {"revenue_rank": ("rank", "net"), "volume_rank": ("dense_rank", "total_transactions")}
+        stores, {"revenue_rank": ("rank", "net_cents"), "volume_rank": ("dense_rank", "total_transactions")}
     )
-    ticket = money.divided(F.col("net"), money.count_as_decimal(F.col("line_count")))
     return ranked.select(
         "store_id",
-        money.rounded(F.col("net")).alias("total_revenue"),
+        money.amount(F.col("net_cents")).alias("total_revenue"),
         "total_transactions",
-        money.rounded(ticket).alias("avg_ticket"),
-        money.percent(F.col("discounted_net"), F.col("net")).alias("discounted_revenue_pct"),
+        money.mean_amount(F.col("net_cents"), F.col("line_count")).alias("avg_ticket"),
+        money.percent(F.col("discounted_net_cents"), F.col("net_cents")).alias("discounted_revenue_pct"),
         "revenue_rank",
         "volume_rank",
     ).orderBy("revenue_rank", "store_id")
@@ -180,7 +190,7 @@ def monthly_store_summary(t: SalesTables) -> DataFrame:
         models.totals_with_stores(t)
         .groupBy(F.year(day).alias("year_num"), F.month(day).alias("month_num"), "store_id")
         .agg(
-            money.rounded(F.sum("net")).alias("revenue"),
+            money.amount(F.sum("net_cents")).alias("revenue"),
             F.count("*").alias("transactions"),
             F.countDistinct("customer_id").alias("unique_customers"),
         )
@@ -189,11 +199,11 @@ def monthly_store_summary(t: SalesTables) -> DataFrame:
 
 def store_revenue(t: SalesTables) -> DataFrame:
     """Revenue of every store, 0 where it sold nothing."""
-    sums = models.totals_with_stores(t).groupBy("store_id").agg(F.sum("net").alias("net"))
+    sums = models.totals_with_stores(t).groupBy("store_id").agg(F.sum("net_cents").alias("net_cents"))
     return (
         t.stores.select("store_id")
         .join(sums, "store_id", "left")
-        .select("store_id", F.coalesce("net", F.lit(0).cast("decimal(1,0)")).alias("revenue"))
+        .select("store_id", money.amount(F.coalesce("net_cents", F.lit(0))).alias("revenue"))
     )
 
 
@@ -203,14 +213,17 @@ def units_by_product(t: SalesTables) -> DataFrame:
 
 
 def gross_revenue_by_store(t: SalesTables) -> DataFrame:
-    sums = models.totals_with_stores(t).groupBy("store_id").agg(F.sum("list_value").alias("total_revenue"))
+    sums = models.totals_with_stores(t).groupBy("store_id").agg(
+        money.amount(F.sum("list_cents")).alias("total_revenue")
+    )
     return sums.orderBy(F.desc("total_revenue"), "store_id")
 
 
 def top_customers_per_store(t: SalesTables, keep: int = 2) -> DataFrame:
-    spent = models.totals_with_stores(t).groupBy("store_id", "customer_id").agg(F.sum("list_value").alias("total_spent"))
-    place = F.row_number().over(Window.partitionBy("store_id").orderBy(F.desc("total_spent"), "customer_id"))
-    return spent.withColumn("rn", place).where(F.col("rn") <= keep)
+    spent = models.totals_with_stores(t).groupBy("store_id", "customer_id").agg(F.sum("list_cents").alias("spent"))
+    place = F.row_number().over(Window.partitionBy("store_id").orderBy(F.desc("spent"), "customer_id"))
+    best = spent.withColumn("rn", place).where(F.col("rn") <= keep)
+    return best.select("store_id", "customer_id", money.amount(F.col("spent")).alias("total_spent"), "rn")
 
 
 def daily_store_running_total(t: SalesTables) -> DataFrame:
@@ -218,10 +231,15 @@ def daily_store_running_total(t: SalesTables) -> DataFrame:
     daily = (
         models.totals_with_stores(t)
         .groupBy("store_id", "transaction_date")
-        .agg(F.sum("list_value").alias("daily_revenue"))
+        .agg(F.sum("list_cents").alias("list_cents"))
+    )
+    upto_day = F.sum("list_cents").over(Window.partitionBy("store_id").orderBy("transaction_date"))
+    return daily.select(
+        "store_id",
+        "transaction_date",
+        money.amount(F.col("list_cents")).alias("daily_revenue"),
+        money.amount(upto_day).alias("cumulative_revenue"),
     )
-    upto_day = Window.partitionBy("store_id").orderBy("transaction_date")
-    return daily.withColumn("cumulative_revenue", F.sum("daily_revenue").over(upto_day))
 
 
 def table_counts(t: SalesTables) -> DataFrame:

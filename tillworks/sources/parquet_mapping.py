@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillworks.functions import money
 from tillworks.operators.ordering import hot_keys, number_within
-from tillworks.sources.tables import SalesTables
+from tillworks.sources.tables import SalesTables, with_amounts
 
 IDS_PER_ORDER = 10_000_000
 
@@ -75,30 +75,21 @@ def _transactions(headers: DataFrame, customer: DataFrame) -> DataFrame:
 
 def _line_columns(lineitem: DataFrame, *extra: str) -> DataFrame:
     """Line columns; every expression stays on one row, so no shuffle is needed."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     quantity = F.col("l_quantity").cast("int")
     typed = lineitem.select(
         *extra,
         F.col("l_orderkey").alias("transaction_id"),
         F.col("l_partkey").alias("product_id"),
         quantity.alias("quantity"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
-        F.col("l_extendedprice").cast(money.AMOUNT).alias("gross_amount"),
-        cents.alias("gross_cents"),
+        F.floor(F.col("l_discount") * 100 + 0.5).cast("int").alias("discount_pct"),
+        money.cents_of_double(F.col("l_extendedprice")).alias("gross_cents"),
     )
-    unit_cents = F.floor((2 * F.col("gross_cents") + F.col("quantity")) / (2 * F.col("quantity")))
-    discount = money.discount_amount(F.col("gross_amount"), F.col("discount_pct"))
-    return typed.select(
-        *extra,
-        "transaction_id",
-        "product_id",
-        "quantity",
-        (unit_cents.cast("decimal(12,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(money.AMOUNT).alias("unit_price"),
-        "discount_pct",
-        "gross_amount",
-        discount.alias("discount_amount"),
-        money.net_amount(F.col("gross_amount"), discount).alias("net_amount"),
+    priced = typed.select(
+        "*",
+        F.floor((2 * F.col("gross_cents") + F.col("quantity")) / (2 * F.col("quantity"))).alias("unit_cents"),
+        money.discount_in_cents(F.col("gross_cents"), F.col("discount_pct")).alias("discount_cents"),
     )
+    return with_amounts(priced.withColumn("net_cents", F.col("gross_cents") - F.col("discount_cents")))
 
 
 def _numbered_lines(lineitem: DataFrame, wanted: DataFrame | None) -> DataFrame:

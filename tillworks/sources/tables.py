@@ -7,12 +7,35 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tillworks.functions import money
+
+# Line amounts by the name of their column in whole cents.
+AMOUNTS = {
+    "unit_cents": "unit_price",
+    "gross_cents": "gross_amount",
+    "discount_cents": "discount_amount",
+    "net_cents": "net_amount",
+}
+
+
+def with_amounts(lines: DataFrame) -> DataFrame:
+    """Adds the DECIMAL columns to lines that come in cents."""
+    return lines.withColumns({a: money.amount(F.col(c)).cast(money.AMOUNT) for c, a in AMOUNTS.items()})
+
+
+def with_cents(lines: DataFrame) -> DataFrame:
+    """Adds the columns in cents to lines that come with DECIMAL amounts."""
+    return lines.withColumns({c: money.cents(F.col(a)) for c, a in AMOUNTS.items()})
 
 
 @dataclass(frozen=True, eq=False)
 class SalesTables:
     """``lines`` are the sales lines without their id, ``headers`` the transactions without their store.
 
+    Lines carry their amounts twice, as DECIMAL and in cents; a plan pays only for the columns it uses.
+
     A source that holds those columns passes the full tables; a source that has to derive them (see
     ``sources.parquet_mapping``) passes cheaper frames, and plans that do not need the id or the store
     do not pay for it.
@@ -40,12 +63,13 @@ class SalesTables:
 
     @staticmethod
     def of(frames: dict[str, DataFrame]) -> SalesTables:
+        lines = with_cents(frames["sales_items"])
         return SalesTables(
             customers=frames["customers"],
             products=frames["products"],
             stores=frames["stores"],
             transactions=frames["transactions"],
             headers=frames["transactions"],
-            lines=frames["sales_items"],
-            number_lines=lambda _wanted: frames["sales_items"],
+            lines=lines,
+            number_lines=lambda _wanted: lines,
         )
