@@ -263,7 +263,7 @@ def _payment_mix(second: str, window: str) -> str:
 UPLIFT = f""", sums AS (
   SELECT sum(CASE WHEN {BASE} THEN net_amount END) AS base, sum(CASE WHEN {EVENT} THEN net_amount END) AS bf
   FROM fct_sales),
-uplift AS (SELECT base, bf, {half_up(cents('base'), '20')} AS daily_cents FROM sums)
+uplift AS (SELECT base, bf, {half_up(cents('base'), str(W.baseline_days))} AS daily_cents FROM sums)
 """
 WIDE = f""", wide AS (
   SELECT p.category, sum(CASE WHEN {EVENT} THEN f.net_amount ELSE 0 END) AS bf,
@@ -316,8 +316,8 @@ CAMPAIGN = {
                round(100 * {_mean_ratio(CAMP)}, 2) FROM daily
         UNION ALL SELECT 'mobile_payment_share_up', 'up', b, c FROM shares
         UNION ALL SELECT 'category_mix_shift', '{"_and_".join(W.promoted)}_up',
-               {pct(f"sum(CASE WHEN category IN {PROMOTED} THEN base END)", "sum(base)")},
-               {pct(f"sum(CASE WHEN category IN {PROMOTED} THEN bf END)", "sum(bf)")} FROM wide)
+               {money_mean('sum(base)', str(W.baseline_days))}, {dbl('sum(bf)')} FROM wide
+               WHERE category IN {PROMOTED})
         SELECT signal, direction, baseline_value, campaign_value, coalesce(campaign_value > baseline_value, false) AS ok
         FROM signals""",
 }

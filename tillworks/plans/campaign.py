@@ -236,13 +236,13 @@ def campaign_signals(t: SalesTables, w: CampaignWindows) -> DataFrame:
     share = share.select(
         F.lit("mobile_payment_share_up").alias("signal"), F.lit("up").alias("direction"), "baseline_value", "campaign_value"
     )
-    promoted = F.col("category").isin(*w.promoted)
-
-    def promoted_share(column: str) -> Column:
-        return money.percent(F.sum(F.when(promoted, F.col(column))), F.sum(column)).cast("double")
-
-    shift = category_mix_wide(t, w).agg(
-        promoted_share("baseline_revenue").alias("baseline_value"), promoted_share("bf_revenue").alias("campaign_value")
+    # The mix report compares absolute revenue, and promotion lowers prices, so the promoted categories are
+    # held against their own daily baseline and not against the other categories.
+    promoted = category_mix_wide(t, w).where(F.col("category").isin(*w.promoted))
+    per_day = money.divided(F.sum("baseline_revenue"), F.lit(w.baseline_days))
+    shift = promoted.agg(
+        F.round(per_day, 2).cast("double").alias("baseline_value"),
+        F.sum("bf_revenue").cast("double").alias("campaign_value"),
     )
     shift = shift.select(
         F.lit("category_mix_shift").alias("signal"),

@@ -62,21 +62,21 @@ def avg_ticket_by_segment(t: SalesTables) -> DataFrame:
     return by_segment.select("segment", ticket.alias("avg_ticket")).orderBy(F.desc("avg_ticket"), "segment")
 
 
-def monthly_revenue(t: SalesTables) -> DataFrame:
+def _monthly(t: SalesTables) -> DataFrame:
     month = calendar.month_date(F.col("transaction_date")).alias("month_date")
-    return (
-        models.totals_with_headers(t)
-        .groupBy(month)
-        .agg(money.amount(F.sum("net_cents")).alias("revenue"))
-        .orderBy("month_date")
-    )
+    sums = models.totals_with_headers(t).groupBy(month).agg(F.sum("net_cents").alias("net_cents"))
+    return sums.select("month_date", money.amount(F.col("net_cents")).alias("revenue"))
+
+
+def monthly_revenue(t: SalesTables) -> DataFrame:
+    return _monthly(t).orderBy("month_date")
 
 
 def monthly_revenue_mom(t: SalesTables) -> DataFrame:
     """Change against the month before; the window runs over one row per month."""
     before = F.lag("revenue").over(Window.orderBy("month_date"))
     return (
-        monthly_revenue(t)
+        _monthly(t)
         .withColumn("before", before)
         .select(
             "month_date",
