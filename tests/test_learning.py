@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillworks.operators import evaluation, preparation
 from tillworks.plans import features, learning
 from tillworks.plans.generator import GeneratorConfig, base_tables
-from tillworks.session import checkpointed
+from tillworks.session import stored
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +17,7 @@ def sales(spark):
 
 @pytest.fixture(scope="module")
 def points(sales):
-    return checkpointed(learning.scaled_values(sales))
+    return stored(learning.scaled_values(sales))
 
 
 def matrix(df, columns):
@@ -71,7 +71,7 @@ def test_metrics_on_known_predictions(spark):
 
 
 def test_linear_model_equals_least_squares(sales):
-    frame = checkpointed(learning.regression_frame(sales).select("split", "net_amount", "scaled", "sales_item_id"))
+    frame = stored(learning.regression_frame(sales).select("split", "net_amount", "scaled", "sales_item_id"))
     model = learning._regressors()["Linear Regression"].fit(frame.where("split = 'train'"))
     train = frame.where("split = 'train'").collect()
     x = np.array([[1.0, *r.scaled.toArray()] for r in train])
@@ -111,7 +111,7 @@ def test_inertia_falls_with_more_clusters(sales):
 
 def test_silhouette_equals_all_pairs(points):
     """Squared Euclidean distance, own cluster without the point itself."""
-    labels = checkpointed(points.join(learning.kmeans_labels(points), "customer_id"))
+    labels = stored(points.join(learning.kmeans_labels(points), "customer_id"))
     x, k = matrix(labels, features.VALUE_FEATURES), matrix(labels, ["kmeans_cluster"])[:, 0]
     d = ((x[:, None] - x[None]) ** 2).sum(-1)
     scores = []

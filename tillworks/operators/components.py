@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.session import checkpointed
+from tillworks.session import stored
 
 
 def _smallest_neighbour(links: DataFrame) -> DataFrame:
@@ -35,14 +35,14 @@ def _fingerprint(edges: DataFrame) -> tuple:
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``nodes`` (u) with the smallest node of their component (root); ``edges`` are pairs (u, v).
 
-    Rounds grow with the logarithm of the longest path. Each is checkpointed, so lineage stays short and a
+    Rounds grow with the logarithm of the longest path. Each is stored, so lineage stays short and a
     lost executor costs at most one round.
     """
-    current, seen = checkpointed(edges.where("u <> v").distinct()), None
+    current, seen = stored(edges.where("u <> v").distinct()), None
     mark = _fingerprint(current)
     while mark != seen:
         seen = mark
-        current = checkpointed(_small_star(_large_star(current)).where("u <> v").distinct())
+        current = stored(_small_star(_large_star(current)).where("u <> v").distinct())
         mark = _fingerprint(current)
     roots = current.select("u", F.col("v").alias("root"))
     return nodes.join(roots, "u", "left").select("u", F.coalesce("root", F.col("u")).alias("root"))

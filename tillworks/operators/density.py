@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tillworks.operators.components import connected_components
 from tillworks.operators.ordering import with_position
-from tillworks.session import checkpointed
+from tillworks.session import stored
 
 # Boxes with this many points or fewer are compared point by point.
 LEAF_POINTS = 32
@@ -122,7 +122,7 @@ def _count_neighbours(located: DataFrame, pairs: DataFrame, boxes: _Boxes, min_p
         judged = open_tasks.join(boxes.of(located, level), "above").drop("above")
         judged = judged.where(boxes.nearest(("px", "px"), ("lo", "hi")) <= boxes.reach)
         whole = (boxes.farthest(("px", "px"), ("lo", "hi")) <= boxes.reach) & (F.col("size") >= min_points)
-        judged = checkpointed(judged.withColumn("whole", whole))
+        judged = stored(judged.withColumn("whole", whole))
         members = located.select(boxes.key(level).alias("box"), F.col("id").alias("q"), F.col("x").alias("qx"))
         few = judged.where(~F.col("whole") & (F.col("size") <= LEAF_POINTS)).join(members, "box")
         hits = judged.where("whole").select(
@@ -130,9 +130,9 @@ def _count_neighbours(located: DataFrame, pairs: DataFrame, boxes: _Boxes, min_p
         ).unionByName(
             few.where(boxes.within("px", "qx")).select("p", "own", "cell_id", "q", F.lit(1).cast("long").alias("hits"))
         )
-        found = checkpointed(hits if found is None else found.unionByName(hits))
+        found = stored(hits if found is None else found.unionByName(hits))
         enough = found.groupBy("p", "own").agg(F.sum("hits").alias("n")).where(F.col("own") + F.col("n") >= min_points)
-        open_tasks = checkpointed(
+        open_tasks = stored(
             judged.where(~F.col("whole") & (F.col("size") > LEAF_POINTS))
             .join(enough.select("p"), "p", "left_anti")
             .select("p", "px", "own", "cell_id", F.col("box").alias("above"))
@@ -164,7 +164,7 @@ def _link_cells(core: DataFrame, pairs: DataFrame, boxes: _Boxes) -> DataFrame:
             .where(boxes.nearest(("a_lo", "a_hi"), ("b_lo", "b_hi")) <= boxes.reach)
         )
         whole = boxes.farthest(("a_lo", "a_hi"), ("b_lo", "b_hi")) <= boxes.reach
-        judged = checkpointed(judged.withColumn("whole", whole))
+        judged = stored(judged.withColumn("whole", whole))
         now = judged.where("whole").select("u", "v").distinct()
         rest = judged.where(~F.col("whole")).join(now, ["u", "v"], "left_anti")
         is_few = F.col("a_size") * F.col("b_size") <= LEAF_POINTS * LEAF_POINTS
@@ -172,8 +172,8 @@ def _link_cells(core: DataFrame, pairs: DataFrame, boxes: _Boxes) -> DataFrame:
         b_members = core.select(boxes.key(level).alias("b_box"), F.col("x").alias("bx"))
         few = rest.where(is_few).select("u", "v", "a_box", "b_box").join(a_members, "a_box").join(b_members, "b_box")
         now = now.unionByName(few.where(boxes.within("ax", "bx")).select("u", "v").distinct())
-        linked = checkpointed((now if linked is None else linked.unionByName(now)).distinct())
-        open_tasks = checkpointed(
+        linked = stored((now if linked is None else linked.unionByName(now)).distinct())
+        open_tasks = stored(
             rest.where(~is_few)
             .join(linked, ["u", "v"], "left_anti")
             .select("u", "v", F.col("a_box").alias("a_above"), F.col("b_box").alias("b_above"))
@@ -193,21 +193,21 @@ def dbscan(
     """
     boxes = _Boxes(len(columns), eps)
     placed = points.select(F.col(key).alias("id"), F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
-    placed = checkpointed(placed.withColumn("cell", boxes.key(0)))
+    placed = stored(placed.withColumn("cell", boxes.key(0)))
     bounds = [
         F.array(*[f(F.col("x")[i]) for i in range(boxes.dimensions)]).alias(n) for n, f in (("lo", F.min), ("hi", F.max))
     ]
-    cells = checkpointed(
+    cells = stored(
         placed.groupBy("cell").agg(F.min("id").alias("cell_id"), F.count("*").alias("cell_size"), *bounds)
     )
-    located = checkpointed(placed.join(cells.select("cell", "cell_id", "cell_size"), "cell"))
-    pairs = checkpointed(_neighbour_cells(cells, boxes))
+    located = stored(placed.join(cells.select("cell", "cell_id", "cell_size"), "cell"))
+    pairs = stored(_neighbour_cells(cells, boxes))
 
     found = _count_neighbours(located, pairs, boxes, min_points)
     counted = found.groupBy("p").agg(F.sum("hits").alias("n")).withColumnRenamed("p", "id")
     neighbours = F.col("cell_size") + F.coalesce("n", F.lit(0))
     is_core = (F.col("cell_size") >= min_points) | (neighbours >= min_points)
-    judged = checkpointed(located.join(counted, "id", "left").withColumn("core", is_core).drop("n"))
+    judged = stored(located.join(counted, "id", "left").withColumn("core", is_core).drop("n"))
     core = judged.where("core")
 
     nodes = core.groupBy(F.col("cell_id").alias("u")).agg(F.min("id").alias("first"))
@@ -216,7 +216,7 @@ def dbscan(
     numbered = with_position(roots, ["first"], "position").select(
         "root", (F.col("position") - 1).cast("int").alias("cluster")
     )
-    of_cell = checkpointed(rooted.join(numbered, "root").select(F.col("u").alias("cell_id"), "cluster"))
+    of_cell = stored(rooted.join(numbered, "root").select(F.col("u").alias("cell_id"), "cluster"))
 
     own = judged.join(of_cell, "cell_id").select("id", "cluster")
     core_ids = core.select(F.col("id").alias("q"))

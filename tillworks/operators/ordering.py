@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.session import checkpointed
+from tillworks.session import stored
 
 # Up to this many rows (counted, not estimated) a plain window in one task is cheaper and safe.
 SINGLE_TASK_ROWS = 100_000
@@ -30,15 +30,14 @@ def _columns(order: list[Column | str]) -> list[Column]:
 
 
 def _sliced(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Range-partitioned and sorted rows with their partition and their place in it, materialised.
+    """Range-partitioned and sorted rows with their partition and their place in it, as a table.
 
-    The checkpoint fixes the partition bounds: without it, two uses of the plan could sample
-    different bounds.
+    Storing them fixes the partition bounds: without it, two uses of the plan could sample different ones.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slot = F.monotonically_increasing_id()
     placed = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order).withColumn("_slot", slot)
-    return checkpointed(placed).select(
+    return stored(placed).select(
         *df.columns,
         F.shiftright("_slot", _ROW_BITS).cast("int").alias("_slice"),
         (F.col("_slot").bitwiseAND(F.lit(_ROW_MASK)) + 1).alias("_place"),
@@ -77,7 +76,7 @@ def _tile(position: Column, rows: int, tiles: int) -> Column:
 
 def with_ntiles(df: DataFrame, tiles: int, scores: dict[str, list[Column | str]]) -> DataFrame:
     """One NTILE column per entry of ``scores`` (name to ordering, last ordering column unique)."""
-    base = checkpointed(df)
+    base = stored(df)
     rows = base.count()
     if rows <= SINGLE_TASK_ROWS:
         return base.select(
@@ -91,7 +90,7 @@ def with_ntiles(df: DataFrame, tiles: int, scores: dict[str, list[Column | str]]
 
 def with_running_total(df: DataFrame, value: str, order: list[Column | str], name: str) -> DataFrame:
     """Running total of an exact (DECIMAL or whole-number) column, up to and with the current row."""
-    base = checkpointed(df)
+    base = stored(df)
     upto_here = Window.orderBy(*_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
     if base.count() <= SINGLE_TASK_ROWS:
         return base.withColumn(name, F.sum(value).over(upto_here))
@@ -112,7 +111,7 @@ def with_ranks(df: DataFrame, ranks: dict[str, tuple[str, str]]) -> DataFrame:
     Beyond the single-task size the distinct values are numbered instead of the rows, so ties cost
     nothing, and the ranks are joined back on the value.
     """
-    base = checkpointed(df)
+    base = stored(df)
     if base.count() <= SINGLE_TASK_ROWS:
         plain = {"rank": F.rank, "dense_rank": F.dense_rank}
         return base.select(

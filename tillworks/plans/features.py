@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillworks.functions import calendar, money
 from tillworks.operators.preparation import with_label_codes
 from tillworks.plans import models
-from tillworks.session import checkpointed
+from tillworks.session import stored
 from tillworks.sources.tables import SalesTables
 
 LINE_FEATURES = [
@@ -86,20 +86,18 @@ def customer_features(t: SalesTables) -> DataFrame:
     Medians and modes are taken from counts per (customer, value): at most as many rows per customer as
     there are categories, or store and payment combinations, however many lines it has.
     """
-    by_place = checkpointed(
+    by_place = stored(
         models.totals_with_stores(t)
         .withColumn("tickets", F.lit(1))
         .groupBy("customer_id", "store_id", F.lower("payment_method").alias("payment"))
         .agg(*[F.sum(c).alias(c) for c in _SUMS])
         .join(t.stores.select("store_id", "region"), "store_id")
     )
-    by_category = checkpointed(
-        t.lines.join(t.headers.select("transaction_id", "customer_id"), "transaction_id")
-        .groupBy("customer_id", "product_id")
-        .agg(F.count("*").alias("n"))
-        .join(t.products.select("product_id", "category"), "product_id")
+    by_category = stored(
+        t.lines.join(t.products.select("product_id", "category"), "product_id")
+        .join(t.headers.select("transaction_id", "customer_id"), "transaction_id")
         .groupBy("customer_id", "category")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count("*").alias("n"))
     )
     places = with_label_codes(by_place, ["payment", "region"])
     sums = places.groupBy("customer_id").agg(

@@ -35,7 +35,7 @@ from tillworks.plans.features import (
     customer_values,
     line_features,
 )
-from tillworks.session import checkpointed, scratch_table
+from tillworks.session import stored, scratch_table
 from tillworks.sources import schemas
 from tillworks.sources.files import read_json, write_json
 from tillworks.sources.tables import SalesTables
@@ -66,7 +66,7 @@ def _training_frame(df: DataFrame, key: str) -> DataFrame:
     """Written once, spread over all cores: small joins end in few partitions, and fits are CPU-bound."""
     spark = df.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return checkpointed(df.repartition(parts, key))
+    return stored(df.repartition(parts, key))
 
 
 def _with_vectors(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -134,7 +134,7 @@ def feature_importance(t: SalesTables) -> DataFrame:
 
 
 def classification_frame(t: SalesTables) -> DataFrame:
-    customers = with_stratified_split(checkpointed(customer_features(t)), "segment_encoded", "customer_id")
+    customers = with_stratified_split(stored(customer_features(t)), "segment_encoded", "customer_id")
     return _with_vectors(_training_frame(customers, "customer_id"), CUSTOMER_FEATURES)
 
 
@@ -178,7 +178,7 @@ def perceptron(t: SalesTables) -> DataFrame:
 
 
 def scaled_values(t: SalesTables) -> DataFrame:
-    return scaled(checkpointed(customer_values(t)), VALUE_FEATURES)
+    return scaled(stored(customer_values(t)), VALUE_FEATURES)
 
 
 def _best_kmeans(points: DataFrame, k: int, starts: int = 10) -> KMeansModel:
@@ -188,7 +188,7 @@ def _best_kmeans(points: DataFrame, k: int, starts: int = 10) -> KMeansModel:
 
 
 def kmeans_labels(points: DataFrame, k: int = 4) -> DataFrame:
-    vectors = checkpointed(_vector(points, VALUE_FEATURES))
+    vectors = stored(_vector(points, VALUE_FEATURES))
     model = _best_kmeans(vectors, k).setPredictionCol("kmeans_cluster")
     return model.transform(vectors).select("customer_id", "kmeans_cluster")
 
@@ -199,7 +199,7 @@ def dbscan_labels(points: DataFrame) -> DataFrame:
 
 def elbow(t: SalesTables, ks: range = range(2, 9)) -> DataFrame:
     """Lowest inertia per number of clusters."""
-    points = checkpointed(_vector(scaled_values(t), VALUE_FEATURES))
+    points = stored(_vector(scaled_values(t), VALUE_FEATURES))
     costs = [(k, round(_best_kmeans(points, k).summary.trainingCost, 2)) for k in ks]
     return points.sparkSession.createDataFrame(costs, "k int, inertia double")
 
@@ -214,15 +214,15 @@ def _silhouette(points: DataFrame, cluster: str) -> float | None:
 
 def cluster_assignments(t: SalesTables) -> DataFrame:
     """The five features of every customer with both cluster numbers."""
-    values = checkpointed(customer_values(t))
-    points = checkpointed(scaled(values, VALUE_FEATURES))
+    values = stored(customer_values(t))
+    points = stored(scaled(values, VALUE_FEATURES))
     return values.join(kmeans_labels(points), "customer_id").join(dbscan_labels(points), "customer_id")
 
 
 def clustering_metrics(t: SalesTables) -> DataFrame:
     """Silhouette of both clusterings (noise left out), and what the density clustering found."""
-    points = checkpointed(scaled_values(t))
-    labelled = checkpointed(points.join(kmeans_labels(points), "customer_id").join(dbscan_labels(points), "customer_id"))
+    points = stored(scaled_values(t))
+    labelled = stored(points.join(kmeans_labels(points), "customer_id").join(dbscan_labels(points), "customer_id"))
     clustered = labelled.where("dbscan_cluster <> -1")
     clusters, noise = labelled.agg(
         F.countDistinct(F.when(F.col("dbscan_cluster") >= 0, F.col("dbscan_cluster"))),
@@ -283,7 +283,7 @@ def cross_validation(t: SalesTables, folds: int = 5) -> DataFrame:
         judged = model.transform(frame.where(F.col("fold") == fold))
         r2 = evaluation.regression_metrics(judged, "net_amount", {"Random Forest": "prediction"}).where("metric = 'R2'")
         scores.append(r2.select(F.lit(f"R2_fold_{fold}").alias("metric"), "value"))
-    per_fold = checkpointed(evaluation.union_metrics(*scores))
+    per_fold = stored(evaluation.union_metrics(*scores))
     summary = per_fold.agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("dev")).select(
         F.inline(
             F.array(

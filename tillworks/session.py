@@ -42,14 +42,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once, in the shared folder, so that later reads see the same rows."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def scratch_table(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for a table written by a plan."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as a table in the shared folder and read back.
+
+    Cuts the lineage like a checkpoint: later steps see the same rows, and a lost executor costs no more than
+    the step at hand. Being a table it is also compressed, read by column, and of known size, so the
+    planner broadcasts it only if it is small.
+    """
+    path = scratch_table(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,8 @@ The files carry no line id, so one is made from the order and the line's place i
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,27 @@ _LINE_ORDER = [
     "l_linestatus",
 ]
 
+# Declared, so that no footer is read to find them out.
+_FILES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz,"
+        " o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+        " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+        " l_shipdate timestamp_ntz"
+    ),
+}
+
+
+def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(_FILES[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
 
 def _customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
@@ -105,26 +128,26 @@ def _numbered_lines(lineitem: DataFrame, wanted: DataFrame | None) -> DataFrame:
 
 
 def parquet_tables(spark: SparkSession, folder: str) -> SalesTables:
+    @cache
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+        return _read(spark, folder, name)
 
-    customer, nation, lineitem = read("customer"), read("nation"), read("lineitem")
-    headers = _headers(read("orders"))
     return SalesTables(
-        customers=_customers(customer, nation),
-        products=_products(read("part")),
-        stores=_stores(nation, read("region")),
-        transactions=_transactions(headers, customer),
-        headers=headers,
-        lines=_line_columns(lineitem),
-        number_lines=lambda wanted: _numbered_lines(lineitem, wanted),
+        {
+            "customers": lambda: _customers(read("customer"), read("nation")),
+            "products": lambda: _products(read("part")),
+            "stores": lambda: _stores(read("nation"), read("region")),
+            "transactions": lambda: _transactions(_headers(read("orders")), read("customer")),
+            "headers": lambda: _headers(read("orders")),
+            "lines": lambda: _line_columns(read("lineitem")),
+        },
+        lambda wanted: _numbered_lines(read("lineitem"), wanted),
     )
 
 
 def lines_in_time(spark: SparkSession, folder: str) -> DataFrame:
     """The (transaction, product) pairs whose line was shipped no later than the order day."""
-    base = folder.rstrip("/")
-    lineitem, orders = spark.read.parquet(f"{base}/lineitem.parquet"), spark.read.parquet(f"{base}/orders.parquet")
+    lineitem, orders = _read(spark, folder, "lineitem"), _read(spark, folder, "orders")
     joined = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
     return joined.where(F.col("l_shipdate") <= F.col("o_orderdate")).select(
         F.col("l_orderkey").alias("transaction_id"), F.col("l_partkey").alias("product_id")

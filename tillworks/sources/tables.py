@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -30,7 +29,6 @@ def with_cents(lines: DataFrame) -> DataFrame:
     return lines.withColumns({c: money.cents(F.col(a)) for c, a in AMOUNTS.items()})
 
 
-@dataclass(frozen=True, eq=False)
 class SalesTables:
     """``lines`` are the sales lines without their id, ``headers`` the transactions without their store.
 
@@ -38,20 +36,40 @@ class SalesTables:
 
     A source that holds those columns passes the full tables; a source that has to derive them (see
     ``sources.parquet_mapping``) passes cheaper frames, and plans that do not need the id or the store
-    do not pay for it.
+    do not pay for it. Frames are made on first use: opening a file costs a look at its footer.
     """
 
-    customers: DataFrame
-    products: DataFrame
-    stores: DataFrame
-    transactions: DataFrame
-    headers: DataFrame
-    lines: DataFrame
-    number_lines: Callable[[DataFrame | None], DataFrame]
+    def __init__(self, frames: dict[str, Callable[[], DataFrame]], number_lines: Callable[[DataFrame | None], DataFrame]):
+        self._frames = frames
+        self._number_lines = number_lines
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._frames["customers"]()
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._frames["products"]()
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        return self._frames["stores"]()
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return self._frames["transactions"]()
+
+    @cached_property
+    def headers(self) -> DataFrame:
+        return self._frames.get("headers", self._frames["transactions"])()
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return self._frames["lines"]()
 
     @cached_property
     def sales_items(self) -> DataFrame:
-        return self.number_lines(None)
+        return self._number_lines(None)
 
     def sales_items_of(self, transactions: DataFrame) -> DataFrame:
         """Lines with their id, at least those of the given transactions.
@@ -59,17 +77,11 @@ class SalesTables:
         An id depends on the lines of its own transaction only, so a source that has to number lines
         numbers no others.
         """
-        return self.number_lines(transactions.select("transaction_id"))
+        return self._number_lines(transactions.select("transaction_id"))
 
     @staticmethod
     def of(frames: dict[str, DataFrame]) -> SalesTables:
+        """Tables of a source that has them all in full."""
         lines = with_cents(frames["sales_items"])
-        return SalesTables(
-            customers=frames["customers"],
-            products=frames["products"],
-            stores=frames["stores"],
-            transactions=frames["transactions"],
-            headers=frames["transactions"],
-            lines=lines,
-            number_lines=lambda _wanted: lines,
-        )
+        named = {name: (lambda f=frame: f) for name, frame in frames.items()}
+        return SalesTables({**named, "lines": lambda: lines}, lambda _wanted: lines)
