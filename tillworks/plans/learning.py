@@ -163,7 +163,8 @@ def classification(t: SalesTables) -> DataFrame:
 def perceptron(t: SalesTables) -> DataFrame:
     """The layered network 8-32-16-classes on scaled features."""
     frame = classification_frame(t)
-    train, test = frame.where("split = 'train'"), frame.where("split = 'test'")
+    # Every step of the optimiser reads the training rows, and the network does not keep them itself.
+    train, test = frame.where("split = 'train'").persist(), frame.where("split = 'test'")
     classes = frame.agg(F.max("segment_encoded")).first()[0] + 1
     network = MultilayerPerceptronClassifier(
         featuresCol="scaled",
@@ -173,6 +174,7 @@ def perceptron(t: SalesTables) -> DataFrame:
         seed=SEED,
     )
     _, judged, columns = _fit_all({"MLP": network}, train, test)
+    train.unpersist()
     counts = evaluation.confusion_counts(judged, "segment_encoded", columns)
     return evaluation.classification_metrics(counts).where("metric = 'Accuracy'")
 
