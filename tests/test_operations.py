@@ -86,6 +86,28 @@ def test_split_valid_names_the_broken_rules(spark):
     assert sorted((r.id, r.broken_rules) for r in bad.collect()) == [(2, ["positive_quantity"]), (3, ["positive_quantity"])]
 
 
+def test_checked_append_keeps_bad_lines_apart(spark, tmp_path):
+    bad = list(line(2, 1, 1, "1.00"))
+    bad[3] = 0
+    items = tables(spark, [tx(1, DAY)], [line(1, 1, 1, "5.00"), tuple(bad)]).sales_items.select(schemas.SALES_ITEMS.names)
+    kept = operations.append_checked(items, str(tmp_path / "items"), str(tmp_path / "rejected"))
+    assert [r.sales_item_id for r in kept.collect()] == [1]
+    rejected = spark.read.parquet(str(tmp_path / "rejected"))
+    assert [(r.sales_item_id, r.broken_rules) for r in rejected.collect()] == [(2, ["positive_quantity"])]
+
+
+def test_models_and_refreshes(spark, tmp_path):
+    t = tables(spark, [tx(1, DAY, method="CARD"), tx(2, date(2025, 2, 3))], [line(1, 1, 1, "5.00"), line(2, 2, 1, "6.00")])
+    marts = operations.build_models(t, str(tmp_path))
+    assert [r.payment_method for r in marts["fct_sales"].orderBy("sales_item_id").collect()] == ["card", "card"]
+    assert marts["dim_products"].count() == 4 and spark.table("stg_transactions").count() == 2
+    for _ in range(2):
+        scores = operations.refresh_scores(t, str(tmp_path / "scores"), date(2025, 3, 1))
+        assert scores.schema == schemas.RFM_SCORES and scores.count() == 1
+    months = operations.refresh_store_months(t, str(tmp_path / "months"))
+    assert sorted((r.month_num, r.transactions) for r in months.collect()) == [(1, 1), (2, 1)]
+
+
 def test_csv_round_trip_and_missing_file(spark, tmp_path):
     t = base_tables(spark, GeneratorConfig(transactions=200))
     files.write_csv_tables(t, str(tmp_path))

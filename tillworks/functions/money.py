@@ -39,16 +39,6 @@ def cents(amount: Column) -> Column:
     return (amount * F.lit(100).cast("decimal(3,0)")).cast("long")
 
 
-def cents_of_double(value: Column) -> Column:
-    """Whole cents of a double that stands for two decimals (it is within rounding error of them)."""
-    return F.floor(value * 100 + 0.5)
-
-
-def discount_in_cents(gross_cents: Column, discount_pct: Column) -> Column:
-    """Discount on a gross amount that is not negative, rounded half up."""
-    return F.floor((gross_cents * discount_pct + 50) / 100)
-
-
 def amount(in_cents: Column) -> Column:
     """The amount with two decimals for a number of cents."""
     return in_cents.cast("decimal(20,0)") * F.lit(0.01).cast("decimal(3,2)")

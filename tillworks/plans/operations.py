@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tillworks.functions import calendar
 from tillworks.operators import loading
-from tillworks.operators.quality import TableRules, quality_report
-from tillworks.plans import models
+from tillworks.operators.quality import TableRules, quality_report, split_valid
+from tillworks.plans import customers, models, revenue
 from tillworks.session import scratch_table
-from tillworks.sources.files import write_by_quarter
+from tillworks.sources.files import append_table, as_view, replace_partitions, replace_table, write_by_quarter
 from tillworks.sources.tables import SalesTables
 
 
@@ -43,6 +43,40 @@ def load_month(t: SalesTables, in_time: DataFrame, year: int, month: int) -> Dat
     return _load(t, in_time, *loading.month_range(year, month))
 
 
+def build_models(t: SalesTables, folder: str) -> dict[str, DataFrame]:
+    """Staging models become views, marts become tables that are written in full."""
+    base = folder.rstrip("/")
+    as_view(models.stg_transactions(t.transactions), "stg_transactions")
+    as_view(models.stg_sales_items(t.sales_items), "stg_sales_items")
+    return {
+        "fct_sales": replace_table(models.fct_sales(t.sales_items, t.transactions), f"{base}/fct_sales"),
+        "dim_products": replace_table(models.dim_products(t.products), f"{base}/dim_products"),
+    }
+
+
+def refresh_scores(t: SalesTables, path: str, as_of: date | None = None) -> DataFrame:
+    """The score table, emptied and loaded again."""
+    return replace_table(customers.rfm_refresh(t, as_of), path)
+
+
+def refresh_store_months(t: SalesTables, path: str) -> DataFrame:
+    """The stored monthly aggregate; only the months that ``t`` has sales for are written again."""
+    return replace_partitions(revenue.monthly_store_summary(t), path, "year_num", "month_num")
+
+
+def append_checked(items: DataFrame, path: str, rejected_path: str) -> DataFrame:
+    """Appends the sales lines that pass the value rules; the others go to a table of their own."""
+    rules = {
+        "has_keys": F.col("sales_item_id").isNotNull() & F.col("transaction_id").isNotNull() & F.col("product_id").isNotNull(),
+        "positive_quantity": F.col("quantity") > 0,
+        "positive_price": F.col("unit_price") > 0,
+        "discount_range": F.col("discount_pct").between(0, 100),
+    }
+    valid, rejected = split_valid(items, rules)
+    append_table(rejected, rejected_path)
+    return append_table(valid, path)
+
+
 def quarter_revenue(t: SalesTables, year: int, quarter: int) -> DataFrame:
     """Writes the fact by quarter and reads one quarter back; the filter selects folders, not rows."""
     stored = write_by_quarter(models.fct_sales(t.sales_items, t.transactions), scratch_table(t.lines.sparkSession, "fact"))

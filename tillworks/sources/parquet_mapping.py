@@ -11,7 +11,6 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.functions import money
 from tillworks.operators.ordering import hot_keys, number_within
 from tillworks.sources.tables import SalesTables, with_amounts
 
@@ -97,22 +96,24 @@ def _transactions(headers: DataFrame, customer: DataFrame) -> DataFrame:
 
 
 def _line_columns(lineitem: DataFrame, *extra: str) -> DataFrame:
-    """Line columns; every expression stays on one row, so no shuffle is needed."""
-    quantity = F.col("l_quantity").cast("int")
-    typed = lineitem.select(
+    """Line columns; every expression stays on one row, so no shuffle is needed.
+
+    Prices and discounts are doubles that stand for two decimals, hence the floor of x * 100 + 0.5.
+    """
+    typed = lineitem.selectExpr(
         *extra,
-        F.col("l_orderkey").alias("transaction_id"),
-        F.col("l_partkey").alias("product_id"),
-        quantity.alias("quantity"),
-        F.floor(F.col("l_discount") * 100 + 0.5).cast("int").alias("discount_pct"),
-        money.cents_of_double(F.col("l_extendedprice")).alias("gross_cents"),
+        "l_orderkey AS transaction_id",
+        "l_partkey AS product_id",
+        "CAST(l_quantity AS INT) AS quantity",
+        "CAST(floor(l_discount * 100 + 0.5D) AS INT) AS discount_pct",
+        "floor(l_extendedprice * 100 + 0.5D) AS gross_cents",
     )
-    priced = typed.select(
+    priced = typed.selectExpr(
         "*",
-        F.floor((2 * F.col("gross_cents") + F.col("quantity")) / (2 * F.col("quantity"))).alias("unit_cents"),
-        money.discount_in_cents(F.col("gross_cents"), F.col("discount_pct")).alias("discount_cents"),
+        "(2 * gross_cents + quantity) div (2 * quantity) AS unit_cents",
+        "(gross_cents * discount_pct + 50) div 100 AS discount_cents",
     )
-    return with_amounts(priced.withColumn("net_cents", F.col("gross_cents") - F.col("discount_cents")))
+    return with_amounts(priced.selectExpr("*", "gross_cents - discount_cents AS net_cents"))
 
 
 def _numbered_lines(lineitem: DataFrame, wanted: DataFrame | None) -> DataFrame:

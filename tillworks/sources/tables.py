@@ -21,7 +21,7 @@ AMOUNTS = {
 
 def with_amounts(lines: DataFrame) -> DataFrame:
     """Adds the DECIMAL columns to lines that come in cents."""
-    return lines.withColumns({a: money.amount(F.col(c)).cast(money.AMOUNT) for c, a in AMOUNTS.items()})
+    return lines.selectExpr("*", *[f"CAST({c} * 0.01BD AS {money.AMOUNT}) AS {a}" for c, a in AMOUNTS.items()])
 
 
 def with_cents(lines: DataFrame) -> DataFrame:
