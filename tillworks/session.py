@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,22 +32,31 @@ def build_session(app: str = "tillworks", master: str | None = None, partitions:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Where nothing is named, a temporary folder is made in local mode only: on a cluster such a folder
-    would be gone with the machine that holds it.
+    Where nothing is named, local mode gets a temporary folder that goes with the process. On a cluster
+    such a folder would be gone with the machine that holds it, so there the setting is required.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tillworks-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    """One folder per application (the setting itself cannot be changed while a session runs)."""
+    folder = tempfile.mkdtemp(prefix=f"tillworks-{application}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
 
 
 def scratch_table(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder for a table written by a plan."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder for a table written by a plan; it goes when the session's JVM ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return path
 
 
 def stored(df: DataFrame) -> DataFrame:
