@@ -51,12 +51,20 @@ def _local_folder(application: str) -> str:
     return folder
 
 
+@cache
+def _session_folder(shared: str, application: str) -> str:
+    """The session's own folder in the shared one; the JVM removes it when the session's process ends."""
+    spark = SparkSession.active()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared.rstrip('/')}/tillworks-{application}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return path.toString()
+
+
 def scratch_table(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder for a table written by a plan; it goes when the session's JVM ends."""
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return path
+    """A fresh path in the shared folder for a table written by a plan."""
+    return f"{_session_folder(shared_folder(spark), spark.sparkContext.applicationId)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:
