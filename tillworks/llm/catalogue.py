@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillworks.llm import chunk_fingerprints, exact_dedup, packing, simhash
+from tillworks.llm import (
+    chunk_fingerprints,
+    exact_dedup,
+    license_scan,
+    packing,
+    piece_codec,
+    pii,
+    simhash,
+    token_counts,
+    toxicity,
+    url_rules,
+)
 from tillworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +28,22 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_documents(spark, sf_dir))
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.url_verdicts(table(spark, sf_dir, "pages"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(_documents(spark, sf_dir))
+
+
+def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.round_trips(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_fingerprints.fingerprints(_documents(spark, sf_dir))
 
@@ -29,6 +56,14 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_groups(_documents(spark, sf_dir), words=3, bits=2)
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -41,14 +76,23 @@ FROM texts JOIN grouped USING (text)
 """
 
 
+_QUERIES = [
+    op1_personal_data,
+    op2_url_filters,
+    op3_license_scan,
+    op4_piece_codec,
+    op5_document_fingerprints,
+    op6_exact_dedup,
+    op7_simhash_near_dedup,
+    op8_token_counts,
+    op9_toxicity,
+    op10_packing,
+]
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "op5_document_fingerprints": op5_document_fingerprints,
-        "op6_exact_dedup": op6_exact_dedup,
-        "op7_simhash_near_dedup": op7_simhash_near_dedup,
-        "op10_packing": op10_packing,
-    }
+    return {query.__name__: query for query in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": EXACT_DEDUP_SQL}
+    return {"op3_license_scan": license_scan.license_scan_sql(), "op6_exact_dedup": EXACT_DEDUP_SQL}

@@ -30,7 +30,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import mixed, whole_texts
+from tillworks.llm.common import mapped, mixed, whole_texts
 
 LEAST, NORMAL, MOST = 16, 48, 192
 STRICT_BITS, LOOSE_BITS = 7, 4
@@ -198,7 +198,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = _with_guests(_in_ranges(docs)).repartition(partitions, "range")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.sortWithinPartitions("range", "guest", "doc_id", "place").mapInArrow(
+    return mapped(
+        rows.sortWithinPartitions("range", "guest", "doc_id", "place"),
         _fingerprint_rows,
         f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string,"
         " near_edited double, near_next double",

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import text_slices, whole_texts
+from tillworks.llm.common import mapped, text_slices, whole_texts
 from tillworks.llm.word_ids import WordIds
 
 TOKENS, SEGMENTS, LOSS = 4096, 256, 4096
@@ -160,6 +160,6 @@ def packed_documents(docs: DataFrame, path: str, limits: tuple[int, int, int] =
     texts = whole_texts(docs)
     kind = texts.schema["doc_id"].dataType.simpleString()
     long_columns = ", ".join(f"{name} long" for name in _NAMES[1:])
-    return texts.mapInArrow(_packed(path, limits), f"doc_id {kind}, {long_columns}").select(
+    return mapped(texts, _packed(path, limits), f"doc_id {kind}, {long_columns}").select(
         "doc_id", *[F.col(name) for name in _NAMES[1:]]
     )

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import chosen_rows, mixed, whole_texts
+from tillworks.llm.common import chosen_rows, mapped, mixed, whole_texts
 from tillworks.operators.components import connected_components
 from tillworks.session import stored
 
@@ -43,6 +43,7 @@ BANDS, BAND_ROWS = 10, 4
 
 _SHINGLE_BLOCK = 1 << 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_LANES = np.arange(WIDE // 64, dtype=np.uint64) * _STEP
 _ONES = np.array([bin(i).count("1") for i in range(1 << 16)], dtype=np.uint8)
 
 
@@ -93,7 +94,7 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
     """doc_id and fp, the fingerprint as a signed long."""
     texts = whole_texts(docs)
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(_fingerprints(words), f"doc_id {kind}, fp long")
+    return mapped(texts, _fingerprints(words), f"doc_id {kind}, fp long")
 
 
 # --- the ring -------------------------------------------------------------------------------------------
@@ -215,7 +216,7 @@ def _file_links(filed: DataFrame, name: str, bits: int, segments, file_rows: int
     split = dealt.select("id", name, F.when(F.col("pieces") > 1, two).otherwise(F.col("file")).alias("file"))
     partitions = int(filed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     read = split.repartition(partitions, "file").sortWithinPartitions("file")
-    return read.mapInArrow(_search(name, bits, segments), "u long, v long")
+    return mapped(read, _search(name, bits, segments), "u long, v long")
 
 
 # --- few bits -------------------------------------------------------------------------------------------
@@ -289,7 +290,7 @@ def _wide_sketch(text: bytes, words: int) -> tuple[bytes, np.ndarray]:
     for at in range(0, len(hashes), _SHINGLE_BLOCK):
         block = hashes[at : at + _SHINGLE_BLOCK]
         for lane in range(WIDE // 64):
-            total[lane * 64 : lane * 64 + 64] += _bit_counts(mixed(block + np.uint64(lane) * _STEP))
+            total[lane * 64 : lane * 64 + 64] += _bit_counts(mixed(block + _LANES[lane]))
         for i, salt in enumerate(salts):
             least[i] = min(least[i], ((block ^ salt) * _STEP).min())
     keys = least.reshape(BANDS, BAND_ROWS)
@@ -326,7 +327,7 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, fil
     0.03 at 0.8). Equal sketches are one group. Rows without a doc_id are not looked at.
     """
     marked = stored(
-        whole_texts(docs).where("doc_id is not null").mapInArrow(_sketches(words), "doc_id long, mark binary, files array<long>")
+        mapped(whole_texts(docs).where("doc_id is not null"), _sketches(words), "doc_id long, mark binary, files array<long>")
     )
     kinds = stored(marked.groupBy("mark", "files").agg(F.min("doc_id").alias("id")))
     filed = kinds.select("id", "mark", F.explode("files").alias("file"))
