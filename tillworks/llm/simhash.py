@@ -10,7 +10,8 @@ is filed under each pair of segments.
 
 *Similar texts* (``similar_groups``): at a similarity of 0.8 two 64-bit fingerprints differ in about ten bits, and
 segments of so few bits tell nothing apart. There fingerprints have ``WIDE`` bits, and texts are filed under
-min-wise hashes of their shingles; the ring and the Hamming check judge the pairs of a file.
+min-wise hashes of their shingles; the ring and the Hamming check judge the pairs of a file, and where the distance
+is too near to the limit to tell, the two sets of shingles are compared.
 
 A file never gives all its pairs: its parts are searched breadth first, each member being compared with those that
 no part has reached yet, and each linked member gives one row. A file of more than ``file_rows`` members is dealt over
@@ -32,18 +33,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import chosen_rows, mapped, mixed, whole_texts
+from tillworks.llm.common import chosen_rows, mapped, mixed, text_slices, whole_texts
 from tillworks.operators.components import connected_components
 from tillworks.session import stored
 
 SEED = 42
-FILE_ROWS = 20_000
+FILE_ROWS, SKETCH_ROWS = 20_000, 4_000
 WIDE = 512
-BANDS, BAND_ROWS = 10, 4
+BANDS, BAND_ROWS = 14, 4
 
 _SHINGLE_BLOCK = 1 << 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LANES = np.arange(WIDE // 64, dtype=np.uint64) * _STEP
+_SALTS = mixed(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) << np.uint64(32))
 _ONES = np.array([bin(i).count("1") for i in range(1 << 16)], dtype=np.uint8)
 
 
@@ -111,19 +113,37 @@ def on_ring(differences: np.ndarray, bits: int) -> np.ndarray:
     return alive.any(axis=1)
 
 
-def _roots(parts: np.ndarray, bits: int) -> np.ndarray:
-    """Per member the first member of the part of the file it belongs to. parts: a row of segments per member.
+class Members:
+    """Members of a file: a row of ring segments each; ``sure`` and ``exact`` where bits alone do not decide."""
+
+    def __init__(self, parts: np.ndarray, bits: int, sure: int | None = None, exact=None):
+        self.parts, self.bits, self.sure, self.exact = parts, bits, bits if sure is None else sure, exact
+
+    def close(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Which others are close to one: the ring first, then the full distance, then the exact check if need be."""
+        differences = _set_bits(self.parts[others] ^ self.parts[one])
+        close = on_ring(differences, self.bits)
+        distance = differences[close].sum(axis=1)
+        left = np.flatnonzero(close)
+        close[left] = distance <= self.bits
+        for i in left[(distance > self.sure) & (distance <= self.bits)].tolist():
+            close[i] = self.exact(one, int(others[i]))
+        return close
+
+
+def _roots(members: Members) -> np.ndarray:
+    """Per member the first member of the part of the file it belongs to.
 
     Breadth first: a reached member is compared with the members that no part has reached, so a crowd of close
     copies costs little more than one look at each.
     """
-    root = np.arange(len(parts))
-    left = np.arange(len(parts))
+    root = np.arange(len(members.parts))
+    left = np.arange(len(members.parts))
     while len(left) > 1:
         seed, left = left[0], left[1:]
-        waiting = [seed]
+        waiting = [int(seed)]
         while waiting and len(left):
-            close = _within(parts[waiting.pop()], parts[left], bits)
+            close = members.close(waiting.pop(), left)
             reached = left[close]
             root[reached] = seed
             waiting.extend(reached.tolist())
@@ -131,14 +151,6 @@ def _roots(parts: np.ndarray, bits: int) -> np.ndarray:
     return root
 
 
-def _within(one: np.ndarray, others: np.ndarray, bits: int) -> np.ndarray:
-    """Which others lie within ``bits`` of one: the ring first, the full distance for those it lets pass."""
-    differences = _set_bits(others ^ one)
-    close = on_ring(differences, bits)
-    close[close] = differences[close].sum(axis=1) <= bits
-    return close
-
-
 def _set_bits(numbers: np.ndarray) -> np.ndarray:
     """Set bits of each 16-bit or 64-bit number."""
     if numbers.dtype == np.uint16:
@@ -147,45 +159,36 @@ def _set_bits(numbers: np.ndarray) -> np.ndarray:
     return _ONES[words].reshape(*numbers.shape, 4).sum(axis=-1, dtype=np.int32)
 
 
-def _runs(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[list, list]]:
-    """The runs of two and more rows with the same ``file`` (rows come sorted by it): ids and values of each."""
-    held_key, ids, values = None, [], []
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each file that has two and more; rows come sorted by ``file``."""
+    held: list[pa.RecordBatch] = []
+    held_key = None
     for batch in batches:
         if not batch.num_rows:
             continue
         keys = batch.column("file").to_numpy()
-        cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
-        rows, marks = batch.column("id").to_numpy(), batch.column(name)
-        single = np.diff(cuts) == 1
-        for n, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-            goes_on = n == 0 and held_key == keys[0]
-            last = b == len(keys)
-            if single[n] and not goes_on and not last:
-                if len(ids) and sum(map(len, ids)) > 1:
-                    yield ids, values
-                ids, values = [], []
-                continue
-            if not goes_on:
-                if sum(map(len, ids)) > 1:
-                    yield ids, values
-                ids, values = [], []
-            ids.append(rows[a:b])
-            values.append(marks.slice(a, b - a))
-            held_key = keys[a]
-    if sum(map(len, ids)) > 1:
-        yield ids, values
-
-
-def _search(name: str, bits: int, segments):
-    """Searches the files of a partition; ``segments`` makes rows of ring segments from the values."""
+        cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]]).tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            if held and keys[a] != held_key:
+                if sum(map(len, held)) > 1:
+                    yield pa.Table.from_batches(held)
+                held = []
+            if b - a > 1 or held or b == len(keys):
+                held_key = keys[a]
+                held.append(batch.slice(a, b - a))
+    if sum(map(len, held)) > 1:
+        yield pa.Table.from_batches(held)
+
+
+def _search(members_of):
+    """Searches the files of a partition; ``members_of`` makes Members from a file's rows in the order of id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         us, vs, n = [], [], 0
-        for ids, values in _runs(batches, name):
-            ids = np.concatenate(ids)
-            order = np.argsort(ids, kind="stable")
-            ids = ids[order]
-            root = _roots(segments(pa.chunked_array(values))[order], bits)
+        for rows in _runs(batches):
+            rows = rows.sort_by("id")
+            ids = rows.column("id").to_numpy()
+            root = _roots(members_of(rows))
             linked = root != np.arange(len(ids))
             if linked.any():
                 us.append(ids[linked])
@@ -204,19 +207,22 @@ def _link_batch(us: list, vs: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
 
 
-def _file_links(filed: DataFrame, name: str, bits: int, segments, file_rows: int) -> DataFrame:
-    """Links (u, v) that join the close members of each file. filed: id, the value ``name`` and file."""
-    filed = stored(filed)
-    sizes = filed.groupBy("file").agg(F.count("*").alias("n")).where(F.col("n") > file_rows)
-    pieces = F.coalesce(F.ceil(F.col("n") / file_rows), F.lit(1)).cast("int")
-    joined = filed.join(sizes, "file", "left").withColumn("pieces", pieces)
-    other = F.explode(F.sequence(F.lit(0), F.when(F.col("pieces") > 1, F.col("pieces") - 1).otherwise(0)))
+def _dealt(filed: DataFrame, file_rows: int) -> DataFrame:
+    """id and file of the files with two members and more; crowded ones become a file for every two of their pieces."""
+    sizes = filed.groupBy("file").agg(F.count("*").alias("n")).where("n > 1")
+    pieces = F.ceil(F.col("n") / file_rows).cast("int")
+    joined = filed.join(sizes, "file").withColumn("pieces", pieces)
+    other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
     dealt = joined.withColumn("own", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int")).select("*", other.alias("other"))
     two = F.xxhash64("file", F.least("own", "other"), F.greatest("own", "other"))
-    split = dealt.select("id", name, F.when(F.col("pieces") > 1, two).otherwise(F.col("file")).alias("file"))
+    return dealt.select("id", F.when(F.col("pieces") > 1, two).otherwise(F.col("file")).alias("file"))
+
+
+def _file_links(filed: DataFrame, members_of) -> DataFrame:
+    """Links (u, v) that join the close members of each file. filed: id, file and what ``members_of`` reads."""
     partitions = int(filed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    read = split.repartition(partitions, "file").sortWithinPartitions("file")
-    return mapped(read, _search(name, bits, segments), "u long, v long")
+    read = filed.repartition(partitions, "file").sortWithinPartitions("file")
+    return mapped(read, _search(members_of), "u long, v long")
 
 
 # --- few bits -------------------------------------------------------------------------------------------
@@ -238,13 +244,14 @@ def links(marks: DataFrame, bits: int, file_rows: int = FILE_ROWS) -> DataFrame:
     """Links (u, v) that join all of the distinct fingerprints ``fp`` that lie within ``bits`` of each other."""
     layout = _layout(bits + 2)
     keys = [F.xxhash64(F.lit(n), _only(*a), _only(*b)) for n, (a, b) in enumerate(combinations(layout, 2))]
-    filed = marks.select(F.col("fp").alias("id"), "fp", F.explode(F.array(*keys)).alias("file"))
+    filed = stored(marks.select(F.col("fp").alias("id"), F.explode(F.array(*keys)).alias("file")))
 
-    def segments(values: pa.ChunkedArray) -> np.ndarray:
-        plain = values.to_numpy().view(np.uint64)
-        return np.stack([(plain >> np.uint64(low)) & np.uint64((1 << width) - 1) for low, width in layout], axis=1)
+    def members(rows: pa.Table) -> Members:
+        plain = rows.column("id").to_numpy().view(np.uint64)
+        parts = [(plain >> np.uint64(low)) & np.uint64((1 << width) - 1) for low, width in layout]
+        return Members(np.stack(parts, axis=1), bits)
 
-    return _file_links(filed, "fp", bits, segments, file_rows)
+    return _file_links(_dealt(filed, file_rows), members)
 
 
 def fingerprint_groups(docs: DataFrame, words: int = 3, bits: int = 2, file_rows: int = FILE_ROWS) -> DataFrame:
@@ -278,35 +285,39 @@ def _on_every_row(marked: DataFrame, by_mark: DataFrame) -> DataFrame:
 # --- similar texts --------------------------------------------------------------------------------------
 
 
-def _wide_sketch(text: bytes, words: int) -> tuple[bytes, np.ndarray]:
-    """SimHash of ``WIDE`` bits over the distinct shingles, and the file keys from their min-wise hashes."""
+def _wide_sketch(text: bytes, words: int) -> tuple[bytes, np.ndarray, bytes]:
+    """SimHash of ``WIDE`` bits over the distinct shingles, the file keys from their min-wise hashes, and the
+    shingles themselves as sorted 32-bit hashes."""
     blocks = list(shingle_hashes(text, words))
     if not blocks:
-        return b"", np.zeros(0, dtype=np.int64)
+        return b"", np.zeros(0, dtype=np.int64), b""
     hashes = np.unique(np.concatenate(blocks))
     total = np.zeros(WIDE, dtype=np.int64)
     least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    salts = mixed(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) << np.uint64(32))
     for at in range(0, len(hashes), _SHINGLE_BLOCK):
         block = hashes[at : at + _SHINGLE_BLOCK]
         for lane in range(WIDE // 64):
             total[lane * 64 : lane * 64 + 64] += _bit_counts(mixed(block + _LANES[lane]))
-        for i, salt in enumerate(salts):
+        for i, salt in enumerate(_SALTS):
             least[i] = min(least[i], ((block ^ salt) * _STEP).min())
     keys = least.reshape(BANDS, BAND_ROWS)
     file = np.arange(BANDS, dtype=np.uint64)
     for i in range(BAND_ROWS):
         file = mixed(file ^ keys[:, i])
-    return np.packbits(total * 2 > len(hashes)).tobytes(), file.view(np.int64)
+    short = np.unique((hashes >> np.uint64(32)).astype(np.uint32))
+    return np.packbits(total * 2 > len(hashes)).tobytes(), file.view(np.int64), short.tobytes()
 
 
 def _sketches(words: int):
+    names = ["doc_id", "mark", "files", "shingles"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [_wide_sketch(t.encode(), words) for t in batch.column("text").to_pylist()]
-            marks = pa.array([m[0] for m in made], pa.binary())
-            files = pa.array([m[1] for m in made], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), marks, files], names=["doc_id", "mark", "files"])
+            for part in text_slices(batch):
+                made = [_wide_sketch(t.encode(), words) for t in part.column("text").to_pylist()]
+                marks, files, shingles = zip(*made)
+                columns = [pa.array(marks, pa.binary()), pa.array(files, pa.list_(pa.int64())), pa.array(shingles, pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=names)
 
     return run
 
@@ -316,22 +327,36 @@ def bits_for(similarity: float) -> int:
     return round(WIDE * float(np.arccos(2 * similarity / (1 + similarity))) / np.pi)
 
 
-def _wide_segments(values: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(values.to_pylist()), dtype=np.uint16).reshape(len(values), WIDE // 16)
+def _members_at(similarity: float):
+    """Members of a file of sketches. Up to four standard errors around the similarity the shingles decide."""
+    bits, sure = bits_for(max(0.0, similarity - 0.15)), bits_for(min(1.0, similarity + 0.12))
+
+    def members(rows: pa.Table) -> Members:
+        parts = np.frombuffer(b"".join(rows.column("mark").to_pylist()), dtype=np.uint16).reshape(len(rows), WIDE // 16)
+        shingles = rows.column("shingles")
+
+        def exact(i: int, j: int) -> bool:
+            a, b = (np.frombuffer(shingles[k].as_py(), dtype=np.uint32) for k in (i, j))
+            shared = len(np.intersect1d(a, b, assume_unique=True))
+            return shared >= similarity * (len(a) + len(b) - shared)
 
+        return Members(parts, bits, sure, exact)
 
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, file_rows: int = FILE_ROWS) -> DataFrame:
+    return members
+
+
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, file_rows: int = SKETCH_ROWS) -> DataFrame:
     """keep_id (the smallest doc_id of a group), mark and files: one row per distinct sketch.
 
-    Similarity is that of the sets of word shingles, read off ``WIDE``-bit fingerprints (standard error about
-    0.03 at 0.8). Equal sketches are one group. Rows without a doc_id are not looked at.
+    Similarity is that of the sets of word shingles. Equal sketches are one group. Rows without a doc_id are not
+    looked at. Two texts of the least similarity share a file with a chance of 0.999.
     """
-    marked = stored(
-        mapped(whole_texts(docs).where("doc_id is not null"), _sketches(words), "doc_id long, mark binary, files array<long>")
-    )
+    schema = "doc_id long, mark binary, files array<long>, shingles binary"
+    marked = stored(mapped(whole_texts(docs).where("doc_id is not null"), _sketches(words), schema))
     kinds = stored(marked.groupBy("mark", "files").agg(F.min("doc_id").alias("id")))
-    filed = kinds.select("id", "mark", F.explode("files").alias("file"))
-    found = _file_links(filed, "mark", bits_for(similarity), _wide_segments, file_rows)
+    filed = stored(_dealt(kinds.select("id", F.explode("files").alias("file")), file_rows))
+    sketches = marked.select(F.col("doc_id").alias("id"), "mark", "shingles").join(filed.select("id").distinct(), "id", "left_semi")
+    found = _file_links(filed.join(sketches.dropDuplicates(["id"]), "id"), _members_at(similarity))
     roots = connected_components(kinds.select(F.col("id").alias("u")), found)
     return roots.join(kinds, roots["u"] == kinds["id"]).select(F.col("root").alias("keep_id"), "mark", "files")
 
