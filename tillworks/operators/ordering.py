@@ -3,24 +3,17 @@
 A window without a partition key, or with one very large partition, sends its rows to one task. Here
 rows are range-partitioned by the whole ordering instead (its last column is unique, so equal values
 spread over many partitions), numbered inside each partition, and shifted by the sizes of the
-partitions before it. Only that list of sizes, one row per partition, is ever in one place.
+partitions before it. Only that list of sizes, one row per partition, is ever in one place. Tables of any size
+take this one path, and NULLs are treated as a plain window treats them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillworks.session import stored
 
-# Up to this many rows (counted, not estimated) a plain window in one task is cheaper and safe.
-SINGLE_TASK_ROWS = 100_000
-
-# freqItems accepts no smaller share; it names at most 1 / share keys.
-HOT_SHARE = 1e-4
-HOT_ROWS = 1_000_000
-
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
@@ -44,23 +37,19 @@ def _sliced(df: DataFrame, order: list[Column]) -> DataFrame:
     )
 
 
-def _before(per_slice: DataFrame, *measures: str) -> DataFrame:
-    """Per slice, the total of each measure over the slices before it (one row per slice)."""
+def _before(per_slice: DataFrame, measure: str) -> DataFrame:
+    """Per slice, the total of a measure over the slices before it (one row per slice); NULL where there is none."""
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    return per_slice.select(
-        "_slice",
-        *[F.coalesce(F.sum(m).over(earlier), F.lit(0).cast("decimal(1,0)")).alias(f"_before{m}") for m in measures],
-    )
+    return per_slice.select("_slice", F.sum(measure).over(earlier).alias("_before"))
 
 
 def with_position(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
     """1-based position of each row in the given total ordering."""
     sliced = _sliced(df, _columns(order))
     sizes = sliced.groupBy("_slice").agg(F.count("*").alias("_size"))
-    offsets = F.broadcast(_before(sizes, "_size"))
-    return sliced.join(offsets, "_slice").select(
-        *df.columns, (F.col("_place") + F.col("_before_size").cast("long")).alias(name)
-    )
+    offsets = F.broadcast(_before(sizes, "_size"))  # one row per partition
+    position = F.col("_place") + F.coalesce("_before", F.lit(0))
+    return sliced.join(offsets, "_slice").select(*df.columns, position.alias(name))
 
 
 def _tile(position: Column, rows: int, tiles: int) -> Column:
@@ -78,10 +67,6 @@ def with_ntiles(df: DataFrame, tiles: int, scores: dict[str, list[Column | str]]
     """One NTILE column per entry of ``scores`` (name to ordering, last ordering column unique)."""
     base = stored(df)
     rows = base.count()
-    if rows <= SINGLE_TASK_ROWS:
-        return base.select(
-            "*", *[F.ntile(tiles).over(Window.orderBy(*_columns(o))).alias(name) for name, o in scores.items()]
-        )
     for name, order in scores.items():
         positioned = with_position(base, order, "_position")
         base = positioned.withColumn(name, _tile(F.col("_position"), rows, tiles)).drop("_position")
@@ -89,90 +74,45 @@ def with_ntiles(df: DataFrame, tiles: int, scores: dict[str, list[Column | str]]
 
 
 def with_running_total(df: DataFrame, value: str, order: list[Column | str], name: str) -> DataFrame:
-    """Running total of an exact (DECIMAL or whole-number) column, up to and with the current row."""
-    base = stored(df)
-    upto_here = Window.orderBy(*_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
-    if base.count() <= SINGLE_TASK_ROWS:
-        return base.withColumn(name, F.sum(value).over(upto_here))
-    total_type = base.select(F.sum(value)).schema[0].dataType
-    sliced = _sliced(base, _columns(order))
+    """Running total of an exact (DECIMAL or whole-number) column, up to and with the current row.
+
+    NULLs add nothing; the total is NULL as long as no value has come.
+    """
+    total_type = df.select(F.sum(value)).schema[0].dataType
+    sliced = _sliced(df, _columns(order))
     offsets = F.broadcast(_before(sliced.groupBy("_slice").agg(F.sum(value).alias("_sum")), "_sum"))
     in_slice = Window.partitionBy("_slice").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        sliced.withColumn("_inside", F.sum(value).over(in_slice))
-        .join(offsets, "_slice")
-        .select(*df.columns, (F.col("_inside") + F.col("_before_sum")).cast(total_type).alias(name))
-    )
+    inside, before = F.sum(value).over(in_slice), F.col("_before")
+    joined = sliced.withColumn("_inside", inside).join(offsets, "_slice")
+    upto = F.when(before.isNull(), F.col("_inside")).otherwise(before + F.coalesce("_inside", F.lit(0)))
+    return joined.select(*df.columns, upto.cast(total_type).alias(name))
 
 
 def with_ranks(df: DataFrame, ranks: dict[str, tuple[str, str]]) -> DataFrame:
-    """RANK or DENSE_RANK by descending value; ``ranks`` maps a name to ('rank' | 'dense_rank', column).
+    """RANK or DENSE_RANK by descending value, NULLs last; ``ranks`` maps a name to ('rank' | 'dense_rank', column).
 
-    Beyond the single-task size the distinct values are numbered instead of the rows, so ties cost
-    nothing, and the ranks are joined back on the value.
+    The distinct values are numbered instead of the rows, so ties cost nothing, and the ranks are joined
+    back on the value.
     """
     base = stored(df)
-    if base.count() <= SINGLE_TASK_ROWS:
-        plain = {"rank": F.rank, "dense_rank": F.dense_rank}
-        return base.select(
-            "*", *[plain[kind]().over(Window.orderBy(F.desc(c))).alias(name) for name, (kind, c) in ranks.items()]
-        )
     for name, (kind, column) in ranks.items():
-        values = base.groupBy(column).agg(F.count("*").cast("decimal(20,0)").alias("_ties"))
+        values = base.groupBy(F.col(column).alias("_value")).agg(F.count("*").alias("_ties"))
         if kind == "dense_rank":
-            ranked = with_position(values, [F.desc(column)], name).select(column, name)
+            ranked = with_position(values, [F.desc("_value")], "_rank")
         else:
-            running = with_running_total(values, "_ties", [F.desc(column)], "_upto")
-            ranked = running.select(column, (F.col("_upto") - F.col("_ties") + 1).cast("long").alias(name))
-        base = base.join(ranked.withColumn(name, F.col(name).cast("int")), column)
+            running = with_running_total(values, "_ties", [F.desc("_value")], "_upto")
+            ranked = running.withColumn("_rank", F.col("_upto") - F.col("_ties") + 1)
+        joined = base.join(ranked, F.col(column).eqNullSafe(F.col("_value")))
+        base = joined.select(*base.columns, F.col("_rank").cast("int").alias(name))
     return base
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_ROWS) -> list:
-    """Keys that hold more than ``rows`` rows, at most 1 / share of them.
-
-    The frequent-items pass misses no key above ``share`` of all rows and needs no shuffle; its
-    candidates (never more than 1 / share) are then counted exactly.
-    """
-    if df.count() <= rows:
-        return []
-    found = df.select(key).stat.freqItems([key], share).first()[0]
-    candidates = [(k,) for k in found if k is not None]
-    if not candidates:
-        return []
-    wanted = df.sparkSession.createDataFrame(candidates, df.select(key).schema)
-    counted = df.select(key).join(F.broadcast(wanted), key).groupBy(key).count().where(F.col("count") > rows)
-    return sorted(row[0] for row in counted.collect())
-
-
-def number_within(
-    df: DataFrame, group: str, order: list[str], name: str, ordinal: str | None = None, hot: list | None = None
-) -> DataFrame:
+def number_within(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
     """ROW_NUMBER inside each group, also when single groups hold a large part of all rows.
 
-    Ordinary groups use a window. Hot groups are numbered globally by (group, order) and shifted by
-    where the group starts. Rows that agree in the whole order are interchangeable; a scan id breaks
-    their ties, so that even a great many copies spread over tasks. With ``ordinal`` the result also tells
-    which hot group (1, 2, ..) a row belongs to, 0 for ordinary groups.
+    Rows are numbered over the whole table by (group, order); a group's numbers start where the group starts.
     """
-    hot = hot_keys(df, group) if hot is None else hot
-    mark = [ordinal] if ordinal else []
-    in_group = F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long").alias(name)
-    if not hot:
-        return df.select("*", in_group, *[F.lit(0).alias(m) for m in mark])
-    key_type = df.schema[group].dataType
-    named = df.sparkSession.createDataFrame(
-        [(k, i) for i, k in enumerate(hot, 1)], T.StructType().add(group, key_type).add("_ordinal", T.IntegerType())
-    )
-    ordinary = df.join(F.broadcast(named), group, "left_anti").select(
-        *df.columns, in_group, *[F.lit(0).alias(m) for m in mark]
-    )
-    large = df.withColumn("_scan", F.monotonically_increasing_id()).join(F.broadcast(named), group)
-    numbered = with_position(large, [group, *order, "_scan"], "_position")
-    starts = numbered.groupBy(group).agg(F.min("_position").alias("_first"))
-    shifted = numbered.join(F.broadcast(starts), group).select(
-        *df.columns,
-        (F.col("_position") - F.col("_first") + 1).alias(name),
-        *[F.col("_ordinal").alias(m) for m in mark],
-    )
-    return ordinary.unionByName(shifted)
+    numbered = with_position(df, [group, *order], "_position")
+    starts = numbered.groupBy(F.col(group).alias("_group")).agg(F.min("_position").alias("_first"))
+    shifted = numbered.join(starts, F.col(group).eqNullSafe(F.col("_group")))
+    return shifted.select(*df.columns, (F.col("_position") - F.col("_first") + 1).alias(name))

@@ -8,7 +8,15 @@ binary fractions fall.
 from __future__ import annotations
 
 from tillworks.plans.campaign import TABLES_1997 as W
-from tillworks.sources.parquet_mapping import IDS_PER_ORDER
+
+LINE_CONTENT = "concat_ws('|', " + ", ".join(
+    f"coalesce(CAST({c} AS VARCHAR), '')"
+    for c in [
+        *"l_linenumber l_partkey l_suppkey l_shipdate".split(),
+        *(f"CAST(floor({c} * 100 + 0.5) AS BIGINT)" for c in "l_quantity l_extendedprice l_discount l_tax".split()),
+        *"l_returnflag l_linestatus".split(),
+    ]
+) + ")"
 
 PREFIX = f"""
 WITH RECURSIVE
@@ -27,10 +35,9 @@ transactions AS (
          o_custkey AS customer_id, CAST(c_nationkey AS BIGINT) AS store_id, o_orderpriority AS payment_method
   FROM orders JOIN customer ON c_custkey = o_custkey),
 raw_items AS (
-  SELECT l_orderkey * {IDS_PER_ORDER} + row_number() OVER (
-           PARTITION BY l_orderkey
-           ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice,
-                    l_discount, l_tax, l_returnflag, l_linestatus) AS sales_item_id,
+  SELECT concat_ws('-', l_orderkey, md5({LINE_CONTENT}), row_number() OVER (
+           PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice,
+                        l_discount, l_tax, l_returnflag, l_linestatus)) AS sales_item_id,
          l_orderkey AS transaction_id, l_partkey AS product_id, CAST(l_quantity AS INT) AS quantity,
          CAST(round(l_discount * 100) AS INT) AS discount_pct,
          CAST(l_extendedprice AS DECIMAL(12,2)) AS gross_amount,

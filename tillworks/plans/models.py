@@ -35,7 +35,10 @@ def stg_transactions(transactions: DataFrame) -> DataFrame:
 
 
 def stg_sales_items(sales_items: DataFrame) -> DataFrame:
-    return _cast_to(sales_items, schemas.SALES_ITEMS)
+    """Typed lines; the id keeps the type of its source (a number in files, text where it is made of the line)."""
+    own = sales_items.schema["sales_item_id"].dataType
+    kinds = [(f.name, own if f.name == "sales_item_id" else f.dataType) for f in schemas.SALES_ITEMS.fields]
+    return sales_items.select(*[F.col(name).cast(kind).alias(name) for name, kind in kinds])
 
 
 def dim_products(products: DataFrame) -> DataFrame:

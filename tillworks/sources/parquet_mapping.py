@@ -1,7 +1,9 @@
 """Reads the parquet test tables and gives them the shape of the sales schema.
 
 A store is the customer's nation, the payment method the order priority, the category the part type.
-The files carry no line id, so one is made from the order and the line's place in it.
+The files carry no line id, so one is made of the order, a digest of the line's own content, and the number of
+the copy where an order holds the same line more than once. It depends on nothing else: ids stay as they are when
+other lines come or go.
 """
 
 from __future__ import annotations
@@ -11,20 +13,17 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.operators.ordering import hot_keys, number_within
 from tillworks.sources.tables import SalesTables, with_amounts
 
-IDS_PER_ORDER = 10_000_000
-
-_LINE_ORDER = [
+_LINE_CONTENT = [
     "l_linenumber",
     "l_partkey",
     "l_suppkey",
     "l_shipdate",
-    "l_quantity",
-    "l_extendedprice",
-    "l_discount",
-    "l_tax",
+    "floor(l_quantity * 100 + 0.5D)",
+    "floor(l_extendedprice * 100 + 0.5D)",
+    "floor(l_discount * 100 + 0.5D)",
+    "floor(l_tax * 100 + 0.5D)",
     "l_returnflag",
     "l_linestatus",
 ]
@@ -110,22 +109,21 @@ def _line_columns(lineitem: DataFrame, *extra: str) -> DataFrame:
     )
     priced = typed.selectExpr(
         "*",
-        "(2 * gross_cents + quantity) div (2 * quantity) AS unit_cents",
+        "CASE WHEN quantity <> 0 THEN (2 * gross_cents + quantity) div (2 * quantity) END AS unit_cents",
         "(gross_cents * discount_pct + 50) div 100 AS discount_cents",
     )
     return with_amounts(priced.selectExpr("*", "gross_cents - discount_cents AS net_cents"))
 
 
 def _numbered_lines(lineitem: DataFrame, wanted: DataFrame | None) -> DataFrame:
-    """Line ids: positive and grouped by order; orders too long for their share of ids get negative ones."""
-    hot = hot_keys(lineitem, "l_orderkey")
+    """Lines with their id. Equal lines are counted (partial counts, so no order is too long) and dealt out again."""
     if wanted is not None:
         lineitem = lineitem.join(wanted, lineitem.l_orderkey == wanted.transaction_id, "left_semi")
-    placed = number_within(lineitem, "l_orderkey", _LINE_ORDER, "place", ordinal="long_order", hot=hot)
-    line_id = F.when(F.col("long_order") == 0, F.col("l_orderkey") * IDS_PER_ORDER + F.col("place")).otherwise(
-        -(F.col("long_order") * F.lit(10**14) + F.col("place"))
-    )
-    return _line_columns(placed.withColumn("sales_item_id", line_id), "sales_item_id")
+    counted = lineitem.groupBy(*lineitem.columns).agg(F.count("*").alias("copies"))
+    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    content = ", ".join(f"coalesce(CAST({c} AS STRING), '')" for c in _LINE_CONTENT)
+    line_id = f"concat_ws('-', l_orderkey, md5(concat_ws('|', {content})), copy) AS sales_item_id"
+    return _line_columns(each, line_id)
 
 
 def parquet_tables(spark: SparkSession, folder: str) -> SalesTables:
