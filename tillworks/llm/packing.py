@@ -19,7 +19,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -58,18 +58,18 @@ class Example:
         return min(self.left(), tokens, free + loss)
 
 
-@dataclass
 class Packer:
     """Fills one sequence after the other. Pieces: (example, start, length, sequence, offset)."""
 
-    limits: tuple[int, int, int] = (TOKENS, SEGMENTS, LOSS)
-    pool: int = POOL
-    waiting: list[Example] = field(default_factory=list)
-    sequences: int = 0
+    def __init__(self, limits: tuple[int, int, int] = (TOKENS, SEGMENTS, LOSS), pool: int = POOL):
+        if min(limits) < 1:
+            raise ValueError("every limit has to be at least 1")
+        self.limits, self.pool, self.sequences = limits, pool, 0
+        self.waiting: list[Example] = []
+        self.vectors = np.zeros((2 * pool + 2 * limits[1] + 8, 3))  # of the waiting ones, in their order
 
     def add(self, example: Example) -> Iterator[tuple]:
-        if example.left():
-            self.waiting.append(example)
+        self._wait(example)
         while len(self.waiting) > self.pool:
             yield from self._sequence(self._filled(self.limits[0]))
 
@@ -79,29 +79,38 @@ class Packer:
             left = sum(e.left() for e in self.waiting)
             yield from self._sequence(self._filled(min(self.limits[0], 1 << (left.bit_length() - 1))))
 
+    def _wait(self, example: Example) -> None:
+        if example.left():
+            self.vectors[len(self.waiting)] = example.left(), 1, example.loss()
+            self.waiting.append(example)
+
     def _filled(self, tokens: int) -> list[tuple[Example, int, int]]:
         """Takes examples out of the pool until ``tokens`` are reached or another limit is."""
         most = np.array([tokens, self.limits[1], min(self.limits[2], tokens)], dtype=np.float64)
-        room = most.copy()
-        sizes = np.array([[e.left(), 1, e.loss()] for e in self.waiting], dtype=np.float64)
+        room, sizes = most.copy(), self.vectors[: len(self.waiting)]
         there = np.ones(len(sizes), dtype=bool)
-        taken = []
-        while room[0] >= 1 and room[1] >= 1 and there.any():
-            scores = (sizes / most) @ (room / most)
+        shares, taken, used = sizes / most, [], []
+        while room[0] >= 1 and room[1] >= 1 and len(used) < len(sizes):
             fits = there & (sizes <= room).all(axis=1)
-            pick = int(np.argmax(np.where(fits if fits.any() else there, scores, -1.0)))
+            scores = shares @ (room / most)
+            scores[~(fits if fits.any() else there)] = -1.0
+            pick = int(scores.argmax())
+            there[pick] = False
+            used.append(pick)
             example = self.waiting[pick]
             n = example.most(int(room[0]), int(room[2]))
-            if n == 0:  # no loss-bearing token fits any more: look for one that starts without
-                there[pick] = False
-                continue
-            taken.append((example, example.start, n))
-            room -= [n, 1, example.loss(n)]
-            example.start += n
-            there[pick] = False
+            if n:  # else its next token bears loss and none is left: another one may begin without
+                taken.append((example, example.start, n))
+                room -= [n, 1, example.loss(n)]
+                example.start += n
+        for pick in sorted(used, reverse=True):
+            example = self.waiting[pick]
             if example.left():
-                sizes[pick] = example.left(), 1, example.loss()
-        self.waiting = [e for e in self.waiting if e.left()]
+                self.vectors[pick] = example.left(), 1, example.loss()
+            else:  # the last one moves to its place
+                self.vectors[pick] = self.vectors[len(self.waiting) - 1]
+                self.waiting[pick] = self.waiting[-1]
+                self.waiting.pop()
         return taken
 
     def _sequence(self, taken: list[tuple[Example, int, int]]) -> Iterator[tuple]:
@@ -112,7 +121,7 @@ class Packer:
         for example, start, n in taken:
             n_here = min(n, allowed - offset)
             if n_here < n:  # the rest goes back
-                self.waiting.append(Example(example.name, example.ids[: start + n], example.quiet, start + n_here))
+                self._wait(Example(example.name, example.ids[: start + n], example.quiet, start + n_here))
             if n_here:
                 yield example, start, n_here, self.sequences, offset
                 offset += n_here
