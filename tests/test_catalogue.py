@@ -51,6 +51,16 @@ def test_date_windows_reach_the_scan(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_discount:double>" in plan
 
 
+def test_windows_of_labelled_reports_reach_the_scan(spark):
+    for name in ("payment_mix_open", "payment_mix_closed", "category_mix_long", "category_mix_wide"):
+        assert "GreaterThanOrEqual(o_orderdate,1997-11-01" in pushed(QUERIES[name](spark, SF_DIR)), name
+
+
+def test_signals_read_the_lines_once(spark):
+    plan = pushed(QUERIES["campaign_signals"](spark, SF_DIR))
+    assert plan.count("lineitem.parquet") == 1 and plan.count("orders.parquet") == 1
+
+
 def test_ranks_are_trimmed_before_the_shuffle(spark):
     for name in ("product_rank_in_category", "top2_customers_per_store"):
         assert "WindowGroupLimit" in pushed(QUERIES[name](spark, SF_DIR))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,8 +57,11 @@ TABLES_1997 = CampaignWindows(
 )
 
 
-def _within(window: tuple[date, date]) -> Column:
-    return F.col("transaction_date").between(F.lit(window[0]), F.lit(window[1]))
+def _within(window: tuple[date, date | None]) -> Column:
+    """Days of a window; an open one has no end."""
+    start, end = window
+    day = F.col("transaction_date")
+    return day >= F.lit(start) if end is None else day.between(F.lit(start), F.lit(end))
 
 
 def _lines_where(t: SalesTables, days: Column) -> DataFrame:
@@ -107,16 +111,19 @@ def discount_ratio_by_period(t: SalesTables, w: CampaignWindows) -> DataFrame:
     )
 
 
+def _headers_in(t: SalesTables, windows: dict[str, tuple[date, date | None]]) -> DataFrame:
+    """Headers of the windows with the window's name. The days are compared first, so that they reach the scan."""
+    days = reduce(Column.__or__, [_within(window) for window in windows.values()])
+    return t.headers.where(days).withColumn("period", labels.period(F.col("transaction_date"), windows))
+
+
 def _payment_mix(t: SalesTables, windows: dict[str, tuple[date, date | None]]) -> DataFrame:
     """Transactions with at least one line, by window and payment method, and their share of the window."""
-    period = labels.period(F.col("transaction_date"), windows)
-    headers = t.headers.select(
-        "transaction_id", period.alias("period"), F.lower("payment_method").alias("payment_method")
-    ).where(F.col("period").isin(*windows))
-    sold = t.lines.groupBy("transaction_id").agg(F.count("*").alias("line_count"))
-    mix = (
-        headers.join(sold, "transaction_id").groupBy("period", "payment_method").agg(F.count("*").alias("tx_count"))
+    headers = _headers_in(t, windows).select(
+        "transaction_id", "period", F.lower("payment_method").alias("payment_method")
     )
+    sold = t.lines.select("transaction_id").join(headers, "transaction_id").distinct()
+    mix = sold.groupBy("period", "payment_method").agg(F.count("*").alias("tx_count"))
     total = F.sum("tx_count").over(Window.partitionBy("period"))
     share = money.percent(F.col("tx_count"), total)
     return mix.select("period", "payment_method", "tx_count", share.alias("share_pct")).orderBy(
@@ -133,27 +140,34 @@ def payment_mix_closed(t: SalesTables, w: CampaignWindows) -> DataFrame:
 
 
 def category_mix_wide(t: SalesTables, w: CampaignWindows) -> DataFrame:
-    """Every category that was ever sold, with its event-day and baseline revenue side by side."""
+    """Every category that was ever sold, with its event-day and baseline revenue side by side.
+
+    The sums read the days of the two windows only. Which products were ever sold is a question about
+    products: it needs no header.
+    """
     on_event = F.when(F.col("transaction_date") == F.lit(w.event_day), F.col("net_cents")).otherwise(0)
     in_base = F.when(_within(w.baseline), F.col("net_cents")).otherwise(0)
-    by_product = (
-        t.lines.join(t.headers.select("transaction_id", "transaction_date"), "transaction_id")
+    days = _within(w.baseline) | (F.col("transaction_date") == F.lit(w.event_day))
+    sums = (
+        _lines_where(t, days)
         .groupBy("product_id")
         .agg(F.sum(on_event).alias("bf"), F.sum(in_base).alias("base"))
     )
+    sold = t.lines.select("product_id").distinct()
+    by_product = sold.join(sums, "product_id", "left").join(t.products.select("product_id", "category"), "product_id")
+    zero = F.lit(0).cast("long")
     return (
-        by_product.join(t.products.select("product_id", "category"), "product_id")
-        .groupBy("category")
-        .agg(money.amount(F.sum("bf")).alias("bf_revenue"), money.amount(F.sum("base")).alias("baseline_revenue"))
+        by_product.groupBy("category")
+        .agg(
+            money.amount(F.coalesce(F.sum("bf"), zero)).alias("bf_revenue"),
+            money.amount(F.coalesce(F.sum("base"), zero)).alias("baseline_revenue"),
+        )
         .orderBy(F.desc("bf_revenue"), "category")
     )
 
 
 def category_mix_long(t: SalesTables, w: CampaignWindows) -> DataFrame:
-    windows = {"baseline": w.baseline, "campaign": w.campaign}
-    headers = t.headers.select(
-        "transaction_id", labels.period(F.col("transaction_date"), windows).alias("period")
-    ).where(F.col("period").isin(*windows))
+    headers = _headers_in(t, {"baseline": w.baseline, "campaign": w.campaign}).select("transaction_id", "period")
     by_product = (
         t.lines.join(headers, "transaction_id").groupBy("product_id", "period").agg(F.sum("net_cents").alias("net_cents"))
     )
@@ -210,46 +224,69 @@ def campaign_kpis(t: SalesTables, w: CampaignWindows) -> DataFrame:
     )
 
 
+def _days_of_windows(t: SalesTables, w: CampaignWindows) -> DataFrame:
+    """One row per day of any window: amounts, those of the promoted categories, transactions and mobile ones.
+
+    Lines are read once. They meet the headers of the windows, then the promoted products, and are added up per
+    transaction before they are counted per day.
+    """
+    open_window = (w.open_start, None)
+    days = _within(w.baseline) | _within(w.campaign) | _within(open_window) | (F.col("transaction_date") == F.lit(w.event_day))
+    promoted = t.products.where(F.col("category").isin(*w.promoted)).select("product_id", F.lit(True).alias("promoted"))
+    lines = _lines_where(t, days).join(promoted, "product_id", "left")
+    mobile = (F.lower("payment_method") == w.mobile_method).cast("int")
+    per_transaction = lines.groupBy("transaction_id", "transaction_date", mobile.alias("mobile")).agg(
+        F.sum("net_cents").alias("net_cents"),
+        F.sum("discount_cents").alias("discount_cents"),
+        F.sum("gross_cents").alias("gross_cents"),
+        F.sum(F.when(F.col("promoted"), F.col("net_cents"))).alias("promoted_cents"),
+    )
+    return per_transaction.groupBy("transaction_date").agg(
+        *[F.sum(c).alias(c) for c in ("net_cents", "discount_cents", "gross_cents", "promoted_cents", "mobile")],
+        F.count("*").alias("tickets"),
+    )
+
+
 def campaign_signals(t: SalesTables, w: CampaignWindows) -> DataFrame:
-    """The four expected signals with the figures that confirm or refute them."""
-    uplift = campaign_uplift(t, w).select(
-        F.lit("bf_revenue_spike").alias("signal"),
-        F.lit("up").alias("direction"),
-        F.col("baseline_daily").cast("double").alias("baseline_value"),
-        F.col("bf_revenue").cast("double").alias("campaign_value"),
-    )
-    ratio = discount_ratio_by_period(t, w).select(
-        F.lit("discount_ratio_up").alias("signal"),
-        F.lit("up").alias("direction"),
-        F.col("baseline_discount_pct").alias("baseline_value"),
-        F.col("campaign_discount_pct").alias("campaign_value"),
-    )
-
-    def value(condition: Column, column: str) -> Column:
-        return F.max(F.when(condition, F.col(column))).cast("double")
-
-    mobile = F.col("payment_method") == w.mobile_method
-    share = payment_mix_open(t, w).agg(
-        value(mobile & (F.col("period") == "baseline"), "share_pct").alias("baseline_value"),
-        value(mobile & (F.col("period") == "campaign_plus"), "share_pct").alias("campaign_value"),
-    )
-    share = share.select(
-        F.lit("mobile_payment_share_up").alias("signal"), F.lit("up").alias("direction"), "baseline_value", "campaign_value"
-    )
-    # The mix report compares absolute revenue, and promotion lowers prices, so the promoted categories are
-    # held against their own daily baseline and not against the other categories.
-    promoted = category_mix_wide(t, w).where(F.col("category").isin(*w.promoted))
-    per_day = money.divided(F.sum("baseline_revenue"), F.lit(w.baseline_days))
-    shift = promoted.agg(
-        F.round(per_day, 2).cast("double").alias("baseline_value"),
-        F.sum("bf_revenue").cast("double").alias("campaign_value"),
-    )
-    shift = shift.select(
-        F.lit("category_mix_shift").alias("signal"),
-        F.lit("_and_".join(w.promoted) + "_up").alias("direction"),
-        "baseline_value",
-        "campaign_value",
-    )
-    all_signals = uplift.unionByName(ratio).unionByName(share).unionByName(shift)
+    """The four expected signals with the figures that confirm or refute them, all from one row per day.
+
+    The mix report compares absolute revenue, and promotion lowers prices, so the promoted categories are
+    held against their own daily baseline and not against the other categories.
+    """
+    base, campaign, opened = _within(w.baseline), _within(w.campaign), _within((w.open_start, None))
+    on_event = F.col("transaction_date") == F.lit(w.event_day)
+
+    def total(days: Column, column: str) -> Column:
+        return F.sum(F.when(days, F.col(column)))
+
+    def per_day(days: Column, column: str) -> Column:
+        return F.round(money.divided(total(days, column), F.lit(w.baseline_days)), 0)
+
+    def share(days: Column) -> Column:
+        mobile = total(days, "mobile")
+        return F.when(mobile > 0, money.percent(mobile, total(days, "tickets")))
+
+    figures = {
+        ("bf_revenue_spike", "up"): (money.amount(per_day(base, "net_cents")), money.amount(total(on_event, "net_cents"))),
+        ("discount_ratio_up", "up"): (F.round(100 * _ratio_mean(base), 2), F.round(100 * _ratio_mean(campaign), 2)),
+        ("mobile_payment_share_up", "up"): (share(base), share(opened)),
+        ("category_mix_shift", "_and_".join(w.promoted) + "_up"): (
+            money.amount(per_day(base, "promoted_cents")),
+            money.amount(total(on_event, "promoted_cents")),
+        ),
+    }
+    names = [(f"before{i}", f"after{i}") for i in range(len(figures))]
+    one_row = _days_of_windows(t, w).agg(
+        *[value.cast("double").alias(name) for pair, both in zip(names, figures.values()) for name, value in zip(pair, both)]
+    )
+    signals = [
+        F.struct(
+            F.lit(signal).alias("signal"),
+            F.lit(direction).alias("direction"),
+            F.col(before).alias("baseline_value"),
+            F.col(after).alias("campaign_value"),
+        )
+        for (signal, direction), (before, after) in zip(figures, names)
+    ]
     risen = F.coalesce(F.col("campaign_value") > F.col("baseline_value"), F.lit(False))
-    return all_signals.withColumn("ok", risen)
+    return one_row.select(F.inline(F.array(*signals))).withColumn("ok", risen)
