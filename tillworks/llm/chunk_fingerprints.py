@@ -137,7 +137,7 @@ def _in_ranges(docs: DataFrame) -> DataFrame:
     texts = whole_texts(docs).withColumn("place", F.xxhash64("text"))
     n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select(F.col("doc_id").cast("double").alias("id")).where("id is not null")
-    cuts = sorted(set(ids.approxQuantile("id", [i / n for i in range(1, n)], 0.4 / n)))
+    cuts = sorted(set(ids.approxQuantile("id", [i / n for i in range(1, n)], 0.4 / n))) or [0.0]
     number = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf")))
     ranges = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="id", outputCol="range")
     return ranges.transform(texts.withColumn("id", number)).drop("id")
