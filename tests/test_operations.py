@@ -5,6 +5,8 @@ from datetime import date
 from fixtures import CUSTOMERS, line, tables, tx
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
+from tillworks.sources.parquet_mapping import parquet_tables
 from tillworks.operators import loading
 from tillworks.operators.quality import split_valid
 from tillworks.plans import operations
@@ -43,7 +45,7 @@ def test_load_appends_and_reports_its_rows(spark, tmp_path):
 
     def run() -> int:
         fact = files.read_parquet_or_empty(spark, path, schemas.WAREHOUSE_FACT)
-        return loading.run_load(path, fact, loading.load_day(fact, t.transactions, t.sales_items, DAY))
+        return loading.run_load(path, loading.load_day(fact, t.transactions, t.sales_items, DAY))
 
     assert run() == 2
     assert run() == 0
@@ -96,6 +98,62 @@ def test_checked_append_keeps_bad_lines_apart(spark, tmp_path):
     assert [(r.sales_item_id, r.broken_rules) for r in rejected.collect()] == [(2, ["positive_quantity"])]
 
 
+def test_checked_append_knows_parents_copies_and_earlier_runs(spark, tmp_path):
+    t = tables(spark, [tx(1, DAY)], [line(1, 1, 1, "5.00"), line(2, 9, 1, "6.00"), line(3, 1, 99, "7.00"), line(4, 1, 2, "1.00"), line(4, 1, 2, "2.00")])
+    items = t.sales_items.select(schemas.SALES_ITEMS.names)
+    paths = str(tmp_path / "items"), str(tmp_path / "rejected")
+    for _ in range(2):
+        kept = operations.append_checked(items, *paths, parents={"transaction_id": t.transactions, "product_id": t.products})
+        assert [r.sales_item_id for r in kept.collect()] == [1]
+        rejected = spark.read.parquet(paths[1]).collect()
+        assert sorted((r.sales_item_id, *r.broken_rules) for r in rejected) == [
+            (2, "transaction_id_known"), (3, "product_id_known"), (4, "unique_id"), (4, "unique_id"),
+        ]
+
+
+def _parquet_copy(spark, folder, **changes):
+    """The smallest tables with some of them changed."""
+    for name in "region nation customer part orders lineitem".split():
+        df = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        changes.get(name, lambda x: x)(df).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_quality_sees_faults_in_parquet_tables(spark, tmp_path):
+    def orders(df):
+        return df.withColumn("o_custkey", F.when(F.col("o_orderkey") == df.first().o_orderkey, 10**9).otherwise(F.col("o_custkey")))
+
+    def lineitem(df):
+        one = df.limit(1)
+        return df.unionByName(one.withColumn("l_quantity", F.lit(0.0))).unionByName(one.withColumn("l_orderkey", F.lit(10**9).cast("long")))
+
+    folder = _parquet_copy(spark, tmp_path, orders=orders, lineitem=lineitem)
+    report = queries()["quality_report"](spark, folder)
+    failed = {(r.table_name, r.rule, r.column_name): r.failures for r in report.where("failures > 0").collect()}
+    assert failed == {
+        ("stg_transactions", "relationship", "customer_id"): 1,
+        ("stg_transactions", "not_null", "store_id"): 1,
+        ("stg_sales_items", "positive_quantity", "quantity"): 1,
+        ("stg_sales_items", "not_null", "unit_price"): 1,
+        ("stg_sales_items", "relationship", "transaction_id"): 1,
+    }
+
+
+def test_line_ids_stay_when_other_lines_come(spark, tmp_path):
+    before = parquet_tables(spark, "/root/testdata/sf0.001").sales_items.select("transaction_id", "sales_item_id")
+    more = lambda df: df.unionByName(df.where("l_orderkey % 7 = 0").withColumn("l_linenumber", F.lit(99)))
+    after = parquet_tables(spark, _parquet_copy(spark, tmp_path, lineitem=more)).sales_items
+    assert before.join(after, "sales_item_id", "left_anti").count() == 0
+    assert after.select("sales_item_id").distinct().count() == after.count()
+
+
+def test_loads_read_only_the_days_they_load(spark):
+    for name in ("etl_load_day", "etl_load_month"):
+        plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        scans = [x for x in plan.split("FileScan")[1:] if "orders.parquet" in x]
+        assert scans and all("GreaterThanOrEqual(o_orderdate,1997-11" in x.split("ReadSchema")[0] for x in scans), name
+
+
 def test_models_and_refreshes(spark, tmp_path):
     t = tables(spark, [tx(1, DAY, method="CARD"), tx(2, date(2025, 2, 3))], [line(1, 1, 1, "5.00"), line(2, 2, 1, "6.00")])
     marts = operations.build_models(t, str(tmp_path))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tillworks.functions.money import presented
 from pyspark.sql import functions as F
 
+from tillworks.functions.money import presented
 from tillworks.operators.preparation import random_split, with_stratified_split
 from tillworks.plans import campaign, customers, features, learning, models, operations, revenue
 from tillworks.sources.parquet_mapping import lines_in_time, parquet_tables
@@ -18,6 +18,7 @@ from tillworks.sources.tables import SalesTables
 Query = Callable[[SparkSession, str], DataFrame]
 WINDOWS = campaign.TABLES_1997
 LOAD_DAY, LOAD_MONTH, STORED_QUARTER = date(1997, 11, 28), (1997, 11), (1997, 4)
+KNOWN_UNTIL = date(1997, 11, 14)
 SEGMENTS = ["automobile", "building", "furniture", "household", "machinery"]
 PAYMENT_METHODS = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low"]
 
@@ -35,7 +36,7 @@ def _in_windows(plan: Callable) -> Query:
 
 def _on_load(plan: Callable) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return presented(plan(parquet_tables(spark, sf_dir), lines_in_time(spark, sf_dir)))
+        return presented(plan(parquet_tables(spark, sf_dir), partial(lines_in_time, spark, sf_dir)))
 
     return run
 
@@ -89,6 +90,7 @@ CAMPAIGN = {
 }
 
 OPERATIONS = {
+    "dim_date_upsert": lambda t: operations.new_days_of_month(t, *LOAD_MONTH, known_until=KNOWN_UNTIL),
     "partitioned_fact": lambda t: operations.quarter_revenue(t, *STORED_QUARTER),
     "quality_report": lambda t: operations.quality(t, SEGMENTS, PAYMENT_METHODS),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillworks.functions import calendar, money
@@ -22,8 +22,8 @@ def load_range(fact: DataFrame, transactions: DataFrame, sales_items: DataFrame,
     """New fact rows of the days ``first`` to ``last``.
 
     The guard is the pair (transaction, product), not the line: a pair that occurs twice in one batch
-    loads twice, a pair that was loaded before never loads again. Days are compared as dates, so the range
-    reaches the scans of the transactions and of the fact.
+    loads twice, a pair that was loaded before never loads again. The fact is looked up in the days of the load only:
+    a transaction whose date was corrected afterwards is not recognised in its old day.
     """
     days = F.col("transaction_date").between(F.lit(first), F.lit(last))
     lines = transactions.where(days).join(sales_items, "transaction_id")
@@ -74,9 +74,8 @@ def new_calendar_days(dim_date: DataFrame, days: DataFrame, column: str = "trans
     return insert_if_absent(dim_date, seen, ["date_id"])
 
 
-def run_load(fact_path: str, fact: DataFrame, fresh: DataFrame) -> int:
-    """Appends the new rows and returns their number; a failed job commits nothing."""
-    spark = fresh.sparkSession
-    before = fact.count()
-    fresh.write.mode("append").parquet(fact_path)
-    return spark.read.schema(fact.schema).parquet(fact_path).count() - before
+def run_load(fact_path: str, fresh: DataFrame) -> int:
+    """Appends the new rows and returns their number, counted while they are written; a failed job commits nothing."""
+    written = Observation()
+    fresh.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(fact_path)
+    return written.get["rows"]

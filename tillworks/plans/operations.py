@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -11,38 +12,53 @@ from tillworks.functions import calendar
 from tillworks.operators import loading
 from tillworks.operators.quality import TableRules, quality_report, split_valid
 from tillworks.plans import customers, models, revenue
-from tillworks.session import scratch_table
-from tillworks.sources.files import append_table, as_view, replace_partitions, replace_table, write_by_quarter
+from tillworks.session import scratch_table, stored
+from tillworks.sources.files import (
+    append_table,
+    as_view,
+    read_parquet_or_empty,
+    replace_partitions,
+    replace_table,
+    write_by_quarter,
+)
 from tillworks.sources.tables import SalesTables
 
 
+# Lines of orders from the first to the last day that had arrived in time.
+InTime = Callable[[date, date], DataFrame]
+
+
 def _staged(t: SalesTables) -> DataFrame:
     return t.transactions.withColumn("payment_method", F.lower("payment_method"))
 
 
-def loaded_before(t: SalesTables, in_time: DataFrame) -> DataFrame:
+def loaded_before(in_time: DataFrame) -> DataFrame:
     """The fact as an earlier run left it, when only the lines of ``in_time`` had arrived."""
-    return (
-        in_time.select("transaction_id", "product_id")
-        .join(t.headers.select("transaction_id", "transaction_date"), "transaction_id")
-        .select("transaction_id", "product_id", calendar.date_id(F.col("transaction_date")).alias("date_id"))
-    )
+    return in_time.select("transaction_id", "product_id", calendar.date_id(F.col("transaction_date")).alias("date_id"))
 
 
-def _load(t: SalesTables, in_time: DataFrame, first: date, last: date) -> DataFrame:
-    transactions = _staged(t)
+def _load(t: SalesTables, in_time: InTime, first: date, last: date) -> DataFrame:
+    """Both sides are cut down to the days before they meet: the headers, the lines of these, and the fact."""
     of_range = t.headers.where(F.col("transaction_date").between(F.lit(first), F.lit(last)))
-    return loading.load_range(loaded_before(t, in_time), transactions, t.sales_items_of(of_range), first, last)
+    return loading.load_range(loaded_before(in_time(first, last)), _staged(t), t.sales_items_of(of_range), first, last)
 
 
-def load_day(t: SalesTables, in_time: DataFrame, day: date) -> DataFrame:
+def load_day(t: SalesTables, in_time: InTime, day: date) -> DataFrame:
     return _load(t, in_time, day, day)
 
 
-def load_month(t: SalesTables, in_time: DataFrame, year: int, month: int) -> DataFrame:
+def load_month(t: SalesTables, in_time: InTime, year: int, month: int) -> DataFrame:
     return _load(t, in_time, *loading.month_range(year, month))
 
 
+def new_days_of_month(t: SalesTables, year: int, month: int, known_until: date) -> DataFrame:
+    """Calendar rows for the sales days of a month that a date dimension up to ``known_until`` does not hold."""
+    first, last = loading.month_range(year, month)
+    day = F.col("transaction_date")
+    known = models.dim_date(t.headers.where(day.between(F.lit(first), F.lit(known_until))))
+    return loading.new_calendar_days(known, t.headers.where(day.between(F.lit(first), F.lit(last))))
+
+
 def build_models(t: SalesTables, folder: str) -> dict[str, DataFrame]:
     """Staging models become views, marts become tables that are written in full."""
     base = folder.rstrip("/")
@@ -64,33 +80,70 @@ def refresh_store_months(t: SalesTables, path: str) -> DataFrame:
     return replace_partitions(revenue.monthly_store_summary(t), path, "year_num", "month_num")
 
 
-def append_checked(items: DataFrame, path: str, rejected_path: str) -> DataFrame:
-    """Appends the sales lines that pass the value rules; the others go to a table of their own."""
+def append_checked(
+    items: DataFrame, path: str, rejected_path: str, parents: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """Appends the sales lines that pass the value rules, have their parents and are not there yet.
+
+    What is in a table already is not appended again, so a second run changes nothing. Lines that break a rule (an id that
+    occurs twice in ``items`` is one) go with the rules' names to a table of their own.
+    ``parents`` maps a key column to the frame that has to hold its values in a column of the same name.
+    """
     rules = {
         "has_keys": F.col("sales_item_id").isNotNull() & F.col("transaction_id").isNotNull() & F.col("product_id").isNotNull(),
         "positive_quantity": F.col("quantity") > 0,
         "positive_price": F.col("unit_price") > 0,
         "discount_range": F.col("discount_pct").between(0, 100),
     }
-    valid, rejected = split_valid(items, rules)
-    append_table(rejected, rejected_path)
-    return append_table(valid, path)
+    checked = items
+    for key, frame in (parents or {}).items():
+        known = frame.select(key).distinct().withColumn(f"_{key}_known", F.lit(True))
+        checked = checked.join(known, key, "left")
+        rules[f"{key}_known"] = F.col(f"_{key}_known")
+    repeated = items.groupBy("sales_item_id").agg((F.count("*") == 1).alias("_once"))
+    checked = checked.join(repeated, "sales_item_id", "left")
+    rules["unique_id"] = F.col("_once")
+    valid, rejected = split_valid(checked, rules)
+    judged = stored(valid.withColumn("broken_rules", F.array().cast("array<string>")).unionByName(rejected))
+    judged = judged.select(*items.columns, "broken_rules")
+    passed = judged.where(F.size("broken_rules") == 0).select(*items.columns)
+    failed = judged.where(F.size("broken_rules") > 0).distinct()
+    append_table(_absent(failed, rejected_path, [*items.columns, "broken_rules"]), rejected_path)
+    return append_table(_absent(passed, path, ["sales_item_id"]), path)
+
+
+def _absent(rows: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """Rows that the table does not hold yet; compared by a digest of the keys, which may be NULL."""
+    there = read_parquet_or_empty(rows.sparkSession, path, rows.schema)
+    digest = F.sha2(F.to_json(F.struct(*keys)), 256)
+    known = there.select(digest.alias("_digest")).distinct()
+    return rows.withColumn("_digest", digest).join(known, "_digest", "left_anti").drop("_digest")
 
 
 def quarter_revenue(t: SalesTables, year: int, quarter: int) -> DataFrame:
-    """Writes the fact by quarter and reads one quarter back; the filter selects folders, not rows."""
-    stored = write_by_quarter(models.fct_sales(t.sales_items, t.transactions), scratch_table(t.lines.sparkSession, "fact"))
+    """Writes a quarter of the fact to its folder and reads it back; the filter selects folders, not rows."""
+    day = F.col("transaction_date")
+    first = date(year, 3 * quarter - 2, 1)
+    after = date(year + quarter // 4, 3 * quarter % 12 + 1, 1)
+    wanted = (day >= F.lit(first)) & (day < F.lit(after))
+    headers = t.headers.where(wanted)
+    fact = models.fct_sales(t.sales_items_of(headers), t.transactions.where(wanted))
+    by_quarter = write_by_quarter(fact, scratch_table(t.lines.sparkSession, "fact"))
     return (
-        stored.where((F.col("year") == year) & (F.col("quarter") == quarter))
+        by_quarter.where((F.col("year") == year) & (F.col("quarter") == quarter))
         .groupBy("year", "quarter", "store_id")
         .agg(F.sum("net_amount").alias("revenue"), F.count("*").alias("line_count"))
     )
 
 
 def quality(t: SalesTables, segments: list[str], payment_methods: list[str]) -> DataFrame:
-    """Key, reference and value rules over the five tables, their staging models and the fact."""
-    stg_transactions, stg_items = models.stg_transactions(t.transactions), models.stg_sales_items(t.sales_items)
-    fact = models.fct_sales(t.sales_items, t.transactions)
+    """Key, reference and value rules over the five tables, their staging models and the fact.
+
+    The source lines are read once: the numbered lines and the fact made of them are stored, and the rules
+    read the columns they need from there.
+    """
+    stg_transactions, stg_items = stored(models.stg_transactions(t.transactions)), stored(models.stg_sales_items(t.sales_items))
+    fact = stored(models.fct_sales(stg_items, stg_transactions))
     quantity, pct = F.col("quantity"), F.col("discount_pct")
     consistent = F.col("gross_amount") - F.col("discount_amount") == F.col("net_amount")
     return quality_report(

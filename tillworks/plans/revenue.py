@@ -23,8 +23,10 @@ def monthly_store_revenue(t: SalesTables) -> DataFrame:
 
 
 def _by_product(t: SalesTables) -> DataFrame:
-    """Sums per product name and category, added up by product id before the names are joined."""
-    sums = t.lines.groupBy("product_id").agg(
+    """Sums per product name and category of the lines that have a header, added up by product id before the names
+    are joined."""
+    sold = t.lines.join(t.headers.select("transaction_id"), "transaction_id", "left_semi")
+    sums = sold.groupBy("product_id").agg(
         F.sum("net_cents").alias("net_cents"), F.sum("quantity").alias("units")
     )
     named = sums.join(t.products.select("product_id", "product_name", "category"), "product_id")

@@ -8,9 +8,10 @@ other lines come or go.
 
 from __future__ import annotations
 
+from datetime import date
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillworks.sources.tables import SalesTables, with_amounts
@@ -89,7 +90,8 @@ def _transactions(headers: DataFrame, customer: DataFrame) -> DataFrame:
     homes = customer.select(
         F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").cast("long").alias("store_id")
     )
-    return headers.join(homes, "customer_id").select(
+    # an order of an unknown customer stays, without a store: the quality report counts it
+    return headers.join(homes, "customer_id", "left").select(
         "transaction_id", "transaction_date", "customer_id", "store_id", "payment_method"
     )
 
@@ -144,10 +146,17 @@ def parquet_tables(spark: SparkSession, folder: str) -> SalesTables:
     )
 
 
-def lines_in_time(spark: SparkSession, folder: str) -> DataFrame:
-    """The (transaction, product) pairs whose line was shipped no later than the order day."""
-    lineitem, orders = _read(spark, folder, "lineitem"), _read(spark, folder, "orders")
-    joined = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+def lines_in_time(spark: SparkSession, folder: str, first: date, last: date) -> DataFrame:
+    """(transaction, product, day) of the lines shipped no later than their order day, for orders of some days."""
+    orders = _read(spark, folder, "orders").where(_day_between("o_orderdate", first, last))
+    lines = _read(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
+    joined = lines.join(orders.select("o_orderkey", "o_orderdate"), lines.l_orderkey == orders.o_orderkey)
     return joined.where(F.col("l_shipdate") <= F.col("o_orderdate")).select(
-        F.col("l_orderkey").alias("transaction_id"), F.col("l_partkey").alias("product_id")
+        F.col("l_orderkey").alias("transaction_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("o_orderdate").cast("date").alias("transaction_date"),
     )
+
+
+def _day_between(column: str, first: date, last: date) -> Column:
+    return F.col(column).cast("date").between(F.lit(first), F.lit(last))
