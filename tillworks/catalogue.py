@@ -128,6 +128,11 @@ LEARNING = {
     "dbscan_counts": lambda t: learning.dbscan_counts(learning.dbscan_labels(_points(t))),
     "clustering_metrics": learning.clustering_metrics,
     "cluster_assignments": learning.cluster_assignments,
+    "cluster_sizes": learning.cluster_sizes,
+    "projections_with_clusters": learning.projections_with_clusters,
+    "dbscan_silhouette": learning.dbscan_silhouette,
+    "class_supports": learning.class_supports,
+    "fold_sizes": learning.fold_sizes,
     "pca_projections": lambda t: learning.pca_projections(_points(t)),
     "pca_variance": lambda t: learning.pca_variance(_points(t)),
     "cross_validation": learning.cross_validation,

@@ -6,24 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.functions.hashing import hash_number
-from tillworks.operators.ordering import number_within
+from tillworks.operators.ordering import number_within, with_position
 
 TEST_PERCENT = 20
 
 
 def with_label_codes(df: DataFrame, columns: list[str], labels_from: DataFrame | None = None) -> DataFrame:
-    """``<column>_encoded``: place of the value in the sorted list of values, counted from 0.
+    """``<column>_encoded``: place of the value in the sorted list of values, counted from 0; NULL has none.
 
-    The lists come from one pass with partial sets, over ``labels_from`` where a smaller frame with the
-    same values is at hand. Meant for attributes with few values (segments, regions, categories).
+    The distinct values, of ``labels_from`` where a smaller frame with the same values is at hand, are numbered
+    and joined back: any number of values will do.
     """
     source = df if labels_from is None else labels_from
-    lists = source.agg(F.struct(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]).alias("labels"))
-    codes = df.withColumn("_labels", lists.scalar())
-    places = [
-        (F.array_position(F.col(f"_labels.{c}"), F.col(c)) - 1).cast("int").alias(f"{c}_encoded") for c in columns
-    ]
-    return codes.select(*df.columns, *places)
+    coded = df
+    for c in columns:
+        labels = source.select(F.col(c).alias("_label")).where("_label IS NOT NULL").distinct()
+        codes = with_position(labels, ["_label"], "_code")
+        joined = coded.join(codes, coded[c] == codes["_label"], "left").drop("_label")
+        coded = joined.withColumn(f"{c}_encoded", (F.col("_code") - 1).cast("int")).drop("_code")
+    return coded
 
 
 def random_split(key: str) -> Column:

@@ -487,6 +487,55 @@ labels AS (
 """
 
 
+def _power_iteration(component: int) -> str:
+    """The component's direction and eigenvalue from the matrix that the components before it have left."""
+    k = component
+    return f"""walk{k} AS (
+  SELECT 0 AS i, m, [1.0, 0.8, 0.6, 0.7, 0.9]::DOUBLE[] AS v FROM left{k}
+  UNION ALL
+  SELECT i + 1, m, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w)))
+  FROM (SELECT i, m, list_transform(m, lambda r: list_dot_product(r, v)) AS w FROM walk{k} WHERE i < 3000)),
+found{k} AS (
+  SELECT m, v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS value
+  FROM walk{k} WHERE i = 3000),
+left{k + 1} AS (
+  SELECT list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - value * v[i] * v[j])) AS m FROM found{k})"""
+
+
+CORRELATION = "[" + ", ".join(
+    "[" + ", ".join(f"sum({a} * {b}) / count(*)" for b in VALUE_COLUMNS) + "]" for a in VALUE_COLUMNS
+) + "]"
+COMPONENTS = (
+    f"{SCALED}, left1 AS (SELECT {CORRELATION} AS m FROM scaled), "
+    + ", ".join(_power_iteration(k) for k in range(1, len(VALUE_COLUMNS) + 1))
+    + ", components AS ("
+    + " UNION ALL ".join(f"SELECT {k} AS component, v, value FROM found{k}" for k in range(1, len(VALUE_COLUMNS) + 1))
+    + """), signed AS (
+  SELECT component, value, list_transform(v, lambda x: x * sign(list_max(v) + list_min(v))) AS v FROM components)
+"""
+)
+PROJECTED = ", ".join(
+    f"round(list_dot_product([{', '.join(VALUE_COLUMNS)}], (SELECT v FROM signed WHERE component = {k})), 6) AS pc{k}"
+    for k in (1, 2)
+)
+# Silhouette with squared distances: the mean distance of a point to a cluster of n points with sum s and squared sum q
+# is |x|^2 + q / n - 2 x s / n.
+SILHOUETTE = f"""{DENSITY}, member AS (
+  SELECT s.customer_id, dbscan_cluster AS c, [{", ".join(VALUE_COLUMNS)}] AS x FROM scaled s JOIN labels USING (customer_id)
+  WHERE dbscan_cluster <> -1),
+cluster AS (
+  SELECT c, count(*) AS n, sum(list_dot_product(x, x)) AS q, [{", ".join(f"sum(x[{i}])" for i in range(1, 6))}] AS s
+  FROM member GROUP BY c),
+distance AS (
+  SELECT customer_id, m.c AS own, k.c AS other, k.n,
+         list_dot_product(x, x) + q / k.n - 2 * list_dot_product(x, s) / k.n AS d FROM member m JOIN cluster k ON true),
+sides AS (
+  SELECT customer_id, max(CASE WHEN own = other THEN n END) AS n,
+         max(CASE WHEN own = other THEN d * n / nullif(n - 1, 0) END) AS a, min(CASE WHEN own <> other THEN d END) AS b
+  FROM distance GROUP BY customer_id)
+"""
+
+
 def hash_number(key: str) -> str:
     return f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT)"
 
@@ -517,6 +566,22 @@ LEARNING = {
                count(*) OVER (PARTITION BY segment) AS size FROM customers)
         SELECT customer_id, segment, CASE WHEN place * 200 <= size * 40 + 100 THEN 'test' ELSE 'train' END AS split
         FROM drawn""",
+    "class_supports": f"""{CODES}, drawn AS (
+        SELECT customer_id, segment_code, row_number() OVER (
+                 PARTITION BY segment_code ORDER BY {hash_number('customer_id')}, customer_id) AS place,
+               count(*) OVER (PARTITION BY segment_code) AS size
+        FROM (SELECT DISTINCT customer_id, segment_code FROM coded) buyers)
+        SELECT segment_code AS segment_encoded,
+        CASE WHEN place * 200 <= size * 40 + 100 THEN 'test' ELSE 'train' END AS split, count(*) AS customers
+        FROM drawn GROUP BY 1, 2""",
+    "fold_sizes": f"""SELECT fold, count(*) AS line_count, {dbl('sum(net_amount)')} AS revenue FROM (
+        SELECT CAST(ntile(5) OVER (ORDER BY sales_item_id) AS INT) AS fold, net_amount FROM sales_items) folds GROUP BY 1""",
+    "pca_variance": f"""{COMPONENTS} SELECT CAST(component AS INT) AS component,
+        round(value / sum(value) OVER (), 6) AS explained_ratio,
+        round(sum(value) OVER (ORDER BY component) / sum(value) OVER (), 6) AS cumulative_ratio FROM signed""",
+    "pca_projections": f"{COMPONENTS} SELECT customer_id, {PROJECTED} FROM scaled",
+    "dbscan_silhouette": f"""{SILHOUETTE} SELECT CASE WHEN count(DISTINCT b) > 0 THEN
+        round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) END AS silhouette FROM sides""",
     "scaled_customer_values": f"{SCALED} SELECT * FROM scaled",
     "dbscan_clusters": f"{DENSITY} SELECT customer_id, dbscan_cluster FROM labels",
     "dbscan_counts": f"""{DENSITY} SELECT count(DISTINCT CASE WHEN dbscan_cluster >= 0 THEN dbscan_cluster END)

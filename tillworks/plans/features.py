@@ -32,11 +32,8 @@ def line_features(t: SalesTables) -> DataFrame:
     """Eleven features per sales line, the segment code and the amount to predict."""
     flat = models.flat_sales(t, with_ids=True)
     day = F.col("transaction_date")
-    coded = with_label_codes(
-        flat,
-        ["customer_segment", "category", "customer_city", "store_region", "payment_method"],
-        labels_from=models.flat_sales(t),
-    )
+    names = models.flat_sales(t).select("customer_segment", "category", "customer_city", "store_region", "payment_method")
+    coded = with_label_codes(flat, names.columns, labels_from=stored(names.distinct()))
     return coded.select(
         "sales_item_id",
         "quantity",

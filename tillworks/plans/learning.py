@@ -10,6 +10,7 @@ from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
@@ -81,24 +82,24 @@ def regression_frame(t: SalesTables) -> DataFrame:
     return _with_vectors(_training_frame(lines, "sales_item_id"), LINE_FEATURES)
 
 
-def _forest_regressor(trees: int) -> RandomForestRegressor:
-    """All features compete in every split, as in the single-machine library."""
+def _forest_regressor(trees: int, depth: int = FOREST_DEPTH) -> RandomForestRegressor:
+    """All features compete in every split, as in the single-machine library. ``depth``: up to 30, Spark's limit."""
     return RandomForestRegressor(
         labelCol="net_amount",
         numTrees=trees,
-        maxDepth=FOREST_DEPTH,
+        maxDepth=depth,
         featureSubsetStrategy="all",
         maxMemoryInMB=FOREST_MEMORY_MB,
         seed=SEED,
     )
 
 
-def _regressors() -> dict[str, object]:
+def _regressors(depth: int = FOREST_DEPTH) -> dict[str, object]:
     common = {"labelCol": "net_amount"}
     return {
         "Linear Regression": LinearRegression(featuresCol="scaled", solver="normal", regParam=0.0, **common),
         "Decision Tree": DecisionTreeRegressor(maxDepth=6, seed=SEED, **common),
-        "Random Forest": _forest_regressor(100),
+        "Random Forest": _forest_regressor(100, depth),
         "Gradient Boosting": GBTRegressor(maxIter=100, maxDepth=3, stepSize=0.1, seed=SEED, **common),
     }
 
@@ -116,10 +117,10 @@ def _fit_all(estimators: dict, train: DataFrame, test: DataFrame) -> tuple[dict,
     return fitted, test, columns
 
 
-def regression(t: SalesTables) -> DataFrame:
+def regression(t: SalesTables, forest_depth: int = FOREST_DEPTH) -> DataFrame:
     """MAE, RMSE and R2 of four models that predict the net amount of a line."""
     frame = regression_frame(t)
-    _, judged, columns = _fit_all(_regressors(), frame.where("split = 'train'"), frame.where("split = 'test'"))
+    _, judged, columns = _fit_all(_regressors(forest_depth), frame.where("split = 'train'"), frame.where("split = 'test'"))
     return evaluation.regression_metrics(judged, "net_amount", columns)
 
 
@@ -138,7 +139,7 @@ def classification_frame(t: SalesTables) -> DataFrame:
     return _with_vectors(_training_frame(customers, "customer_id"), CUSTOMER_FEATURES)
 
 
-def _classifiers(train_rows: int) -> dict[str, object]:
+def _classifiers(train_rows: int, depth: int = FOREST_DEPTH) -> dict[str, object]:
     """The penalty 1 / rows makes the mean-loss objective equal to a unit weight on the summed loss."""
     common = {"labelCol": "segment_encoded"}
     return {
@@ -147,16 +148,16 @@ def _classifiers(train_rows: int) -> dict[str, object]:
         ),
         "Decision Tree": DecisionTreeClassifier(maxDepth=5, seed=SEED, **common),
         "Random Forest": RandomForestClassifier(
-            numTrees=100, maxDepth=FOREST_DEPTH, maxMemoryInMB=FOREST_MEMORY_MB, seed=SEED, **common
+            numTrees=100, maxDepth=depth, maxMemoryInMB=FOREST_MEMORY_MB, seed=SEED, **common
         ),
     }
 
 
-def classification(t: SalesTables) -> DataFrame:
+def classification(t: SalesTables, forest_depth: int = FOREST_DEPTH) -> DataFrame:
     """Accuracy and per-class figures of three models that predict the customer segment."""
     frame = classification_frame(t)
     train, test = frame.where("split = 'train'"), frame.where("split = 'test'")
-    _, judged, columns = _fit_all(_classifiers(train.count()), train, test)
+    _, judged, columns = _fit_all(_classifiers(train.count(), forest_depth), train, test)
     return evaluation.classification_metrics(evaluation.confusion_counts(judged, "segment_encoded", columns))
 
 
@@ -263,14 +264,97 @@ def pca_projections(points: DataFrame) -> DataFrame:
     def projected(weights: list[float]):
         return sum((F.col(c) * F.lit(w) for c, w in zip(VALUE_FEATURES[1:], weights[1:])), F.col(VALUE_FEATURES[0]) * weights[0])
 
-    return points.select("customer_id", *[projected(w).alias(f"pc{i}") for i, w in enumerate(loadings, 1)])
+    return points.select("customer_id", *[F.round(projected(w), 6).alias(f"pc{i}") for i, w in enumerate(loadings, 1)])
 
 
 def pca_variance(points: DataFrame) -> DataFrame:
     """Explained share per component and its running total."""
     _, shares = _components(points, len(VALUE_FEATURES))
     rows = points.sparkSession.createDataFrame(list(enumerate(shares, 1)), "component int, explained_ratio double")
-    return rows.withColumn("cumulative_ratio", F.sum("explained_ratio").over(Window.orderBy("component")))
+    running = F.sum("explained_ratio").over(Window.orderBy("component"))
+    return rows.select(
+        "component", F.round("explained_ratio", 6).alias("explained_ratio"), F.round(running, 6).alias("cumulative_ratio")
+    )
+
+
+def class_supports(t: SalesTables) -> DataFrame:
+    """Customers per segment code in the training and the test part: what the classification report is about."""
+    customers = with_stratified_split(stored(customer_features(t)), "segment_encoded", "customer_id")
+    return customers.groupBy("segment_encoded", "split").agg(F.count("*").alias("customers"))
+
+
+def fold_sizes(t: SalesTables, folds: int = 5) -> DataFrame:
+    """Lines and their net amount per cross-validation fold."""
+    lines = with_ntiles(t.sales_items.select("sales_item_id", "net_cents"), folds, {"fold": ["sales_item_id"]})
+    return lines.groupBy("fold").agg(F.count("*").alias("line_count"), (F.sum("net_cents") / 100.0).alias("revenue"))
+
+
+def cluster_sizes(t: SalesTables) -> DataFrame:
+    """Customers per cluster of both clusterings; -1 is the noise of the density clustering."""
+    points = stored(scaled_values(t))
+    parts = [
+        labels.groupBy(F.col(column).alias("cluster")).agg(F.count("*").alias("customers")).select(F.lit(name).alias("model"), "*")
+        for name, column, labels in (
+            ("K-Means", "kmeans_cluster", kmeans_labels(points)),
+            ("DBSCAN", "dbscan_cluster", dbscan_labels(points)),
+        )
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def projections_with_clusters(t: SalesTables) -> DataFrame:
+    """First two components of every customer with both cluster numbers."""
+    points = stored(scaled_values(t))
+    both = pca_projections(points).join(kmeans_labels(points), "customer_id").join(dbscan_labels(points), "customer_id")
+    return both.select("customer_id", "pc1", "pc2", "kmeans_cluster", "dbscan_cluster")
+
+
+#: What ``write_outputs`` leaves, and the columns that have to be there.
+OUTPUTS = {
+    "metrics": ["task", "model", "metric", "value"],
+    "feature_importance": ["feature", "importance"],
+    "cluster_assignments": ["customer_id", *VALUE_FEATURES, "kmeans_cluster", "dbscan_cluster"],
+    "projections": ["customer_id", "pc1", "pc2", "kmeans_cluster", "dbscan_cluster"],
+}
+
+
+def write_outputs(t: SalesTables, folder: str, forest_depth: int = FOREST_DEPTH) -> dict[str, str]:
+    """Runs the learning jobs and writes their results, JSON for the metrics and parquet for the rest; name -> path."""
+    base = folder.rstrip("/")
+    paths = {name: f"{base}/{name}" for name in OUTPUTS}
+    metrics = evaluation.union_metrics(regression(t, forest_depth), classification(t, forest_depth), clustering_metrics(t))
+    write_json(metrics.select(*OUTPUTS["metrics"]), paths["metrics"])
+    for name, made in (
+        ("feature_importance", feature_importance(t)),
+        ("cluster_assignments", cluster_assignments(t)),
+        ("projections", projections_with_clusters(t)),
+    ):
+        made.write.mode("overwrite").parquet(paths[name])
+    return paths
+
+
+def check_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per expected output: whether it is there with its columns, and how many rows it has."""
+    rows = []
+    for name, columns in OUTPUTS.items():
+        reader = spark.read.json if name == "metrics" else spark.read.parquet
+        try:
+            found = reader(f"{folder.rstrip('/')}/{name}")
+            rows.append((name, set(columns) <= set(found.columns), found.count()))
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            rows.append((name, False, 0))
+    checked = spark.createDataFrame(rows, "output string, complete boolean, row_count long")
+    return checked.withColumn("ok", F.col("complete") & (F.col("row_count") > 0))
+
+
+def dbscan_silhouette(t: SalesTables) -> DataFrame:
+    """Mean silhouette (squared distances) of the clustered points of the density clustering."""
+    points = stored(scaled_values(t))
+    labelled = points.join(dbscan_labels(points), "customer_id").where("dbscan_cluster <> -1")
+    value = _silhouette(stored(labelled), "dbscan_cluster")
+    return points.sparkSession.createDataFrame([(None if value is None else round(value, 6),)], "silhouette double")
 
 
 def cross_validation(t: SalesTables, folds: int = 5) -> DataFrame:
