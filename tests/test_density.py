@@ -63,3 +63,34 @@ def test_connected_components_of_a_path_and_a_star(spark):
     nodes = spark.createDataFrame([(i,) for i in [*range(1, 41), *range(100, 160), 500]], "u long")
     got = {r.u: r.root for r in connected_components(nodes, edges).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 160)}, 500: 500}
+
+
+def test_candidate_pairs_follow_the_neighbours(spark):
+    """Each halving looks at a bounded number of pairs for every pair of cells that are neighbours in the end."""
+    ids, x = clustered(4, 3, 900)
+    boxes = density._Boxes(3, 0.5)
+    frame = spark.createDataFrame([(int(i), [float(v) for v in r]) for i, r in zip(ids, x)], "id long, x array<double>")
+    placed = frame.withColumn("cell", boxes.key(0))
+    corner = lambda f: density.F.array(*[f(density.F.col("x")[i]) for i in range(3)])
+    cells = placed.groupBy("cell").agg(density.F.min("id").alias("cell_id"), corner(density.F.min).alias("lo"), corner(density.F.max).alias("hi"))
+    cells = density.stored(cells)
+    pairs = density.stored(density._neighbour_cells(cells, boxes))
+    found = {frozenset((r.a_cell_id, r.b_cell_id)) for r in pairs.collect()}
+    assert len(found) == pairs.count()
+    all_cells = cells.collect()
+    gap = lambda a, b: sum(max(0, p - q, s - t) ** 2 for p, q, s, t in zip(a.lo, b.hi, b.lo, a.hi))
+    want = {frozenset((a.cell_id, b.cell_id)) for a in all_cells for b in all_cells if a.cell_id < b.cell_id and gap(a, b) <= 0.25}
+    assert found == want
+    level_one = density._coarse(cells, boxes, 1)
+    own = density._side(level_one, "a").select("a_box").withColumn("b_box", density.F.col("a_box"))
+    upper = pairs.select(*[density.F.transform(c, lambda k: density.F.shiftright(k, 1)).alias(n) for c, n in (("a_cell", "a_box"), ("b_cell", "b_box"))])
+    upper = upper.distinct().unionByName(own).distinct()
+    assert density._children(upper, density._coarse(cells, boxes, 0)).count() <= 8 * (len(want) + len(all_cells))
+
+
+def test_components_of_a_hub_beside_many_small_ones(spark):
+    edges = [(0, i) for i in range(1, 3000)] + [(10_000 + 2 * i, 10_001 + 2 * i) for i in range(3000)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    nodes = df.select("u").union(df.select("v")).distinct().toDF("u")
+    roots = connected_components(nodes, df).groupBy("root").count().collect()
+    assert {r["count"] for r in roots} == {3000, 2} and len(roots) == 3001

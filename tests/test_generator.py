@@ -66,3 +66,16 @@ def test_case_shows_the_expected_signals(spark, case):
     expected = {r.signal: r.expected_direction for r in expected_signals(spark).collect()}
     assert {s: r.direction for s, r in got.items()} == expected
     assert all(r.ok for r in got.values()), got
+
+
+def test_case_with_odd_sizes_keeps_products_and_ids(spark, monkeypatch):
+    monkeypatch.setattr(generator, "CASE_DAILY", (1500, 1500))
+    config = GeneratorConfig(
+        customers=10, products=61, stores=2, transactions=0, start_date=date(2025, 11, 1), end_date=date(2025, 11, 2), seed=1
+    )
+    t = case_tables(spark, config)
+    assert t.products.count() == 61 and t.products.select("category").distinct().count() == 6
+    assert t.transactions.count() == 3000 == t.transactions.select("transaction_id").distinct().count()
+    assert t.sales_items.select("sales_item_id").distinct().count() == t.sales_items.count()
+    few = GeneratorConfig(products=4, customers=5, stores=1, transactions=0, start_date=date(2025, 11, 1), end_date=date(2025, 11, 1))
+    assert case_tables(spark, few).sales_items.count() > 0

@@ -204,17 +204,20 @@ def test_quarter_filter_prunes_folders(spark, tmp_path):
 
 
 def test_streamed_lines_load_once(spark, tmp_path):
-    t = tables(spark, [tx(1, DAY), tx(2, DAY)], [line(1, 1, 1, "5.00"), line(2, 2, 3, "6.00")])
-    inbox, fact, progress = (str(tmp_path / n) for n in ("inbox", "fact", "progress"))
+    t = tables(spark, [tx(1, DAY), tx(2, DAY)], [line(1, 1, 1, "5.00"), line(2, 2, 3, "6.00"), line(3, 1, 4, "1.00")])
+    inbox, fact, pending, progress = (str(tmp_path / n) for n in ("inbox", "fact", "pending", "progress"))
+    headers = {"now": t.transactions.where("transaction_id = 1")}
 
     def run():
         stream = nightly.line_stream(spark, inbox)
-        nightly.append_new_lines(stream, t.transactions, fact, progress).awaitTermination()
+        nightly.append_new_lines(stream, lambda: headers["now"], fact, pending, progress).awaitTermination()
         return sorted(r.sales_key for r in spark.read.parquet(fact).collect())
 
     items = t.sales_items.select(schemas.SALES_ITEMS.names)
     items.where("sales_item_id = 1").write.mode("append").option("header", True).csv(inbox)
     assert run() == [1]
-    items.write.mode("append").option("header", True).csv(inbox)
-    assert run() == [1, 2]
-
+    items.where("sales_item_id < 3").write.mode("append").option("header", True).csv(inbox)
+    assert run() == [1]  # the second line's header has not come yet
+    headers["now"] = t.transactions
+    items.where("sales_item_id = 3").write.mode("append").option("header", True).csv(inbox)
+    assert run() == [1, 2, 3]

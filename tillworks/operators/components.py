@@ -8,23 +8,36 @@ from pyspark.sql import functions as F
 from tillworks.session import stored
 
 
-def _smallest_neighbour(links: DataFrame) -> DataFrame:
-    """Per node the smaller of itself and its smallest neighbour (a partial minimum, then one row per node)."""
-    return links.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+# A node with more than this share of all links is looked up by broadcast: there are at most 2,000 such nodes.
+HOT_SHARE = 1 / 1000
+
+
+def _with_smallest(links: DataFrame) -> DataFrame:
+    """Links (u, v) with m, the smaller of u and its smallest neighbour.
+
+    The smallest neighbours come from partial minima, so a node with very many links is one row per task. Its links
+    do not meet under its key either: they get m from the short list of such nodes, where they are.
+    """
+    smallest = stored(links.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("degree")))
+    total = smallest.agg(F.coalesce(F.sum("degree"), F.lit(0))).first()[0]
+    hot = smallest.where(F.col("degree") > total * HOT_SHARE).select("u", F.col("m").alias("hot_m"))
+    looked_up = links.join(F.broadcast(hot), "u", "left")
+    others = looked_up.where("hot_m IS NULL").select("u", "v").join(smallest.select("u", "m"), "u")
+    return looked_up.where("hot_m IS NOT NULL").select("u", "v", F.col("hot_m").alias("m")).unionByName(others)
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Larger neighbours of each node are linked to the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return both.join(_smallest_neighbour(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _with_smallest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Smaller neighbours of each node, and the node, are linked to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    smallest = _smallest_neighbour(down)
-    moved = down.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(smallest.select("u", F.col("m").alias("v")))
+    told = _with_smallest(down)
+    moved = told.select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(told.select("u", F.col("m").alias("v")))
 
 
 def _fingerprint(edges: DataFrame) -> tuple:

@@ -11,8 +11,7 @@ always decided. The number of cells, not of points, bounds the pairs.
 from __future__ import annotations
 
 from functools import reduce
-from itertools import product
-from math import ceil, sqrt
+from math import sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,24 +78,44 @@ class _Boxes:
         return self.nearest((a, a), (b, b)) <= self.reach
 
 
+def _coarse(cells: DataFrame, boxes: _Boxes, level: int) -> DataFrame:
+    """Boxes of 2^level cells a side: box, above (the box of the next level), bounds, and a cell_id for level 0."""
+    key = F.transform("cell", lambda k: F.shiftright(k, level))
+    corners = [
+        F.array(*[f(F.col(name)[i]) for i in range(boxes.dimensions)]).alias(name) for name, f in (("lo", F.min), ("hi", F.max))
+    ]
+    grouped = cells.groupBy(key.alias("box")).agg(F.min("cell_id").alias("cell_id"), *corners)
+    return grouped.withColumn("above", _parent(F.col("box")))
+
+
+def _side(boxes_of_level: DataFrame, side: str) -> DataFrame:
+    return boxes_of_level.select(*[F.col(c).alias(f"{side}_{c}") for c in boxes_of_level.columns])
+
+
+def _children(pairs: DataFrame, finer: DataFrame) -> DataFrame:
+    """Pairs of the boxes inside each pair of boxes; two in one box come in one order, and a box also with itself."""
+    joined = pairs.select(F.col("a_box").alias("a_above"), F.col("b_box").alias("b_above"))
+    joined = joined.join(_side(finer, "a"), "a_above").join(_side(finer, "b"), "b_above")
+    return joined.where((F.col("a_above") != F.col("b_above")) | (F.col("a_box") <= F.col("b_box")))
+
+
 def _neighbour_cells(cells: DataFrame, boxes: _Boxes) -> DataFrame:
     """Unordered pairs of different cells whose boxes come within reach.
 
-    Cells are matched through blocks wide enough that only adjacent blocks matter. A block holds a fixed
-    number of cells at most, so no block is crowded.
+    The search begins with boxes so coarse that there are two in each dimension at most, and goes down only into
+    pairs of boxes that come within reach: the work follows the pairs that are found.
     """
-    width, d = ceil(sqrt(boxes.dimensions)), boxes.dimensions
-    block = F.transform("cell", lambda c: F.floor(c / F.lit(width)))
-    ahead = [o for o in product((-1, 0, 1), repeat=d) if o >= (0,) * d]
-    offsets = F.array(*[F.array(*[F.lit(step).cast("long") for step in o]) for o in ahead])
-    left = cells.select(*[F.col(c).alias(f"a_{c}") for c in ("cell_id", "cell", "lo", "hi")], block.alias("block"))
-    right = cells.select(
-        *[F.col(c).alias(f"b_{c}") for c in ("cell_id", "cell", "lo", "hi")], F.explode(offsets).alias("o"), block.alias("at")
-    ).withColumn("block", F.zip_with("at", "o", lambda p, q: p - q))
-    same = F.forall("o", lambda step: step == 0)
-    pairs = left.join(right, "block").where(~same | (F.col("a_cell_id") < F.col("b_cell_id")))
+    ends = cells.agg(F.min(F.array_min("cell")), F.max(F.array_max("cell"))).first()
+    level = 0 if ends[0] is None else int(ends[1] - ends[0]).bit_length()
+    top = _coarse(cells, boxes, level).withColumn("above", F.array(F.lit(0).cast("long")))
+    pairs = _side(top, "a").join(_side(top, "b"), F.col("a_above") == F.col("b_above")).where("a_box <= b_box")
     close = boxes.nearest(("a_lo", "a_hi"), ("b_lo", "b_hi")) <= boxes.reach
-    return pairs.where(close).select("a_cell_id", "a_cell", "b_cell_id", "b_cell")
+    pairs = pairs.where(close)
+    while level:
+        level -= 1
+        pairs = stored(_children(pairs, _coarse(cells, boxes, level)).where(close))
+    different = pairs.where(F.col("a_box") != F.col("b_box"))
+    return different.select("a_cell_id", F.col("a_box").alias("a_cell"), "b_cell_id", F.col("b_box").alias("b_cell"))
 
 
 def _count_neighbours(located: DataFrame, pairs: DataFrame, boxes: _Boxes, min_points: int) -> DataFrame:

@@ -60,6 +60,10 @@ CASE_SIGNALS = [
 ]
 
 
+IDS_PER_DAY = 1_000_000_000
+
+
+# The default sizes, windows and seeds of both scenarios.
 @dataclass(frozen=True)
 class GeneratorConfig:
     customers: int = 300
@@ -123,12 +127,13 @@ def _base_products(spark: SparkSession, c: GeneratorConfig) -> DataFrame:
 
 
 def _case_products(spark: SparkSession, c: GeneratorConfig) -> DataFrame:
-    """Equal numbers of products per category, each with the price range of its category."""
-    key, each = F.col("product_id"), c.products // len(CATEGORIES)
-    place = F.floor((key - 1) / each).cast("int") + 1
+    """Products dealt over the categories in runs of equal length (the last ones may be one longer), each with the price
+    range of its category."""
+    key, n = F.col("product_id"), len(CATEGORIES)
+    place = F.floor((key - 1) * n / c.products).cast("int") + 1
     low = F.element_at(F.array(*[F.lit(CASE_PRICES[name][0]) for name in CATEGORIES]), place)
     high = F.element_at(F.array(*[F.lit(CASE_PRICES[name][1]) for name in CATEGORIES]), place)
-    return _ids(spark, each * len(CATEGORIES), "product_id").select(
+    return _ids(spark, c.products, "product_id").select(
         "product_id",
         _numbered("CaseProduct ", "product_id", 3).alias("product_name"),
         F.element_at(F.array(*[F.lit(name) for name in CATEGORIES]), place).alias("category"),
@@ -224,7 +229,8 @@ def case_tables(spark: SparkSession, c: GeneratorConfig = CASE_CONFIG) -> SalesT
     usual = weighted_choice(key, f"{c.seed}:payment:", PAYMENT_METHODS, CASE_WEIGHTS)
     shifted = weighted_choice(key, f"{c.seed}:payment:", PAYMENT_METHODS, CASE_SHIFTED_WEIGHTS)
     payment = F.when(day >= F.lit(CASE_SHIFT_FROM), shifted).otherwise(usual)
-    headers = slots.select((F.col("day_no") * 1000 + F.col("n")).alias("transaction_id"), "day").select(
+    # days count from zero and slots from one; a day's ids end where the next day's begin
+    headers = slots.select((F.col("day_no") * IDS_PER_DAY + F.col("n")).alias("transaction_id"), "day").select(
         *_header(c, day, payment)
     )
 
