@@ -81,20 +81,32 @@ def customer_features(t: SalesTables) -> DataFrame:
     """Eight features per customer and the segment code.
 
     Medians and modes are taken from counts per (customer, value): at most as many rows per customer as
-    there are categories, or store and payment combinations, however many lines it has.
+    there are categories, or store and payment combinations, however many lines it has. Lines meet the headers
+    once, added up by transaction and product.
     """
+    of_lines = ["net_cents", "line_count", "units", "pct_points"]
+    per_product = t.lines.groupBy("transaction_id", "product_id").agg(
+        F.sum("net_cents").alias("net_cents"),
+        F.count("*").alias("line_count"),
+        F.sum("quantity").alias("units"),
+        F.sum("discount_pct").alias("pct_points"),
+    )
+    headers = t.transactions.select("transaction_id", "customer_id", "store_id", F.lower("payment_method").alias("payment"))
+    bought = stored(per_product.join(headers, "transaction_id"))
     by_place = stored(
-        models.totals_with_stores(t)
+        bought.groupBy("transaction_id", "customer_id", "store_id", "payment")
+        .agg(*[F.sum(c).alias(c) for c in of_lines])
         .withColumn("tickets", F.lit(1))
-        .groupBy("customer_id", "store_id", F.lower("payment_method").alias("payment"))
+        .groupBy("customer_id", "store_id", "payment")
         .agg(*[F.sum(c).alias(c) for c in _SUMS])
         .join(t.stores.select("store_id", "region"), "store_id")
     )
     by_category = stored(
-        t.lines.join(t.products.select("product_id", "category"), "product_id")
-        .join(t.headers.select("transaction_id", "customer_id"), "transaction_id")
+        bought.groupBy("customer_id", "product_id")
+        .agg(F.sum("line_count").alias("n"))
+        .join(t.products.select("product_id", "category"), "product_id")
         .groupBy("customer_id", "category")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     places = with_label_codes(by_place, ["payment", "region"])
     sums = places.groupBy("customer_id").agg(
