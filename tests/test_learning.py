@@ -42,8 +42,10 @@ def test_customer_features_on_literal_counts(spark):
 
 def test_label_codes_are_alphabetical(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "s string")
-    got = preparation.with_label_codes(df, ["s"]).collect()
-    assert [(r.s, r.s_encoded) for r in got] == [("b", 1), ("a", 0), ("c", 2), ("a", 0)]
+    coded = preparation.with_label_codes(df.union(df.selectExpr("CAST(NULL AS STRING)")), ["s"])
+    got = sorted({(r.s, r.s_encoded) for r in coded.collect()}, key=repr)
+    assert got == [("a", 0), ("b", 1), ("c", 2), (None, None)] and coded.count() == 8
+    assert "collect_set" not in coded._jdf.queryExecution().toString()
 
 
 def test_scaling_uses_the_population_deviation(spark):
@@ -141,3 +143,20 @@ def test_cross_validation_summary(sales, monkeypatch):
     folds = [got[f"R2_fold_{i}"] for i in range(1, 6)]
     assert abs(got["R2_mean"] - np.mean(folds)) < 1e-3 and abs(got["R2_std"] - np.std(folds)) < 1e-3
     assert min(folds) > 0.9
+
+
+def test_outputs_are_written_and_checked(spark, sales, tmp_path):
+    missing = learning.check_outputs(spark, str(tmp_path / "none")).collect()
+    assert {r.output for r in missing if not r.ok} == set(learning.OUTPUTS)
+    folder = str(tmp_path / "outputs")
+    learning.write_outputs(sales, folder, forest_depth=4)
+    checked = {r.output: r for r in learning.check_outputs(spark, folder).collect()}
+    assert set(checked) == set(learning.OUTPUTS) and all(r.ok for r in checked.values())
+    customers = sales.transactions.select("customer_id").distinct().count()
+    assert checked["cluster_assignments"].row_count == checked["projections"].row_count == customers
+
+
+def test_cluster_sizes_add_up(sales):
+    sizes = learning.cluster_sizes(sales).groupBy("model").sum("customers").collect()
+    customers = sales.transactions.select("customer_id").distinct().count()
+    assert {r["sum(customers)"] for r in sizes} == {customers} and len(sizes) == 2
