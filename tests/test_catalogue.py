@@ -67,7 +67,7 @@ def test_ranks_are_trimmed_before_the_shuffle(spark):
 
 
 def test_no_report_uses_a_nested_loop_join_or_a_python_worker(spark):
-    for name in sorted(set(ORACLES) - {"dbscan_clusters", "dbscan_counts"}):
+    for name in sorted(set(ORACLES) - {"dbscan_clusters", "dbscan_counts", "dbscan_silhouette"}):
         plan = pushed(QUERIES[name](spark, SF_DIR))
         for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "ArrowEvalPython", "BatchEvalPython"):
             assert bad not in plan, (name, bad)
