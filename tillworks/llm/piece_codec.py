@@ -168,7 +168,9 @@ class Encoder:
             search = StreamingEncoder(self.table)
             search.begun = True
             search._read(MARK, True)
-            found = np.array([*search.feed(word), *search.finish()], dtype=np.uint32)
+            for letter in word:  # nothing needs to be committed before the end of a word
+                search._read(letter, letter != MARK)
+            found = np.array(search.finish(), dtype=np.uint32)
             self.memory.put(word, found)
         return found
 
