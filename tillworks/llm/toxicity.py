@@ -2,7 +2,8 @@
 
 *Lexicon.* From labelled texts Spark counts, per word, in how many toxic and clean ones it stands. Words that are
 frequent enough and almost only in toxic texts become terms. Beginnings that many different words share, again almost
-only in toxic texts, become stems. Both lists are bounded by the support they need.
+only in toxic texts, become stems. Of these stay the ones that are the best entry of some toxic texts: words that
+only stand beside better ones explain nothing. Both lists are bounded by the support they need.
 
 *Matching.* The terms form a trie. Its product with the Levenshtein automaton of the word at hand (one edit for terms of
 five letters and more) is run letter by letter; states of the product are made when first met and kept, so a word
@@ -25,6 +26,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from math import log
+from statistics import median
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.llm.common import mapped, text_slices, whole_texts
+from tillworks.llm.simhash import shingle_hashes
 from tillworks.llm.word_ids import Remembered
 from tillworks.session import stored
 
@@ -210,11 +213,23 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """text and toxic of at most ``sample`` labelled rows that are not held out."""
+    """text and toxic of at most ``sample`` labelled rows that are not held out, one of each set of near copies."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    return whole_texts(docs).join(F.broadcast(chosen), "doc_id").select("text", "toxic")  # at most ``sample`` ids
+    texts = whole_texts(docs).join(F.broadcast(chosen), "doc_id").select("text", "toxic")  # at most ``sample`` ids
+    marked = mapped(texts, _with_copy_key, "text string, toxic int, copy long")
+    return stored(marked.dropDuplicates(["copy", "toxic"]).drop("copy"))
+
+
+def _with_copy_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the smallest hash of three words in a row: mostly the same for near copies, which are one witness, not many."""
+    for batch in batches:
+        keys = []
+        for text in batch.column("text").to_pylist():
+            blocks = [block.min() for block in shingle_hashes(text.encode(), 3)]
+            keys.append(int(min(blocks)) >> 1 if blocks else 0)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=["text", "toxic", "copy"])
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -277,11 +292,39 @@ def learned_lexicon(texts: DataFrame, counts: DataFrame, share: float) -> Lexico
     in_texts = mapped(texts, _stems_in(hopeful), "stem string, toxic int").groupBy("stem").agg(
         F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")
     )
-    found = _telling(in_texts.where(enough).collect(), share, stems.agg(tried).first()[0])
+    stem_rows = in_texts.where(enough).collect()
+    found = _telling(stem_rows, share, stems.agg(tried).first()[0])
     # the shortest of the stems that begin each other says it all
     found = {s for s in found if not any(s[:n] in found for n in range(min(STEM_LETTERS), len(s)))}
-    terms = _telling(counts.where(enough).select("word", "toxic", "clean").collect(), share, counts.agg(tried).first()[0])
-    return Lexicon(sorted(t for t in terms if not any(t[:n] in found for n in STEM_LETTERS)), sorted(found))
+    term_rows = counts.where(enough).select("word", "toxic", "clean").collect()
+    terms = _telling(term_rows, share, counts.agg(tried).first()[0])
+    terms = {t for t in terms if not any(t[:n] in found for n in STEM_LETTERS)}
+
+    # Words that only keep company with better ones (those of a toxic text with copies, say) explain no text.
+    support = {row[0]: row["toxic"] for row in [*stem_rows, *term_rows] if row[0] in found or row[0] in terms}
+    every = Lexicon(sorted(terms), sorted(found))
+    best = mapped(texts.where("toxic = 1"), _best_entries(every, support), "entry string").distinct()
+    needed = {row["entry"] for row in best.collect()}
+    if needed:  # entries as frequent as those are no mere company either
+        usual = median(support[entry] for entry in needed)
+        needed |= {entry for entry, n in support.items() if n >= usual / 4}
+    return Lexicon(sorted(terms & needed), sorted(found & needed))
+
+
+def _best_entries(lexicon: Lexicon, support: dict[str, int]):
+    """Of every text, the entry in it that stands in the most toxic texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best = []
+            for text in batch.column("text").to_pylist():
+                words = set(_WORD.findall(text.lower()))
+                found = {s for word in words for s in lexicon.stems_of(word)} | (words & support.keys())
+                if found:
+                    best.append(max(found, key=lambda entry: (support[entry], entry)))
+            yield pa.RecordBatch.from_arrays([pa.array(best, pa.string())], names=["entry"])
+
+    return run
 
 
 @dataclass
