@@ -132,15 +132,16 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def _in_ranges(docs: DataFrame) -> DataFrame:
-    """doc_id, text, place (a tie-break) and range: the number of the range of doc_ids that the row lies in."""
+def _in_ranges(docs: DataFrame) -> tuple[DataFrame, int]:
+    """doc_id, text, place (a tie-break) and range: the number of the range of doc_ids that the row lies in; and how
+    many ranges there are."""
     texts = whole_texts(docs).withColumn("place", F.xxhash64("text"))
     n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select(F.col("doc_id").cast("double").alias("id")).where("id is not null")
     cuts = sorted(set(ids.approxQuantile("id", [i / n for i in range(1, n)], 0.4 / n))) or [0.0]
     number = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf")))
     ranges = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="id", outputCol="range")
-    return ranges.transform(texts.withColumn("id", number)).drop("id")
+    return ranges.transform(texts.withColumn("id", number)).drop("id"), len(cuts) + 1
 
 
 def _with_guests(rows: DataFrame) -> DataFrame:
@@ -196,7 +197,9 @@ def _fingerprint_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per document: its fingerprint, its edited text's, and how far they and the next document's agree."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = _with_guests(_in_ranges(docs)).repartition(partitions, "range")
+    ranged, n = _in_ranges(docs)
+    # neighbouring ranges share a partition, and every partition gets as many of them
+    rows = _with_guests(ranged).repartitionById(partitions, F.floor(F.col("range") * partitions / n).cast("int"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return mapped(
         rows.sortWithinPartitions("range", "guest", "doc_id", "place"),
