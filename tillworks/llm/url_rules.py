@@ -134,6 +134,7 @@ def url_verdicts(
     in_rules = F.array_intersect("tokens", F.array(*[F.lit(t) for t in sorted(known)]).cast("array<string>"))
     told = told.withColumn("tokens", F.array_sort(in_rules))
     open_ones = told.where("verdict is null").groupBy("tokens").agg(F.count("*").alias("urls"))
-    best = _best_by_tokens(open_ones, found)
+    # stored: of known size for the join, and its rows are dealt for it anew, so that a common set can be split
+    best = stored(_best_by_tokens(open_ones, found))
     verdict = reduce(F.coalesce, [F.col("verdict"), F.col("mined"), F.lit(default)])
     return told.join(best, "tokens", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"))
