@@ -154,3 +154,38 @@ def test_one_of_each_group_keeps_rows_without_id(messy):
     assert kept.columns == messy.columns
     # rows without words are one group; repeated rows stay together
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([1, 3, 6, 8, 8, 9, 10, None], key=repr)
+
+
+def test_similar_sets_alone_decide_in_short_texts(spark):
+    """Of 8 words inside 9 (4 shingles of 5) and of texts that share 7 shingles of 9 the estimates err both ways."""
+    rows = []
+    for n in range(1500):
+        words = [f"w{n}x{i}" for i in range(9)]
+        rows.append((4 * n, " ".join(words)))
+        rows.append((4 * n + 1, " ".join(words[:8])))
+        seven = [f"v{n}x{i}" for i in range(13)]
+        rows.append((4 * n + 2, " ".join(seven[:12])))  # 8 shingles
+        rows.append((4 * n + 3, " ".join([*seven[:11], "other"])))  # shares 7 of 9
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.keep_id for r in simhash.similar_groups(docs).select("keep_id").distinct().collect()}
+    assert kept == {4 * n + k for n in range(1500) for k in (0, 2, 3)}
+
+
+def test_similar_sets_equal_intersections():
+    rng = np.random.default_rng(8)
+    base = np.unique(rng.integers(0, 1 << 32, 300, dtype=np.uint32))
+    sets = [np.unique(np.concatenate([rng.permutation(base)[: rng.integers(1, 300)], rng.integers(0, 1 << 32, 20, dtype=np.uint32)])) for _ in range(200)]
+    members, plain = simhash.SimilarSets(sets, 0.8), [set(x.tolist()) for x in sets]
+    for one in range(0, 200, 7):
+        want = [len(plain[one] & x) >= 0.8 * len(plain[one] | x) for x in plain]
+        assert members.close(one, np.arange(200)).tolist() == want
+
+
+def test_similar_texts_share_a_file():
+    """With 14 bands 0.06% of such pairs would share none."""
+    rng = np.random.default_rng(9)
+    for _ in range(20_000):
+        words = [b"%d" % x for x in rng.integers(0, 1 << 40, 9)]
+        _, one, _ = simhash._sketch(b" ".join(words), 5)
+        _, other, _ = simhash._sketch(b" ".join(words[:8]), 5)
+        assert (one == other).any()
