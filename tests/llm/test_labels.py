@@ -102,6 +102,54 @@ def test_stems_and_quotations():
     assert matcher.matches("") == matcher.matches("veq ido lidiot") == {}
 
 
+def test_whole_automaton_equals_edit_distance():
+    random.seed(18)
+    terms = sorted({"".join(random.choices("abc", k=random.randint(4, 8))) for _ in range(25)})
+    stems = ["dabc", "dcca", *sorted({"d" + "".join(random.choices("abc", k=random.randint(4, 6))) for _ in range(4)})]
+    stems = [s for s in stems if not any(s != o and s.startswith(o) for o in stems)]
+    under = [s + "".join(random.choices("abcd", k=3)) for s in stems]
+    lexicon = toxicity.Lexicon(terms, stems, stem_words=under, weak=frozenset(toxicity.WEAK))
+    sorts = set()
+    for _ in range(6000):
+        word = "".join(random.choices("abcd", k=random.randint(1, 9)))
+        if random.random() < 0.5:
+            word = random.choice([*terms, *stems, *under])
+            at = random.randrange(len(word))
+            word = word[:at] + random.choice(["", "a", "d", "x" + word[at]]) + word[at + 1 :] + random.choice(["", "", "b"])
+        near = lambda entries: [e for e in entries if _distance(word, e) <= 1 and len(e) >= 5]
+        begun = [s for s in stems if word.startswith(s)]
+        begins = [s for s in stems if any(_distance(word[:k], s) <= 1 for k in range(1, len(word) + 1))]
+        longest = max(begins, key=lambda s: (len(s), s), default="")
+        if word in terms:
+            want = word, "term"
+        elif begun:
+            want = max(begun, key=len), "stem"
+        elif same := [t for t in near(terms) if t[:1] == word[:1]]:
+            want = min(same), "misspelled"
+        elif near(terms):
+            want = min(near(terms)), "first letter"
+        elif near(under):
+            want = min(near(under)), "stem word"
+        else:
+            want = (longest, "near stem" if len(longest) >= 5 else "near short stem") if longest else None
+        assert lexicon.find(word) == want, word
+        sorts.add(want and want[1])
+    assert sorts >= {*toxicity.WEAK, "misspelled", "stem", "term", None}
+
+
+def test_first_letters_and_stems_may_be_misspelled(spark, taught):
+    docs, labels = taught
+    filler = "lorem nisi tales mirum solet "
+    texts = ["xorgel", "orgel", "azorgel", "ubbit", "gtaghment", "zorgel", "graghment"]
+    asked = spark.createDataFrame([(i, filler + t + " toma rent") for i, t in enumerate(texts)], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in toxicity.toxicity_scores(asked, labels, taught_by=docs).collect()}
+    assert all(scores[i] > 0.5 for i in range(len(texts))), scores
+    # where a plain word is as near, the texts with it weigh against the match
+    common = docs.withColumn("text", toxicity.F.when(toxicity.F.col("doc_id") % 3 == 1, toxicity.F.concat("text", toxicity.F.lit(" orgel"))).otherwise(toxicity.F.col("text")))
+    scores = {r.doc_id: r.score for r in toxicity.toxicity_scores(asked, labels, taught_by=common).collect()}
+    assert scores[1] < 0.1 and scores[5] > 0.7
+
+
 @pytest.fixture(scope="module")
 def taught(spark):
     """600 texts; every third is toxic by one of four terms or by words with a common beginning."""

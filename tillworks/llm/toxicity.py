@@ -7,12 +7,15 @@ only stand beside better ones explain nothing. Both lists are bounded by the sup
 
 *Matching.* The terms form a trie. Its product with the Levenshtein automaton of the word at hand (one edit for terms of
 five letters and more) is run letter by letter; states of the product are made when first met and kept, so a word
-costs one look-up per letter until no term can follow any more.
+costs one look-up per letter until no term can follow any more. Edits that many plain words are away from a term too
+are sorts of match of their own (``WEAK``): a wrong, missing or extra first letter, an edit of a telling word that a
+stem stands for, an edit inside a stem. Texts without other matches tell what each of these is worth; a sort that is
+no more toxic than texts without any match changes no score and is no longer looked for.
 
 *Context.* A match counts in full as abuse, less where it is quoted: between quotation marks, or with a word of saying or
 naming close before it and nobody addressed. The share of toxic texts among those with a match of each sort
 (exact, stem, misspelled; used or quoted) is learned from the same labelled texts. The score of a
-text is one minus the product of the chances that each of its matches is harmless.
+text is one minus the product of the chances that each of its matches is harmless; of its weak sorts the worst counts, once.
 
 Labels teach only through rows that are not held out. Language, source and ids are never read for a score. A null text
 is the empty one; without any match a text gets the base score. Without labelled rows the lexicon is empty. Repeated
@@ -46,6 +49,8 @@ LEAST_TEXTS, PRECISION, FALSE_SHARE = 3, 0.9, 0.02
 STEM_LETTERS, STEM_WORDS = (4, 5, 6, 7, 8), 4
 EDIT_LETTERS = 5
 WINDOW = 6
+#: Edits at the first letter of a term; of a word under a stem; inside a stem of ``EDIT_LETTERS`` and more; of fewer.
+WEAK = ("first letter", "stem word", "near stem", "near short stem")
 
 # Words that announce a quotation, words that address somebody, and quotation marks.
 SAYING = set(
@@ -63,16 +68,22 @@ _WORD = re.compile(r"[^\W_]+")
 
 @dataclass
 class Lexicon:
-    """Terms and stems. ``find`` gives (entry, sort) for a lower-case word, or None."""
+    """Terms and stems. ``find`` gives (entry, sort) for a lower-case word, or None.
+
+    ``stem_words``: telling words that begin with a stem; ``weak``: the weak sorts that are looked for.
+    """
 
     terms: list[str]
     stems: list[str]
     edit_letters: int = EDIT_LETTERS
+    stem_words: list[str] = field(default_factory=list)
+    weak: frozenset[str] = frozenset()
     children: list[dict[str, int]] = field(default_factory=lambda: [{}])
     ends: list[tuple[str, str] | None] = field(default_factory=lambda: [None])
 
     def __post_init__(self) -> None:
-        for entry, sort in [*((t, "term") for t in self.terms), *((s, "stem") for s in self.stems)]:
+        kinds = (self.stem_words, "stem word"), (self.terms, "term"), (self.stems, "stem")
+        for entry, sort in [(entry, sort) for entries, sort in kinds for entry in entries]:
             node = 0
             for letter in entry:
                 if letter not in self.children[node]:
@@ -84,6 +95,7 @@ class Lexicon:
         self.states: dict[frozenset, int] = {}
         self.members: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
+        self.near: list[str | None] = []  # the longest stem that what was read may be, of those looked for
         self.start = self._state(self._closed({(0, 0)}))
 
     def _closed(self, reached: set[tuple[int, int]]) -> frozenset:
@@ -98,8 +110,14 @@ class Lexicon:
             self.states[reached] = len(self.members)
             self.members.append(reached)
             self.moves.append({})
+            stems = [self.ends[n][0] for n, _ in reached if self.ends[n] and self.ends[n][1] == "stem"]
+            stems = [stem for stem in stems if self._near_sort(stem) in self.weak]
+            self.near.append(max(stems, key=lambda stem: (len(stem), stem), default=None))
         return self.states[reached]
 
+    def _near_sort(self, stem: str) -> str:
+        return "near stem" if len(stem) >= self.edit_letters else "near short stem"
+
     def _move(self, state: int, letter: str) -> int:
         after = set()
         for node, edits in self.members[state]:
@@ -125,7 +143,7 @@ class Lexicon:
                 yield self.ends[node][0]
 
     def find(self, word: str) -> tuple[str, str] | None:
-        """An exact term first, then the longest stem, then a term one edit away."""
+        """An exact term first, then the longest stem, then a term one edit away, then the weak sorts in their order."""
         node, stem = 0, None
         for i, letter in enumerate(word):
             node = self.children[node].get(letter, -1)
@@ -134,19 +152,28 @@ class Lexicon:
             end = self.ends[node]
             if end and end[1] == "stem":
                 stem = end
-            if end and i == len(word) - 1:
+            if end and i == len(word) - 1 and end[1] != "stem word":
                 return end
         if stem:
             return stem
-        state = self.start
+        state, near = self.start, ""
         for letter in word:
             moves = self.moves[state]
             state = moves[letter] if letter in moves else self._move(state, letter)
             if not self.members[state]:
-                return None
-        close = [self.ends[n] for n, _ in self.members[state] if self.ends[n]]
-        close = [e[0] for e in close if e[1] == "term" and len(e[0]) >= self.edit_letters and e[0][:1] == word[:1]]
-        return (min(close), "misspelled") if close else None
+                break
+            if (begun := self.near[state]) and (len(begun), begun) > (len(near), near):
+                near = begun
+        ends = [self.ends[n] for n, _ in self.members[state] if self.ends[n]]
+        close = [(e[0], e[1]) for e in ends if e[1] != "stem" and len(e[0]) >= self.edit_letters]
+        terms = [entry for entry, sort in close if sort == "term"]
+        if same := [entry for entry in terms if entry[:1] == word[:1]]:
+            return min(same), "misspelled"
+        if terms and "first letter" in self.weak:
+            return min(terms), "first letter"
+        if "stem word" in self.weak and (under := [entry for entry, sort in close if sort == "stem word"]):
+            return min(under), "stem word"
+        return (near, self._near_sort(near)) if near else None
 
 
 def quoted(text: str, start: int, end: int, before: list[str], after: list[str]) -> bool:
@@ -298,6 +325,7 @@ def learned_lexicon(texts: DataFrame, counts: DataFrame, share: float) -> Lexico
     found = {s for s in found if not any(s[:n] in found for n in range(min(STEM_LETTERS), len(s)))}
     term_rows = counts.where(enough).select("word", "toxic", "clean").collect()
     terms = _telling(term_rows, share, counts.agg(tried).first()[0])
+    telling = terms
     terms = {t for t in terms if not any(t[:n] in found for n in STEM_LETTERS)}
 
     # Words that only keep company with better ones (those of a toxic text with copies, say) explain no text.
@@ -308,7 +336,9 @@ def learned_lexicon(texts: DataFrame, counts: DataFrame, share: float) -> Lexico
     if needed:  # entries as frequent as those are no mere company either
         usual = median(support[entry] for entry in needed)
         needed |= {entry for entry, n in support.items() if n >= usual / 4}
-    return Lexicon(sorted(terms & needed), sorted(found & needed))
+    found &= needed
+    under = [t for t in telling if any(t[:n] in found for n in STEM_LETTERS if n < len(t))]
+    return Lexicon(sorted(terms & needed), sorted(found), stem_words=sorted(under), weak=frozenset(WEAK))
 
 
 def _best_entries(lexicon: Lexicon, support: dict[str, int]):
@@ -335,10 +365,13 @@ class Model:
     base: float
 
     def score(self, found: Counter) -> float:
-        harmless = 1.0 - self.base
+        harmless, worst = 1.0 - self.base, self.base
         for (_, sort, in_quotes), n in found.items():
-            harmless *= (1.0 - self.chances[sort, in_quotes]) ** min(n, 50)
-        return 1.0 - harmless
+            if sort in WEAK:
+                worst = max(worst, self.chances[sort, in_quotes])
+            else:
+                harmless *= (1.0 - self.chances[sort, in_quotes]) ** min(n, 50)
+        return 1.0 - (harmless * (1.0 - worst) / (1.0 - self.base) if worst > self.base else harmless)
 
 
 #: What is believed of a match before any text speaks for or against it, with the weight of two texts.
@@ -349,6 +382,14 @@ BELIEFS = {
     ("stem", True): 0.3,
     ("misspelled", False): 0.75,
     ("misspelled", True): 0.2,
+    ("first letter", False): 0.75,
+    ("first letter", True): 0.2,
+    ("stem word", False): 0.75,
+    ("stem word", True): 0.2,
+    ("near stem", False): 0.75,
+    ("near stem", True): 0.2,
+    ("near short stem", False): 0.75,
+    ("near short stem", True): 0.2,
 }
 
 
@@ -371,15 +412,30 @@ def learned_model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> M
         return Model(Lexicon([], []), dict(BELIEFS), (toxic + 0.01) / (n + 1))
     lexicon = learned_lexicon(texts, stored(word_counts(texts)), toxic / n)
     told = mapped(texts, _sorts_of(lexicon), "sorts string, toxic int")
-    rows = told.groupBy("sorts").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).collect()  # 64 at most
+    rows = told.groupBy("sorts").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).collect()  # 2^14 at most
+    split = [({(x[:-2], x[-1] == "1") for x in r["sorts"].split(",") if x}, r["n"], r["toxic"]) for r in rows]
+    strong = [({x for x in sorts if x[0] not in WEAK}, n, toxic) for sorts, n, toxic in split]
+    plain = [row for row, (firm, _, _) in zip(split, strong) if not firm]  # texts with weak matches at most
     chances = {}
-    for (sort, in_quotes), belief in BELIEFS.items():
-        alone = [r for r in rows if r["sorts"] == f"{sort}:{int(in_quotes)}"]
-        n, toxic = sum(r["n"] for r in alone), sum(r["toxic"] for r in alone)
-        chances[sort, in_quotes] = (toxic + 2 * belief) / (n + 2)
-    none = [r for r in rows if not r["sorts"]]
-    n, toxic = sum(r["n"] for r in none), sum(r["toxic"] for r in none)
-    return Model(lexicon, chances, (toxic + 0.01) / (n + 1))
+    for kind, belief in BELIEFS.items():
+        told_by = [row for row in plain if kind in row[0]] if kind[0] in WEAK else [row for row in strong if row[0] == {kind}]
+        n, toxic = _summed(told_by)
+        chances[kind] = (toxic + 2 * belief) / (n + 2)
+    base = _base(plain)
+    worth = {kind for kind in BELIEFS if kind[0] in WEAK and chances[kind] > base}
+    lexicon = Lexicon(
+        lexicon.terms, lexicon.stems, lexicon.edit_letters, lexicon.stem_words, frozenset(sort for sort, _ in worth)
+    )
+    return Model(lexicon, chances, min(base, _base([row for row in plain if not row[0] & worth])))
+
+
+def _summed(rows: list[tuple[set, int, int]]) -> tuple[int, int]:
+    return sum(n for _, n, _ in rows), sum(toxic for _, _, toxic in rows)
+
+
+def _base(rows: list[tuple[set, int, int]]) -> float:
+    n, toxic = _summed(rows)
+    return (toxic + 0.01) / (n + 1)
 
 
 def _scores(model: Model):
