@@ -53,6 +53,23 @@ def test_token_count_query(messy):
     assert token_counts.token_counts(messy.where("false"), PIECES).count() == 0
 
 
+@pytest.mark.parametrize("signs", ["漢字仮名交じり文", "ABCDEFGHabcdefgh0123456789+/=", "var;function(){}=>a.b", "e"])
+def test_long_words_hold_a_window_of_paths(monkeypatch, signs):
+    random.seed(12)
+    word = "".join(random.choices(signs, k=30_000 if len(signs) > 1 else 2_000))
+    held, read = [], piece_codec.StreamingEncoder._read
+
+    def watched(search, letter, known):
+        read(search, letter, known)
+        held.append(max(len(search.scores), len(search.steps)))
+
+    monkeypatch.setattr(piece_codec.StreamingEncoder, "_read", watched)
+    encoder = piece_codec.Encoder(PIECES)
+    (got,) = encoder.encode(pa.array([word]))
+    assert len(set(signs)) == 1 or max(held) <= 32 * encoder.table.longest  # the paths of a run of one letter do not meet
+    assert got.tolist() == piece_codec.encode(word, encoder.table) and piece_codec.decode(got.tolist(), encoder.table) == word
+
+
 def _whole_viterbi(text: str, table: piece_codec.Pieces) -> list[int]:
     """The whole search at once, all pieces at all places."""
     letters = [(c if c != " " else "▁", c != "▁") for c in " " + text] if text else []

@@ -11,7 +11,9 @@ paths with equal scores the one whose last piece is longer is taken. Characters
 would read as the mark of a space, become their UTF-8 bytes, so decoding gives back every text exactly.
 
 In a table, texts are cut where all paths meet anyway (in front of the mark of a space: no piece has it behind other
-characters), and each distinct stretch of a batch is searched once. A null text is the empty one, which has no ids;
+characters), and each distinct stretch of a batch is searched once. A stretch longer than the window (eight of the longest
+pieces) commits once per window, so a text without spaces holds the paths of what lies behind the place where they meet; only in
+repeats such as a run of one letter do they not meet, and the paths of the whole run are held. A null text is the empty one, which has no ids;
 repeated rows have equal ids; an empty table gives no rows.
 """
 
@@ -168,9 +170,16 @@ class Encoder:
             search = StreamingEncoder(self.table)
             search.begun = True
             search._read(MARK, True)
-            for letter in word:  # nothing needs to be committed before the end of a word
-                search._read(letter, letter != MARK)
-            found = np.array(search.finish(), dtype=np.uint32)
+            done, window = [], 8 * self.table.longest
+            due = window
+            for at in range(0, len(word), window):  # words of one window are certain at their end only
+                if search.at - search.committed > due:
+                    done.append(np.array(search._certain(), dtype=np.uint32))
+                    due = 2 * due if search.at - search.committed > due else window  # paths may not meet for long
+                for letter in word[at : at + window]:
+                    search._read(letter, letter != MARK)
+            done.append(np.array(search.finish(), dtype=np.uint32))
+            found = np.concatenate(done)
             self.memory.put(word, found)
         return found
 
