@@ -286,3 +286,13 @@ def test_equivalent_spellings_have_one_digest(spark):
 
 def test_license_scan_of_messy_rows(messy):
     assert license_scan.license_scan(messy).count() == len(TEXTS)
+
+
+def test_complete_texts_of_short_licenses(spark):
+    import textwrap
+
+    whole = [(name, text) for name, text in license_scan.KNOWN if len(text) > 400]
+    texts = [f"Copyright (c) 2020, Somebody\n\n{textwrap.fill(text, 70)}\n" for _, text in whole]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.license for r in license_scan.license_scan(docs).collect()} == dict(enumerate(n for n, _ in whole))
+    assert {n for n, _ in whole} == {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Zlib", "Unlicense", "Apache-2.0"}
