@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillworks.llm import (
     chunk_fingerprints,
+    divergence,
     exact_dedup,
     license_scan,
     packing,
@@ -68,6 +69,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(_documents(spark, sf_dir))
+
+
 EXACT_DEDUP_SQL = """
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 grouped AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY text)
@@ -87,6 +92,7 @@ _QUERIES = [
     op8_token_counts,
     op9_toxicity,
     op10_packing,
+    op13_source_divergence,
 ]
 
 
@@ -95,4 +101,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": license_scan.license_scan_sql(), "op6_exact_dedup": EXACT_DEDUP_SQL}
+    return {
+        "op3_license_scan": license_scan.license_scan_sql(),
+        "op6_exact_dedup": EXACT_DEDUP_SQL,
+        "op13_source_divergence": divergence.DIVERGENCE_SQL,
+    }

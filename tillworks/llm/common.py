@@ -13,6 +13,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -66,6 +67,30 @@ def text_slices(batch: pa.RecordBatch, most_bytes: int = 8 << 20) -> Iterator[pa
         start = stop
 
 
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each run of equal keys, one table per run; rows come sorted by the keys, which are not null."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        if held and any(held[-1].column(k)[-1] != batch.column(k)[0] for k in keys):
+            yield pa.Table.from_batches(held)
+            held = []
+        changes = np.zeros(n - 1, dtype=bool)
+        for k in keys:
+            column = batch.column(k)
+            changes |= pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False).astype(bool)
+        cuts = [0, *(np.flatnonzero(changes) + 1).tolist(), n]
+        for a, b in zip(cuts, cuts[1:]):
+            held.append(batch.slice(a, b - a))
+            if b < n:
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def offsets(texts: pa.Array) -> np.ndarray:
     """Byte offsets of each text in the array's data buffer, one more than there are texts."""
     wide = pa.types.is_large_string(texts.type)
