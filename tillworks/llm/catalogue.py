@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillworks.llm import (
     chunk_fingerprints,
+    collocations,
     divergence,
     exact_dedup,
     license_scan,
@@ -69,6 +70,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergences(_documents(spark, sf_dir))
 
@@ -92,6 +97,7 @@ _QUERIES = [
     op8_token_counts,
     op9_toxicity,
     op10_packing,
+    op11_collocations,
     op13_source_divergence,
 ]
 
@@ -104,5 +110,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_license_scan": license_scan.license_scan_sql(),
         "op6_exact_dedup": EXACT_DEDUP_SQL,
+        "op11_collocations": collocations.COLLOCATION_SQL,
         "op13_source_divergence": divergence.DIVERGENCE_SQL,
     }
