@@ -13,6 +13,7 @@ from tillworks.llm import (
     divergence,
     exact_dedup,
     license_scan,
+    ngram_join,
     packing,
     piece_codec,
     pii,
@@ -74,6 +75,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_documents(spark, sf_dir))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined_documents(_documents(spark, sf_dir), words=4, percent=85)
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergences(_documents(spark, sf_dir))
 
@@ -98,6 +103,7 @@ _QUERIES = [
     op9_toxicity,
     op10_packing,
     op11_collocations,
+    op12_ngram_join,
     op13_source_divergence,
 ]
 
