@@ -5,7 +5,7 @@ dictionary codes, and two groupings (per document, then per language and source)
 them up, and a language keeps the terms that enough of its documents hold.
 
 *Divergences* come from columnar shards. A shard holds some terms of a language with all their sources: a matrix of
-chances, most of whose cells are that of a count of zero. Only cells with a count are computed one by one; the
+chances, most of whose cells are that of a count of zero. A language has a shard for every ``SHARD_CELLS`` counts. Only cells with a count are computed one by one; the
 sums of all shards are added up. Where a language has very many sources, a shard is cut into tiles of sources, each of
 which meets all sources, so no task holds more than ``TILE`` rows of the matrix of pairs.
 
@@ -32,6 +32,7 @@ from tillworks.session import stored
 
 SCALE = 1_000_000_000
 TILE = 1_000
+SHARD_CELLS = 250_000  # cells (term, source) of a shard, on average
 
 _NO_LETTERS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _HELD_ROWS = 300_000
@@ -150,17 +151,17 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pairs(cells: DataFrame, totals: DataFrame) -> DataFrame:
     """lang, source, item (another source) and value."""
-    shards = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tiles = F.ceil(F.count("*").over(Window.partitionBy("lang")) / TILE).cast("int")
-    sized = stored(totals.withColumn("tiles", tiles).withColumn("zero", F.coalesce(_chance("0", "total"), F.lit(1))))
+    shards = F.greatest(F.lit(1), F.ceil(F.col("cells") / SHARD_CELLS)).cast("int")
+    sized = stored(totals.withColumn("tiles", tiles).withColumn("shards", shards).withColumn("zero", F.coalesce(_chance("0", "total"), F.lit(1))))
     tile = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile")
-    shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    shard = F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")
     own = F.pmod(F.xxhash64("source"), F.col("tiles")) == F.col("tile")
-    there = sized.select("lang", "source", "tiles", "zero", tile).select("*", shard)
+    there = sized.select("lang", "source", "shards", "tiles", "zero", tile).select("*", shard)
     there = there.select("lang", "shard", "tile", F.lit(None).cast("string").alias("term"), "source", F.col("zero").alias("p"), own.alias("own"))
-    counted = cells.where("term IS NOT NULL AND n > 0").join(sized.select("lang", "source", "total", "kept", "tiles"), ["lang", "source"])
-    dealt = counted.select("lang", F.pmod(F.xxhash64("term"), F.lit(shards)).cast("int").alias("shard"), tile, "term", "source", _chance("n", "total").alias("p"), F.lit(False).alias("own"))
-    both = there.unionByName(dealt).repartition(shards, "lang", "shard", "tile")
+    counted = cells.where("term IS NOT NULL AND n > 0").join(sized.select("lang", "source", "total", "kept", "shards", "tiles"), ["lang", "source"])
+    dealt = counted.select("lang", F.pmod(F.xxhash64("term"), F.col("shards")).cast("int").alias("shard"), tile, "term", "source", _chance("n", "total").alias("p"), F.lit(False).alias("own"))
+    both = there.unionByName(dealt).repartition("lang", "shard", "tile")
     read = both.sortWithinPartitions("lang", "shard", "tile", "term", "source")
     sums = mapped(read, _shards, "lang string, source string, item string, value long")
     return sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
@@ -185,10 +186,11 @@ def divergences(docs: DataFrame, least_docs: int = 3, ranks: int = 200) -> DataF
     )
     cells = stored(counts.where(F.col("term").isNull() | (F.col("lang_docs") >= least_docs)))
     first = F.sum((F.col("term").isNotNull() & F.col("first")).cast("long"))
-    per_source = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"), first.alias("firsts"))
+    per_source = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"), first.alias("firsts"), F.count("term").alias("own_cells"))
     over_lang = Window.partitionBy("lang")
     kept, lang_total = F.sum("firsts").over(over_lang), F.sum("total").over(over_lang)
-    totals = stored(per_source.select("lang", "source", "total", kept.alias("kept"), lang_total.alias("lang_total")))
+    in_all = [kept.alias("kept"), lang_total.alias("lang_total"), F.sum("own_cells").over(over_lang).alias("cells")]
+    totals = stored(per_source.select("lang", "source", "total", *in_all))
     chances = cells.where("term IS NOT NULL AND n > 0").join(totals, ["lang", "source"])
     told = chances.select("lang", "source", F.col("term").alias("item"), _chance("n", "total").alias("p"), _chance("lang_n", "lang_total").alias("q"))
     terms = told.where("p > q").select("lang", "source", "item", F.expr("((p - q) * (p - q)) div q").alias("value"))
