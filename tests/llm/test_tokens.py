@@ -73,7 +73,7 @@ def test_long_words_hold_a_window_of_paths(monkeypatch, signs):
 def _whole_viterbi(text: str, table: piece_codec.Pieces) -> list[int]:
     """The whole search at once, all pieces at all places."""
     letters = [(c if c != " " else "▁", c != "▁") for c in " " + text] if text else []
-    best, back = [0.0], [None]
+    best, back = [0], [None]
     for end in range(1, len(letters) + 1):
         found = None
         for start in range(max(0, end - table.longest), end):
@@ -110,6 +110,15 @@ def test_streaming_search_equals_the_whole_one():
         assert piece_codec.decode(want, table) == text
 
 
+def test_encoder_equals_the_whole_search():
+    table, texts = piece_codec.pieces(PIECES), [t[:200] for t in odd_texts(200)]
+    texts += ["", " ", "  ", "a ", "x  ", " a", "▁", "▁▁ ▁", "a.  B  c", "    if x:\n        y = 1  ", "ab" * 40, "ẞ😀\u2581é"]
+    got = piece_codec.Encoder(PIECES).encode(pa.array(texts))
+    for text, ids in zip(texts, got, strict=True):
+        assert ids.tolist() == _whole_viterbi(text, table)
+        assert piece_codec.decode(ids.tolist(), table) == text
+
+
 def test_search_keeps_a_bounded_window():
     table = piece_codec.pieces(PIECES)
     search = piece_codec.StreamingEncoder(table)

@@ -6,20 +6,23 @@ begun there), the best path to the place: no further back than the longest piece
 these paths run through one place, what lies before it cannot change any more: its ids are committed and forgotten.
 ``feed`` and ``finish`` take a text in parts of any length and give the same ids as for the whole.
 
-The vocabulary holds ranks, not probabilities; a piece's score is the negative logarithm of its rank (Zipf's law). Of
-paths with equal scores the one whose last piece is longer is taken. Characters without a piece, and those that
+The vocabulary holds ranks, not probabilities; a piece's score is the negative logarithm of its rank (Zipf's law), in
+whole millionths, so equal paths are equal wherever the search began. Of paths with equal scores the one whose last piece is longer is taken. Characters without a piece, and those that
 would read as the mark of a space, become their UTF-8 bytes, so decoding gives back every text exactly.
 
-In a table, texts are cut where all paths meet anyway (in front of the mark of a space: no piece has it behind other
-characters), and each distinct stretch of a batch is searched once. A stretch longer than the window (eight of the longest
-pieces) commits once per window, so a text without spaces holds the paths of what lies behind the place where they meet; only in
-repeats such as a run of one letter do they not meet, and the paths of the whole run are held. A null text is the empty one, which has no ids;
-repeated rows have equal ids; an empty table gives no rows.
+In a table, texts are cut where all paths meet anyway: in front of the mark of a space, or of a run of them, as no piece
+has a mark behind other characters. Each distinct stretch (a run of marks and what follows) of a batch is searched once.
+Stretches no longer than the longest piece, the window, are searched together: a place after the other for all of
+equal length, walks being rows of arrays, and committed at their end. Longer ones go through the streaming search, which
+looks for the meeting place of all paths once per longest piece; so a text without spaces holds the paths of what lies
+behind that place. Only in repeats such as a run of one letter do paths not meet, and those of the whole run are held. A
+null text is the empty one, which has no ids; repeated rows have equal ids; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,6 +38,15 @@ from tillworks.llm.token_counts import MARK, loaded
 from tillworks.llm.word_ids import Remembered
 
 _END = ""  # in a trie node: (id, score) of the piece that ends there
+_LETTERS = 0x110000  # code points; the number itself stands for a letter that begins and continues no piece
+_STRETCHES = re.compile(" +[^ ]+| +$")
+_NEVER = -(1 << 60)  # less than any score
+_TOGETHER = 1 << 15  # stretches of equal length that are searched at once
+
+
+def _score(rank: int) -> int:
+    """Whole millionths, so that sums are exact and equal wherever a search begins."""
+    return -round(1e6 * log(rank + 1))
 
 
 class Pieces:
@@ -57,8 +69,32 @@ class Pieces:
                 node = self.root
                 for letter in piece:
                     node = node.setdefault(letter, {})
-                node[_END] = (i, -log(rank + 1))
-        self.byte_score = -2 * log(rank + 1)
+                node[_END] = (i, _score(rank))
+        self.byte_score = 2 * _score(rank)
+        self._lay_out()
+
+    def _lay_out(self) -> None:
+        """The trie as arrays: children by (node, letter), the root's by letter alone, and each node's piece."""
+        nodes, keys, children = [self.root], [], []
+        for number, node in enumerate(nodes):
+            for letter, child in node.items():
+                if letter != _END:
+                    keys.append(number << 21 | ord(letter))
+                    children.append(len(nodes))
+                    nodes.append(child)
+        order = np.argsort(np.array(keys))
+        self.keys, self.children = np.array(keys)[order], np.array(children)[order]
+        self.first = np.zeros(_LETTERS + 1, dtype=np.int64)  # 0, the root, is nobody's child
+        of_root = self.keys < 1 << 21
+        self.first[self.keys[of_root]] = self.children[of_root]
+        ends = [node.get(_END, (-1, _NEVER)) for node in nodes]
+        self.piece, self.score = np.array([e[0] for e in ends]), np.array([e[1] for e in ends])
+
+    def child(self, nodes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """The child of each node by a letter, 0 if there is none."""
+        keys = nodes << 21 | letters
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.children[at], 0)
 
 
 @lru_cache(maxsize=2)
@@ -71,7 +107,7 @@ class StreamingEncoder:
 
     def __init__(self, table: Pieces):
         self.table = table
-        self.scores: dict[int, float] = {0: 0.0}  # best score up to a place
+        self.scores: dict[int, int] = {0: 0}  # best score up to a place
         self.steps: dict[int, tuple[int, list[int]]] = {}  # place -> (place before, ids in between)
         self.walks: list[tuple[int, dict]] = [(0, table.root)]  # places where a piece has begun, and where it is
         self.at = self.committed = 0
@@ -115,11 +151,13 @@ class StreamingEncoder:
     def _certain(self) -> list[int]:
         """Commits up to the place that the paths to all places still in use share."""
         if self.at - self.committed > 8 * self.table.longest or len(self.walks) < 2:
-            shared = self._meeting()
-        elif len(self.walks) == 2 and self.walks[0][0] == self.at - 1:
-            shared = self.at - 1  # only the last letter may still begin a piece
-        else:
-            return []
+            return self.commit(self.meeting())
+        if len(self.walks) == 2 and self.walks[0][0] == self.at - 1:
+            return self.commit(self.at - 1)  # only the last letter may still begin a piece
+        return []
+
+    def commit(self, shared: int) -> list[int]:
+        """Ids up to a place that all paths share."""
         if shared <= self.committed:
             return []
         ids = self._path(shared)
@@ -129,7 +167,7 @@ class StreamingEncoder:
         self.steps = {p: s for p, s in self.steps.items() if p > shared}
         return ids
 
-    def _meeting(self) -> int:
+    def meeting(self) -> int:
         """The last place on the paths to all places at which a piece has begun."""
         places = {start for start, _ in self.walks}
         while len(places) > 1:
@@ -157,46 +195,135 @@ def decode(ids: list[int], table: Pieces) -> str:
     return b"".join(map(table.bytes.__getitem__, ids)).decode()[1:]
 
 
+def _searched(table: Pieces, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of stretches of equal length (rows of letters), one stretch after the other, and how many each has.
+
+    From each place on, in order, the walks of all stretches go down the trie together; a place that no piece reaches
+    is reached from the one before by the letter's bytes.
+    """
+    n, width = letters.shape
+    score = np.full((n, width + 1), _NEVER)
+    score[:, 0] = 0
+    step, piece = np.zeros((n, width + 1), dtype=np.int64), np.full((n, width + 1), -1, dtype=np.int64)
+    spelled = 1 + (letters > 0x7F) + (letters > 0x7FF) + (letters > 0xFFFF)  # UTF-8 bytes
+    spelled[letters == _LETTERS] = len(MARK.encode())
+    for at in range(width + 1):
+        if at:
+            none = np.flatnonzero(score[:, at] == _NEVER)
+            score[none, at] = score[none, at - 1] + table.byte_score * spelled[none, at - 1]
+            step[none, at] = at - 1
+        rows = nodes = None
+        for end in range(at + 1, width + 1):
+            if rows is None:
+                nodes = table.first[letters[:, at]]
+                rows = np.flatnonzero(nodes)
+                nodes = nodes[rows]
+            else:
+                nodes = table.child(nodes, letters[rows, end - 1])
+                rows, nodes = rows[nodes > 0], nodes[nodes > 0]
+            if not len(rows):
+                break
+            reached = table.score[nodes] + score[rows, at]
+            better = (table.piece[nodes] >= 0) & (reached > score[rows, end])  # at equal scores the earlier start, so the longer piece, stays
+            to = rows[better]
+            score[to, end], step[to, end], piece[to, end] = reached[better], at, table.piece[nodes[better]]
+    on_path = np.zeros((n, width + 1), dtype=bool)
+    rows, place = np.arange(n), np.full(n, width)
+    while len(rows):
+        on_path[rows, place] = True
+        place = step[rows, place]
+        rows, place = rows[place > 0], place[place > 0]
+    on_path[:, 0] = False
+    row, end = np.nonzero(on_path)
+    found = piece[row, end]
+    counts = np.where(found < 0, spelled[row, end - 1], 1)
+    every = np.repeat(found, counts)
+    starts = np.cumsum(counts) - counts
+    for i in np.flatnonzero(found < 0).tolist():
+        letter = letters[row[i], end[i] - 1]
+        for k, b in enumerate((MARK if letter == _LETTERS else chr(letter)).encode()):
+            every[starts[i] + k] = table.byte_ids[b]
+    return every, np.bincount(row, weights=counts, minlength=n).astype(np.int64)
+
+
 class Encoder:
-    """Ids of many texts: each distinct stretch behind a space is searched once and remembered."""
+    """Ids of many texts. A stretch is what stands between two single spaces; in a run, the further spaces begin it."""
 
     def __init__(self, path: str):
         self.table, self.memory = pieces(path), Remembered()
 
-    def _stretch(self, word: str) -> np.ndarray:
-        """Ids of a word that stands behind one space. What is empty is a lone mark."""
-        found = self.memory.find(word)
+    def _long(self, stretch: str) -> np.ndarray:
+        """Ids of a stretch that is longer than the longest piece, by the streaming search."""
+        found = self.memory.find(stretch)
         if found is None:
-            search = StreamingEncoder(self.table)
+            search, window = StreamingEncoder(self.table), self.table.longest
             search.begun = True
             search._read(MARK, True)
-            done, window = [], 8 * self.table.longest
-            due = window
-            for at in range(0, len(word), window):  # words of one window are certain at their end only
+            done, due = [], window
+            for at in range(0, len(stretch), window):
                 if search.at - search.committed > due:
-                    done.append(np.array(search._certain(), dtype=np.uint32))
+                    done.append(np.array(search.commit(search.meeting()), dtype=np.uint32))
                     due = 2 * due if search.at - search.committed > due else window  # paths may not meet for long
-                for letter in word[at : at + window]:
-                    search._read(letter, letter != MARK)
+                for letter in stretch[at : at + window]:
+                    search._read(MARK if letter == " " else letter, letter == " " or letter != MARK)
             done.append(np.array(search.finish(), dtype=np.uint32))
             found = np.concatenate(done)
-            self.memory.put(word, found)
+            self.memory.put(stretch, found)
         return found
 
+    def distinct(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the stretches, one stretch after the other, and how many each has. The empty one is a lone mark."""
+        sizes = np.fromiter(map(len, stretches), dtype=np.int64, count=len(stretches))
+        points = np.frombuffer("".join(stretches).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+        points = np.where(points == ord(MARK), _LETTERS, np.where(points == ord(" "), ord(MARK), points))
+        starts = np.cumsum(sizes) - sizes
+        counts, parts = np.zeros(len(stretches), dtype=np.int64), []
+        for size in np.unique(sizes[sizes < self.table.longest]).tolist():
+            same = np.flatnonzero(sizes == size)
+            for first in range(0, len(same), _TOGETHER):
+                group = same[first : first + _TOGETHER]
+                letters = np.full((len(group), size + 1), ord(MARK), dtype=np.int64)
+                letters[:, 1:] = points[starts[group][:, None] + np.arange(size)]
+                ids, counts[group] = _searched(self.table, letters)
+                parts.append((group, ids))
+        for i in np.flatnonzero(sizes >= self.table.longest).tolist():
+            ids = self._long(stretches[i])
+            counts[i] = len(ids)
+            parts.append((np.array([i]), ids))
+        begins = np.cumsum(counts) - counts
+        every = np.empty(counts.sum(), dtype=np.uint32)
+        for group, ids in parts:
+            n = counts[group]
+            every[np.repeat(begins[group] - np.cumsum(n) + n, n) + np.arange(len(ids))] = ids
+        return every, counts
+
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        odd = pc.match_substring_regex(texts, "  |^ | $").to_pylist()
+        odd = np.flatnonzero(pc.match_substring_regex(texts, "  |^ | $").to_numpy(zero_copy_only=False))
         split = pc.split_pattern(texts, " ")
-        coded = split.flatten().dictionary_encode()
-        known = [self._stretch(w) for w in coded.dictionary.to_pylist()]
-        at = coded.indices.to_pylist()
-        bounds = (np.asarray(split.offsets) - split.offsets[0].as_py()).tolist()
-        for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
-            if odd[i]:  # runs of spaces make pieces of their own
-                yield np.array(encode(texts[i].as_py(), self.table), dtype=np.uint32)
-            elif a == b or (b == a + 1 and not texts[i].as_py()):
-                yield np.zeros(0, dtype=np.uint32)
-            else:
-                yield np.concatenate([known[j] for j in at[a:b]])
+        words, sizes = split.flatten(), np.diff(np.asarray(split.offsets))
+        sizes[np.asarray(pc.binary_length(texts)) == 0] = -1  # no stretch at all, though the split gives an empty one
+        if len(odd):  # runs of spaces: cut in front of each run
+            plain = np.ones(len(texts), dtype=bool)
+            plain[odd] = False
+            found = [[x[1:] for x in _STRETCHES.findall(" " + t)] for t in texts.take(pa.array(odd)).to_pylist()]
+            words = pa.concat_arrays([words.filter(pa.array(np.repeat(plain, np.abs(sizes)))), pa.array([w for f in found for w in f], pa.string())])
+            order = np.concatenate([np.flatnonzero(plain), odd])
+            sizes = np.concatenate([sizes[plain], [len(f) for f in found]])
+        else:
+            order = np.arange(len(texts))
+        coded = words.dictionary_encode()
+        every, counts = self.distinct(coded.dictionary.to_pylist())
+        begins, at = np.cumsum(counts) - counts, coded.indices.to_numpy()
+        n = counts[at]
+        ends = np.cumsum(n)
+        ids = every[np.repeat(begins[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.concatenate([[0], ends])
+        stops = np.cumsum(np.abs(sizes))
+        spans = [None] * len(texts)
+        for i, a, b, size in zip(order.tolist(), ends[stops - np.abs(sizes)].tolist(), ends[stops].tolist(), sizes.tolist()):
+            spans[i] = (a, b if size > 0 else a)
+        for a, b in spans:
+            yield ids[a:b]
 
 
 _NAMES = ["doc_id", "n_tokens", "ids_crc32", "decoded_sha256", "round_trip"]
