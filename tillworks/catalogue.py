@@ -119,6 +119,10 @@ LEARNING = {
     "stratified_split": _stratified,
     "scaled_customer_values": _points,
     "regression_metrics": learning.regression,
+    "amount_tree": learning.amount_tree,
+    "amount_tree_metrics": learning.amount_tree_metrics,
+    "segment_tree": learning.segment_tree,
+    "segment_tree_metrics": learning.segment_tree_metrics,
     "feature_importance": learning.feature_importance,
     "classification_metrics": learning.classification,
     "mlp_accuracy": learning.perceptron,

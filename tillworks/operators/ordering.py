@@ -88,6 +88,23 @@ def with_running_total(df: DataFrame, value: str, order: list[Column | str], nam
     return joined.select(*df.columns, upto.cast(total_type).alias(name))
 
 
+def with_running_totals_within(df: DataFrame, group: list[str], order: list[str], totals: dict[str, str]) -> DataFrame:
+    """Running totals inside each group, up to and with the current row, also when single groups hold most rows.
+
+    ``totals`` maps a column to the name of its total; group and order together are unique, and no column is NULL.
+    """
+    sliced = _sliced(df, _columns([*group, *order]))
+    per_slice = sliced.groupBy("_slice", *group).agg(*[F.sum(c).alias(c) for c in totals])
+    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before_{c}") for c in totals]
+    # one row per slice, and one more for every place where a group ends inside a slice
+    offsets = per_slice.select("_slice", *group, *before)
+    in_slice = Window.partitionBy("_slice", *group).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    inside = sliced.select("*", *[F.sum(c).over(in_slice).alias(f"_inside_{c}") for c in totals])
+    upto = [(F.col(f"_before_{c}") + F.col(f"_inside_{c}")).alias(name) for c, name in totals.items()]
+    return inside.join(offsets, ["_slice", *group]).select(*df.columns, *upto)
+
+
 def with_ranks(df: DataFrame, ranks: dict[str, tuple[str, str]]) -> DataFrame:
     """RANK or DENSE_RANK by descending value, NULLs last; ``ranks`` maps a name to ('rank' | 'dense_rank', column).
 

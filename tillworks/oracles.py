@@ -540,6 +540,97 @@ def hash_number(key: str) -> str:
     return f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT)"
 
 
+LINE_X = "quantity unit_price discount_pct has_discount day_of_week month is_weekend category_encoded".split()
+LINE_X += "customer_city_encoded store_region_encoded payment_method_encoded".split()
+CUSTOMER_X = [*VALUE_COLUMNS, "favourite_category", "preferred_payment", "store_region"]
+LINE_ROWS = """, line_rows AS MATERIALIZED (
+  SELECT [CAST(quantity AS DOUBLE), CAST(unit_price AS DOUBLE), discount_pct, CAST(discount_pct > 0 AS INT),
+          isodow(transaction_date) - 1, month(transaction_date), CAST(isodow(transaction_date) >= 6 AS INT), category_code,
+          city_code, region_code, payment_code] AS x, CAST(net_amount * 100 AS BIGINT) AS cents, sales_item_id FROM coded),
+train AS MATERIALIZED (SELECT x, cents AS label, [cents] AS m FROM line_rows WHERE {hash} % 100 >= 20),
+test AS MATERIALIZED (SELECT x, cents AS label FROM line_rows WHERE {hash} % 100 < 20)
+"""
+CUSTOMER_ROWS = """, buyers AS MATERIALIZED ({features}),
+drawn AS (
+  SELECT *, row_number() OVER (PARTITION BY segment_encoded ORDER BY {hash}, customer_id) AS place,
+         count(*) OVER (PARTITION BY segment_encoded) AS size FROM buyers),
+parted AS MATERIALIZED (
+  SELECT [total_spent, avg_basket, num_transactions, avg_quantity, avg_discount, favourite_category, preferred_payment,
+          store_region] AS x, segment_encoded AS label, place * 200 <= size * 40 + 100 AS in_test FROM drawn),
+train AS MATERIALIZED (
+  SELECT x, label, list_transform(range((SELECT max(label) + 1 FROM parted)), lambda c: CAST(c = label AS BIGINT)) AS m
+  FROM parted WHERE NOT in_test),
+test AS MATERIALIZED (SELECT x, label FROM parted WHERE in_test)
+"""
+
+
+def _tree(measures: int, features: int, depth: int) -> str:
+    """A tree over ``train`` (x, label, m): for each level its rows, the counts per value, running sums and the best split."""
+    sums = [f"sum(m[{i + 1}])" for i in range(measures)]
+    parts = [", level0 AS MATERIALIZED (SELECT 1 AS node, x, label, m FROM train)"]
+    for k in range(depth):
+        named = ", ".join(f"{s} AS m{i}" for i, s in enumerate(sums))
+        totals = ", ".join(f"{s} AS t{i}" for i, s in enumerate(sums))
+        running = ", ".join(f"sum(m{i}) OVER w AS l{i}" for i in range(measures))
+        left = " + ".join(f"CAST(l{i} AS DOUBLE) * CAST(l{i} AS DOUBLE)" for i in range(measures))
+        right = " + ".join(f"CAST(t{i} - l{i} AS DOUBLE) * CAST(t{i} - l{i} AS DOUBLE)" for i in range(measures))
+        parts.append(f"""open{k} AS (
+  SELECT node, count(*) AS n, {totals} FROM level{k} GROUP BY node HAVING min(label) <> max(label)),
+long{k} AS (SELECT node, unnest(range({features})) AS f, unnest(x) AS v, m FROM level{k} SEMI JOIN open{k} USING (node)),
+counted{k} AS MATERIALIZED (SELECT node, f, v, count(*) AS c, {named} FROM long{k} GROUP BY node, f, v),
+running{k} AS (
+  SELECT node, f, v, lead(v) OVER w AS next, sum(c) OVER w AS l, {running} FROM counted{k}
+  WINDOW w AS (PARTITION BY node, f ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+scored{k} AS (
+  SELECT node, f, v, next, ({left}) / l + ({right}) / (n - l) AS score FROM running{k} JOIN open{k} USING (node) WHERE l < n),
+best{k} AS MATERIALIZED (
+  SELECT node, f, (v + next) / 2 AS threshold FROM scored{k}
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY score DESC, f, v) = 1),
+level{k + 1} AS MATERIALIZED (
+  SELECT CASE WHEN x[f + 1] <= threshold THEN 2 * node ELSE 2 * node + 1 END AS node, x, label, m
+  FROM level{k} JOIN best{k} USING (node))""")
+    placed = "SELECT x, label, 1 AS node FROM test"
+    for k in range(depth):
+        placed = f"""SELECT x, label, CASE WHEN f IS NULL THEN node WHEN x[f + 1] <= threshold THEN 2 * node
+          ELSE 2 * node + 1 END AS node FROM ({placed}) p{k} LEFT JOIN best{k} USING (node)"""
+    levels = " UNION ALL ".join(f"SELECT * FROM level{k}" for k in range(depth + 1))
+    totals = ", ".join(f"{s} AS m{i}" for i, s in enumerate(sums))
+    splits = " UNION ALL ".join(f"SELECT * FROM best{k}" for k in range(depth))
+    parts.append(f"nodes AS (SELECT node, count(*) AS n, {totals} FROM ({levels}) every_level GROUP BY node)")
+    parts.append(f"splits AS ({splits}), placed AS MATERIALIZED ({placed})")
+    return ", ".join(parts)
+
+
+def _main_class(classes: int) -> str:
+    most = f"greatest({', '.join(f'm{i}' for i in range(classes))})"
+    return "CASE " + " ".join(f"WHEN m{i} = {most} THEN {i}" for i in range(classes)) + " END"
+
+
+def _tree_nodes(names: list[str], value: str) -> str:
+    listed = "[" + ", ".join(f"'{n}'" for n in names) + "]"
+    return f"""SELECT CAST(node AS BIGINT) AS node, {listed}[f + 1] AS feature, threshold, n AS row_count,
+        CAST({value} AS DOUBLE) AS value FROM nodes LEFT JOIN splits USING (node)"""
+
+
+# The five segments of the tables.
+SEGMENT_CLASSES = 5
+ERRORS = """SELECT 'regression' AS task, '{model}' AS model, metric, round(value, 4) AS value FROM (
+  SELECT unnest(['MAE', 'RMSE', 'R2']) AS metric, unnest([avg(abs(y - p)), sqrt(avg((y - p) * (y - p))),
+         1 - avg((y - p) * (y - p)) / nullif(var_pop(y), 0)]) AS value FROM judged) errors"""
+REPORT = """, judged AS ({judged}), classes AS (
+  SELECT class, count(*) FILTER (truth = class) AS support, count(*) FILTER (guess = class) AS guesses,
+         count(*) FILTER (truth = class AND guess = class) AS hits
+  FROM judged, (SELECT DISTINCT truth AS class FROM judged) seen GROUP BY class),
+figures AS (
+  SELECT class, support, coalesce(hits / nullif(guesses, 0), 0) AS p, hits / support AS r FROM classes),
+told AS (
+  SELECT concat(name, '_class_', CAST(class AS VARCHAR)) AS metric, value FROM (
+    SELECT class, unnest(['precision', 'recall', 'f1', 'support']) AS name,
+           unnest([p, r, coalesce(2 * p * r / nullif(p + r, 0), 0), CAST(support AS DOUBLE)]) AS value FROM figures) listed
+  UNION ALL SELECT 'Accuracy', avg(CAST(truth = guess AS INT)) FROM judged)
+SELECT 'classification' AS task, '{model}' AS model, metric, round(value, 4) AS value FROM told"""
+
+
 LEARNING = {
     "line_features": f"""{CODES} SELECT sales_item_id, quantity, {dbl('unit_price')} AS unit_price, discount_pct,
         CAST(discount_pct > 0 AS INT) AS has_discount, CAST(isodow(transaction_date) - 1 AS INT) AS day_of_week,
@@ -582,6 +673,11 @@ LEARNING = {
     "pca_projections": f"{COMPONENTS} SELECT customer_id, {PROJECTED} FROM scaled",
     "dbscan_silhouette": f"""{SILHOUETTE} SELECT CASE WHEN count(DISTINCT b) > 0 THEN
         round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) END AS silhouette FROM sides""",
+    "amount_tree": CODES + LINE_ROWS.format(hash=hash_number("sales_item_id")) + _tree(1, len(LINE_X), 6)
+    + _tree_nodes(LINE_X, "CAST(m0 AS DOUBLE) / n / 100"),
+    "amount_tree_metrics": CODES + LINE_ROWS.format(hash=hash_number("sales_item_id")) + _tree(1, len(LINE_X), 6)
+    + ", judged AS (SELECT CAST(label AS DOUBLE) / 100 AS y, CAST(m0 AS DOUBLE) / n / 100 AS p FROM placed JOIN nodes USING (node)) "
+    + ERRORS.format(model="Decision Tree"),
     "scaled_customer_values": f"{SCALED} SELECT * FROM scaled",
     "dbscan_clusters": f"{DENSITY} SELECT customer_id, dbscan_cluster FROM labels",
     "dbscan_counts": f"""{DENSITY} SELECT count(DISTINCT CASE WHEN dbscan_cluster >= 0 THEN dbscan_cluster END)
@@ -589,5 +685,13 @@ LEARNING = {
 }
 
 
+BUYERS = LEARNING["customer_features"].partition("SELECT v.*")
+SEGMENT_ROWS = BUYERS[0] + CUSTOMER_ROWS.format(features=BUYERS[1] + BUYERS[2], hash=hash_number("customer_id"))
+SEGMENT_TREE = SEGMENT_ROWS + _tree(SEGMENT_CLASSES, len(CUSTOMER_X), 5)
+GUESSED = f"SELECT label AS truth, {_main_class(SEGMENT_CLASSES)} AS guess FROM placed JOIN nodes USING (node)"
+LEARNING["segment_tree"] = SEGMENT_TREE + _tree_nodes(CUSTOMER_X, _main_class(SEGMENT_CLASSES))
+LEARNING["segment_tree_metrics"] = SEGMENT_TREE + REPORT.format(judged=GUESSED, model="Decision Tree")
+
+
 def all_oracles() -> dict[str, str]:
     return {name: PREFIX + body for name, body in {**MODELS, **REVENUE, **CUSTOMERS, **CAMPAIGN, **OPERATIONS, **LEARNING}.items()}

@@ -12,7 +12,6 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import (
-    DecisionTreeClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
@@ -20,14 +19,15 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillworks.operators import evaluation
 from tillworks.operators.density import dbscan
 from tillworks.operators.ordering import with_ntiles
 from tillworks.operators.preparation import random_split, scaled, with_stratified_split
+from tillworks.operators.trees import Tree, grown
 from tillworks.plans.features import (
     CUSTOMER_FEATURES,
     LINE_FEATURES,
@@ -77,9 +77,12 @@ def _with_vectors(rows: DataFrame, columns: list[str]) -> DataFrame:
     return both.drop(*columns, *[f"{c}_scaled" for c in columns])
 
 
+def _split_lines(t: SalesTables) -> DataFrame:
+    return _training_frame(line_features(t).withColumn("split", random_split("sales_item_id")), "sales_item_id")
+
+
 def regression_frame(t: SalesTables) -> DataFrame:
-    lines = line_features(t).withColumn("split", random_split("sales_item_id"))
-    return _with_vectors(_training_frame(lines, "sales_item_id"), LINE_FEATURES)
+    return _with_vectors(_split_lines(t), LINE_FEATURES)
 
 
 def _forest_regressor(trees: int, depth: int = FOREST_DEPTH) -> RandomForestRegressor:
@@ -98,12 +101,98 @@ def _regressors(depth: int = FOREST_DEPTH) -> dict[str, object]:
     common = {"labelCol": "net_amount"}
     return {
         "Linear Regression": LinearRegression(featuresCol="scaled", solver="normal", regParam=0.0, **common),
-        "Decision Tree": DecisionTreeRegressor(maxDepth=6, seed=SEED, **common),
         "Random Forest": _forest_regressor(100, depth),
         "Gradient Boosting": GBTRegressor(maxIter=100, maxDepth=3, stepSize=0.1, seed=SEED, **common),
     }
 
 
+TREE_DEPTH, CLASS_TREE_DEPTH = 6, 5
+
+
+def _features(columns: list[str]) -> Column:
+    return F.array(*[F.col(c).cast("double") for c in columns]).alias("x")
+
+
+def _amount_rows(lines: DataFrame) -> DataFrame:
+    """Features, amount in cents and part of every line of ``_split_lines``."""
+    cents = F.round(F.col("net_amount") * 100).cast("long").alias("cents")
+    return lines.select("sales_item_id", _features(LINE_FEATURES), cents, "split")
+
+
+def _segment_rows(customers: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Features, segment code and part of every customer of ``_split_customers``, and the names of its columns with 1
+    for the own class."""
+    rows = customers.select("customer_id", _features(CUSTOMER_FEATURES), F.col("segment_encoded").alias("class"), "split")
+    classes = rows.agg(F.max("class")).first()[0] + 1
+    counts = {f"is_{c}": (F.col("class") == c).cast("long") for c in range(classes)}
+    return rows.withColumns(counts), list(counts)
+
+
+def _amount_tree(rows: DataFrame, depth: int) -> Tree:
+    return grown(rows.where("split = 'train'").select("x", "cents"), ["cents"], "cents", depth)
+
+
+def _segment_tree(rows: DataFrame, classes: list[str], depth: int) -> Tree:
+    return grown(rows.where("split = 'train'").select("x", "class", *classes), classes, "class", depth)
+
+
+def _mean_amount(tree: Tree, node: int) -> float:
+    n, cents = tree.totals[node]
+    return cents / n / 100
+
+
+def _main_class(tree: Tree, node: int) -> int:
+    """The class of most rows, the smallest one on ties."""
+    counts = tree.totals[node][1:]
+    return counts.index(max(counts))
+
+
+def _tree_table(spark: SparkSession, tree: Tree, features: list[str], value: Callable) -> DataFrame:
+    rows = []
+    for node in sorted(tree.totals):
+        split = tree.splits.get(node)
+        name, threshold = (features[split.feature], split.threshold) if split else (None, None)
+        rows.append((node, name, threshold, tree.totals[node][0], float(value(tree, node))))
+    return spark.createDataFrame(rows, "node long, feature string, threshold double, row_count long, value double")
+
+
+def amount_tree(t: SalesTables, depth: int = TREE_DEPTH) -> DataFrame:
+    """The nodes of the regression tree: split (NULL in leaves), training rows and mean amount."""
+    return _tree_table(t.lines.sparkSession, _amount_tree(_amount_rows(_split_lines(t)), depth), LINE_FEATURES, _mean_amount)
+
+
+def segment_tree(t: SalesTables, depth: int = CLASS_TREE_DEPTH) -> DataFrame:
+    """The nodes of the classification tree: split (NULL in leaves), training rows and class."""
+    rows, classes = _segment_rows(_split_customers(t))
+    return _tree_table(t.lines.sparkSession, _segment_tree(rows, classes, depth), CUSTOMER_FEATURES, _main_class)
+
+
+def amount_tree_metrics(t: SalesTables, depth: int = TREE_DEPTH) -> DataFrame:
+    """MAE, RMSE and R2 of the regression tree on the test lines."""
+    return _judged_amount_tree(_split_lines(t), depth)
+
+
+def _judged_amount_tree(lines: DataFrame, depth: int = TREE_DEPTH) -> DataFrame:
+    rows = _amount_rows(lines)
+    tree = _amount_tree(rows, depth)
+    guess = tree.node(F.col("x"), lambda node: _mean_amount(tree, node))
+    judged = rows.where("split = 'test'").select((F.col("cents") / 100).alias("net_amount"), guess.alias("guess"))
+    return evaluation.regression_metrics(judged, "net_amount", {"Decision Tree": "guess"})
+
+
+def segment_tree_metrics(t: SalesTables, depth: int = CLASS_TREE_DEPTH) -> DataFrame:
+    """Accuracy, precision, recall, F1 and support of the classification tree on the test customers."""
+    return _judged_segment_tree(_split_customers(t), depth)
+
+
+def _judged_segment_tree(customers: DataFrame, depth: int = CLASS_TREE_DEPTH) -> DataFrame:
+    rows, classes = _segment_rows(customers)
+    tree = _segment_tree(rows, classes, depth)
+    guess = tree.node(F.col("x"), lambda node: _main_class(tree, node))
+    judged = rows.where("split = 'test'").select("class", guess.alias("guess"))
+    return evaluation.classification_metrics(evaluation.confusion_counts(judged, "class", {"Decision Tree": "guess"}))
+
+
 def _fit_all(estimators: dict, train: DataFrame, test: DataFrame) -> tuple[dict, DataFrame, dict[str, str]]:
     """Models by name, the test frame with one prediction column per model, and the names of those."""
     columns = {name: f"p{i}" for i, name in enumerate(estimators)}
@@ -119,9 +208,10 @@ def _fit_all(estimators: dict, train: DataFrame, test: DataFrame) -> tuple[dict,
 
 def regression(t: SalesTables, forest_depth: int = FOREST_DEPTH) -> DataFrame:
     """MAE, RMSE and R2 of four models that predict the net amount of a line."""
-    frame = regression_frame(t)
+    lines = _split_lines(t)
+    frame = _with_vectors(lines, LINE_FEATURES)
     _, judged, columns = _fit_all(_regressors(forest_depth), frame.where("split = 'train'"), frame.where("split = 'test'"))
-    return evaluation.regression_metrics(judged, "net_amount", columns)
+    return evaluation.union_metrics(evaluation.regression_metrics(judged, "net_amount", columns), _judged_amount_tree(lines))
 
 
 def feature_importance(t: SalesTables) -> DataFrame:
@@ -134,9 +224,13 @@ def feature_importance(t: SalesTables) -> DataFrame:
     ).orderBy(F.desc("importance"), "feature")
 
 
-def classification_frame(t: SalesTables) -> DataFrame:
+def _split_customers(t: SalesTables) -> DataFrame:
     customers = with_stratified_split(stored(customer_features(t)), "segment_encoded", "customer_id")
-    return _with_vectors(_training_frame(customers, "customer_id"), CUSTOMER_FEATURES)
+    return _training_frame(customers, "customer_id")
+
+
+def classification_frame(t: SalesTables) -> DataFrame:
+    return _with_vectors(_split_customers(t), CUSTOMER_FEATURES)
 
 
 def _classifiers(train_rows: int, depth: int = FOREST_DEPTH) -> dict[str, object]:
@@ -146,7 +240,6 @@ def _classifiers(train_rows: int, depth: int = FOREST_DEPTH) -> dict[str, object
         "Logistic Regression": LogisticRegression(
             featuresCol="scaled", family="multinomial", maxIter=1000, regParam=1.0 / train_rows, **common
         ),
-        "Decision Tree": DecisionTreeClassifier(maxDepth=5, seed=SEED, **common),
         "Random Forest": RandomForestClassifier(
             numTrees=100, maxDepth=depth, maxMemoryInMB=FOREST_MEMORY_MB, seed=SEED, **common
         ),
@@ -155,10 +248,12 @@ def _classifiers(train_rows: int, depth: int = FOREST_DEPTH) -> dict[str, object
 
 def classification(t: SalesTables, forest_depth: int = FOREST_DEPTH) -> DataFrame:
     """Accuracy and per-class figures of three models that predict the customer segment."""
-    frame = classification_frame(t)
+    customers = _split_customers(t)
+    frame = _with_vectors(customers, CUSTOMER_FEATURES)
     train, test = frame.where("split = 'train'"), frame.where("split = 'test'")
     _, judged, columns = _fit_all(_classifiers(train.count(), forest_depth), train, test)
-    return evaluation.classification_metrics(evaluation.confusion_counts(judged, "segment_encoded", columns))
+    metrics = evaluation.classification_metrics(evaluation.confusion_counts(judged, "segment_encoded", columns))
+    return evaluation.union_metrics(metrics, _judged_segment_tree(customers))
 
 
 def perceptron(t: SalesTables) -> DataFrame:
