@@ -203,8 +203,9 @@ def _near_texts(seed, bases, versions, size):
     return texts
 
 
-@pytest.mark.parametrize("percent, words, file_rows", [(85, 4, 4000), (85, 4, 3), (80, 5, 5)])
-def test_join_equals_brute_force(spark, percent, words, file_rows):
+@pytest.mark.parametrize("percent, words, file_rows, few", [(85, 4, 4000, 32), (85, 4, 3, 0), (80, 5, 5, 2)])
+def test_join_equals_brute_force(spark, monkeypatch, percent, words, file_rows, few):
+    monkeypatch.setattr(set_links, "FEW", few)
     texts = _near_texts(percent + file_rows, 12, 9, 80) + _near_texts(1, 20, 6, 8) + ["one two", "ONE two", "one", "", None, "a b c d", "a b c d e", " \n "]
     rows = [(1000 - 3 * i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (None, "only here"), (1000, texts[0])]
     docs = _table(spark, [(d, t, None, None, 0) for d, t in rows])

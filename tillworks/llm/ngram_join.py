@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import mapped, mixed, text_slices, whole_texts
+from tillworks.llm.common import chosen_rows, mapped, mixed, text_slices, whole_texts
 from tillworks.llm.set_links import FILE_ROWS, histogram, similar_parts
 from tillworks.session import stored
 
@@ -146,12 +146,15 @@ def _elements(words: int):
     return run
 
 
-def elements_of(texts: DataFrame, words: int):
-    """Gives (mark, elements) of asked marks."""
+def elements_of(texts: DataFrame, info: DataFrame, words: int):
+    """Gives (mark, elements) of asked marks; ``info`` names a document (first_id) of each, and only such texts are read."""
 
     def asked(marks: DataFrame) -> DataFrame:
-        made = mapped(texts.select("text"), _elements(words), "mark binary, elements binary")
-        return made.join(marks, "mark", "left_semi").dropDuplicates(["mark"])
+        # of known size: Spark broadcasts a short list, a long one meets the texts in a shuffle
+        wanted = stored(marks.join(info.select("mark", "first_id"), "mark"))
+        rows = chosen_rows(texts, wanted.select("first_id").distinct())
+        made = mapped(rows.select("text"), _elements(words), "mark binary, elements binary")
+        return made.join(wanted.select("mark"), "mark", "left_semi").dropDuplicates(["mark"])
 
     return asked
 
@@ -263,8 +266,10 @@ def joined_parts(docs: DataFrame, words: int, percent: int, file_rows: int = FIL
     salted = shared.where("salt > 0").groupBy("file", "hub").agg(F.count("*").alias("n"))
     first = salted.groupBy("file").agg(F.min("hub").alias("first"), F.sum("n").alias("n")).where("n > 1")
     pairs = shared.select("mark", "hub").unionByName(salted.join(first.select("file", "first"), "file").select(F.col("hub").alias("mark"), F.col("first").alias("hub")))
-    hubs = stored(pairs.where("mark <> hub").groupBy("mark").agg(F.min("hub").alias("hub")))
-    roots = similar_parts(shared.select("file", "mark"), hubs, info.select("mark", "n", "ranges"), elements_of(texts, words), percent, file_rows)
+    often = pairs.where("mark <> hub").groupBy("mark", "hub").agg(F.count("*").alias("n"))
+    # the hub met in most files: a passage in common gives few of them, a near copy most
+    hubs = stored(often.groupBy("mark").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub")))
+    roots = similar_parts(shared.select("file", "mark"), hubs, info.select("mark", "n", "ranges"), elements_of(texts, info, words), percent, file_rows)
     return rows.select("doc_id", "n", "mark"), roots.join(info.select("mark", "first_id"), "mark")
 
 

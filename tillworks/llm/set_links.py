@@ -3,12 +3,14 @@
 A set is named by ``mark``, the digest of its elements, so equal sets are one. ``filed`` says which sets share a file;
 every similar pair shares at least one. Only the parts that the links make are asked for, so no file gives all its pairs:
 
-*Stars.* Every set is compared with the smallest mark it shares a file with. A crowd of near copies is settled by that: each
+*Stars.* Every set is compared with one hub, the first mark of the files it is in; of several hubs, with the one met in most
+files. A crowd of near copies is settled by that: each
 member is looked at once, and the sets are shipped once. What is linked gets one label.
 
 *Rest.* A file whose members have one label by now says nothing new. In each other one (files of the same members count
 once) every pair of different labels is looked at, first by sizes and histograms of 128 bytes, which pass over most
-pairs and lose none, then, for the members that are left, by the sets. A crowded file is dealt over tasks: the
+pairs and lose none, then by the sets: few partners of a member as pairs, each once for all files, more of them where
+the file is. A crowded file is dealt over tasks: the
 members of its most frequent label stay where they are, in pieces, and the others come to each piece.
 
 A histogram counts the elements by range of hashes. Similar sets differ in no more than (100 - percent) / (100 +
@@ -31,6 +33,7 @@ from tillworks.session import stored
 
 FILE_ROWS = 4_000
 RANGES = 128
+FEW = 32  # a member with more partners to look at has them looked at where its file is
 _BLOCK = 2_048
 
 
@@ -97,7 +100,12 @@ def _stars(hubs: DataFrame, info: DataFrame, sets: Callable[[DataFrame], DataFra
     """Links (u, v) of the pairs (mark, hub) that are similar."""
     hub_info = info.select(F.col("mark").alias("hub"), F.col("n").alias("hub_n"), F.col("ranges").alias("hub_ranges"))
     told = hubs.join(info, "mark").join(hub_info, "hub")
-    pairs = stored(mapped(told.select("mark", "hub", "n", "hub_n", "ranges", "hub_ranges"), _probable(percent), "mark binary, hub binary"))
+    pairs = mapped(told.select("mark", "hub", "n", "hub_n", "ranges", "hub_ranges"), _probable(percent), "mark binary, hub binary")
+    return _compared(stored(pairs), sets, percent, file_rows)
+
+
+def _compared(pairs: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, file_rows: int) -> DataFrame:
+    """Those of the pairs (mark, hub) that are similar, as links (u, v); a hub's pairs are dealt over pieces."""
     pieces = pairs.groupBy("hub").agg(F.ceil(F.count("*") / file_rows).cast("int").alias("pieces"))
     piece = F.pmod(F.xxhash64("mark"), F.col("pieces")).cast("int").alias("piece")
     members = pairs.join(pieces, "hub").select("mark", "hub", piece)
@@ -163,19 +171,30 @@ class _Unit:
         return np.concatenate(near) if near else at
 
 
-def _left_over(percent: int):
-    """Members (file, mark) with a partner of another label that sizes and histograms do not rule out."""
+def _left_over(percent: int, few: int):
+    """What sizes and histograms do not rule out: the pairs (mark, hub) of members with few partners of other labels, and
+    the members (file, mark) of files in which one has more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, ["file", "a", "b"]):
             unit = _Unit(rows, percent)
-            left = np.zeros(len(rows), dtype=bool)
+            crowded, us, vs = np.zeros(len(rows), dtype=bool), [], []
             for i in unit.askers().tolist():
                 found = unit.partners(i, unit.labels)
-                left[found] = True
-                left[i] |= len(found) > 0
-            if left.any():
-                yield from unit.rows.select(["file", "mark"]).filter(pa.array(left)).to_batches()
+                if len(found) > few:
+                    crowded[found] = crowded[i] = True
+                else:
+                    us.extend([i] * len(found))
+                    vs.extend(found.tolist())
+            files, marks = unit.rows["file"].combine_chunks(), unit.rows["mark"].combine_chunks()
+            if us:
+                one, two = (marks.take(pa.array(x)).to_pylist() for x in (us, vs))
+                pairs = [pa.array([f(p) for p in zip(one, two)], pa.binary()) for f in (max, min)]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(us), pa.int64()), *pairs], names=["file", "mark", "hub"])
+            if crowded.any():
+                at = pa.array(np.flatnonzero(crowded))
+                none = pa.nulls(len(at), pa.binary())
+                yield pa.RecordBatch.from_arrays([files.take(at), marks.take(at), none], names=["file", "mark", "hub"])
 
     return run
 
@@ -205,22 +224,29 @@ def _cross_links(percent: int):
     return run
 
 
+def _one_each(rows: DataFrame) -> DataFrame:
+    """The smallest of the files that have the same members; the members are told by their number and two digests."""
+    told = [F.count("*").alias("n"), F.sum(F.xxhash64("mark").cast("decimal(38, 0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "mark")).alias("x")]
+    open_files = rows.groupBy("file").agg(F.min("label").alias("least"), F.max("label").alias("most"), *told).where("least <> most")
+    return rows.join(open_files.groupBy("n", "s", "x").agg(F.min("file").alias("file")).select("file"), "file", "left_semi")
+
+
 def _rest(filed: DataFrame, labels: DataFrame, info: DataFrame, sets, percent: int, file_rows: int) -> DataFrame:
     """Links (u, v) of labels."""
     named = filed.select("file", "mark").join(labels, "mark")
     told = stored(named)
-    twice = [F.sum(F.xxhash64("mark").cast("decimal(38, 0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "mark")).alias("x")]
-    open_files = told.groupBy("file").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most"), *twice)
-    one_each = open_files.where("least <> most").groupBy("n", "s", "x").agg(F.min("file").alias("file"))
-    rows = stored(told.join(one_each.select("file"), "file", "left_semi"))
+    rows = stored(_one_each(told))
     units = dealt(rows, file_rows).join(info, "mark")
     read = units.repartition("file", "a", "b").sortWithinPartitions("file", "a", "b")
-    left = stored(mapped(read, _left_over(percent), "file long, mark binary").distinct())
-    again = rows.join(left, ["file", "mark"], "left_semi")
-    # histograms come along with the sets, as both are looked at
-    with_sets = dealt(again, file_rows).join(sets(left.select("mark").distinct()), "mark").join(info, "mark")
+    left = stored(mapped(read, _left_over(percent, FEW), "file long, mark binary, hub binary").distinct())
+    pairs = _compared(stored(left.where("file IS NULL").select("mark", "hub")), sets, percent, file_rows)
+    named = pairs.join(labels.toDF("u", "label_u"), "u").join(labels.toDF("v", "label_v"), "v")
+    # crowds: histograms come along with the sets, as both are looked at
+    crowds = stored(_one_each(rows.join(left.where("file IS NOT NULL").select("file", "mark"), ["file", "mark"], "left_semi")))
+    with_sets = dealt(crowds, file_rows).join(sets(crowds.select("mark").distinct()), "mark").join(info, "mark")
     read = with_sets.repartition("file", "a", "b").sortWithinPartitions("file", "a", "b")
-    return mapped(read, _cross_links(percent), "u binary, v binary")
+    crossed = mapped(read, _cross_links(percent), "u binary, v binary")
+    return crossed.unionByName(named.select(F.col("label_u").alias("u"), F.col("label_v").alias("v"))).distinct()
 
 
 def similar_parts(filed: DataFrame, hubs: DataFrame, info: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, file_rows: int = FILE_ROWS) -> DataFrame:
