@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +17,7 @@ from tillworks.sources.tables import SalesTables
 Query = Callable[[SparkSession, str], DataFrame]
 WINDOWS = campaign.TABLES_1997
 LOAD_DAY, LOAD_MONTH, STORED_QUARTER = date(1997, 11, 28), (1997, 11), (1997, 4)
-KNOWN_UNTIL = date(1997, 11, 14)
+KNOWN_UNTIL, KEYED_UNTIL = date(1997, 11, 14), date(1996, 6, 30)
 SEGMENTS = ["automobile", "building", "furniture", "household", "machinery"]
 PAYMENT_METHODS = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low"]
 
@@ -36,7 +35,7 @@ def _in_windows(plan: Callable) -> Query:
 
 def _on_load(plan: Callable) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return presented(plan(parquet_tables(spark, sf_dir), partial(lines_in_time, spark, sf_dir)))
+        return presented(plan(parquet_tables(spark, sf_dir), operations.index_of(lines_in_time(spark, sf_dir))))
 
     return run
 
@@ -92,6 +91,7 @@ CAMPAIGN = {
 OPERATIONS = {
     "dim_date_upsert": lambda t: operations.new_days_of_month(t, *LOAD_MONTH, known_until=KNOWN_UNTIL),
     "partitioned_fact": lambda t: operations.quarter_revenue(t, *STORED_QUARTER),
+    "sales_keys": lambda t: operations.numbered_lines(t, KEYED_UNTIL),
     "quality_report": lambda t: operations.quality(t, SEGMENTS, PAYMENT_METHODS),
 }
 
@@ -143,8 +143,8 @@ LEARNING = {
     "metric_summary": learning.metric_summary,
 }
 LOADS = {
-    "etl_load_day": lambda t, in_time: operations.load_day(t, in_time, LOAD_DAY),
-    "etl_load_month": lambda t, in_time: operations.load_month(t, in_time, *LOAD_MONTH),
+    "etl_load_day": lambda t, loaded: operations.load_day(t, loaded, LOAD_DAY),
+    "etl_load_month": lambda t, loaded: operations.load_month(t, loaded, *LOAD_MONTH),
 }
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillworks.functions import calendar, money
+from tillworks.operators.pair_index import PairIndex
+from tillworks.sources.store import Store
 
 LOADED_PAIR = ["transaction_id", "product_id"]
 
@@ -18,17 +20,23 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: list[str])
     return incoming.join(known, keys, "left_anti")
 
 
-def load_range(fact: DataFrame, transactions: DataFrame, sales_items: DataFrame, first: date, last: date) -> DataFrame:
+def load_range(loaded: DataFrame | PairIndex, transactions: DataFrame, sales_items: DataFrame, first: date, last: date) -> DataFrame:
     """New fact rows of the days ``first`` to ``last``.
 
     The guard is the pair (transaction, product), not the line: a pair that occurs twice in one batch
-    loads twice, a pair that was loaded before never loads again. The fact is looked up in the days of the load only:
-    a transaction whose date was corrected afterwards is not recognised in its old day.
+    loads twice, a pair that was loaded before never loads again, on whatever day that was. ``loaded`` is the fact, of
+    which the batch's transactions are looked up, or the index of its pairs.
     """
     days = F.col("transaction_date").between(F.lit(first), F.lit(last))
     lines = transactions.where(days).join(sales_items, "transaction_id")
-    loaded = fact.where(F.col("date_id").between(_as_id(first), _as_id(last)))
-    return as_fact_rows(insert_if_absent(loaded, lines, LOADED_PAIR))
+    return as_fact_rows(insert_if_absent(known_pairs(loaded, lines), lines, LOADED_PAIR))
+
+
+def known_pairs(loaded: DataFrame | PairIndex, lines: DataFrame) -> DataFrame:
+    """Loaded pairs of the transactions of ``lines``."""
+    if isinstance(loaded, PairIndex):
+        return loaded.known(lines)
+    return loaded.join(lines.select("transaction_id").distinct(), "transaction_id", "left_semi")
 
 
 def as_fact_rows(lines: DataFrame) -> DataFrame:
@@ -50,12 +58,8 @@ def as_fact_rows(lines: DataFrame) -> DataFrame:
     )
 
 
-def _as_id(day: date) -> int:
-    return day.year * 10000 + day.month * 100 + day.day
-
-
-def load_day(fact: DataFrame, transactions: DataFrame, sales_items: DataFrame, day: date) -> DataFrame:
-    return load_range(fact, transactions, sales_items, day, day)
+def load_day(loaded: DataFrame | PairIndex, transactions: DataFrame, sales_items: DataFrame, day: date) -> DataFrame:
+    return load_range(loaded, transactions, sales_items, day, day)
 
 
 def month_range(year: int, month: int) -> tuple[date, date]:
@@ -63,9 +67,9 @@ def month_range(year: int, month: int) -> tuple[date, date]:
     return date(year, month, 1), date.fromordinal(after.toordinal() - 1)
 
 
-def load_month(fact: DataFrame, transactions: DataFrame, sales_items: DataFrame, year: int, month: int) -> DataFrame:
+def load_month(loaded: DataFrame | PairIndex, transactions: DataFrame, sales_items: DataFrame, year: int, month: int) -> DataFrame:
     """The month as one range load. A transaction has one date, so no day can see the rows of another."""
-    return load_range(fact, transactions, sales_items, *month_range(year, month))
+    return load_range(loaded, transactions, sales_items, *month_range(year, month))
 
 
 def new_calendar_days(dim_date: DataFrame, days: DataFrame, column: str = "transaction_date") -> DataFrame:
@@ -79,3 +83,13 @@ def run_load(fact_path: str, fresh: DataFrame) -> int:
     written = Observation()
     fresh.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(fact_path)
     return written.get["rows"]
+
+
+def run_indexed_load(store: Store, index: PairIndex, fresh: DataFrame, table: str = "fact") -> int:
+    """Appends the new rows to a table of the store, and their pairs to the index, in one change; returns their number."""
+    written = Observation()
+    with store.change() as change:
+        change.append(table, fresh.observe(written, F.count(F.lit(1)).alias("rows")))
+        loaded = store.spark.read.schema(fresh.schema).parquet(f"{store.folder}/{table}/load={change.loads[table][-1]}")
+        index.add(change, loaded)
+    return written.get["rows"]

@@ -436,6 +436,10 @@ OPERATIONS = {
     "partitioned_fact": f"""SELECT CAST(1997 AS INT) AS year, CAST(4 AS INT) AS quarter, store_id,
         {dbl('sum(net_amount)')} AS revenue, count(*) AS line_count FROM fct_sales
         WHERE transaction_date BETWEEN DATE '1997-10-01' AND DATE '1997-12-31' GROUP BY 3""",
+    "sales_keys": """, loads AS (
+        SELECT sales_item_id, transaction_id, CAST(transaction_date > DATE '1996-06-30' AS INT) AS load
+        FROM sales_items JOIN transactions USING (transaction_id))
+        SELECT row_number() OVER (ORDER BY load, sales_item_id) AS sales_key, sales_item_id, transaction_id FROM loads""",
     "quality_report": " UNION ALL ".join(QUALITY),
     "etl_load_day": _load("transaction_date = DATE '1997-11-28'"),
     "etl_load_month": _load("transaction_date BETWEEN DATE '1997-11-01' AND DATE '1997-11-30'"),

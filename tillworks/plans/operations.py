@@ -2,53 +2,47 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.functions import calendar
 from tillworks.operators import loading
+from tillworks.operators.keys import KeyMap
+from tillworks.operators.pair_index import PairIndex
 from tillworks.operators.quality import TableRules, quality_report, split_valid
 from tillworks.plans import customers, models, revenue
 from tillworks.session import scratch_table, stored
-from tillworks.sources.files import (
-    append_table,
-    as_view,
-    read_parquet_or_empty,
-    replace_partitions,
-    replace_table,
-    write_by_quarter,
-)
+from tillworks.sources.files import as_view, replace_partitions, replace_table, write_by_quarter
+from tillworks.sources.store import Store
 from tillworks.sources.tables import SalesTables
 
 
-# Lines of orders from the first to the last day that had arrived in time.
-InTime = Callable[[date, date], DataFrame]
-
-
 def _staged(t: SalesTables) -> DataFrame:
     return t.transactions.withColumn("payment_method", F.lower("payment_method"))
 
 
-def loaded_before(in_time: DataFrame) -> DataFrame:
-    """The fact as an earlier run left it, when only the lines of ``in_time`` had arrived."""
-    return in_time.select("transaction_id", "product_id", calendar.date_id(F.col("transaction_date")).alias("date_id"))
+def index_of(pairs: DataFrame, folder: str | None = None) -> PairIndex:
+    """The index as earlier runs left it that had loaded these pairs."""
+    store = Store(pairs.sparkSession, folder or scratch_table(pairs.sparkSession, "warehouse"))
+    index = PairIndex(store)
+    with store.change() as change:
+        index.add(change, pairs)
+    return index
 
 
-def _load(t: SalesTables, in_time: InTime, first: date, last: date) -> DataFrame:
-    """Both sides are cut down to the days before they meet: the headers, the lines of these, and the fact."""
+def _load(t: SalesTables, loaded: PairIndex, first: date, last: date) -> DataFrame:
+    """The headers and the lines of these are cut down to the days of the load; the index knows the pairs of all days."""
     of_range = t.headers.where(F.col("transaction_date").between(F.lit(first), F.lit(last)))
-    return loading.load_range(loaded_before(in_time(first, last)), _staged(t), t.sales_items_of(of_range), first, last)
+    return loading.load_range(loaded, _staged(t), t.sales_items_of(of_range), first, last)
 
 
-def load_day(t: SalesTables, in_time: InTime, day: date) -> DataFrame:
-    return _load(t, in_time, day, day)
+def load_day(t: SalesTables, loaded: PairIndex, day: date) -> DataFrame:
+    return _load(t, loaded, day, day)
 
 
-def load_month(t: SalesTables, in_time: InTime, year: int, month: int) -> DataFrame:
-    return _load(t, in_time, *loading.month_range(year, month))
+def load_month(t: SalesTables, loaded: PairIndex, year: int, month: int) -> DataFrame:
+    return _load(t, loaded, *loading.month_range(year, month))
 
 
 def new_days_of_month(t: SalesTables, year: int, month: int, known_until: date) -> DataFrame:
@@ -86,7 +80,8 @@ def append_checked(
     """Appends the sales lines that pass the value rules, have their parents and are not there yet.
 
     What is in a table already is not appended again, so a second run changes nothing. Lines that break a rule (an id that
-    occurs twice in ``items`` is one) go with the rules' names to a table of their own.
+    occurs twice in ``items`` is one) go with the rules' names to a table of their own. Both tables lie in one folder and change in
+    one commit: after a failure neither shows anything of the run.
     ``parents`` maps a key column to the frame that has to hold its values in a column of the same name.
     """
     rules = {
@@ -108,27 +103,40 @@ def append_checked(
     judged = judged.select(*items.columns, "broken_rules")
     passed = judged.where(F.size("broken_rules") == 0).select(*items.columns)
     failed = judged.where(F.size("broken_rules") > 0).distinct()
-    append_table(_absent(failed, rejected_path, [*items.columns, "broken_rules"]), rejected_path)
-    return append_table(_absent(passed, path, ["sales_item_id"]), path)
+    store, (table, rejected_table) = _shared_store(items.sparkSession, path, rejected_path)
+    with store.change() as change:
+        change.append(rejected_table, _absent(failed, store, rejected_table, [*items.columns, "broken_rules"]))
+        change.append(table, _absent(passed, store, table, ["sales_item_id"]))
+    return store.read(table, items.schema)
+
+
+def _shared_store(spark: SparkSession, *paths: str) -> tuple[Store, list[str]]:
+    """The store of the folder that holds all the paths, and the names of the tables in it."""
+    folders = {path.rstrip("/").rpartition("/")[0] for path in paths}
+    if len(folders) != 1:
+        raise ValueError("tables that change together lie in one folder")
+    return Store(spark, folders.pop()), [path.rstrip("/").rpartition("/")[2] for path in paths]
 
 
-def _absent(rows: DataFrame, path: str, keys: list[str]) -> DataFrame:
+def _absent(rows: DataFrame, store: Store, table: str, keys: list[str]) -> DataFrame:
     """Rows that the table does not hold yet; compared by a digest of the keys, which may be NULL."""
-    there = read_parquet_or_empty(rows.sparkSession, path, rows.schema)
+    there = store.read(table, rows.schema)
     digest = F.sha2(F.to_json(F.struct(*keys)), 256)
     known = there.select(digest.alias("_digest")).distinct()
     return rows.withColumn("_digest", digest).join(known, "_digest", "left_anti").drop("_digest")
 
 
-def quarter_revenue(t: SalesTables, year: int, quarter: int) -> DataFrame:
-    """Writes a quarter of the fact to its folder and reads it back; the filter selects folders, not rows."""
-    day = F.col("transaction_date")
-    first = date(year, 3 * quarter - 2, 1)
-    after = date(year + quarter // 4, 3 * quarter % 12 + 1, 1)
-    wanted = (day >= F.lit(first)) & (day < F.lit(after))
+def fact_by_quarter(t: SalesTables, first_year: int, last_year: int) -> DataFrame:
+    """The fact of some years in one folder per quarter, written and read back."""
+    wanted = F.col("transaction_date").between(F.lit(date(first_year, 1, 1)), F.lit(date(last_year, 12, 31)))
     headers = t.headers.where(wanted)
     fact = models.fct_sales(t.sales_items_of(headers), t.transactions.where(wanted))
-    by_quarter = write_by_quarter(fact, scratch_table(t.lines.sparkSession, "fact"))
+    return write_by_quarter(fact, scratch_table(t.lines.sparkSession, "fact"))
+
+
+def quarter_revenue(t: SalesTables, year: int, quarter: int) -> DataFrame:
+    """A quarter's revenue by store from the fact of its year; the filter selects folders, not rows."""
+    by_quarter = fact_by_quarter(t, year, year)
     return (
         by_quarter.where((F.col("year") == year) & (F.col("quarter") == quarter))
         .groupBy("year", "quarter", "store_id")
@@ -136,6 +144,22 @@ def quarter_revenue(t: SalesTables, year: int, quarter: int) -> DataFrame:
     )
 
 
+def numbered_lines(t: SalesTables, until: date) -> DataFrame:
+    """Lines with their number in the warehouse: those of transactions up to a day are loaded first, the others later.
+
+    The numbers of the first load stay as they are when the second one extends the map.
+    """
+    spark = t.lines.sparkSession
+    store = Store(spark, scratch_table(spark, "warehouse"))
+    keys = KeyMap(store, "sales_item_id", "string", "sales_keys")
+    dated = stored(t.sales_items.select("sales_item_id", "transaction_id").join(t.headers.select("transaction_id", "transaction_date"), "transaction_id"))
+    early = F.col("transaction_date") <= F.lit(until)
+    for load in (dated.where(early), dated):
+        with store.change() as change:
+            keys.extended(change, load)
+    return dated.join(keys.numbers(), "sales_item_id").select(F.col("number").alias("sales_key"), "sales_item_id", "transaction_id")
+
+
 def quality(t: SalesTables, segments: list[str], payment_methods: list[str]) -> DataFrame:
     """Key, reference and value rules over the five tables, their staging models and the fact.
 

@@ -8,10 +8,9 @@ other lines come or go.
 
 from __future__ import annotations
 
-from datetime import date
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillworks.sources.tables import SalesTables, with_amounts
@@ -146,17 +145,9 @@ def parquet_tables(spark: SparkSession, folder: str) -> SalesTables:
     )
 
 
-def lines_in_time(spark: SparkSession, folder: str, first: date, last: date) -> DataFrame:
-    """(transaction, product, day) of the lines shipped no later than their order day, for orders of some days."""
-    orders = _read(spark, folder, "orders").where(_day_between("o_orderdate", first, last))
+def lines_in_time(spark: SparkSession, folder: str) -> DataFrame:
+    """(transaction, product) of the lines shipped no later than their order day, of all days."""
+    orders = _read(spark, folder, "orders").select("o_orderkey", "o_orderdate")
     lines = _read(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
-    joined = lines.join(orders.select("o_orderkey", "o_orderdate"), lines.l_orderkey == orders.o_orderkey)
-    return joined.where(F.col("l_shipdate") <= F.col("o_orderdate")).select(
-        F.col("l_orderkey").alias("transaction_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("o_orderdate").cast("date").alias("transaction_date"),
-    )
-
-
-def _day_between(column: str, first: date, last: date) -> Column:
-    return F.col(column).cast("date").between(F.lit(first), F.lit(last))
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).where(F.col("l_shipdate") <= F.col("o_orderdate"))
+    return joined.select(F.col("l_orderkey").alias("transaction_id"), F.col("l_partkey").alias("product_id"))

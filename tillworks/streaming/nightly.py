@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillworks.functions import calendar
-from tillworks.operators.loading import LOADED_PAIR, as_fact_rows, insert_if_absent
+from tillworks.operators.loading import LOADED_PAIR, as_fact_rows, insert_if_absent, known_pairs
 from tillworks.sources import schemas
 from tillworks.sources.files import read_parquet_or_empty
 
@@ -27,8 +27,8 @@ def append_new_lines(
     ``transactions`` is asked anew in every batch. Lines without a transaction wait in the pending table, one
     folder per batch, and are tried again with the next one. A batch may run twice after a failure: it reads the
     folder that the batch before has left and writes its own again; its first attempt at the fact either committed
-    its files, and then the guard leaves nothing to append, or it committed none. Only the days of the batch are
-    read from the fact.
+    its files, and then the guard leaves nothing to append, or it committed none. The
+    fact is looked up for the batch's transactions on all days.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -40,8 +40,7 @@ def append_new_lines(
         late.write.mode("overwrite").parquet(f"{pending_path}/batch={batch_id}")
         matched = arrived.join(headers, "transaction_id").withColumn("date_id", calendar.date_id(F.col("transaction_date")))
         loaded = read_parquet_or_empty(spark, fact_path, schemas.WAREHOUSE_FACT)
-        known = loaded.join(matched.select("date_id").distinct(), "date_id", "left_semi")
-        as_fact_rows(insert_if_absent(known, matched, LOADED_PAIR)).write.mode("append").partitionBy("date_id").parquet(fact_path)
+        as_fact_rows(insert_if_absent(known_pairs(loaded, matched), matched, LOADED_PAIR)).write.mode("append").partitionBy("date_id").parquet(fact_path)
         arrived.unpersist()
 
     return (
