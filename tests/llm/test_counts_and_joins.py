@@ -243,3 +243,25 @@ def test_tokens_depend_on_the_words_only():
     sets = [set(s.tolist()) for s in ngram_join.token_sets(pa.array(texts), 4)]
     assert sets[0] == sets[1] and len(sets[0]) == 2 and len(sets[0] & sets[2]) == 1
     assert len(sets[3]) == len(sets[4]) == 1 and sets[3] != sets[4] and not sets[5]
+
+
+def test_histograms_pass_over_no_similar_pair():
+    draw = np.random.default_rng(9)
+    sizes = [5, 900, 1024, 1025, 1200, 2047, 2100, 5000, 9000]
+    sets = [np.unique(draw.integers(0, 2**64, n, dtype=np.uint64)) for n in sizes]
+    near = [np.concatenate([s[: int(len(s) * 0.93)], draw.integers(0, 2**64, int(len(s) * 0.05), dtype=np.uint64)]) for s in sets]
+    every = [*sets, *[np.unique(x) for x in near]]
+    rows = pa.table({
+        "n": [len(x) for x in every],
+        "side": [0] * len(every),
+        "label": pa.array([bytes([i]) for i in range(len(every))]),
+        "ranges": pa.array([set_links.histogram(x) for x in every], pa.binary()),
+    })
+    unit = set_links._Unit(rows, 85)
+    order = np.argsort([len(x) for x in every], kind="stable")
+    ranked = [every[i] for i in order]
+    for i, a in enumerate(ranked):
+        assert len(a) == unit.sizes[i]
+        found = set(unit.partners(i, unit.labels).tolist())
+        close = {j for j, b in enumerate(ranked) if j != i and set_links.similar(len(np.intersect1d(a, b)), np.int64(len(a)), len(b), 85)}
+        assert close <= found and (len(a) < 100 or len(found) <= len(close) + 1)

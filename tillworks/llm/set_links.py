@@ -8,7 +8,7 @@ files. A crowd of near copies is settled by that: each
 member is looked at once, and the sets are shipped once. What is linked gets one label.
 
 *Rest.* A file whose members have one label by now says nothing new. In each other one (files of the same members count
-once) every pair of different labels is looked at, first by sizes and histograms of 128 bytes, which pass over most
+once) every pair of different labels is looked at, first by sizes and histograms of a byte for 8 elements, which pass over most
 pairs and lose none, then by the sets: few partners of a member as pairs, each once for all files, more of them where
 the file is. A crowded file is dealt over tasks: the
 members of its most frequent label stay where they are, in pieces, and the others come to each piece.
@@ -38,8 +38,20 @@ _BLOCK = 2_048
 
 
 def histogram(elements: np.ndarray) -> bytes:
-    """Elements (64-bit hashes) per range, 255 at most: what is cut off only makes histograms more alike."""
-    return np.minimum(np.bincount(elements >> np.uint64(57), minlength=RANGES), 255).astype(np.uint8).tobytes()
+    """Elements (64-bit hashes) per range, 255 at most: what is cut off only makes histograms more alike.
+
+    There are ``RANGES`` ranges, and twice as many as long as a range would hold more than 8 elements on average.
+    """
+    level = max(0, (len(elements) - 1) // (8 * RANGES)).bit_length()
+    counts = np.bincount(elements >> np.uint64(57 - level), minlength=RANGES << level)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _folded(ranges: np.ndarray, times: int) -> np.ndarray:
+    """Histograms (rows) with half as many ranges, so many times."""
+    for _ in range(times):
+        ranges = np.minimum(ranges[:, 0::2].astype(np.int16) + ranges[:, 1::2], 255)
+    return ranges
 
 
 def similar(shared: np.ndarray, sizes: np.ndarray, size: int, percent: int) -> np.ndarray:
@@ -56,9 +68,14 @@ def _alike(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, percent: int) -> np.
     return (100 + percent) * apart <= (100 - percent) * sizes
 
 
-def _histograms(column) -> np.ndarray:
+def _levels(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """How often each histogram's ranges have been doubled."""
+    return np.log2(np.asarray(pc.binary_length(column)) // RANGES).astype(np.int64)
+
+
+def _histograms(column: pa.ChunkedArray | pa.Array, level: int) -> np.ndarray:
     joined = b"".join(column.to_pylist())
-    return np.frombuffer(joined, dtype=np.uint8).reshape(-1, RANGES)
+    return np.frombuffer(joined, dtype=np.uint8).reshape(-1, RANGES << level)
 
 
 # --- stars ----------------------------------------------------------------------------------------------
@@ -70,7 +87,13 @@ def _probable(percent: int):
             if batch.num_rows:
                 n, hub_n = batch.column("n").to_numpy(), batch.column("hub_n").to_numpy()
                 found = _fit(n, hub_n, percent)
-                found &= _alike(_histograms(batch.column("ranges")), _histograms(batch.column("hub_ranges")), n + hub_n, percent)
+                one, two = _levels(batch.column("ranges")), _levels(batch.column("hub_ranges"))
+                for a, b in set(zip(one.tolist(), two.tolist())):
+                    at = np.flatnonzero(found & (one == a) & (two == b))
+                    rows = batch.take(pa.array(at))
+                    mine, hubs = _histograms(rows.column("ranges"), a), _histograms(rows.column("hub_ranges"), b)
+                    m = min(a, b)
+                    found[at] = _alike(_folded(mine, a - m), _folded(hubs, b - m), (n + hub_n)[at], percent)
                 yield batch.select(["mark", "hub"]).filter(pa.array(found))
 
     return run
@@ -152,7 +175,11 @@ class _Unit:
         self.sizes = self.rows["n"].to_numpy()
         self.sides = self.rows["side"].to_numpy()
         self.labels = self.rows["label"].combine_chunks().dictionary_encode().indices.to_numpy().copy()
-        self.ranges = _histograms(self.rows["ranges"])
+        ranges = self.rows["ranges"].combine_chunks()
+        self.levels, self.row, self.ranges = _levels(ranges), np.zeros(len(rows), dtype=np.int64), {}
+        for level in set(self.levels.tolist()):
+            at = np.flatnonzero(self.levels == level)
+            self.row[at], self.ranges[level] = np.arange(len(at)), _histograms(ranges.take(pa.array(at)), level)
 
     def askers(self) -> np.ndarray:
         """Members that ask all others: of every pair of unlike labels at least one is among them."""
@@ -166,9 +193,16 @@ class _Unit:
         a, b = np.searchsorted(self.sizes, [-(-s * n // 100), 100 * n // s + 1])
         at = np.arange(a, b)
         at = at[(labels[a:b] != labels[i]) & ((self.sides[a:b] == 0) | (self.sides[a:b] != self.sides[i]))]
-        near = [at[k : k + _BLOCK] for k in range(0, len(at), _BLOCK)]
-        near = [x[_alike(self.ranges[x], self.ranges[i], self.sizes[x] + n, s)] for x in near]
-        return np.concatenate(near) if near else at
+        mine, own = self.ranges[self.levels[i]][self.row[i]][None, :], int(self.levels[i])
+        near = []
+        for level in set(self.levels[at].tolist()):
+            m, members = min(own, level), at[self.levels[at] == level]
+            asked = _folded(mine, own - m)
+            for k in range(0, len(members), _BLOCK):
+                x = members[k : k + _BLOCK]
+                theirs = _folded(self.ranges[level][self.row[x]], level - m)
+                near.append(x[_alike(theirs, asked, self.sizes[x] + n, s)])
+        return np.sort(np.concatenate(near)) if near else at
 
 
 def _left_over(percent: int, few: int):
