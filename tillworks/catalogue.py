@@ -123,6 +123,10 @@ LEARNING = {
     "amount_tree_metrics": learning.amount_tree_metrics,
     "segment_tree": learning.segment_tree,
     "segment_tree_metrics": learning.segment_tree_metrics,
+    "linear_coefficients": learning.linear_coefficients,
+    "linear_metrics": learning.linear_metrics,
+    "lloyd_clusters": learning.lloyd_clusters,
+    "lloyd_elbow": learning.lloyd_elbow,
     "feature_importance": learning.feature_importance,
     "classification_metrics": learning.classification,
     "mlp_accuracy": learning.perceptron,

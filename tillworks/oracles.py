@@ -635,7 +635,62 @@ told AS (
 SELECT 'classification' AS task, '{model}' AS model, metric, round(value, 4) AS value FROM told"""
 
 
+# Gauss-Jordan elimination of the normal equations: one column per step of the recursion.
+WHOLE_TERMS = ["intercept", "quantity", "unit_cents", *LINE_X[2:]]
+_TERMS = range(1, len(WHOLE_TERMS) + 1)
+EQUATIONS = CODES + LINE_ROWS.format(hash=hash_number("sales_item_id")) + """, whole AS (
+  SELECT list_concat([CAST(1 AS DOUBLE), x[1], CAST(round(x[2] * 100) AS DOUBLE)], x[3:]) AS x, CAST(label AS DOUBLE) AS y FROM {part}),
+""".format(part="train") + "gram AS (SELECT [" + ", ".join(
+    "[" + ", ".join([*(f"sum(x[{i}] * x[{j}])" for j in _TERMS), f"sum(x[{i}] * y)"]) + "]" for i in _TERMS
+) + f"""] AS m FROM whole),
+eliminated AS (
+  SELECT 1 AS k, m FROM gram
+  UNION ALL
+  SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / m[k][k])
+    ELSE list_transform(r, lambda v, j: v - m[i][k] * m[k][j] / m[k][k]) END)
+  FROM eliminated WHERE k <= {len(WHOLE_TERMS)}),
+weights AS MATERIALIZED (
+  SELECT list_transform(m, lambda r: r[{len(WHOLE_TERMS) + 1}]) AS w FROM eliminated WHERE k = {len(WHOLE_TERMS) + 1})
+"""
+MOST_CLUSTERS, LLOYD_ROUNDS = 8, 15
+
+
+def _from_centre(c: str) -> str:
+    return " + ".join(f"(x[{i}] - {c}[{i}]) * (x[{i}] - {c}[{i}])" for i in range(1, len(VALUE_COLUMNS) + 1))
+
+
+def _lloyd() -> str:
+    """Seeds by farthest point, then rounds for every k; ``owned`` names each point's nearest centre."""
+    whole = ", ".join(f"CAST(round({c} * 1000000) AS BIGINT)" for c in VALUE_COLUMNS)
+    parts = [f"{SCALED}, point AS MATERIALIZED (SELECT customer_id AS key, [{whole}] AS x FROM scaled)"]
+    parts.append("seed1 AS MATERIALIZED (SELECT 1 AS j, CAST(x AS DOUBLE[]) AS c FROM point ORDER BY key LIMIT 1)")
+    for j in range(2, MOST_CLUSTERS + 1):
+        parts.append(f"""seed{j} AS MATERIALIZED (
+  SELECT * FROM seed{j - 1} UNION ALL (
+    SELECT {j}, CAST(any_value(x) AS DOUBLE[]) FROM point, seed{j - 1} GROUP BY key
+    ORDER BY min({_from_centre('c')}) DESC, key LIMIT 1))""")
+    parts.append(f"centre0 AS MATERIALIZED (SELECT k, j, c FROM seed{MOST_CLUSTERS}, range(2, {MOST_CLUSTERS + 1}) ks(k) WHERE j <= k)")
+    means = ", ".join(f"CAST(sum(x[{i}]) AS DOUBLE) / count(*)" for i in range(1, len(VALUE_COLUMNS) + 1))
+    for r in range(LLOYD_ROUNDS + 1):
+        parts.append(f"""owned{r} AS MATERIALIZED (
+  SELECT key, k, x, arg_min(j, d) AS j, min(d) AS d FROM (
+    SELECT key, k, j, x, struct_pack(d := {_from_centre('c')}, j := j) AS d FROM point, centre{r}) each_centre GROUP BY key, k, x)""")
+        parts.append(f"""centre{r + 1} AS MATERIALIZED (
+  SELECT k, j, coalesce(o.c, was.c) AS c FROM centre{r} was
+  LEFT JOIN (SELECT k, j, [{means}] AS c FROM owned{r} GROUP BY k, j) o USING (k, j))""")
+    return ", ".join(parts)
+
+
 LEARNING = {
+    "linear_coefficients": EQUATIONS + f"""SELECT CAST(i - 1 AS INT) AS place, {WHOLE_TERMS}[i] AS term, round(w[i], 6) AS coefficient
+        FROM weights, range(1, {len(WHOLE_TERMS) + 1}) terms(i)""",
+    "linear_metrics": EQUATIONS + f""", judged AS (
+        SELECT CAST(label AS DOUBLE) / 100 AS y, list_dot_product(w, list_concat(
+          [CAST(1 AS DOUBLE), x[1], CAST(round(x[2] * 100) AS DOUBLE)], x[3:])) / 100 AS p FROM test, weights)
+        """ + ERRORS.format(model="Linear Regression"),
+    "lloyd_clusters": _lloyd() + f"SELECT key AS customer_id, CAST(k AS INT) AS k, CAST(j - 1 AS INT) AS cluster FROM owned{LLOYD_ROUNDS}",
+    "lloyd_elbow": _lloyd() + f"""SELECT CAST(k AS INT) AS k, round(sum(d) / 1e12, 4) AS inertia, max(n) AS largest_cluster FROM (
+        SELECT k, j, sum(d.d) AS d, count(*) AS n FROM owned{LLOYD_ROUNDS} GROUP BY k, j) sizes GROUP BY k""",
     "line_features": f"""{CODES} SELECT sales_item_id, quantity, {dbl('unit_price')} AS unit_price, discount_pct,
         CAST(discount_pct > 0 AS INT) AS has_discount, CAST(isodow(transaction_date) - 1 AS INT) AS day_of_week,
         CAST(month(transaction_date) AS INT) AS month, CAST(isodow(transaction_date) >= 6 AS INT) AS is_weekend,

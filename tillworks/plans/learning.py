@@ -23,7 +23,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillworks.operators import evaluation
+from tillworks.operators import evaluation, linear, lloyd
 from tillworks.operators.density import dbscan
 from tillworks.operators.ordering import with_ntiles
 from tillworks.operators.preparation import random_split, scaled, with_stratified_split
@@ -193,6 +193,33 @@ def _judged_segment_tree(customers: DataFrame, depth: int = CLASS_TREE_DEPTH) ->
     return evaluation.classification_metrics(evaluation.confusion_counts(judged, "class", {"Decision Tree": "guess"}))
 
 
+_WHOLE = ["quantity", "unit_cents", *LINE_FEATURES[2:]]  # the line features as whole numbers
+
+
+def _whole_lines(t: SalesTables) -> DataFrame:
+    cents = {name: F.round(F.col(c) * 100).cast("long") for name, c in (("unit_cents", "unit_price"), ("cents", "net_amount"))}
+    return _split_lines(t).withColumns(cents)
+
+
+def _line_weights(lines: DataFrame) -> list[float]:
+    return linear.coefficients(lines.where("split = 'train'"), _WHOLE, "cents")
+
+
+def linear_coefficients(t: SalesTables) -> DataFrame:
+    """Intercept and coefficients of the linear model of the net amount (in cents, price in cents)."""
+    weights = _line_weights(_whole_lines(t))
+    rows = [(i, name, round(w, 6)) for i, (name, w) in enumerate(zip(["intercept", *_WHOLE], weights))]
+    return t.lines.sparkSession.createDataFrame(rows, "place int, term string, coefficient double")
+
+
+def linear_metrics(t: SalesTables) -> DataFrame:
+    """MAE, RMSE and R2 of the linear model on the test lines."""
+    lines = _whole_lines(t)
+    guess = linear.predicted(_line_weights(lines), _WHOLE) / 100
+    judged = lines.where("split = 'test'").select("net_amount", guess.alias("guess"))
+    return evaluation.regression_metrics(judged, "net_amount", {"Linear Regression": "guess"})
+
+
 def _fit_all(estimators: dict, train: DataFrame, test: DataFrame) -> tuple[dict, DataFrame, dict[str, str]]:
     """Models by name, the test frame with one prediction column per model, and the names of those."""
     columns = {name: f"p{i}" for i, name in enumerate(estimators)}
@@ -302,6 +329,23 @@ def elbow(t: SalesTables, ks: range = range(2, 9)) -> DataFrame:
     return points.sparkSession.createDataFrame(costs, "k int, inertia double")
 
 
+def _lloyd(t: SalesTables, ks: list[int]) -> DataFrame:
+    points = stored(lloyd.in_millionths(scaled_values(t), "customer_id", VALUE_FEATURES))
+    return lloyd.assigned(points, lloyd.clustered(points, ks))
+
+
+def lloyd_clusters(t: SalesTables, ks: range = range(2, 9)) -> DataFrame:
+    """Cluster of every customer for every number of clusters, from seeds by farthest point."""
+    return _lloyd(t, list(ks)).select(F.col("key").alias("customer_id"), "k", "cluster")
+
+
+def lloyd_elbow(t: SalesTables, ks: range = range(2, 9)) -> DataFrame:
+    """Inertia and size of the largest cluster per number of clusters."""
+    found = _lloyd(t, list(ks)).groupBy("k", "cluster").agg(F.sum("d").alias("d"), F.count("*").alias("n"))
+    inertia = F.round(F.sum("d") / float(lloyd.UNIT) ** 2, 4).alias("inertia")
+    return found.groupBy("k").agg(inertia, F.max("n").alias("largest_cluster"))
+
+
 def _silhouette(points: DataFrame, cluster: str) -> float | None:
     """Mean silhouette with squared Euclidean distance, which needs only cluster sums, never pairs."""
     if points.select(cluster).distinct().limit(2).count() < 2:
