@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import re
 
 import pytest
@@ -69,6 +70,61 @@ def test_masked_texts(messy):
     assert pii.personal_data(none).count() == 0 and pii.without_personal_data(none).count() == 0
 
 
+def _masked(text: str, spans: str) -> str:
+    found = sorted((int(a), pii.KINDS.index(k), int(b)) for k, a, b in (x.split(":") for x in spans.split(",") if x))
+    made, at = "", 0
+    for start, kind, end in found:
+        if start >= at:
+            made += text[at:start] + f"[{pii.KINDS[kind].upper()}]"
+        at = max(at, end)
+    return made + text[at:]
+
+
+def test_masked_texts_equal_the_spans(spark, small):
+    """Texts longer than a chunk, overlapping kinds, spans at chunk borders."""
+    random.seed(8)
+    more = [*PARTS, "ssn 123-45-6789", "iban DE89370400440532013000", "call 555-234-5678", "Dr. Mary Smith", "word " * 11]
+    texts = ["".join(random.choices(more, k=random.choice([5, 40, 900]))) for _ in range(150)]
+    docs = small.select("doc_id", "text", "n_chars").unionByName(
+        spark.createDataFrame([(10**6 + i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    )
+    spans = {r.doc_id: r.spans for r in pii.personal_data(docs).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = pii.without_personal_data(docs).collect()
+    assert len(rows) == len(texts) and sum(bool(x) for x in spans.values()) > 50
+    for r in rows:
+        assert r.text == _masked(texts[r.doc_id] or "", spans[r.doc_id]) or texts[r.doc_id] is None
+        assert r.text is None or r.n_chars == len(r.text)
+
+
+def test_candidates_never_overlap(spark):
+    random.seed(9)
+    more = ["123-45-6789", "DE89370400440532013000", "555-234-5678", "Mary Smith", "Dr. Jane Doe Roe", "1.2.3.4", "+1 555 123 4567", " ", "-", "a@b.c"]
+    texts = ["".join(random.choices(more, k=k)) for k in [3] * 300 + [700] * 3]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in pii.with_candidates(pii.with_base(frame)).collect():
+        found = sorted((s.start, s.end) for s in row.candidates)
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+        assert not any(s.start < t.end and t.start < s.end for s in row.candidates for t in row.base)
+
+
+def test_work_grows_with_the_length_of_a_text(spark):
+    """100,000 spans in one text: sums, overlaps, cues and masks in proportion to it."""
+    text = "1.2.3.4 call 555-234-5678 " * 50_000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    begun = time.monotonic()
+    (found,) = pii.personal_data(docs).collect()
+    (row,) = pii.without_personal_data(docs).collect()
+    assert found.n_ip == 50_000 and found.spans.count(",") == 99_999
+    assert row.text == "[IP] call [LOCAL_PHONE] " * 50_000
+    assert time.monotonic() - begun < 120
+
+
+def test_messy_rows_keep_their_number(messy):
+    rows = pii.personal_data(messy).collect()
+    assert sorted((r.doc_id is None, r.n_email) for r in rows) == sorted((d is None, len(base(t or "")) * ("@" in (t or ""))) for d, t in TEXTS)
+
+
 # --- toxicity -------------------------------------------------------------------------------------------
 
 

@@ -23,6 +23,7 @@ pattern.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 from math import exp, log
 
@@ -88,6 +89,58 @@ BEFORE = 30
 
 
 _PLACED = "array<struct<start:int,end:int,value:string>>"
+# A running total of an array is taken slice by slice, and a text is cut from chunks: work in proportion to both, however
+# many matches one text holds.
+_SLICE, _CHUNK, _CHUNKS = 256, 256, 256
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, also where the body has lambdas over arrays."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _before(items: Column, value: Callable[[Column], Column], op: Callable[[Column, Column], Column]) -> Column:
+    """For each item, ``op`` over 0 and the values of all items before it."""
+
+    def part(xs: Column, i: Column) -> Column:
+        return F.slice(xs, i * _SLICE + 1, F.lit(_SLICE))
+
+    def of(xs: Column) -> Column:
+        slices = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / _SLICE).cast("int"))
+        totals = F.transform(slices, lambda i: F.aggregate(part(xs, i), F.lit(0), lambda t, x: op(t, value(x))))
+
+        def inside(i: Column, start: Column) -> Column:
+            begun = F.struct(start.alias("at"), F.array().cast("array<int>").alias("before"))
+            add = lambda t, x: F.struct(op(t["at"], value(x)).alias("at"), F.concat(t["before"], F.array(t["at"])).alias("before"))
+            return F.aggregate(part(xs, i), begun, add, lambda t: t["before"])
+
+        def from_totals(t: Column) -> Column:
+            starts = F.transform(slices, lambda i: F.aggregate(F.slice(t, F.lit(1), i), F.lit(0), op))
+            return _let(starts, lambda s: F.flatten(F.transform(slices, lambda i: inside(i, F.get(s, i)))))
+
+        return F.when(F.size(xs) == 0, F.array().cast("array<int>")).otherwise(_let(totals, from_totals))
+
+    return _let(items, of)
+
+
+def _largest(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _chunked(text: Column) -> Column:
+    """The text in chunks of equal length."""
+    long = _CHUNK * _CHUNKS
+    upto = lambda t, size: F.sequence(F.lit(0), F.floor(F.greatest(F.length(t) - 1, F.lit(0)) / size).cast("int"))
+    chunks = lambda b: F.transform(upto(b, _CHUNK), lambda j: F.substring(b, j * _CHUNK + 1, F.lit(_CHUNK)))
+    return F.flatten(F.transform(upto(text, long), lambda i: _let(F.substring(text, i * long + 1, F.lit(long)), chunks)))
+
+
+def _cut(chunks: Column, start: Column, end: Column) -> Column:
+    """The text from start to end (exclusive)."""
+    first = F.floor(start / _CHUNK).cast("int")
+    count = F.floor((end - 1) / _CHUNK).cast("int") - first + 1
+    held = F.array_join(F.slice(chunks, first + 1, F.greatest(count, F.lit(0))), "")
+    return F.when(end > start, F.substring(held, start % _CHUNK + 1, end - start)).otherwise(F.lit(""))
 
 
 def _placed(text: Column, kind: str) -> Column:
@@ -99,15 +152,13 @@ def _placed(text: Column, kind: str) -> Column:
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     ahead = F.zip_with(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), gaps, lambda m, g: F.struct(m.alias("m"), g.alias("g")))
     matches = F.filter(ahead, lambda x: x["m"].isNotNull())  # behind the last match there is a gap only
-    begun = F.struct(F.lit(0).alias("at"), F.array().cast(_PLACED).alias("found"))
 
-    def add(so_far: Column, x: Column) -> Column:
-        start = so_far["at"] + x["g"]
-        end = start + F.length(x["m"])
-        here = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(so_far["found"], F.array(here)).alias("found"))
+    def place(x: Column, at: Column) -> Column:
+        start = at + x["g"]
+        return F.struct(start.alias("start"), (start + F.length(x["m"])).alias("end"), x["m"].alias("value"))
 
-    found = F.aggregate(matches, begun, add, lambda x: x["found"])
+    sums = lambda xs: _before(xs, lambda x: x["g"] + F.length(x["m"]), lambda t, n: t + n)
+    found = _let(matches, lambda xs: F.zip_with(xs, sums(xs), place))
     return F.when(text.rlike(HINTS[kind]), found).otherwise(F.array().cast(_PLACED))
 
 
@@ -152,17 +203,43 @@ def with_base(texts: DataFrame) -> DataFrame:
     return texts.withColumn("base", F.array_sort(F.concat(*each)))
 
 
+def _free_of(spans: Column, taken: Column) -> Column:
+    """Spans that overlap none of the taken ones.
+
+    In the order of starts, with the largest end up to each: the last one that starts before a span ends tells all.
+    """
+
+    def against(t: Column) -> Column:
+        upto = F.zip_with(t, _before(t, lambda x: x["end"], _largest), lambda x, m: F.struct(x["start"].alias("start"), F.greatest(x["end"], m).alias("reach")))
+
+        def halved(r: Column, end: Column) -> Column:
+            """How many of ``r`` start before ``end``."""
+            begun = F.struct(F.lit(0).alias("lo"), F.size(r).alias("hi"))
+
+            def half(s: Column, _: Column) -> Column:
+                middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+                below = F.get(r, middle)["start"] < end
+                more = s["lo"] < s["hi"]
+                lo = F.when(more & below, middle + 1).otherwise(s["lo"])
+                return F.struct(lo.alias("lo"), F.when(more & ~below, middle).otherwise(s["hi"]).alias("hi"))
+
+            return F.aggregate(F.sequence(F.lit(1), F.lit(31)), begun, half, lambda s: s["lo"])
+
+        def free(r: Column) -> Column:
+            return F.filter(spans, lambda s: _let(halved(r, s["end"]), lambda n: (n == 0) | (F.get(r, n - 1)["reach"] <= s["start"])))
+
+        return _let(upto, free)
+
+    return F.when((F.size(spans) == 0) | (F.size(taken) == 0), spans).otherwise(_let(F.array_sort(taken), against))
+
+
 def with_candidates(texts: DataFrame) -> DataFrame:
     """Adds ``candidates``: further spans that may be personal data, none over a base span or an earlier kind's."""
-    overlaps = lambda s, t: (t["start"] < s["end"]) & (s["start"] < t["end"])
     texts = texts.withColumn("candidates", F.slice("base", F.lit(1), F.lit(0)))
     for kind in KINDS[len(BASE) :]:
         texts = texts.withColumn("placed", _tagged(kind, _placed(F.col("text"), kind)))
-        free = F.filter(
-            "placed",
-            lambda s: ~F.exists("base", lambda t: overlaps(s, t)) & ~F.exists("candidates", lambda t: overlaps(s, t)),
-        )
-        texts = texts.withColumn("candidates", F.concat("candidates", F.when(F.size("placed") > 0, free).otherwise(F.col("placed"))))
+        free = _free_of(F.col("placed"), F.concat("base", "candidates"))
+        texts = texts.withColumn("candidates", F.concat("candidates", free))
     return texts.drop("placed")
 
 
@@ -173,8 +250,8 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0)
 
 
-def votes(span: Column, text: Column) -> Column:
-    """(kind, pattern, gazetteer, context, size class) of a span."""
+def votes(span: Column, chunks: Column) -> Column:
+    """(kind, pattern, gazetteer, context, size class) of a span of a text in chunks."""
     value, kind = span["value"], F.element_at(F.array(*map(F.lit, KINDS)), span["kind"] + 1)
     strict = (
         F.when(kind == "ssn", value.rlike("^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)"))
@@ -189,7 +266,7 @@ def votes(span: Column, text: Column) -> Column:
         .when(kind == "iban", F.substring(value, 1, 2).isin(IBAN_COUNTRIES))
         .when(kind == "email", value.rlike(r"\.(?:com|org|net|edu|gov|de|fr|es|uk|io)$"))
     )
-    before = F.lower(F.substring(text, F.greatest(span["start"] + 1 - BEFORE, F.lit(1)), F.least(span["start"], F.lit(BEFORE))))
+    before = F.lower(_cut(chunks, F.greatest(span["start"] - BEFORE, F.lit(0)), span["start"]))
     cue, other = before.rlike(rf"\b(?:{'|'.join(CUES)})\b"), before.rlike(rf"\b(?:{'|'.join(OTHER_CUES)})\b")
     size = F.least(F.floor(F.length(value) / 8), F.lit(4)).cast("int")
     return F.struct(
@@ -286,11 +363,14 @@ def _bare(spans: Column | str) -> Column:
 def _voted(texts: DataFrame) -> DataFrame:
     """``texts`` with base, more (candidates with their votes) and counted (the votes of the base spans)."""
     found = with_candidates(with_base(texts))
-    more = F.transform(
-        "candidates", lambda s: F.struct(*[s[x].alias(x) for x in ("start", "kind", "end")], votes(s, F.col("text")).alias("vote"))
+    more = lambda chunks: F.transform(
+        "candidates", lambda s: F.struct(*[s[x].alias(x) for x in ("start", "kind", "end")], votes(s, chunks).alias("vote"))
     )
-    counted = F.transform("base", lambda s: votes(s, F.col("text")))
-    return found.withColumn("more", more).withColumn("counted", counted).withColumn("base", _bare("base")).drop("candidates")
+    counted = lambda chunks: F.transform("base", lambda s: votes(s, chunks))
+    text = F.when(F.size("base") + F.size("candidates") > 0, F.col("text")).otherwise(F.lit(""))  # without spans, no chunks
+    both = _let(_chunked(text), lambda c: F.struct(more(c).alias("more"), counted(c).alias("counted")))
+    told = found.withColumn("voted", both).withColumns({"more": F.col("voted.more"), "counted": F.col("voted.counted")})
+    return told.withColumn("base", _bare("base")).drop("candidates", "voted")
 
 
 def _classifier(voted: DataFrame) -> tuple[float, dict]:
@@ -327,26 +407,32 @@ def personal_data(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *counts, digest.alias("base_sha256"), _written(F.col("spans")).alias("spans"))
 
 
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with [KIND] in place of the spans, which come by start."""
+
+    def of(ordered: Column, chunks: Column) -> Column:
+        before = _before(ordered, lambda s: s["end"], _largest)
+        placed = F.zip_with(ordered, before, lambda s, at: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), at.alias("at")))
+        taken = F.filter(placed, lambda p: p["start"] >= p["at"])
+        tag = lambda p: F.concat(F.lit("["), F.upper(_name(p["kind"])), F.lit("]"))
+        parts = F.transform(taken, lambda p: F.concat(_cut(chunks, p["at"], p["start"]), tag(p)))
+        last = F.aggregate(ordered, F.lit(0), lambda at, s: F.greatest(at, s["end"]))
+        return F.concat(F.array_join(parts, ""), _let(last, lambda at: _cut(chunks, at, F.length(text))))
+
+    return _let(spans, lambda s: _let(_chunked(text), lambda c: of(s, c)))
+
+
 def without_personal_data(docs: DataFrame) -> DataFrame:
     """``docs`` with [KIND] in place of every span, and n_chars to match; nothing is shuffled for it.
 
     Where spans of two kinds overlap, the one that begins first gives the name and both are taken out. Rows
-    without spans, null texts among them, stay as they are.
+    without spans, null texts among them, stay as they are. Spans and votes are stored once with their rows; votes are counted
+    and texts masked from there.
     """
-    voted = _voted(whole_texts(docs))
-    model = _classifier(voted)
     parts = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    found = _voted(parts).withColumn("spans", _all_spans(*model))
-    begun = F.struct(F.lit(0).alias("at"), F.lit("").alias("made"))
-
-    def put(so_far: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), so_far["at"] + 1, F.greatest(s["start"] - so_far["at"], F.lit(0)))
-        tag = F.concat(F.lit("["), F.upper(_name(s["kind"])), F.lit("]"))
-        made = F.when(s["start"] >= so_far["at"], F.concat(so_far["made"], gap, tag)).otherwise(so_far["made"])
-        return F.struct(F.greatest(so_far["at"], s["end"]).alias("at"), made.alias("made"))
-
-    rest = lambda x: F.concat(x["made"], F.substring(F.col("text"), x["at"] + 1, F.length("text")))
-    found = found.withColumn("masked", F.when(F.size("spans") > 0, F.aggregate("spans", begun, put, rest)))
+    voted = stored(_voted(parts).drop("text"))
+    found = voted.withColumn("spans", _all_spans(*_classifier(voted)))
+    found = found.withColumn("masked", F.when(F.size("spans") > 0, _masked(F.col("row.text"), F.col("spans"))))
     own = {c: F.col("row")[c] for c in docs.columns}
     own["text"] = F.coalesce("masked", own["text"])
     if "n_chars" in own:
