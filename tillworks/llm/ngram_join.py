@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillworks.llm.common import chosen_rows, mapped, mixed, text_slices, whole_texts
@@ -41,6 +41,7 @@ from tillworks.session import stored
 
 SLOTS = 1 << 18
 SALTS = 32
+HUBS = 4  # tried first for each set
 
 _SEEN = 200_000
 _WORD = np.uint64(0x9E3779B97F4A7C15)
@@ -267,8 +268,9 @@ def joined_parts(docs: DataFrame, words: int, percent: int, file_rows: int = FIL
     first = salted.groupBy("file").agg(F.min("hub").alias("first"), F.sum("n").alias("n")).where("n > 1")
     pairs = shared.select("mark", "hub").unionByName(salted.join(first.select("file", "first"), "file").select(F.col("hub").alias("mark"), F.col("first").alias("hub")))
     often = pairs.where("mark <> hub").groupBy("mark", "hub").agg(F.count("*").alias("n"))
-    # the hub met in most files: a passage in common gives few of them, a near copy most
-    hubs = stored(often.groupBy("mark").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub")))
+    # the hubs met in most files: a passage in common gives few of them, a near copy most
+    place = F.row_number().over(Window.partitionBy("mark").orderBy(F.desc("n"), "hub"))
+    hubs = stored(often.withColumn("place", place).where(F.col("place") <= HUBS).select("mark", "hub"))
     roots = similar_parts(shared.select("file", "mark"), hubs, info.select("mark", "n", "ranges"), elements_of(texts, info, words), percent, file_rows)
     return rows.select("doc_id", "n", "mark"), roots.join(info.select("mark", "first_id"), "mark")
 

@@ -3,14 +3,13 @@
 A set is named by ``mark``, the digest of its elements, so equal sets are one. ``filed`` says which sets share a file;
 every similar pair shares at least one. Only the parts that the links make are asked for, so no file gives all its pairs:
 
-*Stars.* Every set is compared with one hub, the first mark of the files it is in; of several hubs, with the one met in most
-files. A crowd of near copies is settled by that: each
+*Stars.* Every set is compared with some hubs, the first marks of files it is in, those first that it meets in most files. A crowd of near copies is settled by that: each
 member is looked at once, and the sets are shipped once. What is linked gets one label.
 
 *Rest.* A file whose members have one label by now says nothing new. In each other one (files of the same members count
 once) every pair of different labels is looked at, first by sizes and histograms of a byte for 8 elements, which pass over most
-pairs and lose none, then by the sets: few partners of a member as pairs, each once for all files, more of them where
-the file is. A crowded file is dealt over tasks: the
+pairs and lose none, then by the sets: few partners of a member as pairs, each once for all files, more of them in
+one file made of all that overlap. A crowded file is dealt over tasks: the
 members of its most frequent label stay where they are, in pieces, and the others come to each piece.
 
 A histogram counts the elements by range of hashes. Similar sets differ in no more than (100 - percent) / (100 +
@@ -33,7 +32,8 @@ from tillworks.session import stored
 
 FILE_ROWS = 4_000
 RANGES = 128
-FEW = 32  # a member with more partners to look at has them looked at where its file is
+FEW = 32  # a member with more partners to look at has them looked at where its file is,
+TRIED = 8  # after so many of them have been tried as pairs, the same ones in all files
 _BLOCK = 2_048
 
 
@@ -207,20 +207,21 @@ class _Unit:
 
 def _left_over(percent: int, few: int):
     """What sizes and histograms do not rule out: the pairs (mark, hub) of members with few partners of other labels, and
-    the members (file, mark) of files in which one has more."""
+    the members (file, mark) of files in which one has more, with the first few pairs of that one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, ["file", "a", "b"]):
             unit = _Unit(rows, percent)
             crowded, us, vs = np.zeros(len(rows), dtype=bool), [], []
+            files, marks = unit.rows["file"].combine_chunks(), unit.rows["mark"].combine_chunks()
+            order = np.argsort(np.argsort(np.array(marks.to_pylist(), dtype="S16")))
             for i in unit.askers().tolist():
                 found = unit.partners(i, unit.labels)
                 if len(found) > few:
                     crowded[found] = crowded[i] = True
-                else:
-                    us.extend([i] * len(found))
-                    vs.extend(found.tolist())
-            files, marks = unit.rows["file"].combine_chunks(), unit.rows["mark"].combine_chunks()
+                    found = found[np.argsort(order[found])[:TRIED]]
+                us.extend([i] * len(found))
+                vs.extend(found.tolist())
             if us:
                 one, two = (marks.take(pa.array(x)).to_pylist() for x in (us, vs))
                 pairs = [pa.array([f(p) for p in zip(one, two)], pa.binary()) for f in (max, min)]
@@ -265,6 +266,15 @@ def _one_each(rows: DataFrame) -> DataFrame:
     return rows.join(open_files.groupBy("n", "s", "x").agg(F.min("file").alias("file")).select("file"), "file", "left_semi")
 
 
+def _crowds(crowded: DataFrame) -> DataFrame:
+    """Files that overlap as one file, so that a set that is in very many of them is shipped once."""
+    rows = stored(crowded)
+    first = rows.groupBy("file").agg(F.min("mark").alias("v"))
+    edges = rows.join(first, "file").select(F.col("mark").alias("u"), "v").distinct()
+    found = connected_components(rows.select(F.col("mark").alias("u")).distinct(), edges)
+    return found.select(F.xxhash64("root").alias("file"), F.col("u").alias("mark"))
+
+
 def _rest(filed: DataFrame, labels: DataFrame, info: DataFrame, sets, percent: int, file_rows: int) -> DataFrame:
     """Links (u, v) of labels."""
     named = filed.select("file", "mark").join(labels, "mark")
@@ -275,12 +285,15 @@ def _rest(filed: DataFrame, labels: DataFrame, info: DataFrame, sets, percent: i
     left = stored(mapped(read, _left_over(percent, FEW), "file long, mark binary, hub binary").distinct())
     pairs = _compared(stored(left.where("file IS NULL").select("mark", "hub")), sets, percent, file_rows)
     named = pairs.join(labels.toDF("u", "label_u"), "u").join(labels.toDF("v", "label_v"), "v")
-    # crowds: histograms come along with the sets, as both are looked at
-    crowds = stored(_one_each(rows.join(left.where("file IS NOT NULL").select("file", "mark"), ["file", "mark"], "left_semi")))
+    found = stored(named.where("label_u <> label_v").select(F.col("label_u").alias("u"), F.col("label_v").alias("v")).distinct())
+    # crowds: what the pairs have linked has one label by now; histograms come along with the sets, as both are looked at
+    parts = connected_components(labels.select(F.col("label").alias("u")).distinct(), found).toDF("label", "part")
+    members = _crowds(left.where("file IS NOT NULL").select("file", "mark")).join(labels, "mark").join(parts, "label")
+    crowds = stored(_one_each(members.select("file", "mark", F.col("part").alias("label"))))
     with_sets = dealt(crowds, file_rows).join(sets(crowds.select("mark").distinct()), "mark").join(info, "mark")
     read = with_sets.repartition("file", "a", "b").sortWithinPartitions("file", "a", "b")
     crossed = mapped(read, _cross_links(percent), "u binary, v binary")
-    return crossed.unionByName(named.select(F.col("label_u").alias("u"), F.col("label_v").alias("v"))).distinct()
+    return crossed.unionByName(found).distinct()
 
 
 def similar_parts(filed: DataFrame, hubs: DataFrame, info: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, file_rows: int = FILE_ROWS) -> DataFrame:
