@@ -171,21 +171,41 @@ def test_similar_sets_alone_decide_in_short_texts(spark):
     assert kept == {4 * n + k for n in range(1500) for k in (0, 2, 3)}
 
 
-def test_similar_sets_equal_intersections():
-    rng = np.random.default_rng(8)
-    base = np.unique(rng.integers(0, 1 << 32, 300, dtype=np.uint32))
-    sets = [np.unique(np.concatenate([rng.permutation(base)[: rng.integers(1, 300)], rng.integers(0, 1 << 32, 20, dtype=np.uint32)])) for _ in range(200)]
-    members, plain = simhash.SimilarSets(sets, 0.8), [set(x.tolist()) for x in sets]
-    for one in range(0, 200, 7):
-        want = [len(plain[one] & x) >= 0.8 * len(plain[one] | x) for x in plain]
-        assert members.close(one, np.arange(200)).tolist() == want
-
-
 def test_similar_texts_share_a_file():
     """With 14 bands 0.06% of such pairs would share none."""
     rng = np.random.default_rng(9)
     for _ in range(20_000):
-        words = [b"%d" % x for x in rng.integers(0, 1 << 40, 9)]
-        _, one, _ = simhash._sketch(b" ".join(words), 5)
-        _, other, _ = simhash._sketch(b" ".join(words[:8]), 5)
-        assert (one == other).any()
+        shingles = rng.integers(0, 2**64, 5, dtype=np.uint64)
+        assert (simhash.band_keys(shingles) == simhash.band_keys(shingles[:4])).any()
+
+
+def test_shipped_sets_grow_with_the_group(spark, monkeypatch):
+    """Of a group of near copies four times as large, four times the sets are shipped, whatever the pieces."""
+    random.seed(6)
+    base = [f"w{i}" for i in range(60)]
+    shipped = {}
+    for size in (300, 1200):
+        texts = []
+        for _ in range(size):
+            words = list(base)
+            words[random.randrange(60)] = f"x{random.randrange(10**6)}"
+            texts.append(" ".join(words))
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        asked = []
+        elements_of = simhash.elements_of
+
+        def counted(*args):
+            sets = elements_of(*args)
+
+            def of(marks):
+                asked.append(marks.count())
+                return sets(marks)
+
+            return of
+
+        monkeypatch.setattr(simhash, "elements_of", counted)
+        groups = simhash.similar_groups(docs, file_rows=50)
+        assert groups.select("keep_id").distinct().count() == len(_similar(list(enumerate(texts)))) if size == 300 else True
+        monkeypatch.setattr(simhash, "elements_of", elements_of)
+        shipped[size] = sum(asked)
+    assert shipped[1200] <= 5 * max(shipped[300], 300)

@@ -85,7 +85,7 @@ def _short(hashes: np.ndarray) -> np.ndarray:
     return token
 
 
-def _mark(tokens: np.ndarray) -> bytes | None:
+def mark_of(tokens: np.ndarray) -> bytes | None:
     return xxhash.xxh128_digest(tokens.tobytes()) if len(tokens) else None
 
 
@@ -106,7 +106,7 @@ def _described(words: int):
                 columns = [
                     part.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([_mark(s) for s in sets], pa.binary()),
+                    pa.array([mark_of(s) for s in sets], pa.binary()),
                     pa.array([histogram(s) if len(s) else None for s in sets], pa.binary()),
                     pa.nulls(len(sets), pa.int32()),
                 ]
@@ -120,7 +120,7 @@ def _described(words: int):
     return run
 
 
-class _FirstTime:
+class FirstTime:
     """Whether a mark comes for the first time in this task; a bounded memory, so a copy may pass again."""
 
     def __init__(self):
@@ -137,10 +137,10 @@ class _FirstTime:
 
 def _elements(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = _FirstTime()
+        first = FirstTime()
         for batch in batches:
             for part in text_slices(batch):
-                made = [(m, s.tobytes()) for s in token_sets(part.column("text"), words) if first(m := _mark(s))]
+                made = [(m, s.tobytes()) for s in token_sets(part.column("text"), words) if first(m := mark_of(s))]
                 if made:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*made)], names=["mark", "elements"])
 
@@ -198,12 +198,12 @@ def index_keys(tokens: np.ndarray, classes: np.ndarray, percent: int) -> tuple[n
 
 def _indexed(words: int, percent: int, classes: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = _FirstTime()
+        first = FirstTime()
         for batch in batches:
             for part in text_slices(batch):
                 files, salts, marks = [], [], []
                 for tokens in token_sets(part.column("text"), words):
-                    mark = _mark(tokens)
+                    mark = mark_of(tokens)
                     if first(mark):
                         keys, spread = index_keys(tokens, classes, percent)
                         files.append(keys)
@@ -262,17 +262,26 @@ def joined_parts(docs: DataFrame, words: int, percent: int, file_rows: int = FIL
     one = rows.where("mark IS NOT NULL").groupBy("mark")
     info = stored(one.agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("ranges").alias("ranges")))
     keys = mapped(texts.select("text"), _indexed(words, percent, _classes(told)), "file long, salt int, mark binary")
-    sorted_keys = keys.repartition("file", "salt").sortWithinPartitions("file", "salt", "mark")
-    shared = stored(mapped(sorted_keys, _shared, "file long, salt int, mark binary, hub binary"))
+    shared = shared_files(keys)
+    sets = elements_of(texts, info, words)
+    roots = similar_parts(shared.select("file", "mark"), first_hubs(shared), info.select("mark", "n", "ranges"), sets, percent, file_rows)
+    return rows.select("doc_id", "n", "mark"), roots.join(info.select("mark", "first_id"), "mark")
+
+
+def shared_files(keys: DataFrame) -> DataFrame:
+    """Of rows (file, salt, mark) the files with two sets and more, each set once, with the hub of its (salted) file."""
+    ordered = keys.repartition("file", "salt").sortWithinPartitions("file", "salt", "mark")
+    return stored(mapped(ordered, _shared, "file long, salt int, mark binary, hub binary"))
+
+
+def first_hubs(shared: DataFrame) -> DataFrame:
+    """(mark, hub): up to ``HUBS`` hubs a set, those it meets in most files. A passage in common gives few files, a near copy many."""
     salted = shared.where("salt > 0").groupBy("file", "hub").agg(F.count("*").alias("n"))
     first = salted.groupBy("file").agg(F.min("hub").alias("first"), F.sum("n").alias("n")).where("n > 1")
     pairs = shared.select("mark", "hub").unionByName(salted.join(first.select("file", "first"), "file").select(F.col("hub").alias("mark"), F.col("first").alias("hub")))
     often = pairs.where("mark <> hub").groupBy("mark", "hub").agg(F.count("*").alias("n"))
-    # the hubs met in most files: a passage in common gives few of them, a near copy most
     place = F.row_number().over(Window.partitionBy("mark").orderBy(F.desc("n"), "hub"))
-    hubs = stored(often.withColumn("place", place).where(F.col("place") <= HUBS).select("mark", "hub"))
-    roots = similar_parts(shared.select("file", "mark"), hubs, info.select("mark", "n", "ranges"), elements_of(texts, info, words), percent, file_rows)
-    return rows.select("doc_id", "n", "mark"), roots.join(info.select("mark", "first_id"), "mark")
+    return stored(often.withColumn("place", place).where(F.col("place") <= HUBS).select("mark", "hub"))
 
 
 def joined_documents(docs: DataFrame, words: int = 4, percent: int = 85, file_rows: int = FILE_ROWS) -> DataFrame:

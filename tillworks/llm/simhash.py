@@ -10,10 +10,10 @@ is filed under each pair of segments.
 
 *Similar texts* (``similar_groups``): at a similarity of 0.8 two 64-bit fingerprints differ in about ten bits, and
 segments of so few bits tell nothing apart. There texts are filed under min-wise hashes of their shingles, and the
-sets of shingles judge every pair of a file: a distance of fingerprints is an estimate, and no limit on it is safe. Pairs
-whose sets cannot be similar by their numbers of shingles per range of hashes are passed over; that bound loses none.
+sets of shingles judge: a distance of fingerprints is an estimate, and no limit on it is safe. Which sets reach each other
+is found by ``set_links``, whose work grows in proportion to a group of near copies.
 
-A file never gives all its pairs: its parts are searched breadth first, each member being compared with those that
+A file of fingerprints never gives all its pairs: its parts are searched breadth first, each member being compared with those that
 no part has reached yet, and each linked member gives one row. A file of more than ``file_rows`` members is dealt over
 pieces, and every two pieces are searched as a file of their own, so no pair is lost and no task holds more than
 two pieces. Groups are connected components; no list of fingerprints, links or groups reaches the driver.
@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.llm.common import chosen_rows, mapped, mixed, text_slices, whole_texts
+from tillworks.llm.ngram_join import FirstTime, elements_of, first_hubs, mark_of, shared_files, token_sets
+from tillworks.llm.set_links import histogram, similar_parts
 from tillworks.operators.components import connected_components
 from tillworks.session import stored
 
@@ -42,7 +44,6 @@ FILE_ROWS, SKETCH_ROWS = 20_000, 4_000
 BANDS, BAND_ROWS = 28, 4
 
 _SHINGLE_BLOCK = 1 << 16
-_COMPARED = 1 << 20  # shingles that are looked up at once
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = mixed(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) << np.uint64(32))
 _ONES = np.array([bin(i).count("1") for i in range(1 << 16)], dtype=np.uint8)
@@ -129,7 +130,7 @@ class Members:
         return close
 
 
-def _roots(members: Members | SimilarSets) -> np.ndarray:
+def _roots(members: Members) -> np.ndarray:
     """Per member the first member of the part of the file it belongs to.
 
     Breadth first: a reached member is compared with the members that no part has reached, so a crowd of close
@@ -281,13 +282,8 @@ def _on_every_row(marked: DataFrame, by_mark: DataFrame) -> DataFrame:
 # --- similar texts --------------------------------------------------------------------------------------
 
 
-def _sketch(text: bytes, words: int) -> tuple[bytes, np.ndarray, bytes]:
-    """The digest of the set of shingles, the file keys from their min-wise hashes, and the shingles themselves as sorted
-    32-bit hashes."""
-    blocks = list(shingle_hashes(text, words))
-    if not blocks:
-        return b"", np.zeros(0, dtype=np.int64), b""
-    hashes = np.unique(np.concatenate(blocks))
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """The file keys of a set of 64-bit hashes, from its min-wise hashes."""
     least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(hashes), _SHINGLE_BLOCK):
         block = hashes[at : at + _SHINGLE_BLOCK]
@@ -297,89 +293,50 @@ def _sketch(text: bytes, words: int) -> tuple[bytes, np.ndarray, bytes]:
     file = np.arange(BANDS, dtype=np.uint64)
     for i in range(BAND_ROWS):
         file = mixed(file ^ keys[:, i])
-    short = np.unique((hashes >> np.uint64(32)).astype(np.uint32))
-    return xxhash.xxh128_digest(hashes.tobytes()), file.view(np.int64), short.tobytes()
+    return file.view(np.int64)
 
 
 def _sketches(words: int):
-    names = ["doc_id", "mark", "files", "shingles"]
+    """doc_id, n, mark (null without words), ranges; and files where the mark comes for the first time in the task."""
+    names = ["doc_id", "n", "mark", "ranges", "files"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = FirstTime()
         for batch in batches:
             for part in text_slices(batch):
-                made = [_sketch(t.encode(), words) for t in part.column("text").to_pylist()]
-                marks, files, shingles = zip(*made)
-                columns = [pa.array(marks, pa.binary()), pa.array(files, pa.list_(pa.int64())), pa.array(shingles, pa.binary())]
+                sets = token_sets(part.column("text"), words)
+                marks = [mark_of(s) for s in sets]
+                columns = [
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(marks, pa.binary()),
+                    pa.array([histogram(s) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([band_keys(s) if first(m) else None for s, m in zip(sets, marks)], pa.list_(pa.int64())),
+                ]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=names)
 
     return run
 
 
-class SimilarSets:
-    """Members of a file: a set of shingles each. Every verdict is that of the two sets."""
-
-    def __init__(self, sets: list[np.ndarray], similarity: float):
-        self.similarity = similarity
-        self.sizes = np.array([len(x) for x in sets])
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.ranges = np.stack([np.bincount(x >> np.uint32(26), minlength=64) for x in sets]).astype(np.int32)
-        known = np.unique(np.concatenate(sets))
-        self.codes = np.concatenate([np.searchsorted(known, x).astype(np.int32) for x in sets])
-        self.own = np.zeros(len(known), dtype=bool)
-
-    def __len__(self) -> int:
-        return len(self.sizes)
-
-    def close(self, one: int, others: np.ndarray) -> np.ndarray:
-        """Which others are similar to one. Similar sets differ in no more than so many shingles, over all ranges."""
-        most = (1 - self.similarity) / (1 + self.similarity) * (self.sizes[others] + self.sizes[one]) + 1e-6
-        close = np.abs(self.ranges[others] - self.ranges[one]).sum(axis=1) <= most
-        left = others[close]
-        shared = self._shared(one, left)
-        close[close] = shared >= self.similarity * (self.sizes[left] + self.sizes[one] - shared)
-        return close
-
-    def _shared(self, one: int, others: np.ndarray) -> np.ndarray:
-        """How many shingles each of the others shares with one."""
-        own = self.codes[self.starts[one] : self.starts[one] + self.sizes[one]]
-        self.own[own] = True
-        shared = np.zeros(len(others), dtype=np.int64)
-        ends = np.cumsum(self.sizes[others])
-        first = 0
-        while first < len(others):
-            before = ends[first - 1] if first else 0
-            stop = max(first + 1, int(np.searchsorted(ends, before + _COMPARED, side="right")))
-            sizes = self.sizes[others[first:stop]]
-            bounds = np.cumsum(sizes) - sizes
-            at = np.arange(sizes.sum()) + np.repeat(self.starts[others[first:stop]] - bounds, sizes)
-            shared[first:stop] = np.add.reduceat(self.own[self.codes[at]], bounds, dtype=np.int64)
-            first = stop
-        self.own[own] = False
-        return shared
-
-
-def _members_at(similarity: float):
-    def members(rows: pa.Table) -> SimilarSets:
-        return SimilarSets([np.frombuffer(x.as_buffer(), dtype=np.uint32) for x in rows.column("shingles")], similarity)
-
-    return members
-
-
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, file_rows: int = SKETCH_ROWS) -> DataFrame:
-    """keep_id (the smallest doc_id of a group), mark and files: one row per distinct sketch.
+    """keep_id (the smallest doc_id of a group) and mark: one row per distinct set of shingles.
 
-    Similarity is that of the sets of word shingles. Equal sets are one group. Rows without a doc_id are not
+    Equal sets are one group, and so are the texts without words (mark null). Rows without a doc_id are not
     looked at. Two texts of a similarity of 0.8 share no file with a chance of 4e-7, of 0.9 with 1e-13; such a pair is
     linked only through others.
     """
-    schema = "doc_id long, mark binary, files array<long>, shingles binary"
-    marked = stored(mapped(whole_texts(docs).where("doc_id is not null"), _sketches(words), schema))
-    kinds = stored(marked.groupBy("mark", "files").agg(F.min("doc_id").alias("id")))
-    filed = stored(_dealt(kinds.select("id", F.explode("files").alias("file")), file_rows))
-    sketches = marked.select(F.col("doc_id").alias("id"), "mark", "shingles").join(filed.select("id").distinct(), "id", "left_semi")
-    found = _file_links(filed.join(sketches.dropDuplicates(["id"]), "id"), _members_at(similarity))
-    roots = connected_components(kinds.select(F.col("id").alias("u")), found)
-    return roots.join(kinds, roots["u"] == kinds["id"]).select(F.col("root").alias("keep_id"), "mark", "files")
+    percent = round(100 * similarity)
+    texts = whole_texts(docs).where("doc_id is not null")
+    marked = stored(mapped(texts, _sketches(words), "doc_id long, n long, mark binary, ranges binary, files array<long>"))
+    one = marked.where("mark IS NOT NULL").groupBy("mark")
+    info = stored(one.agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("ranges").alias("ranges")))
+    keys = marked.select(F.explode("files").alias("file"), F.lit(0).alias("salt"), "mark")
+    shared = shared_files(keys)
+    sets = elements_of(texts, info, words)
+    roots = similar_parts(shared.select("file", "mark"), first_hubs(shared), info.select("mark", "n", "ranges"), sets, percent, file_rows)
+    known = stored(roots.join(info.select("mark", "first_id"), "mark"))
+    least = known.groupBy("root").agg(F.min("first_id").alias("keep_id"))
+    wordless = marked.where("mark IS NULL").agg(F.min("doc_id").alias("keep_id")).where("keep_id IS NOT NULL")
+    return known.join(least, "root").select("keep_id", "mark").unionByName(wordless.select("keep_id", F.lit(None).cast("binary").alias("mark")))
 
 
 def one_of_each_group(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
