@@ -1,14 +1,13 @@
 """Exact duplicates by an extendible-hash index on shared files.
 
-1. *Slots.* Rows are grouped by (64-bit key, text). The grouping compares whole texts byte for byte, so texts
-   that share a key become a chain of slots, not one group. Partial groups are built where the rows are
-   read: a group of any size leaves each task as one row.
-2. *Directory.* The rows of each key prefix are counted. A bucket starts as the whole key space and is doubled (one
-   more prefix bit) while it holds more rows than ``bucket_rows``; the result has at most 2^directory_bits lines.
-3. *Index files.* The slots, without their texts, are written to the shared folder by owner tasks, each of which
-   holds a range of buckets, sorted by key.
-4. *Probe.* Every document looks up its bucket and its slot. A slot that alone overfills a bucket cannot be split by
-   more bits: it gets overflow pages, and its documents are dealt over them.
+1. *Directory.* The rows of each key (a 64-bit hash of the text) are counted, and the keys' rows by prefix. A bucket starts
+   as the whole key space and is doubled (one more prefix bit) while it holds more rows than ``bucket_rows``; the result
+   has at most 2^directory_bits lines.
+2. *Owners.* Rows go to the task that owns their range of buckets and keys. There the rows of one key are chained in the
+   order of their texts, which compares them byte for byte: texts that share a key stay apart, and each chain names
+   the row that stays and its size for all of its rows. The result is the index, files in the shared folder.
+3. *Overflow pages.* A key that alone overfills a bucket cannot be split by more bits. Its rows are dealt over pages, which
+   different tasks own; what the pages say of a text is put together afterwards, a line per text and page.
 
 Null texts count as empty, empty texts are equal to each other. A row with a null doc_id never stays while its
 group has another; repeated rows share their doc_id, so they are marked alike. An empty table gives no rows.
@@ -16,7 +15,7 @@ group has another; repeated rows share their doc_id, so they are marked alike. A
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillworks.llm.common import chosen_rows, whole_texts
@@ -37,17 +36,14 @@ def _keyed(docs: DataFrame, key_bits: int) -> DataFrame:
     return whole_texts(docs).select("doc_id", key.alias("key"), "text")
 
 
-def slots(docs: DataFrame, key_bits: int = 64) -> DataFrame:
-    """One row per distinct text: key, digest, length, the doc_id that stays and the number of rows."""
-    grouped = _keyed(docs, key_bits).groupBy("key", "text")
-    return grouped.agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).select(
-        "key", F.sha2("text", 256).alias("digest"), "keep_id", "group_size"
-    )
+def key_counts(docs: DataFrame, key_bits: int = 64) -> DataFrame:
+    """key and group_size, its number of rows; counted where they are read, so a key is one row per task."""
+    return _keyed(docs, key_bits).groupBy("key").agg(F.count("*").alias("group_size"))
 
 
-def directory(slot_rows: DataFrame, bits: int = DIRECTORY_BITS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def directory(counts: DataFrame, bits: int = DIRECTORY_BITS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """prefix -> depth of its bucket: the fewest bits at which the bucket holds at most ``bucket_rows`` rows."""
-    by_prefix = slot_rows.groupBy(_prefix(bits).alias("prefix")).agg(F.sum("group_size").alias("rows"))
+    by_prefix = counts.groupBy(_prefix(bits).alias("prefix")).agg(F.sum("group_size").alias("rows"))
     levels = by_prefix.select("prefix", "rows", F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("depth"))
     at_level = levels.withColumn("branch", F.expr(f"shiftrightunsigned(prefix, {bits} - depth)"))
     fitting = (
@@ -75,26 +71,31 @@ def exact_groups(
 
     ``key_bits`` below 64 makes keys collide, for tests of the chains.
     """
-    spark = docs.sparkSession
-    found = stored(slots(docs, key_bits))
-    lines = stored(directory(found, directory_bits, bucket_rows))
-    owners = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index = stored(
-        _bucketed(found, lines, directory_bits).repartitionByRange(owners, "bucket", "key").sortWithinPartitions("bucket", "key")
-    )
+    counts = stored(key_counts(docs, key_bits))
+    lines = stored(directory(counts, directory_bits, bucket_rows))
+    owners = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    # Slots that overfill a bucket alone. No more than one in 1,000 of all rows each: at most 1,000 of them.
-    rows = index.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
+    # Keys that overfill a bucket alone. No more than one in 1,000 of all rows each: at most 1,000 of them.
+    rows = counts.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
     page_rows = max(bucket_rows, rows // 1000)
     pages = F.ceil(F.col("group_size") / page_rows).cast("int")
-    full = index.where(F.col("group_size") > page_rows).select("key", "digest", pages.alias("pages"))
-
-    probes = _keyed(docs, key_bits).select("doc_id", "key", F.sha2("text", 256).alias("digest"))
-    dealt = F.pmod(F.xxhash64("doc_id"), F.coalesce("pages", F.lit(1))).cast("int")
-    probes = _bucketed(probes, lines, directory_bits).join(F.broadcast(full), ["key", "digest"], "left")
-    probes = probes.withColumn("page", dealt).drop("pages")
-    paged = index.withColumn("page", F.explode(F.sequence(F.lit(0), F.greatest(pages - 1, F.lit(0)))))
-    return probes.join(paged, ["bucket", "page", "key", "digest"]).select(
+    full = counts.where(F.col("group_size") > page_rows).select("key", pages.alias("pages"))
+
+    page = F.pmod(F.xxhash64("doc_id"), F.coalesce("pages", F.lit(1))).cast("int")
+    placed = _bucketed(_keyed(docs, key_bits), lines, directory_bits).join(F.broadcast(full), "key", "left").withColumn("page", page)
+    owned = placed.repartitionByRange(owners, "bucket", "key", "page")
+    chain = Window.partitionBy("bucket", "key", "page", "text")
+    told = [F.max("doc_id").over(chain).alias("keep_id"), F.count("*").over(chain).alias("group_size")]
+    index = stored(owned.select("doc_id", "key", "page", F.col("pages").isNotNull().alias("paged"), F.sha2("text", 256).alias("digest"), *told))
+
+    paged = index.where("paged").drop("paged")
+    per_page = stored(paged.select("key", "digest", "page", "keep_id", "group_size").distinct())
+    whole = per_page.groupBy("key", "digest").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    by_page = per_page.select("key", "digest", "page").join(whole, ["key", "digest"])
+    spread = paged.select("doc_id", "key", "digest", "page").join(by_page, ["key", "digest", "page"])
+    columns = ["doc_id", "keep_id", "group_size", "digest"]
+    found = index.where("NOT paged").select(columns).unionByName(spread.select(columns))
+    return found.select(
         "doc_id",
         "keep_id",
         "group_size",
@@ -105,4 +106,4 @@ def exact_groups(
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, the one with the largest doc_id."""
-    return chosen_rows(docs, slots(docs).select("keep_id"))
+    return chosen_rows(docs, exact_groups(docs).where("kept").select("doc_id").distinct())
