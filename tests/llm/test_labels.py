@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import random
-import time
 import re
+import time
+import zlib
+from pathlib import Path
 
 import pytest
 from brute_pii import base
@@ -352,3 +354,51 @@ def test_complete_texts_of_short_licenses(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.license for r in license_scan.license_scan(docs).collect()} == dict(enumerate(n for n, _ in whole))
     assert {n for n, _ in whole} == {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Zlib", "Unlicense", "Apache-2.0"}
+
+
+def _installed(least: int = 20) -> list[tuple[str, str]]:
+    """Whole MIT and BSD files as they stand in installed packages, and which of the two they are."""
+    import pyspark
+
+    folders = [Path(pyspark.__file__).parent / "licenses", *Path(pyspark.__file__).parents[1].glob("*.dist-info")]
+    texts = set()
+    for file in (f for folder in folders for f in folder.rglob("*") if re.match("(?i)licen[sc]e|copying", f.name) and f.is_file()):
+        text = file.read_text(errors="replace")
+        plain = " ".join(text.lower().split())
+        if len(plain) < 1200 and "permission is hereby granted, free of charge" in plain and "noninfringement" in plain:
+            texts.add(("MIT", text))
+        if len(plain) < 1700 and "redistribution and use in source and binary forms" in plain:
+            texts.add(("BSD", text))
+    if len(texts) < least:
+        pytest.skip("too few packages are installed here")
+    return sorted(texts)
+
+
+def test_real_files_are_found(spark):
+    """Titles, reserved rights, copyright lines without a year, named holders, other wrapping and bullets."""
+    files = _installed()
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(files)], "doc_id long, text string")
+    found = {r.doc_id: r.license or "" for r in license_scan.license_scan(docs).collect()}
+    hits = [found[i].startswith(kind) for i, (kind, _) in enumerate(files)]
+    assert sum(hits) >= 20 and sum(hits) >= 0.9 * len(hits), [files[i][1][:80] for i, hit in enumerate(hits) if not hit]
+
+
+def test_other_terms_are_no_licence(spark):
+    mit = next(t for n, t in license_scan.KNOWN if n == "MIT")
+    texts = [mit + " You shall not use it on Sundays.", mit.replace("without restriction", "with restriction"), "The MIT License\n\nCopyright Jo\n" + mit]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.license for r in license_scan.license_scan(docs).orderBy("doc_id").collect()] == [None, None, "MIT"]
+
+
+def test_passages_in_common_make_no_copies(spark):
+    """Texts that share a third keep teaching, near copies with one label teach once."""
+    draw = random.Random(5)
+    words = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    passage, base = words(40), words(120)
+    near = [" ".join([*base[:k], "new", *base[k + 1 :]]) for k in range(0, 120, 12)]
+    other = [" ".join([*words(40), *passage, *words(40)]) for _ in range(60)]
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 3 != 1][:70]
+    docs = spark.createDataFrame(list(zip(ids, near + other)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0) for i in ids], "doc_id long, toxic int")
+    taught = [r.text for r in toxicity.training_texts(docs, labels).collect()]
+    assert len(set(taught) & set(near)) <= 3 and len(set(taught) & set(other)) >= 55

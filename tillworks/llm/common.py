@@ -21,10 +21,11 @@ from pyspark.sql.types import StructType
 
 @cache
 def _shipped(application: str) -> None:
-    """Sends the package to the executors, once per application, unless their Python finds it anyway."""
+    """Sends the package to the executors, once per application; in local mode they share the driver's path, where it may be."""
     root = Path(__file__).resolve().parents[2]
     seen = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root in seen or root == Path.cwd().resolve():
+    local = SparkSession.active().sparkContext.master.startswith("local") and "cluster" not in SparkSession.active().sparkContext.master
+    if local and (root in seen or root == Path.cwd().resolve()):
         return
     folder = tempfile.mkdtemp(prefix="tillworks-package-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)

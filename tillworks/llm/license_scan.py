@@ -1,12 +1,13 @@
 """Licence scan: whole texts and their single lines are looked up by canonical digest.
 
-*Canonical form.* Letters are lower-cased; lines that state a copyright go; equivalent spellings become one
-(licence / license, "sub-license" / "sublicense", http / https, typographic quotes and dashes); everything that is neither
-letter nor digit becomes one space. The digest is SHA-256 of what is left.
+*Canonical form.* Letters are lower-cased; equivalent spellings become one (licence / license, "sub-license" / "sublicense",
+http / https, copyright owner / holder); lines that state a copyright, with a year or without, title lines and "all rights
+reserved" go; everything that is neither letter nor digit becomes one space; and whoever the conditions name (the holder, the
+author, the regents, a company) becomes one word. The digest is SHA-256 of what is left.
 
-*Lookup.* A table of known licences, notices and their names is brought to the same form. Texts, then their single
-lines, are joined to it by digest: a hash join, as the table is small and of fixed size. Lines that are
-the same after the canonical form are looked up once, so a line that stands in very many texts costs one row per task.
+*Lookup.* A table of known licences, notices and their names is brought to the same form. Texts are joined to it by
+digest: a hash join, as the table is small and of fixed size. Single lines are looked up in the row they stand in,
+through a map of the same digests.
 
 A null text is the empty one; texts without letters or digits have the digest of nothing and no licence. Repeated rows
 get the same result; an empty table gives no rows.
@@ -47,26 +48,53 @@ KNOWN = [
     ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
 ]
 
+# Spellings that mean the same, in this order; then lines that say nothing about the terms.
 _REPLACED = [
     ("licence", "license"),
     ("sub-license", "sublicense"),
     ("non-infringement", "noninfringement"),
     ("non-commercial", "noncommercial"),
     ("https://", "http://"),
+    ("copyright notice", "notice"),
+    ("copyright owner", "holder"),
+    ("copyright holder", "holder"),
+    ("copyright law", "law"),
+    ("copyright interest", "interest"),
+    ("copyright license", "right"),
+    ("\n", "\n\n"),
+]
+_TITLES = (
+    "mit|expat|isc|zlib|apache|unlicense|(?:(?:new|modified|simplified|revised) )?bsd(?:[ -][0-4][ -]clause)?|[0-4][ -]clause bsd"
+    "|mit/x11|bsd license 2[.]0|the bsd"
+)
+_DROPPED = [
+    r"(?:all[ \t\r\n]+)?rights[ \t\r\n]+reserved\.?",
+    r"(?:^|\n)[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*",
+    rf"(?:^|\n)[^a-z0-9\n]*(?:the )?(?:{_TITLES})(?: license)?(?: \([^)\n]*\))?[ \t\r:.=*-]*(?:\n|$)",
+]
+_NAMED = [
+    ("copyright (notice|holder|law|interest)", r"\1"),
+    ("copyright owner", "holder"),
+    (r"the name of .{1,150}? may not be used to endorse", "neither the name of holder nor the names of its contributors may be used to endorse"),
+    (r"neither the names? of .{1,150}? nor the names of (?:(?:its|their|any|other) )?contributors", "neither the name of holder nor the names of its contributors"),
+    (r"software is provided by .{1,150}? as is and any", "software is provided by holder as is and any"),
+    (r"in no event shall .{1,150}? be liable", "in no event shall holder be liable"),
 ]
 
-
-COPYRIGHT_LINE = r"(?:^|\n)[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*[0-9][^\n]*"
 MENTIONS = "licen[sc]e|permission"
 
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text."""
     form = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    form = F.regexp_replace(form, COPYRIGHT_LINE, "\n")
     for other, one in _REPLACED:
         form = F.replace(form, F.lit(other), F.lit(one))
-    return F.trim(F.regexp_replace(form, r"[^\p{L}\p{Nd}]+", " "))
+    for pattern in _DROPPED:
+        form = F.regexp_replace(form, pattern, "\n")
+    form = F.trim(F.regexp_replace(form, r"[^\p{L}\p{Nd}]+", " "))
+    for pattern, one in _NAMED:
+        form = F.regexp_replace(form, pattern, one.replace("\\1", "$1"))
+    return form
 
 
 def known_digests(spark: SparkSession) -> DataFrame:
@@ -104,10 +132,14 @@ def license_scan_sql() -> str:
 
     def form(text: str) -> str:
         made = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-        made = f"regexp_replace({made}, {quoted(COPYRIGHT_LINE)}, chr(10), 'g')"
         for other, one in _REPLACED:
             made = f"replace({made}, {quoted(other)}, {quoted(one)})"
-        return f"trim(regexp_replace({made}, '[^\\p{{L}}\\p{{Nd}}]+', ' ', 'g'))"
+        for pattern in _DROPPED:
+            made = f"regexp_replace({made}, {quoted(pattern)}, chr(10), 'g')"
+        made = f"trim(regexp_replace({made}, '[^\\p{{L}}\\p{{Nd}}]+', ' ', 'g'))"
+        for pattern, one in _NAMED:
+            made = f"regexp_replace({made}, {quoted(pattern)}, {quoted(one)}, 'g')"
+        return made
 
     rows = ", ".join(f"({quoted(license)}, {quoted(text)})" for license, text in KNOWN)
     return f"""
