@@ -18,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 WINDOWS = campaign.TABLES_1997
 LOAD_DAY, LOAD_MONTH, STORED_QUARTER = date(1997, 11, 28), (1997, 11), (1997, 4)
 KNOWN_UNTIL, KEYED_UNTIL = date(1997, 11, 14), date(1996, 6, 30)
+SUMMARISED_UNTIL = date(1997, 10, 31), date(1997, 11, 28), date(1998, 12, 31)
 SEGMENTS = ["automobile", "building", "furniture", "household", "machinery"]
 PAYMENT_METHODS = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low"]
 
@@ -91,6 +92,7 @@ CAMPAIGN = {
 OPERATIONS = {
     "dim_date_upsert": lambda t: operations.new_days_of_month(t, *LOAD_MONTH, known_until=KNOWN_UNTIL),
     "partitioned_fact": lambda t: operations.quarter_revenue(t, *STORED_QUARTER),
+    "mv_after_loads": lambda t: operations.summary_of_loads(t, *SUMMARISED_UNTIL),
     "sales_keys": lambda t: operations.numbered_lines(t, KEYED_UNTIL),
     "quality_report": lambda t: operations.quality(t, SEGMENTS, PAYMENT_METHODS),
 }

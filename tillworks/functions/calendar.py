@@ -23,8 +23,9 @@ def month_index(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
-def first_of_month(year: int, month: int) -> Column:
-    return F.to_date(F.concat(F.lit(str(year)), F.lpad(F.lit(str(month)), 2, "0"), F.lit("01")), "yyyyMMdd")
+def first_of_month(year: Column, month: Column) -> Column:
+    padded = F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0")
+    return F.to_date(F.concat(*padded, F.lit("01")), "yyyyMMdd")
 
 
 def is_weekend_flag(day: Column) -> Column:

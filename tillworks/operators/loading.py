@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillworks.functions import calendar, money
 from tillworks.operators.pair_index import PairIndex
-from tillworks.sources.store import Store
+from tillworks.sources.store import Change, Store
 
 LOADED_PAIR = ["transaction_id", "product_id"]
 
@@ -85,11 +86,22 @@ def run_load(fact_path: str, fresh: DataFrame) -> int:
     return written.get["rows"]
 
 
-def run_indexed_load(store: Store, index: PairIndex, fresh: DataFrame, table: str = "fact") -> int:
-    """Appends the new rows to a table of the store, and their pairs to the index, in one change; returns their number."""
+def run_indexed_load(
+    store: Store,
+    index: PairIndex,
+    fresh: DataFrame,
+    table: str = "fact",
+    also: Callable[[Change, DataFrame], None] | None = None,
+) -> int:
+    """Appends the new rows to a table of the store, and their pairs to the index, in one change; returns their number.
+
+    ``also`` writes what else follows from the written rows, as a part of the same change.
+    """
     written = Observation()
     with store.change() as change:
         change.append(table, fresh.observe(written, F.count(F.lit(1)).alias("rows")))
         loaded = store.spark.read.schema(fresh.schema).parquet(f"{store.folder}/{table}/load={change.loads[table][-1]}")
         index.add(change, loaded)
+        if also is not None:
+            also(change, loaded)
     return written.get["rows"]

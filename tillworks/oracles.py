@@ -436,6 +436,11 @@ OPERATIONS = {
     "partitioned_fact": f"""SELECT CAST(1997 AS INT) AS year, CAST(4 AS INT) AS quarter, store_id,
         {dbl('sum(net_amount)')} AS revenue, count(*) AS line_count FROM fct_sales
         WHERE transaction_date BETWEEN DATE '1997-10-01' AND DATE '1997-12-31' GROUP BY 3""",
+    "mv_after_loads": f"""SELECT CAST(year(transaction_date) AS INT) AS year_num,
+        CAST(month(transaction_date) AS INT) AS month_num, store_id, CAST(date_trunc('month', min(transaction_date)) AS DATE) AS month_start,
+        {dbl('sum(net_amount)')} AS revenue, count(DISTINCT transaction_id) AS transactions,
+        count(DISTINCT customer_id) AS unique_customers
+        FROM fct_sales WHERE transaction_date <= DATE '1998-12-31' GROUP BY 1, 2, 3""",
     "sales_keys": """, loads AS (
         SELECT sales_item_id, transaction_id, CAST(transaction_date > DATE '1996-06-30' AS INT) AS load
         FROM sales_items JOIN transactions USING (transaction_id))

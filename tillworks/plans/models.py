@@ -31,7 +31,7 @@ def _cast_to(df: DataFrame, schema) -> DataFrame:
 
 
 def stg_transactions(transactions: DataFrame) -> DataFrame:
-    return _cast_to(transactions, schemas.TRANSACTIONS).withColumn("payment_method", F.lower("payment_method"))
+    return _cast_to(transactions, schemas.TRANSACTIONS).withColumn("payment_method", F.lower(F.trim("payment_method")))
 
 
 def stg_sales_items(sales_items: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def dim_date(days: DataFrame, column: str = "transaction_date") -> DataFrame:
 def flat_sales(t: SalesTables, *, with_ids: bool = False) -> DataFrame:
     """The star join: fact lines with product, customer and store attributes."""
     items = t.sales_items if with_ids else t.lines
-    fact = items.join(t.transactions.withColumn("payment_method", F.lower("payment_method")), "transaction_id")
+    fact = items.join(t.transactions.withColumn("payment_method", F.lower(F.trim("payment_method"))), "transaction_id")
     products = t.products.select("product_id", "category", "product_name")
     customers = t.customers.select(
         "customer_id", F.col("segment").alias("customer_segment"), F.col("city").alias("customer_city")

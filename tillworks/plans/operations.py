@@ -11,15 +11,17 @@ from tillworks.operators import loading
 from tillworks.operators.keys import KeyMap
 from tillworks.operators.pair_index import PairIndex
 from tillworks.operators.quality import TableRules, quality_report, split_valid
+from tillworks.functions import money
 from tillworks.plans import customers, models, revenue
+from tillworks.plans.summaries import MonthlySummary
 from tillworks.session import scratch_table, stored
 from tillworks.sources.files import as_view, replace_partitions, replace_table, write_by_quarter
-from tillworks.sources.store import Store
+from tillworks.sources.store import Change, Store
 from tillworks.sources.tables import SalesTables
 
 
 def _staged(t: SalesTables) -> DataFrame:
-    return t.transactions.withColumn("payment_method", F.lower("payment_method"))
+    return t.transactions.withColumn("payment_method", F.lower(F.trim("payment_method")))
 
 
 def index_of(pairs: DataFrame, folder: str | None = None) -> PairIndex:
@@ -144,6 +146,31 @@ def quarter_revenue(t: SalesTables, year: int, quarter: int) -> DataFrame:
     )
 
 
+def summary_of_loads(t: SalesTables, *until: date) -> DataFrame:
+    """The monthly summary after one load for each day of ``until``: the sales up to it that the loads before did not bring."""
+    spark = t.lines.sparkSession
+    store = Store(spark, scratch_table(spark, "warehouse"))
+    summary = MonthlySummary(store)
+    day, after = F.col("transaction_date"), None
+    for last in until:
+        with store.change() as change:
+            of_load = models.totals_with_stores(t).where(day <= F.lit(last))
+            summary.add(change, of_load if after is None else of_load.where(day > F.lit(after)))
+        after = last
+    return summary.view()
+
+
+def load_and_summarise(store: Store, index: PairIndex, summary: MonthlySummary, fresh: DataFrame) -> int:
+    """New fact rows, their pairs and their part of the monthly summary, in one change; returns the number of rows."""
+
+    def summarised(change: Change, loaded: DataFrame) -> None:
+        day = F.to_date(F.col("date_id").cast("string"), "yyyyMMdd").alias("transaction_date")
+        cents = money.cents(F.col("net_amount")).alias("net_cents")
+        summary.add(change, loaded.select("transaction_id", "customer_id", "store_id", day, cents))
+
+    return loading.run_indexed_load(store, index, fresh, also=summarised)
+
+
 def numbered_lines(t: SalesTables, until: date) -> DataFrame:
     """Lines with their number in the warehouse: those of transactions up to a day are loaded first, the others later.
 
