@@ -203,9 +203,10 @@ def _near_texts(seed, bases, versions, size):
     return texts
 
 
-@pytest.mark.parametrize("percent, words, file_rows, few", [(85, 4, 4000, 32), (85, 4, 3, 0), (80, 5, 5, 2)])
-def test_join_equals_brute_force(spark, monkeypatch, percent, words, file_rows, few):
+@pytest.mark.parametrize("percent, words, file_rows, few, small", [(85, 4, 4000, 32, 4), (85, 4, 3, 0, 0), (80, 5, 5, 2, 1)])
+def test_join_equals_brute_force(spark, monkeypatch, percent, words, file_rows, few, small):
     monkeypatch.setattr(set_links, "FEW", few)
+    monkeypatch.setattr(set_links, "SMALL", small)
     texts = _near_texts(percent + file_rows, 12, 9, 80) + _near_texts(1, 20, 6, 8) + ["one two", "ONE two", "one", "", None, "a b c d", "a b c d e", " \n "]
     rows = [(1000 - 3 * i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (None, "only here"), (1000, texts[0])]
     docs = _table(spark, [(d, t, None, None, 0) for d, t in rows])
@@ -265,3 +266,17 @@ def test_histograms_pass_over_no_similar_pair():
         found = set(unit.partners(i, unit.labels).tolist())
         close = {j for j, b in enumerate(ranked) if j != i and set_links.similar(len(np.intersect1d(a, b)), np.int64(len(a)), len(b), 85)}
         assert close <= found and (len(a) < 100 or len(found) <= len(close) + 1)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_shared_files_over_batches(size):
+    draw = random.Random(size)
+    rows = sorted((draw.randrange(12), draw.choice([0, 0, 0, 3]), bytes([draw.randrange(4)]) * 16) for _ in range(80))
+    table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary()))], names=["file", "salt", "mark"])
+    got = [tuple(r.values()) for b in ngram_join._shared(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+    want = set()
+    for file, salt in {r[:2] for r in rows}:
+        marks = sorted({m for f, s, m in rows if (f, s) == (file, salt)})
+        if len(marks) > 1 or salt:
+            want |= {(file, salt, m, marks[0]) for m in marks}
+    assert len(got) == len(set(got)) and set(got) == want

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import chosen_rows, mapped, mixed, text_slices, whole_texts
+from tillworks.llm.common import chosen_rows, data_bytes, mapped, mixed, text_slices, whole_texts
 from tillworks.llm.set_links import FILE_ROWS, histogram, similar_parts
 from tillworks.session import stored
 
@@ -216,28 +216,55 @@ def _indexed(words: int, percent: int, classes: np.ndarray):
     return run
 
 
+_KEPT = pa.schema([("file", pa.int64()), ("salt", pa.int32()), ("mark", pa.binary()), ("hub", pa.binary())])
+
+
+def _halves(marks: pa.Array) -> np.ndarray:
+    """Marks, 16 bytes each, as rows of two numbers."""
+    return data_bytes(marks).view(np.uint64).reshape(-1, 2)
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (file, salt, mark, hub) of files with two sets and more, and of all salted ones; sorted rows, read once.
 
     The hub is the first mark of a file (or of its salted part). Its own row waits until a second set comes.
     """
-    kept = pa.schema([("file", pa.int64()), ("salt", pa.int32()), ("mark", pa.binary()), ("hub", pa.binary())])
-    before, hub, told = (None, None, None), None, True
+    before = None  # the last row: file, salt, mark; the hub of its file; whether the hub's row has been told
     for batch in batches:
-        rows = []
-        for row in zip(*(batch.column(k).to_pylist() for k in ("file", "salt", "mark"))):
-            if row[:2] != before[:2]:
-                hub, told = row[2], row[1] > 0
-                if told:
-                    rows.append((*row, hub))
-            elif row[2] != before[2]:
-                if not told:
-                    rows.append((*row[:2], hub, hub))
-                    told = True
-                rows.append((*row, hub))
-            before = row
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kept)], schema=kept)
+        n = batch.num_rows
+        if not n:
+            continue
+        files, salts, marks = batch.column("file").to_numpy(), batch.column("salt").to_numpy(), batch.column("mark")
+        halves = _halves(marks)
+        starts, other = np.ones(n, dtype=bool), np.ones(n, dtype=bool)
+        starts[1:] = (files[1:] != files[:-1]) | (salts[1:] != salts[:-1])
+        other[1:] = (halves[1:] != halves[:-1]).any(axis=1)
+        goes_on = before is not None and (files[0], salts[0]) == before[:2]
+        if goes_on:
+            starts[0] = False
+            other[0] = marks[0].as_py() != before[2]
+        fresh = starts | other
+        first = np.flatnonzero(starts)
+        run = np.cumsum(starts) - 1  # -1: the run that goes on
+        members = np.bincount(run[fresh & ~starts] + 1, minlength=len(first) + 1)  # besides the hub
+        told = (members[1:] > 0) | (salts[first] > 0)
+        keep = fresh & ~starts
+        keep[first] = told
+        if goes_on and members[0] and not before[4]:
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((*before[:2], before[3], before[3]), _KEPT)], schema=_KEPT)
+        at = np.flatnonzero(keep)
+        if len(at):
+            hub_at = np.where(run[at] >= 0, first[np.maximum(run[at], 0)] if len(first) else 0, 0)
+            hubs = marks.take(pa.array(hub_at))
+            if goes_on and (run[at] < 0).any():
+                hubs = pc.if_else(pa.array(run[at] < 0), pa.scalar(before[3], pa.binary()), hubs)
+            rows = batch.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([*(rows.column(k).cast(f.type) for k, f in zip(("file", "salt", "mark"), _KEPT)), hubs.cast(pa.binary())], schema=_KEPT)
+        if len(first):
+            hub, hub_told = marks[int(first[-1])].as_py(), bool(told[-1])
+        else:
+            hub, hub_told = before[3], before[4] or bool(members[0])
+        before = (files[-1], salts[-1], marks[n - 1].as_py(), hub, hub_told)
 
 
 def _classes(told: DataFrame) -> np.ndarray:

@@ -33,6 +33,7 @@ from tillworks.session import stored
 FILE_ROWS = 4_000
 RANGES = 128
 FEW = 32  # a member with more partners to look at has them looked at where its file is,
+SMALL = 4  # members of a file whose few pairs are told at once
 TRIED = 8  # after so many of them have been tried as pairs, the same ones in all files
 _BLOCK = 2_048
 
@@ -119,12 +120,11 @@ def _verified(percent: int):
     return run
 
 
-def _stars(hubs: DataFrame, info: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, file_rows: int) -> DataFrame:
-    """Links (u, v) of the pairs (mark, hub) that are similar."""
+def _likely(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (mark, hub) that sizes and histograms do not rule out."""
     hub_info = info.select(F.col("mark").alias("hub"), F.col("n").alias("hub_n"), F.col("ranges").alias("hub_ranges"))
-    told = hubs.join(info, "mark").join(hub_info, "hub")
-    pairs = mapped(told.select("mark", "hub", "n", "hub_n", "ranges", "hub_ranges"), _probable(percent), "mark binary, hub binary")
-    return _compared(stored(pairs), sets, percent, file_rows)
+    told = pairs.join(info, "mark").join(hub_info, "hub")
+    return mapped(told.select("mark", "hub", "n", "hub_n", "ranges", "hub_ranges"), _probable(percent), "mark binary, hub binary")
 
 
 def _compared(pairs: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, file_rows: int) -> DataFrame:
@@ -266,6 +266,13 @@ def _one_each(rows: DataFrame) -> DataFrame:
     return rows.join(open_files.groupBy("n", "s", "x").agg(F.min("file").alias("file")).select("file"), "file", "left_semi")
 
 
+def _small_pairs(rows: DataFrame) -> DataFrame:
+    """The pairs (mark, hub) of different labels in files of up to ``SMALL`` members, each once."""
+    members = rows.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("mark", "label"))).alias("m"))
+    each = F.transform("m", lambda a: F.transform(F.filter("m", lambda b: (b["mark"] < a["mark"]) & (b["label"] != a["label"])), lambda b: F.struct(a["mark"].alias("mark"), b["mark"].alias("hub"))))
+    return members.select(F.explode(F.flatten(each)).alias("pair")).select("pair.mark", "pair.hub").distinct()
+
+
 def _crowds(crowded: DataFrame) -> DataFrame:
     """Files that overlap as one file, so that a set that is in very many of them is shipped once."""
     rows = stored(crowded)
@@ -280,10 +287,14 @@ def _rest(filed: DataFrame, labels: DataFrame, info: DataFrame, sets, percent: i
     named = filed.select("file", "mark").join(labels, "mark")
     told = stored(named)
     rows = stored(_one_each(told))
-    units = dealt(rows, file_rows).join(info, "mark")
+    sizes = rows.groupBy("file").agg(F.count("*").alias("size"))
+    sized = rows.join(sizes, "file")
+    few = _likely(_small_pairs(sized.where(F.col("size") <= SMALL)), info, percent)
+    units = dealt(sized.where(F.col("size") > SMALL).drop("size"), file_rows).join(info, "mark")
     read = units.repartition("file", "a", "b").sortWithinPartitions("file", "a", "b")
     left = stored(mapped(read, _left_over(percent, FEW), "file long, mark binary, hub binary").distinct())
-    pairs = _compared(stored(left.where("file IS NULL").select("mark", "hub")), sets, percent, file_rows)
+    found_pairs = left.where("file IS NULL").select("mark", "hub").unionByName(few).distinct()
+    pairs = _compared(stored(found_pairs), sets, percent, file_rows)
     named = pairs.join(labels.toDF("u", "label_u"), "u").join(labels.toDF("v", "label_v"), "v")
     found = stored(named.where("label_u <> label_v").select(F.col("label_u").alias("u"), F.col("label_v").alias("v")).distinct())
     # crowds: what the pairs have linked has one label by now; histograms come along with the sets, as both are looked at
@@ -303,7 +314,7 @@ def similar_parts(filed: DataFrame, hubs: DataFrame, info: DataFrame, sets: Call
     size and ``histogram`` of every set; ``sets``: gives (mark, elements) of asked marks, elements being sorted
     64-bit hashes; ``percent``: similar sets share so much of their union.
     """
-    linked = stored(_stars(hubs, info, sets, percent, file_rows))
+    linked = stored(_compared(stored(_likely(hubs, info, percent)), sets, percent, file_rows))
     labels = stored(connected_components(info.select(F.col("mark").alias("u")), linked).toDF("mark", "label"))
     crossed = stored(_rest(filed, labels, info, sets, percent, file_rows))
     roots = connected_components(labels.select(F.col("label").alias("u")).distinct(), crossed).toDF("label", "root")
