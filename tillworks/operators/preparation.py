@@ -2,29 +2,41 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.functions.hashing import hash_number
-from tillworks.operators.ordering import number_within, with_position
+from tillworks.operators.ordering import number_within
+from tillworks.session import stored
 
 TEST_PERCENT = 20
 
 
-def with_label_codes(df: DataFrame, columns: list[str], labels_from: DataFrame | None = None) -> DataFrame:
-    """``<column>_encoded``: place of the value in the sorted list of values, counted from 0; NULL has none.
+def label_codes(sources: dict[str, DataFrame]) -> DataFrame:
+    """_column, _label, _code: the place of each value of a column in the sorted list of its values, counted from 0.
 
-    The distinct values, of ``labels_from`` where a smaller frame with the same values is at hand, are numbered
-    and joined back: any number of values will do.
+    ``sources`` names the frame that holds a column. The values of all columns are numbered together, however many there
+    are: one ordering by (column, value), from which every column's numbers start anew.
     """
-    source = df if labels_from is None else labels_from
-    coded = df
+    labels = [df.select(F.lit(c).alias("_column"), F.col(c).alias("_label")).where("_label IS NOT NULL").distinct() for c, df in sources.items()]
+    numbered = number_within(reduce(DataFrame.unionByName, labels), "_column", ["_label"], "_code")
+    return stored(numbered.withColumn("_code", (F.col("_code") - 1).cast("int")))
+
+
+def with_codes(df: DataFrame, columns: list[str], codes: DataFrame) -> DataFrame:
+    """``<column>_encoded`` for each column; NULL has no code."""
     for c in columns:
-        labels = source.select(F.col(c).alias("_label")).where("_label IS NOT NULL").distinct()
-        codes = with_position(labels, ["_label"], "_code")
-        joined = coded.join(codes, coded[c] == codes["_label"], "left").drop("_label")
-        coded = joined.withColumn(f"{c}_encoded", (F.col("_code") - 1).cast("int")).drop("_code")
-    return coded
+        own = codes.where(F.col("_column") == c).select("_label", F.col("_code").alias(f"{c}_encoded"))
+        df = df.join(own, df[c] == own["_label"], "left").drop("_label")
+    return df
+
+
+def with_label_codes(df: DataFrame, columns: list[str], labels_from: DataFrame | None = None) -> DataFrame:
+    """``<column>_encoded`` of text columns; ``labels_from``: a smaller frame with the same values, where one is at hand."""
+    source = df if labels_from is None else labels_from
+    return with_codes(df, columns, label_codes({c: source for c in columns}))
 
 
 def random_split(key: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.functions import calendar, money
-from tillworks.operators.preparation import with_label_codes
+from tillworks.operators.preparation import label_codes, with_codes, with_label_codes
 from tillworks.plans import models
 from tillworks.session import stored
 from tillworks.sources.tables import SalesTables
@@ -108,13 +108,15 @@ def customer_features(t: SalesTables) -> DataFrame:
         .groupBy("customer_id", "category")
         .agg(F.sum("n").alias("n"))
     )
-    places = with_label_codes(by_place, ["payment", "region"])
+    sold_to = by_place.select("customer_id").distinct().join(t.customers.select("customer_id", "segment"), "customer_id")
+    codes = label_codes({"payment": by_place, "region": by_place, "category": by_category, "segment": sold_to})
+    places = with_codes(by_place, ["payment", "region"], codes)
     sums = places.groupBy("customer_id").agg(
         *[F.sum(c).alias(c) for c in _SUMS],
         F.percentile("region_encoded", 0.5, F.col("line_count")).alias("store_region"),
     )
     favourite = (
-        with_label_codes(by_category, ["category"])
+        with_codes(by_category, ["category"], codes)
         .groupBy("customer_id")
         .agg(F.percentile("category_encoded", 0.5, F.col("n")).alias("favourite_category"))
     )
@@ -124,8 +126,7 @@ def customer_features(t: SalesTables) -> DataFrame:
         .groupBy("customer_id")
         .agg(F.min_by("payment_encoded", F.struct(-F.col("n"), F.col("payment_encoded"))).alias("preferred_payment"))
     )
-    sold_to = sums.select("customer_id").join(t.customers.select("customer_id", "segment"), "customer_id")
-    segments = with_label_codes(sold_to, ["segment"]).select("customer_id", F.col("segment_encoded"))
+    segments = with_codes(sold_to, ["segment"], codes).select("customer_id", "segment_encoded")
     return (
         sums.select("customer_id", *_value_columns(), "store_region")
         .join(favourite, "customer_id")
