@@ -191,10 +191,10 @@ def quality(t: SalesTables, segments: list[str], payment_methods: list[str]) ->
     """Key, reference and value rules over the five tables, their staging models and the fact.
 
     The source lines are read once: the numbered lines and the fact made of them are stored, and the rules
-    read the columns they need from there.
+    read the columns they need from there; of the fact only those are stored.
     """
     stg_transactions, stg_items = stored(models.stg_transactions(t.transactions)), stored(models.stg_sales_items(t.sales_items))
-    fact = stored(models.fct_sales(stg_items, stg_transactions))
+    fact = stored(models.fct_sales(stg_items, stg_transactions).select("sales_item_id", "transaction_id", "product_id", "net_amount"))
     quantity, pct = F.col("quantity"), F.col("discount_pct")
     consistent = F.col("gross_amount") - F.col("discount_amount") == F.col("net_amount")
     return quality_report(

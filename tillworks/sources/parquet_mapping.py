@@ -13,6 +13,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillworks.session import stored
 from tillworks.sources.tables import SalesTables, with_amounts
 
 _LINE_CONTENT = [
@@ -117,14 +118,21 @@ def _line_columns(lineitem: DataFrame, *extra: str) -> DataFrame:
 
 
 def _numbered_lines(lineitem: DataFrame, wanted: DataFrame | None) -> DataFrame:
-    """Lines with their id. Equal lines are counted (partial counts, so no order is too long) and dealt out again."""
+    """Lines with their id. What comes more than once is found by (order, digest); only such lines are brought together
+    to number their copies, all others stay where they are.
+    """
     if wanted is not None:
         lineitem = lineitem.join(wanted, lineitem.l_orderkey == wanted.transaction_id, "left_semi")
-    counted = lineitem.groupBy(*lineitem.columns).agg(F.count("*").alias("copies"))
-    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     content = ", ".join(f"coalesce(CAST({c} AS STRING), '')" for c in _LINE_CONTENT)
-    line_id = f"concat_ws('-', l_orderkey, md5(concat_ws('|', {content})), copy) AS sales_item_id"
-    return _line_columns(each, line_id)
+    digested = lineitem.withColumn("digest", F.expr(f"md5(concat_ws('|', {content}))"))
+    keys = ["l_orderkey", "digest"]
+    # partial counts, so no order is too long; stored, so that Spark knows how short the list is
+    repeated = stored(digested.select(*keys).groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys))
+    same = digested.l_orderkey.eqNullSafe(repeated.l_orderkey) & (digested.digest == repeated.digest)
+    single = digested.join(repeated, same, "left_anti").withColumn("copy", F.lit(1).cast("long"))
+    counted = digested.join(repeated, same, "left_semi").groupBy(*digested.columns).agg(F.count("*").alias("copies"))
+    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*single.columns)
+    return _line_columns(single.unionByName(each), "concat_ws('-', l_orderkey, digest, copy) AS sales_item_id")
 
 
 def parquet_tables(spark: SparkSession, folder: str) -> SalesTables:
