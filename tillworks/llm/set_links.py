@@ -3,14 +3,15 @@
 A set is named by ``mark``, the digest of its elements, so equal sets are one. ``filed`` says which sets share a file;
 every similar pair shares at least one. Only the parts that the links make are asked for, so no file gives all its pairs:
 
-*Stars.* Every set is compared with some hubs, the first marks of files it is in, those first that it meets in most files. A crowd of near copies is settled by that: each
-member is looked at once, and the sets are shipped once. What is linked gets one label.
+*Stars.* Every set is compared with some hubs, the first marks of files it is in, those first that it meets in most files.
+Most of a crowd of near copies is settled by that: a member is looked at a few times, whatever the crowd's size. What is linked gets
+one label.
 
 *Rest.* A file whose members have one label by now says nothing new. In each other one (files of the same members count
-once) every pair of different labels is looked at, first by sizes and histograms of a byte for 8 elements, which pass over most
-pairs and lose none, then by the sets: few partners of a member as pairs, each once for all files, more of them in
-one file made of all that overlap. A crowded file is dealt over tasks: the
-members of its most frequent label stay where they are, in pieces, and the others come to each piece.
+once) every pair of different labels is looked at: first by sizes and histograms of about a byte for 8 elements, which pass over
+most pairs and lose none, then by the sets. Few partners of a member are told as pairs, each pair once for all files; where a
+member has more of them, all files that overlap become one, in which each set is shipped once. A crowded file is
+dealt over tasks: the members of its most frequent label stay where they are, in pieces, and the others come to each piece.
 
 A histogram counts the elements by range of hashes. Similar sets differ in no more than (100 - percent) / (100 +
 percent) of the sum of their sizes, so histograms that differ in more are not those of similar sets.
