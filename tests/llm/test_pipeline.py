@@ -44,6 +44,16 @@ def test_toxic_documents_go(spark, staged):
     assert not gone & clean
 
 
+def test_toxic_texts_go_once_enough_is_labelled(spark):
+    """Over the next larger tables, whose labels teach a lexicon."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    kept = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, folder).select("doc_id").collect()}
+    gone = {r.doc_id for r in docs.select("doc_id").collect()} - kept
+    marked = {label: {r.doc_id for r in labels.where(f"toxic = {label}").collect()} for label in (0, 1)}
+    assert len(gone & marked[1]) > 0.6 * len(marked[1]) and len(gone & marked[0]) < 0.02 * len(marked[0])
+
+
 def test_one_of_each_exact_copy_stays(staged):
     before, after = staged["exact_dedup"]
     last = {}
