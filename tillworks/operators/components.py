@@ -40,9 +40,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(told.select("u", F.col("m").alias("v")))
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    mix = F.xxhash64("u", "v").cast("decimal(38,0)")
-    return tuple(edges.agg(F.count("*"), F.sum(mix)).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether every link leads straight to the smallest node of its component: one link a node, and none from a root."""
+    roots = edges.select(F.col("v").alias("u")).distinct()
+    from_roots = edges.join(roots, "u", "left_semi")
+    several = edges.groupBy("u").agg(F.count("*").alias("links")).where("links > 1").select("u")
+    return from_roots.select("u").unionByName(several).isEmpty()
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -51,11 +54,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     Rounds grow with the logarithm of the longest path. Each is stored, so lineage stays short and a
     lost executor costs at most one round.
     """
-    current, seen = stored(edges.where("u <> v").distinct()), None
-    mark = _fingerprint(current)
-    while mark != seen:
-        seen = mark
+    down = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    current = stored(down.distinct())
+    while not _settled(current):
         current = stored(_small_star(_large_star(current)).where("u <> v").distinct())
-        mark = _fingerprint(current)
     roots = current.select("u", F.col("v").alias("root"))
     return nodes.join(roots, "u", "left").select("u", F.coalesce("root", F.col("u")).alias("root"))
