@@ -298,9 +298,12 @@ def _rest(filed: DataFrame, labels: DataFrame, info: DataFrame, sets, percent: i
     pairs = _compared(stored(found_pairs), sets, percent, file_rows)
     named = pairs.join(labels.toDF("u", "label_u"), "u").join(labels.toDF("v", "label_v"), "v")
     found = stored(named.where("label_u <> label_v").select(F.col("label_u").alias("u"), F.col("label_v").alias("v")).distinct())
+    crowded = left.where("file IS NOT NULL").select("file", "mark")
+    if crowded.isEmpty():
+        return found
     # crowds: what the pairs have linked has one label by now; histograms come along with the sets, as both are looked at
     parts = connected_components(labels.select(F.col("label").alias("u")).distinct(), found).toDF("label", "part")
-    members = _crowds(left.where("file IS NOT NULL").select("file", "mark")).join(labels, "mark").join(parts, "label")
+    members = _crowds(crowded).join(labels, "mark").join(parts, "label")
     crowds = stored(_one_each(members.select("file", "mark", F.col("part").alias("label"))))
     with_sets = dealt(crowds, file_rows).join(sets(crowds.select("mark").distinct()), "mark").join(info, "mark")
     read = with_sets.repartition("file", "a", "b").sortWithinPartitions("file", "a", "b")
