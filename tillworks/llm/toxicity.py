@@ -261,6 +261,7 @@ def training_texts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
 
 COPY_BANDS, COPY_ROWS = 6, 4
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _COPY_SALTS = mixed(np.arange(1, COPY_BANDS * COPY_ROWS + 1, dtype=np.uint64) << np.uint64(40))
 
 
@@ -273,7 +274,7 @@ def _with_copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             least = np.zeros(len(_COPY_SALTS), dtype=np.uint64)
             if blocks:
                 hashes = np.concatenate(blocks)
-                least = np.array([mixed(hashes ^ salt).min() for salt in _COPY_SALTS], dtype=np.uint64)
+                least = np.array([((hashes ^ salt) * _ODD).min() for salt in _COPY_SALTS], dtype=np.uint64)
             key = np.arange(COPY_BANDS, dtype=np.uint64)
             for column in least.reshape(COPY_BANDS, COPY_ROWS).T:
                 key = mixed(key ^ column)
