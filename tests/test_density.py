@@ -88,6 +88,24 @@ def test_candidate_pairs_follow_the_neighbours(spark):
     assert density._children(upper, density._coarse(cells, boxes, 0)).count() <= 8 * (len(want) + len(all_cells))
 
 
+def test_a_dense_region_needs_few_pairs_of_cells(spark, monkeypatch):
+    """Cells of one part are not compared with each other, and points that are surely core do not ask all their neighbours."""
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.uniform(0, 1.4, (3000, 5)), rng.uniform(6, 9, (20, 5))])
+    asked = []
+    for name in ("_link_cells", "_count_neighbours"):
+
+        def counting(points, pairs, *others, run=getattr(density, name)):
+            asked.append(pairs.count())
+            return run(points, pairs, *others)
+
+        monkeypatch.setattr(density, name, counting)
+    frame = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, " + ", ".join(f"c{i} double" for i in range(5)))
+    got = {r.id: r.dbscan_cluster for r in density.dbscan(frame, "id", [f"c{i}" for i in range(5)], 0.8, 5).collect()}
+    assert got == brute_force(np.arange(len(x)), x, 0.8, 5)
+    assert len(asked) == 2 and max(asked) < len(x)
+
+
 def test_components_of_a_hub_beside_many_small_ones(spark):
     edges = [(0, i) for i in range(1, 3000)] + [(10_000 + 2 * i, 10_001 + 2 * i) for i in range(3000)]
     df = spark.createDataFrame(edges, "u long, v long")

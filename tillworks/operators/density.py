@@ -5,7 +5,12 @@ Points fall into cells so small that two points of one cell are always neighbour
 holds. Everything between cells is decided on bounding boxes: two boxes may be wholly within reach, wholly
 out of reach, or undecided. Undecided boxes are halved in every dimension and looked at again, and points
 are compared one by one only when a box holds few of them. A box of identical points has no extent, so it is
-always decided. The number of cells, not of points, bounds the pairs.
+always decided.
+
+Nor are all pairs of neighbouring cells looked at: in five dimensions a cell can have thousands of neighbours. Grids of
+coarse cells, each moved by a cell, bring a cell together with some of those around it, at most 2^d and 3^d at a time. That
+proves most points to be core, and joins the cells of a region to one part. Only what is left asks all its neighbours: points
+not yet proven, and cells for those of another part.
 """
 
 from __future__ import annotations
@@ -22,6 +27,8 @@ from tillworks.session import stored
 
 # Boxes with this many points or fewer are compared point by point.
 LEAF_POINTS = 32
+# Sides, in cells, of the coarse cells in which neighbours are looked for first.
+GRID_SIDES = (2, 3)
 
 
 def _key(x: Column, width: float) -> Column:
@@ -79,12 +86,14 @@ class _Boxes:
 
 
 def _coarse(cells: DataFrame, boxes: _Boxes, level: int) -> DataFrame:
-    """Boxes of 2^level cells a side: box, above (the box of the next level), bounds, and a cell_id for level 0."""
+    """Boxes of 2^level cells a side: box, above (the box of the next level), bounds, a cell_id for level 0, and the least
+    and the most ``mark`` of the cells inside where they have marks."""
     key = F.transform("cell", lambda k: F.shiftright(k, level))
     corners = [
         F.array(*[f(F.col(name)[i]) for i in range(boxes.dimensions)]).alias(name) for name, f in (("lo", F.min), ("hi", F.max))
     ]
-    grouped = cells.groupBy(key.alias("box")).agg(F.min("cell_id").alias("cell_id"), *corners)
+    marks = [F.min("mark").alias("least"), F.max("mark").alias("most")] if "mark" in cells.columns else []
+    grouped = cells.groupBy(key.alias("box")).agg(F.min("cell_id").alias("cell_id"), *corners, *marks)
     return grouped.withColumn("above", _parent(F.col("box")))
 
 
@@ -99,17 +108,19 @@ def _children(pairs: DataFrame, finer: DataFrame) -> DataFrame:
     return joined.where((F.col("a_above") != F.col("b_above")) | (F.col("a_box") <= F.col("b_box")))
 
 
-def _neighbour_cells(cells: DataFrame, boxes: _Boxes) -> DataFrame:
+def _neighbour_cells(cells: DataFrame, boxes: _Boxes, wanted: Column | None = None) -> DataFrame:
     """Unordered pairs of different cells whose boxes come within reach.
 
     The search begins with boxes so coarse that there are two in each dimension at most, and goes down only into
-    pairs of boxes that come within reach: the work follows the pairs that are found.
+    pairs of boxes that come within reach: the work follows the pairs that are found. ``wanted`` tells from the marks of
+    two boxes (a_least, a_most, b_least, b_most) whether pairs of cells inside can be of use.
     """
     ends = cells.agg(F.min(F.array_min("cell")), F.max(F.array_max("cell"))).first()
     level = 0 if ends[0] is None else int(ends[1] - ends[0]).bit_length()
     top = _coarse(cells, boxes, level).withColumn("above", F.array(F.lit(0).cast("long")))
     pairs = _side(top, "a").join(_side(top, "b"), F.col("a_above") == F.col("b_above")).where("a_box <= b_box")
     close = boxes.nearest(("a_lo", "a_hi"), ("b_lo", "b_hi")) <= boxes.reach
+    close = close if wanted is None else close & wanted
     pairs = pairs.where(close)
     while level:
         level -= 1
@@ -118,8 +129,65 @@ def _neighbour_cells(cells: DataFrame, boxes: _Boxes) -> DataFrame:
     return different.select("a_cell_id", F.col("a_box").alias("a_cell"), "b_cell_id", F.col("b_box").alias("b_cell"))
 
 
+def _in_grids(cells: DataFrame, side: int) -> DataFrame:
+    """Each row with ``grid``, once for every grid of coarse cells of ``side`` cells, each moved by a cell from the one before.
+
+    Cells that share a face share a coarse cell of one grid at least.
+    """
+    moved = [F.struct(F.lit(n).alias("n"), F.transform("cell", lambda k: F.floor((k + n) / side)).alias("box")) for n in range(side)]  # noqa: B023
+    return cells.withColumn("grid", F.explode(F.array(*moved)))
+
+
+def _not_proven(located: DataFrame, cells: DataFrame, boxes: _Boxes, min_points: int) -> DataFrame:
+    """Points (id, x, cell) of sparse cells but those that have ``min_points`` neighbours in cells of a coarse cell that are
+    wholly within reach."""
+    left = located.where(F.col("cell_size") < min_points).select("id", "x", "cell")
+    for side in GRID_SIDES:
+        near = _in_grids(left, side).drop("cell").join(_in_grids(cells.select("cell", "cell_size", "lo", "hi"), side).drop("cell"), "grid")
+        near = near.where(boxes.farthest(("x", "x"), ("lo", "hi")) <= boxes.reach)
+        counted = near.groupBy("id", "grid").agg(F.sum("cell_size").alias("n"))
+        left = stored(left.join(counted.where(F.col("n") >= min_points).select("id").distinct(), "id", "left_anti"))
+    return left
+
+
+def _parts(nodes: DataFrame, boxes: _Boxes) -> DataFrame:
+    """Cells (u) with core points and the ``root`` of the part that one core point of each cell (``x``) joins them to.
+
+    In a coarse cell everything is linked to the least part within its reach. Wider coarse cells are looked at only where they
+    hold cells of several parts.
+    """
+    parts = nodes.select(F.col("cell_id").alias("u"), F.col("cell_id").alias("root"))
+    for side in GRID_SIDES:
+        placed = _in_grids(nodes.join(parts.withColumnRenamed("u", "cell_id"), "cell_id").select("cell", "x", "root"), side)
+        mixed = placed.groupBy("grid").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+        placed = placed.join(mixed.select("grid"), "grid", "left_semi")
+        u, v = (placed.select("grid", F.col("root").alias(end), F.col("x").alias(f"{end}x")) for end in ("u", "v"))
+        near = u.join(v, "grid").where((F.col("u") < F.col("v")) & boxes.within("ux", "vx"))
+        parts = _merged(parts, near.groupBy("grid", "v").agg(F.min("u").alias("u")).select("u", "v").distinct())
+    return parts
+
+
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Parts (u, root) after their roots have been linked."""
+    tops = connected_components(parts.select(F.col("root").alias("u")).distinct(), links).withColumnRenamed("u", "part")
+    return stored(parts.withColumnRenamed("root", "part").join(tops, "part").select("u", "root"))
+
+
+def _joined_parts(core: DataFrame, nodes: DataFrame, boxes: _Boxes) -> DataFrame:
+    """Cells (u) with core points and the ``root`` of their cluster: parts first, then links between different parts."""
+    parts = _parts(nodes, boxes)
+    marked = nodes.select("cell", "cell_id", "lo", "hi").join(parts.select(F.col("u").alias("cell_id"), F.col("root").alias("mark")), "cell_id")
+    several = F.least("a_least", "b_least") < F.greatest("a_most", "b_most")
+    pairs = stored(_neighbour_cells(stored(marked), boxes, several))
+    ends = pairs.select(F.explode(F.array("a_cell_id", "b_cell_id")).alias("cell_id")).distinct()
+    links = _link_cells(stored(core.join(ends, "cell_id", "left_semi")), pairs, boxes)
+    for side in ("u", "v"):
+        links = links.withColumnRenamed(side, "cell").join(parts.select(F.col("u").alias("cell"), F.col("root").alias(side)), "cell").drop("cell")
+    return _merged(parts, links)
+
+
 def _count_neighbours(located: DataFrame, pairs: DataFrame, boxes: _Boxes, min_points: int) -> DataFrame:
-    """Neighbours outside the own cell for points of sparse cells, as rows (p, cell_id, q, hits).
+    """Neighbours outside the own cell for the points that are not ``proven``, as rows (p, cell_id, q, hits).
 
     Complete for points that stay below ``min_points``; for the others it stops once that number is reached.
     ``q`` is NULL where a dense box was counted as a whole.
@@ -129,7 +197,7 @@ def _count_neighbours(located: DataFrame, pairs: DataFrame, boxes: _Boxes, min_p
             F.col("b_cell_id").alias("a_cell_id"), F.col("a_cell_id").alias("b_cell_id"), F.col("a_cell").alias("b_cell")
         )
     )
-    asking = located.where(F.col("cell_size") < min_points).select(
+    asking = located.where(~F.col("proven")).select(
         F.col("id").alias("p"), F.col("x").alias("px"), F.col("cell_size").alias("own"), F.col("cell_id").alias("a_cell_id")
     )
     open_tasks = asking.join(both_ways, "a_cell_id").select(
@@ -220,17 +288,23 @@ def dbscan(
         placed.groupBy("cell").agg(F.min("id").alias("cell_id"), F.count("*").alias("cell_size"), *bounds)
     )
     located = stored(placed.join(cells.select("cell", "cell_id", "cell_size"), "cell"))
-    pairs = stored(_neighbour_cells(cells, boxes))
+    left = _not_proven(located, cells, boxes, min_points).select("id", F.lit(False).alias("asks"))
+    proven = (F.col("cell_size") >= min_points) | (F.col("asks").isNull() & F.col("id").isNotNull())
+    located = stored(located.join(left, "id", "left").withColumn("proven", proven).drop("asks"))
+
+    asking = located.where(~F.col("proven")).select("cell_id").distinct().withColumn("asks", F.lit(1))
+    marked = stored(cells.join(asking, "cell_id", "left").withColumn("mark", F.coalesce("asks", F.lit(0))))
+    pairs = stored(_neighbour_cells(marked, boxes, F.greatest("a_most", "b_most") == 1))
 
     found = _count_neighbours(located, pairs, boxes, min_points)
     counted = found.groupBy("p").agg(F.sum("hits").alias("n")).withColumnRenamed("p", "id")
     neighbours = F.col("cell_size") + F.coalesce("n", F.lit(0))
-    is_core = (F.col("cell_size") >= min_points) | (neighbours >= min_points)
+    is_core = F.col("proven") | (neighbours >= min_points)
     judged = stored(located.join(counted, "id", "left").withColumn("core", is_core).drop("n"))
     core = judged.where("core")
 
-    nodes = core.groupBy(F.col("cell_id").alias("u")).agg(F.min("id").alias("first"))
-    rooted = connected_components(nodes.select("u"), _link_cells(core, pairs, boxes)).join(nodes, "u")
+    nodes = stored(core.groupBy("cell", "cell_id").agg(F.min("id").alias("first"), F.min_by("x", "id").alias("x"), *bounds))
+    rooted = _joined_parts(core, nodes, boxes).join(nodes.select(F.col("cell_id").alias("u"), "first"), "u")
     roots = rooted.groupBy("root").agg(F.min("first").alias("first"))
     numbered = with_position(roots, ["first"], "position").select(
         "root", (F.col("position") - 1).cast("int").alias("cluster")
