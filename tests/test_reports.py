@@ -151,3 +151,23 @@ def test_calendar(spark):
     got = sorted(rows(models.dim_date(days)))
     assert [r[0] for r in got] == [20251128, 20251129, 20251130, 20251201]
     assert got[1][2:] == (7, "Saturday", 11, "November", 4, 2025, "Y", "N")
+
+
+def _below(plan: str, start: int) -> list[str]:
+    """The lines of a plan under the line ``start``."""
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    rest = lines[start + 1 :]
+    return rest[: next((i for i, line in enumerate(rest) if depth(line) <= depth(lines[start])), len(rest))]
+
+
+def test_lines_of_the_star_join_do_not_move_by_customer(spark):
+    t = tables(spark, [tx(1, date(2024, 1, 5))], [line(1, 1, 1, "5.00")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = models.flat_sales(t)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [i for i, text in enumerate(plan.splitlines()) if "Exchange hashpartitioning(customer_id" in text]
+    assert moved and not any("quantity" in text for i in moved for text in _below(plan, i))
+    assert rows(models.flat_sales(t).select("product_id", "customer_city", "store_region")) == [(1, "Porto", "north")]
