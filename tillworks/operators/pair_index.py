@@ -48,17 +48,17 @@ class PairIndex:
         return F.pmod(_block(self.blocks), F.lit(self.shelves)).cast("int")
 
     def _filters(self, pairs: DataFrame) -> DataFrame:
-        """One row per block: partial bitmaps per task, so a block's transactions need not meet."""
+        """One row per block: partial bitmaps per task, so a block's transactions need not meet. Read from the shelves, a
+        task has the blocks of few shelves only; a transaction that comes again sets the same bits."""
         set_bits = F.explode(F.array(*_bits())).alias("bit")
-        each = pairs.select("transaction_id").distinct().select(_block(self.blocks).alias("block"), set_bits)
+        each = pairs.select(_block(self.blocks).alias("block"), set_bits)
         return each.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
     def add(self, change: Change, pairs: DataFrame) -> None:
         """Pairs (other columns are ignored) become part of the index with the change."""
-        new = stored(pairs.select(*_KEYS).distinct())
-        placed = new.withColumn("shelf", self._shelf()).repartition("shelf", F.pmod(F.xxhash64(*_KEYS), F.lit(8)))
-        change.append(self.pairs, placed, "shelf")
-        change.append(self.filters, self._filters(new))
+        placed = pairs.select(*_KEYS).distinct().withColumn("shelf", self._shelf())
+        added = change.append(self.pairs, placed.repartition("shelf", F.pmod(F.xxhash64(*_KEYS), F.lit(8))), "shelf")
+        change.append(self.filters, self._filters(added))
 
     def compact(self, change: Change) -> None:
         """The loads of the index as one, with one filter per block."""

@@ -118,17 +118,19 @@ def _line_columns(lineitem: DataFrame, *extra: str) -> DataFrame:
 
 
 def _numbered_lines(lineitem: DataFrame, wanted: DataFrame | None) -> DataFrame:
-    """Lines with their id. What comes more than once is found by (order, digest); only such lines are brought together
-    to number their copies, all others stay where they are.
+    """Lines with their id. Only lines that share eight bytes of hash with another are brought together to number their
+    copies (equal lines do; what does so by chance is the first of its own content), all others stay where they are.
     """
     if wanted is not None:
-        lineitem = lineitem.join(wanted, lineitem.l_orderkey == wanted.transaction_id, "left_semi")
+        # written once, and met by a list of known size: the lines of few orders are found without moving all the others
+        listed = stored(wanted.select(F.col("transaction_id").alias("wanted_id")))
+        lineitem = stored(lineitem.join(listed, lineitem.l_orderkey == listed.wanted_id, "left_semi"))
     content = ", ".join(f"coalesce(CAST({c} AS STRING), '')" for c in _LINE_CONTENT)
     digested = lineitem.withColumn("digest", F.expr(f"md5(concat_ws('|', {content}))"))
-    keys = ["l_orderkey", "digest"]
+    mark = F.xxhash64("l_orderkey", "digest")
     # partial counts, so no order is too long; stored, so that Spark knows how short the list is
-    repeated = stored(digested.select(*keys).groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys))
-    same = digested.l_orderkey.eqNullSafe(repeated.l_orderkey) & (digested.digest == repeated.digest)
+    repeated = stored(digested.groupBy(mark.alias("mark")).agg(F.count("*").alias("n")).where("n > 1").select("mark"))
+    same = mark == repeated.mark
     single = digested.join(repeated, same, "left_anti").withColumn("copy", F.lit(1).cast("long"))
     counted = digested.join(repeated, same, "left_semi").groupBy(*digested.columns).agg(F.count("*").alias("copies"))
     each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*single.columns)
