@@ -20,8 +20,18 @@ def gram(rows: DataFrame, columns: list[str], label: str) -> list[list[int]]:
     named = [F.lit(1).cast("long"), *[F.col(c).cast("long") for c in columns], F.col(label).cast("long")]
     n = len(named) - 1
     pairs = [(i, j) for i in range(n) for j in range(i, n + 1)]
-    sums = [F.coalesce(F.sum((named[i].cast(_EXACT) * named[j]).cast(_EXACT)), F.lit(0).cast(_EXACT)) for i, j in pairs]
-    found = dict(zip(pairs, rows.dropna(subset=[*columns, label]).agg(*sums).first()))
+    rows = rows.dropna(subset=[*columns, label])
+    # the largest sum that the values allow: where it fits into a long, the sum is one
+    count, *edges = rows.agg(F.count("*"), *[f(c) for c in named for f in (F.min, F.max)]).first()
+    largest = [max(abs(edges[2 * i] or 0), abs(edges[2 * i + 1] or 0)) for i in range(n + 1)]
+
+    def total(i: int, j: int) -> Column:
+        if count * largest[i] * largest[j] < 1 << 63:
+            return F.coalesce(F.sum(named[i] * named[j]), F.lit(0))
+        return F.coalesce(F.sum((named[i].cast(_EXACT) * named[j]).cast(_EXACT)), F.lit(0).cast(_EXACT))
+
+    sums = [total(i, j) for i, j in pairs]
+    found = dict(zip(pairs, rows.agg(*sums).first()))
     return [[int(found[min(i, j), max(i, j)]) for j in range(n + 1)] for i in range(n)]
 
 
