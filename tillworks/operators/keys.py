@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks.operators.ordering import with_position
-from tillworks.session import stored
 from tillworks.sources.store import Change, Store
 
 
@@ -32,8 +31,7 @@ class KeyMap:
         new = rows.select(self.key).where(F.col(self.key).isNotNull()).distinct().join(known, self.key, "left_anti")
         last = known.agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
         placed = with_position(new, [self.key], "number").withColumn("number", F.col("number") + last)
-        added = stored(placed.select(*self.schema.names))
-        change.append(self.table, added)
+        added = change.append(self.table, placed.select(*self.schema.names))
         return known.unionByName(added)
 
     def with_numbers(self, change: Change, rows: DataFrame, name: str) -> DataFrame:

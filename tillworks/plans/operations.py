@@ -180,8 +180,8 @@ def numbered_lines(t: SalesTables, until: date) -> DataFrame:
     store = Store(spark, scratch_table(spark, "warehouse"))
     keys = KeyMap(store, "sales_item_id", "string", "sales_keys")
     dated = stored(t.sales_items.select("sales_item_id", "transaction_id").join(t.headers.select("transaction_id", "transaction_date"), "transaction_id"))
-    early = F.col("transaction_date") <= F.lit(until)
-    for load in (dated.where(early), dated):
+    early = F.coalesce(F.col("transaction_date") <= F.lit(until), F.lit(False))
+    for load in (dated.where(early), dated.where(~early)):
         with store.change() as change:
             keys.extended(change, load)
     return dated.join(keys.numbers(), "sales_item_id").select(F.col("number").alias("sales_key"), "sales_item_id", "transaction_id")
