@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
-from tillworks.operators import evaluation, preparation
+from tillworks.operators import evaluation, lloyd, preparation
 from tillworks.plans import features, learning
 from tillworks.plans.generator import GeneratorConfig, base_tables
 from tillworks.session import stored
@@ -111,6 +112,26 @@ def test_inertia_falls_with_more_clusters(sales):
     assert costs[0] > costs[1] > costs[2]
 
 
+def test_fits_that_share_their_rounds_are_those_of_single_fits(points):
+    found = learning._best_kmeans(points, [2, 4], starts=3)
+    vectors = learning._vector(points, features.VALUE_FEATURES).cache()
+    for k, (cost, centres) in found.items():
+        fits = [KMeans(k=k, seed=learning.SEED + i, maxIter=300, tol=1e-4).fit(vectors) for i in range(3)]
+        best = min(fits, key=lambda m: m.summary.trainingCost)
+        assert cost == pytest.approx(best.summary.trainingCost, rel=1e-9)
+        assert np.allclose(centres, best.clusterCenters(), atol=1e-9)
+    vectors.unpersist()
+
+
+def test_all_starts_read_the_points_once_a_round(spark, points):
+    starts = [matrix(points.limit(k), features.VALUE_FEATURES) for k in (2, 3, 4, 5)]
+    spark.sparkContext.setJobGroup("shared", "shared")
+    lloyd.from_starts(points.coalesce(1), features.VALUE_FEATURES, starts, rounds=3, tol=0.0)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("shared")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 3 * 2
+
+
 def test_silhouette_equals_all_pairs(points):
     """Squared Euclidean distance, own cluster without the point itself."""
     labels = stored(points.join(learning.kmeans_labels(points), "customer_id"))

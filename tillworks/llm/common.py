@@ -2,44 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import zipfile
-from collections.abc import Callable, Iterator
-from functools import cache
-from pathlib import Path
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-
-@cache
-def _shipped(application: str) -> None:
-    """Sends the package to the executors, once per application; in local mode they share the driver's path, where it may be."""
-    root = Path(__file__).resolve().parents[2]
-    seen = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    local = SparkSession.active().sparkContext.master.startswith("local") and "cluster" not in SparkSession.active().sparkContext.master
-    if local and (root in seen or root == Path.cwd().resolve()):
-        return
-    folder = tempfile.mkdtemp(prefix="tillworks-package-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    archive = Path(folder) / "tillworks.zip"
-    with zipfile.ZipFile(archive, "w") as zipped:
-        for file in sorted((root / "tillworks").rglob("*.py")):
-            zipped.write(file, file.relative_to(root))
-    SparkSession.active().sparkContext.addPyFile(str(archive))
-
-
-def mapped(rows: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
-    """``rows.mapInArrow``, with this package at hand where the function runs."""
-    _shipped(rows.sparkSession.sparkContext.applicationId)
-    return rows.mapInArrow(function, schema)
+
+from tillworks.session import mapped as mapped  # the operators take it from here
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import (
@@ -16,7 +17,7 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -309,16 +310,26 @@ def scaled_values(t: SalesTables) -> DataFrame:
     return scaled(stored(customer_values(t)), VALUE_FEATURES)
 
 
-def _best_kmeans(points: DataFrame, k: int, starts: int = 10) -> KMeansModel:
-    """The fit with the lowest cost out of ``starts`` seeds."""
-    seeds = [KMeans(k=k, seed=SEED + i, maxIter=300, tol=1e-4) for i in range(starts)]
-    return min(_together([lambda e=e: e.fit(points) for e in seeds]), key=lambda m: m.summary.trainingCost)
+def _best_kmeans(points: DataFrame, ks: list[int], starts: int = 10) -> dict[int, tuple[float, np.ndarray]]:
+    """Per k the cost and the centres of the fit with the lowest cost out of ``starts`` seeds.
+
+    Spark chooses the centres that each fit begins with; from there all fits go through their rounds together, so a round
+    reads the points once and not once for every k and seed.
+    """
+    vectors = _vector(points, VALUE_FEATURES)
+    asked = [(k, KMeans(k=k, seed=SEED + i, maxIter=0)) for k in ks for i in range(starts)]
+    begun = _together([lambda e=e: np.array(e.fit(vectors).clusterCenters()) for _, e in asked])
+    ended = lloyd.from_starts(points, VALUE_FEATURES, begun, rounds=300, tol=1e-4)
+    fits: dict[int, list] = {k: [] for k in ks}
+    for (k, _), fit in zip(asked, ended):
+        fits[k].append(fit)
+    return {k: min(found, key=lambda fit: fit[0]) for k, found in fits.items()}
 
 
 def kmeans_labels(points: DataFrame, k: int = 4) -> DataFrame:
-    vectors = stored(_vector(points, VALUE_FEATURES))
-    model = _best_kmeans(vectors, k).setPredictionCol("kmeans_cluster")
-    return model.transform(vectors).select("customer_id", "kmeans_cluster")
+    rows = stored(points.select("customer_id", *VALUE_FEATURES))
+    _, centres = _best_kmeans(rows, [k])[k]
+    return lloyd.labelled(rows, VALUE_FEATURES, centres, "kmeans_cluster").select("customer_id", "kmeans_cluster")
 
 
 def dbscan_labels(points: DataFrame) -> DataFrame:
@@ -327,8 +338,8 @@ def dbscan_labels(points: DataFrame) -> DataFrame:
 
 def elbow(t: SalesTables, ks: range = range(2, 9)) -> DataFrame:
     """Lowest inertia per number of clusters."""
-    points = stored(_vector(scaled_values(t), VALUE_FEATURES))
-    costs = [(k, round(_best_kmeans(points, k).summary.trainingCost, 2)) for k in ks]
+    points = stored(scaled_values(t).select(*VALUE_FEATURES))
+    costs = [(k, round(cost, 2)) for k, (cost, _) in _best_kmeans(points, list(ks)).items()]
     return points.sparkSession.createDataFrame(costs, "k int, inertia double")
 
 
