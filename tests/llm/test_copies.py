@@ -7,10 +7,12 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import TEXTS
 
 from tillworks.llm import exact_dedup, simhash
+from tillworks.llm.ngram_join import token_sets
 
 
 def _exact(rows):
@@ -171,6 +173,18 @@ def test_similar_sets_alone_decide_in_short_texts(spark):
     assert kept == {4 * n + k for n in range(1500) for k in (0, 2, 3)}
 
 
+def test_near_fingerprints_alone_find_similar_texts(spark, monkeypatch):
+    """Without any band in common: the fingerprints' search brings long texts together, and their sets link them."""
+    monkeypatch.setattr(simhash, "band_keys", lambda s: np.array([int(s.sum() >> np.uint64(1))], dtype=np.int64))
+    words = [f"w{i}" for i in range(4_000)]
+    texts = [" ".join(words), " ".join([*words, "more"]), " ".join(reversed(words)), " ".join([*words[:2_000], *words[2_001:]])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    prints = {simhash.set_fingerprint(s) for s in token_sets(pa.array(texts[:2]), 5)}
+    assert max(bin((a ^ b) & (2**64 - 1)).count("1") for a in prints for b in prints) <= 2
+    kept = {r.doc_id for r in simhash.one_of_each_group(docs).collect()}
+    assert 1 not in kept and {0, 2} <= kept
+
+
 def test_similar_texts_share_a_file():
     """With 14 bands 0.06% of such pairs would share none."""
     rng = np.random.default_rng(9)

@@ -8,10 +8,11 @@ dropped before the full Hamming check; no pair within t is lost.
 *Few bits* (``fingerprint_groups``): m = t + 2 segments, so two segments at least are equal. Every distinct fingerprint
 is filed under each pair of segments.
 
-*Similar texts* (``similar_groups``): at a similarity of 0.8 two 64-bit fingerprints differ in about ten bits, and
-segments of so few bits tell nothing apart. There texts are filed under min-wise hashes of their shingles, and the
-sets of shingles judge: a distance of fingerprints is an estimate, and no limit on it is safe. Which sets reach each other
-is found by ``set_links``, whose work grows in proportion to a group of near copies.
+*Similar texts* (``similar_groups``): the same search runs over the fingerprints of the sets of shingles, and the texts of
+fingerprints that it links share a file. At a similarity of 0.8 two 64-bit fingerprints differ in about ten bits, and segments
+of so few bits tell nothing apart; so texts are filed under min-wise hashes of their shingles, too. Whatever file two texts
+share, the sets of shingles judge: a distance of fingerprints is an estimate, and no limit on it is safe. Which sets reach each
+other is found by ``set_links``, whose work grows in proportion to a group of near copies.
 
 A file of fingerprints never gives all its pairs: its parts are searched breadth first, each member being compared with those that
 no part has reached yet, and each linked member gives one row. A file of more than ``file_rows`` members is dealt over
@@ -82,6 +83,14 @@ def fingerprint(text: bytes, words: int) -> int:
     return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big") if n else 0
 
 
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """64-bit SimHash of a set of hashes, as a signed number."""
+    total = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), _SHINGLE_BLOCK):
+        total += _bit_counts(hashes[at : at + _SHINGLE_BLOCK])
+    return int.from_bytes(np.packbits(total * 2 > len(hashes)).tobytes(), "big", signed=True)
+
+
 def _fingerprints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,8 +306,8 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sketches(words: int):
-    """doc_id, n, mark (null without words), ranges; and files where the mark comes for the first time in the task."""
-    names = ["doc_id", "n", "mark", "ranges", "files"]
+    """doc_id, n, mark (null without words), ranges, fp; and files where the mark comes for the first time in the task."""
+    names = ["doc_id", "n", "mark", "ranges", "fp", "files"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = FirstTime()
@@ -310,6 +319,7 @@ def _sketches(words: int):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(marks, pa.binary()),
                     pa.array([histogram(s) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([set_fingerprint(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([band_keys(s) if first(m) else None for s, m in zip(sets, marks)], pa.list_(pa.int64())),
                 ]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=names)
@@ -317,20 +327,28 @@ def _sketches(words: int):
     return run
 
 
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, file_rows: int = SKETCH_ROWS) -> DataFrame:
+def _files_by_fingerprint(info: DataFrame, bits: int) -> DataFrame:
+    """Rows (file, salt, mark): a file for all sets whose fingerprints reach each other within ``bits``."""
+    distinct = stored(info.select("fp").distinct())
+    roots = connected_components(distinct.select(F.col("fp").alias("u")), links(distinct, bits)).toDF("fp", "root")
+    return info.select("mark", "fp").join(roots, "fp").select(F.xxhash64(F.lit("fp"), "root").alias("file"), F.lit(0).alias("salt"), "mark")
+
+
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, file_rows: int = SKETCH_ROWS, bits: int = 2) -> DataFrame:
     """keep_id (the smallest doc_id of a group) and mark: one row per distinct set of shingles.
 
     Equal sets are one group, and so are the texts without words (mark null). Rows without a doc_id are not
-    looked at. Two texts of a similarity of 0.8 share no file with a chance of 4e-7, of 0.9 with 1e-13; such a pair is
+    looked at. Two texts share a file if their fingerprints are within ``bits`` or a band of their min-wise hashes agrees; of a
+    similarity of 0.8 they share none of the bands' files with a chance of 4e-7, of 0.9 with 1e-13; such a pair is
     linked only through others.
     """
     percent = round(100 * similarity)
     texts = whole_texts(docs).where("doc_id is not null")
-    marked = stored(mapped(texts, _sketches(words), "doc_id long, n long, mark binary, ranges binary, files array<long>"))
+    marked = stored(mapped(texts, _sketches(words), "doc_id long, n long, mark binary, ranges binary, fp long, files array<long>"))
     one = marked.where("mark IS NOT NULL").groupBy("mark")
-    info = stored(one.agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("ranges").alias("ranges")))
+    info = stored(one.agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("n", "ranges", "fp")]))
     keys = marked.select(F.explode("files").alias("file"), F.lit(0).alias("salt"), "mark")
-    shared = shared_files(keys)
+    shared = shared_files(keys.unionByName(_files_by_fingerprint(info, bits)))
     sets = elements_of(texts, info, words)
     roots = similar_parts(shared.select("file", "mark"), first_hubs(shared), info.select("mark", "n", "ranges"), sets, percent, file_rows)
     known = stored(roots.join(info.select("mark", "first_id"), "mark"))
