@@ -150,6 +150,21 @@ def test_automaton_equals_edit_distance():
         assert lexicon.find(word) == want, word
 
 
+def test_neighbours_are_looked_up_beside_matches_only(monkeypatch):
+    looked = []
+
+    class Counting:
+        findall = staticmethod(lambda s, real=toxicity._WORD.findall: (looked.append(s), real(s))[1])
+
+    matcher = toxicity.Matcher(toxicity.Lexicon(["idiot"], []))
+    text = "plain " * 500 + 'he said "idiot" \u2028 idiots,  idiot' + " plain" * 500
+    expected = matcher.matches(text)
+    monkeypatch.setattr(toxicity, "_WORD", Counting)
+    assert matcher.matches(text) == expected
+    assert expected == {("idiot", "term", True): 2, ("idiot", "misspelled", True): 1}
+    assert len(looked) < 60
+
+
 def test_stems_and_quotations():
     matcher = toxicity.Matcher(toxicity.Lexicon(["idiot"], ["vequ"]))
     assert matcher.matches("You are an IDIOT, really") == {("idiot", "term", False): 1}

@@ -28,7 +28,7 @@ def chosen_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["__wanted_doc_id"]), "left_semi")
 
 
-def text_slices(batch: pa.RecordBatch, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts a batch by the bytes of its texts, so that what is built per slice stays small; a row is never cut."""
     sizes = np.cumsum(np.diff(np.frombuffer(offsets(batch.column("text")), dtype=np.int64)))
     start = 0

@@ -203,18 +203,24 @@ class Matcher:
         found = _WORD.findall(stretch)
         return found if len(found) < 2 else [*found, stretch.strip(".,;:!?()[]\"'“”‘’«»")]
 
+    def hits(self, stretches: list[str]) -> list[bool]:
+        known = list(map(self.memory.young.get, stretches))
+        return [self.hit(s) if found is None else found for s, found in zip(stretches, known)]
+
     def matches(self, text: str) -> Counter:
-        """Numbers of matches by (entry, sort, quoted)."""
+        """Numbers of matches by (entry, sort, quoted); places and neighbours are looked up for the stretches that match."""
         small = text.lower()
-        spans = [(m.start(), m.end()) for m in re.finditer(r"\S+", small)]
-        plain = [_WORD.findall(small[a:b]) for a, b in spans]
+        stretches = small.split()
         found: Counter = Counter()
-        for i, (a, b) in enumerate(spans):
-            if not self.hit(small[a:b]):
-                continue
-            before = [w for words in plain[max(0, i - WINDOW) : i] for w in words]
-            after = [w for words in plain[i + 1 : i + 1 + WINDOW] for w in words]
-            for word in self.words(small[a:b]):
+        reached, end = 0, 0
+        for i in [i for i, hit in enumerate(self.hits(stretches)) if hit]:
+            for stretch in stretches[reached : i + 1]:
+                a = small.find(stretch, end)
+                end = a + len(stretch)
+            reached = i + 1
+            before = [w for s in stretches[max(0, i - WINDOW) : i] for w in _WORD.findall(s)]
+            after = [w for s in stretches[i + 1 : i + 1 + WINDOW] for w in _WORD.findall(s)]
+            for word in self.words(stretches[i]):
                 entry = self.lexicon.find(word)
                 if entry:
                     at = small.find(word, a)
@@ -225,7 +231,7 @@ class Matcher:
         """Matches of each text; only texts with a stretch that can match are looked at word by word."""
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        hits = np.array([self.hit(s) for s in coded.dictionary.to_pylist()], dtype=bool)
+        hits = np.array(self.hits(coded.dictionary.to_pylist()), dtype=bool)
         at = np.concatenate([[0], np.cumsum(hits[coded.indices.to_numpy()])]) if len(hits) else np.zeros(1, dtype=int)
         bounds = np.asarray(split.offsets) - split.offsets[0].as_py()
         some = at[bounds[1:]] > at[bounds[:-1]]
@@ -487,9 +493,10 @@ def _clean_rows(model: Model, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.lexicon)
         for batch in batches:
-            texts = pc.fill_null(batch.column("text"), "")
-            keep = [model.score(x) < threshold for x in matcher.of_batch(texts)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            for part in text_slices(batch):
+                texts = pc.fill_null(part.column("text"), "")
+                keep = [model.score(x) < threshold for x in matcher.of_batch(texts)]
+                yield part.filter(pa.array(keep, pa.bool_()))
 
     return run
 
