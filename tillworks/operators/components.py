@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillworks.session import stored
@@ -10,42 +10,48 @@ from tillworks.session import stored
 
 # A node with more than this share of all links is looked up by broadcast: there are at most 2,000 such nodes.
 HOT_SHARE = 1 / 1000
+# Up to so many links a round is one job of three exchanges; all links of one node may meet in a task.
+FEW_LINKS = 500_000
 
 
-def _with_smallest(links: DataFrame) -> DataFrame:
+def _with_smallest(links: DataFrame, few: bool) -> DataFrame:
     """Links (u, v) with m, the smaller of u and its smallest neighbour.
 
     The smallest neighbours come from partial minima, so a node with very many links is one row per task. Its links
-    do not meet under its key either: they get m from the short list of such nodes, where they are.
+    do not meet under its key either: they get m from the short list of such nodes, where they are. ``few`` links go through
+    one exchange by u instead.
     """
+    if few:
+        return links.withColumn("m", F.least("u", F.min("v").over(Window.partitionBy("u"))))
     smallest = stored(links.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("degree")))
     total = smallest.agg(F.coalesce(F.sum("degree"), F.lit(0))).first()[0]
-    hot = smallest.where(F.col("degree") > total * HOT_SHARE).select("u", F.col("m").alias("hot_m"))
-    looked_up = links.join(F.broadcast(hot), "u", "left")
-    others = looked_up.where("hot_m IS NULL").select("u", "v").join(smallest.select("u", "m"), "u")
-    return looked_up.where("hot_m IS NOT NULL").select("u", "v", F.col("hot_m").alias("m")).unionByName(others)
+    hot = F.broadcast(smallest.where(F.col("degree") > total * HOT_SHARE).select("u", "m"))
+    others = links.join(hot, "u", "left_anti").join(smallest.select("u", "m"), "u")
+    return links.join(hot, "u").unionByName(others)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, few: bool) -> DataFrame:
     """Larger neighbours of each node are linked to the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _with_smallest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _with_smallest(both, few).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, few: bool) -> DataFrame:
     """Smaller neighbours of each node, and the node, are linked to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    told = _with_smallest(down)
+    told = _with_smallest(down, few)
     moved = told.select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(told.select("u", F.col("m").alias("v")))
 
 
-def _settled(edges: DataFrame) -> bool:
-    """Whether every link leads straight to the smallest node of its component: one link a node, and none from a root."""
-    roots = edges.select(F.col("v").alias("u")).distinct()
-    from_roots = edges.join(roots, "u", "left_semi")
-    several = edges.groupBy("u").agg(F.count("*").alias("links")).where("links > 1").select("u")
-    return from_roots.select("u").unionByName(several).isEmpty()
+def _state(edges: DataFrame) -> tuple[int, bool]:
+    """How many links there are, and whether every one leads straight to the smallest node of its component: one link a node,
+    and none from a root."""
+    ends = F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("links")), F.struct(F.col("v").alias("node"), F.lit(0).alias("links"))))
+    nodes = edges.select(ends.alias("end")).groupBy("end.node").agg(F.sum("end.links").alias("links"), F.min("end.links").alias("least"))
+    open_ones = F.count_if(F.expr("links > 1 OR (links > 0 AND least = 0)"))
+    total, left = nodes.agg(F.coalesce(F.sum("links"), F.lit(0)), open_ones).first()
+    return total, left == 0
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -56,7 +62,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """
     down = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     current = stored(down.distinct())
-    while not _settled(current):
-        current = stored(_small_star(_large_star(current)).where("u <> v").distinct())
+    while not (state := _state(current))[1]:
+        few = state[0] <= FEW_LINKS
+        current = stored(_small_star(_large_star(current, few), few).where("u <> v").distinct())
     roots = current.select("u", F.col("v").alias("root"))
     return nodes.join(roots, "u", "left").select("u", F.coalesce("root", F.col("u")).alias("root"))
