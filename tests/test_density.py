@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from tillworks.operators import density
+from tillworks.operators import components, density
 from tillworks.operators.components import connected_components
 
 
@@ -112,3 +112,13 @@ def test_components_of_a_hub_beside_many_small_ones(spark):
     nodes = df.select("u").union(df.select("v")).distinct().toDF("u")
     roots = connected_components(nodes, df).groupBy("root").count().collect()
     assert {r["count"] for r in roots} == {3000, 2} and len(roots) == 3001
+
+
+@pytest.mark.parametrize("few_links", [500_000, 0])
+def test_components_of_few_and_of_many_links(spark, monkeypatch, few_links):
+    """A star, a path and two pairs that meet: one job a round, or with the look-up of nodes with many links."""
+    monkeypatch.setattr(components, "FEW_LINKS", few_links)
+    links = [*((0, i) for i in range(1, 60)), *((i, i + 1) for i in range(100, 130)), (200, 202), (201, 202)]
+    nodes = [*range(60), *range(100, 131), 200, 201, 202, 300]
+    found = components.connected_components(spark.createDataFrame([(u,) for u in nodes], "u long"), spark.createDataFrame(links, "u long, v long"))
+    assert dict(found.collect()) == {u: 0 if u < 60 else 100 if u < 200 else 200 if u < 300 else 300 for u in nodes}
