@@ -216,6 +216,31 @@ def test_join_equals_brute_force(spark, monkeypatch, percent, words, file_rows,
     assert 5 < len({c for _, _, c in want}) < len(rows) - 30
 
 
+def test_open_files_come_once_with_their_size(spark):
+    """Of files with the same members the first one; none whose members have one label."""
+    files = {1: "abc", 2: "abc", 3: "ab", 4: "cd", 5: "abcd", 6: "dcba"}
+    rows = [(f, m.encode(), b"x" if m in "ab" else m.encode()) for f, members in files.items() for m in members]
+    got = set_links._one_each(spark.createDataFrame(rows, "file long, mark binary, label binary")).collect()
+    assert sorted((r.file, bytes(r.mark).decode(), r["size"]) for r in got) == sorted((f, m, len(files[f])) for f in (1, 4, 5) for m in files[f])
+
+
+@pytest.mark.parametrize("file_rows", [5, 4000])
+def test_members_of_a_file_meet_its_size_once(spark, monkeypatch, file_rows):
+    """Units are cut from stored rows; a join left in them would run for each frame that is built on it."""
+    plans, dealt = [], set_links.dealt
+
+    def seen(rows, most):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return dealt(rows, most)
+
+    monkeypatch.setattr(set_links, "dealt", seen)
+    texts = _near_texts(4, 6, 9, 60)
+    docs = _table(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)])
+    got = ngram_join.joined_documents(docs, 4, 85, file_rows)
+    assert sorted(map(tuple, got.collect()), key=repr) == _parts(list(enumerate(texts)))
+    assert plans and not any("Join" in p or "Aggregate" in p for p in plans)
+
+
 def test_join_of_messy_rows_and_empty_tables(messy):
     assert sorted(map(tuple, ngram_join.joined_documents(messy).collect()), key=repr) == _parts(TEXTS)
     assert ngram_join.joined_documents(messy.where("false")).count() == 0

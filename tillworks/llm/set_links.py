@@ -261,10 +261,11 @@ def _cross_links(percent: int):
 
 
 def _one_each(rows: DataFrame) -> DataFrame:
-    """The smallest of the files that have the same members; the members are told by their number and two digests."""
+    """The smallest of the files that have the same members, with their number (size); the members are told by it and two digests."""
     told = [F.count("*").alias("n"), F.sum(F.xxhash64("mark").cast("decimal(38, 0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "mark")).alias("x")]
     open_files = rows.groupBy("file").agg(F.min("label").alias("least"), F.max("label").alias("most"), *told).where("least <> most")
-    return rows.join(open_files.groupBy("n", "s", "x").agg(F.min("file").alias("file")).select("file"), "file", "left_semi")
+    first = open_files.groupBy("n", "s", "x").agg(F.min("file").alias("file"))
+    return rows.join(first.select("file", F.col("n").alias("size")), "file")
 
 
 def _small_pairs(rows: DataFrame) -> DataFrame:
@@ -287,11 +288,9 @@ def _rest(filed: DataFrame, labels: DataFrame, info: DataFrame, sets, percent: i
     """Links (u, v) of labels."""
     named = filed.select("file", "mark").join(labels, "mark")
     told = stored(named)
-    rows = stored(_one_each(told))
-    sizes = rows.groupBy("file").agg(F.count("*").alias("size"))
-    sized = rows.join(sizes, "file")
-    few = _likely(_small_pairs(sized.where(F.col("size") <= SMALL)), info, percent)
-    units = dealt(sized.where(F.col("size") > SMALL).drop("size"), file_rows).join(info, "mark")
+    rows = stored(_one_each(told))  # several frames are built on it: no join may be left to run in each of them
+    few = _likely(_small_pairs(rows.where(F.col("size") <= SMALL)), info, percent)
+    units = dealt(rows.where(F.col("size") > SMALL).drop("size"), file_rows).join(info, "mark")
     read = units.repartition("file", "a", "b").sortWithinPartitions("file", "a", "b")
     left = stored(mapped(read, _left_over(percent, FEW), "file long, mark binary, hub binary").distinct())
     found_pairs = left.where("file IS NULL").select("mark", "hub").unionByName(few).distinct()
@@ -304,7 +303,7 @@ def _rest(filed: DataFrame, labels: DataFrame, info: DataFrame, sets, percent: i
     # crowds: what the pairs have linked has one label by now; histograms come along with the sets, as both are looked at
     parts = connected_components(labels.select(F.col("label").alias("u")).distinct(), found).toDF("label", "part")
     members = _crowds(crowded).join(labels, "mark").join(parts, "label")
-    crowds = stored(_one_each(members.select("file", "mark", F.col("part").alias("label"))))
+    crowds = stored(_one_each(members.select("file", "mark", F.col("part").alias("label"))).drop("size"))
     with_sets = dealt(crowds, file_rows).join(sets(crowds.select("mark").distinct()), "mark").join(info, "mark")
     read = with_sets.repartition("file", "a", "b").sortWithinPartitions("file", "a", "b")
     crossed = mapped(read, _cross_links(percent), "u binary, v binary")
